@@ -57,3 +57,110 @@ SQL: dict[str, str] = {
     "knn_ip": _knn_sql("ip", 5),
     "knn_filtered": _knn_sql("cosine", 10, "c.lang = 'en'"),
 }
+
+
+# ------------------------------------------------------------------ text cleaning twins
+# RE2 spellings of the same fixed character classes as quarry.functions.text.
+
+def sql_sanitize(x: str) -> str:
+    s = f"regexp_replace(coalesce({x}, ''), '[\\x00-\\x08\\x0b-\\x0c\\x0e-\\x1f\\x7f-\\x9f]', '', 'g')"
+    s = f"regexp_replace({s}, '[ \\t]+', ' ', 'g')"
+    s = f"regexp_replace({s}, '\\n[\\s\\p{{Z}}]*\\n', chr(10), 'g')"
+    return sql_strip(s)
+
+
+def sql_strip(x: str) -> str:
+    return f"regexp_replace({x}, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g')"
+
+
+def sql_json_safe(x: str) -> str:
+    s = f"regexp_replace({sql_sanitize(x)}, '[\\x00-\\x1f\\x7f-\\x9f]', '', 'g')"
+    return f"CASE WHEN {x} IS NULL THEN NULL ELSE replace({s}, '\"', '''') END"
+
+
+RAW_BOOKS = """
+raw_books AS (
+  SELECT p_partkey AS row_key,
+         p_name || chr(7) || '  ' || p_brand AS "Name",
+         p_brand AS "Author",
+         p_size / 9.0e0 AS "User Rating",
+         p_partkey AS "Reviews",
+         p_retailprice AS "Price",
+         (1880 + p_size * 5)::BIGINT AS "Year",
+         p_type AS "Genre"
+  FROM part
+)"""
+
+
+def _books_sql() -> str:
+    fin = "CASE WHEN isnan({0}) OR isinf({0}) OR {0} IS NULL THEN 0.0 ELSE {0} END"
+    stage1 = f"""
+stage1 AS (
+  SELECT row_key::VARCHAR AS id,
+         {sql_json_safe(sql_strip(f"{sql_sanitize('"Name"')} || ' ' || {sql_sanitize('"Author"')}"))} AS document,
+         {sql_sanitize('"Name"')} AS _name,
+         {sql_sanitize('"Author"')} AS _author,
+         {sql_sanitize('"Genre"')} AS _genre,
+         {fin.format('"User Rating"')} AS _rating,
+         {fin.format('"Price"')} AS _price,
+         coalesce("Reviews", 0)::BIGINT AS _reviews,
+         coalesce("Year", 0)::BIGINT AS _year
+  FROM raw_books
+)"""
+    stage2 = """
+stage2 AS (
+  SELECT *, CASE WHEN _rating IS NULL OR NOT (_rating BETWEEN 0.0 AND 5.0) THEN 'user_rating'
+                 WHEN _price IS NULL OR _price < 0.0 THEN 'price'
+                 WHEN _reviews IS NULL OR _reviews < 0 THEN 'reviews'
+                 WHEN _year IS NULL OR NOT (_year BETWEEN 1900 AND 2100) THEN 'year' END AS invalid_reason
+  FROM stage1
+)"""
+
+    def twice(e: str) -> str:
+        return sql_json_safe(sql_json_safe(e))
+
+    def pick(cap: str, col: str) -> str:
+        return f"CASE WHEN invalid_reason IS NULL THEN {cap} ELSE coalesce(nullif({col}, ''), 'Unknown') END"
+
+    stage3 = f"""
+books AS (
+  SELECT id, document,
+         {twice(pick("left(_name, 500)", "_name"))} AS name,
+         {twice(pick("left(_author, 200)", "_author"))} AS author,
+         CASE WHEN invalid_reason IS NULL THEN _rating ELSE 0.0 END AS user_rating,
+         CASE WHEN invalid_reason IS NULL THEN _reviews ELSE 0 END::BIGINT AS reviews,
+         CASE WHEN invalid_reason IS NULL THEN _price ELSE 0.0 END AS price,
+         CASE WHEN invalid_reason IS NULL THEN _year ELSE 2000 END::BIGINT AS year,
+         {twice(pick("_genre", "_genre"))} AS genre,
+         invalid_reason
+  FROM stage2
+),
+records AS (
+  SELECT *, to_json(struct_pack(name := name, author := author, user_rating := user_rating,
+                                reviews := reviews, price := price, year := year, genre := genre))::VARCHAR AS metadata
+  FROM books
+)"""
+    return f"{RAW_BOOKS},{stage1},{stage2},{stage3}"
+
+
+BOOKS = _books_sql()
+
+SQL["prepare_books"] = f"WITH {BOOKS} SELECT * FROM records"
+SQL["validation_summary"] = f"""
+WITH {BOOKS}
+SELECT invalid_reason, count(*) AS n_rows FROM records GROUP BY invalid_reason"""
+SQL["validation_errors"] = f"""
+WITH {BOOKS}
+SELECT count(*) AS n_records, count(*) FILTER (WHERE invalid_reason IS NOT NULL) AS n_invalid FROM records"""
+SQL["source_profile"] = f"""
+WITH {RAW_BOOKS}
+SELECT count(*) AS row_count, 8::BIGINT AS column_count,
+       'row_key, Name, Author, User Rating, Reviews, Price, Year, Genre' AS column_names
+FROM raw_books"""
+SQL["sanitize_documents"] = f"""
+SELECT doc_id AS id,
+       {sql_sanitize('text')} AS clean_text,
+       {sql_json_safe('text')} AS json_text,
+       length({sql_sanitize('text')})::BIGINT AS clean_chars,
+       CASE WHEN length(text) > 100 THEN left(text, 100) || '...' ELSE text END AS snippet
+FROM documents"""

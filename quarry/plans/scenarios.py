@@ -54,3 +54,53 @@ def knn_ip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def knn_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V8 + F1: pre-filtered kNN, ``lang = 'en'`` (genre stand-in), top-10."""
     return _knn(spark, sf_dir, "cosine", 10, where=build_filter({"lang": "en"}))
+
+
+# ------------------------------------------------------------------ record preparation
+
+from quarry.functions.text import json_safe, sanitize, snippet  # noqa: E402
+from quarry.operators import prepare as prep  # noqa: E402
+from quarry.sources.raw import profile, read_table  # noqa: E402
+
+
+def books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = inputs.raw_books(spark, sf_dir)
+    return prep.prepare_records(raw, id_col="row_key")
+
+
+@register
+def prepare_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every raw row -> cleaned, validated, defaulted record + metadata JSON."""
+    return books(spark, sf_dir)
+
+
+@register
+def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per first-failure reason (null = valid)."""
+    return prep.validation_summary(books(spark, sf_dir))
+
+
+@register
+def validation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Total records and validation error count."""
+    return prep.validation_error_count(books(spark, sf_dir))
+
+
+@register
+def source_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row count, column count, column names of the raw source."""
+    return profile(inputs.raw_books(spark, sf_dir))
+
+
+@register
+def sanitize_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sanitize and JSON-clean every document, plus a 100-char snippet."""
+    d = read_table(spark, sf_dir, "documents")
+    clean = sanitize("text")
+    return d.select(
+        F.col("doc_id").alias("id"),
+        clean.alias("clean_text"),
+        json_safe("text").alias("json_text"),
+        F.length(clean).cast("long").alias("clean_chars"),
+        snippet("text", 100).alias("snippet"),
+    )
