@@ -17,13 +17,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Token patterns (Java regex syntax).
+# Token patterns (Java regex; the only RE2 difference is the
+# Han script name, ``\\p{IsHan}`` here and ``\\p{Han}`` in RE2).
 BASIC_TOKEN = "[\\p{L}\\p{N}]+"
 EMAIL = "[\\p{L}\\p{N}._%+-]+@[\\p{L}\\p{N}-]+(?:\\.[\\p{L}\\p{N}-]+)+"
-IPV4 = "(?<![\\p{N}.])(?:\\d{1,3}\\.){3}\\d{1,3}(?![\\p{N}.])"
-HOST = "(?:[\\p{L}\\p{N}-]+\\.)+[\\p{L}]{2,}"
+IPV4 = "(?:\\d{1,3}\\.){3}\\d{1,3}"
+HOST = "(?:[\\p{L}\\p{N}-]+\\.)+\\p{L}{2,}"
 HAN_RUN = "\\p{IsHan}+"
-NON_HAN_RUN = "[\\p{L}\\p{N}&&[^\\p{IsHan}]]+"
+NON_HAN_RUN = "(?:[^\\p{IsHan}\\P{L}]|\\p{N})+"
 SMART_TOKEN = "|".join([EMAIL, IPV4, HOST, HAN_RUN, NON_HAN_RUN])
 
 MODES = ("basic", "smart", "max_word")

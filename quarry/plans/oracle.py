@@ -164,3 +164,114 @@ SELECT doc_id AS id,
        length({sql_sanitize('text')})::BIGINT AS clean_chars,
        CASE WHEN length(text) > 100 THEN left(text, 100) || '...' ELSE text END AS snippet
 FROM documents"""
+
+
+# ------------------------------------------------------------------ full text twins
+
+TOKEN_RE = "[\\p{L}\\p{N}]+"
+SMART_RE = (
+    "[\\p{L}\\p{N}._%+-]+@[\\p{L}\\p{N}-]+(?:\\.[\\p{L}\\p{N}-]+)+"
+    "|(?:\\d{1,3}\\.){3}\\d{1,3}"
+    "|(?:[\\p{L}\\p{N}-]+\\.)+\\p{L}{2,}"
+    "|\\p{Han}+"
+    "|(?:[^\\p{Han}\\P{L}]|\\p{N})+"
+)
+NON_HAN_RE = "(?:[^\\p{Han}\\P{L}]|\\p{N})+"
+
+
+def sql_tokens(x: str, pattern: str = TOKEN_RE) -> str:
+    return f"regexp_extract_all(lower({x}), '{pattern}')"
+
+
+def sql_max_word(x: str) -> str:
+    han = "regexp_full_match(t, '\\p{Han}+')"
+    bigrams = "CASE WHEN length(t) <= 1 THEN [t] ELSE list_transform(range(1, length(t)), lambda i: substring(t, i, 2)) END"
+    pieces = f"regexp_extract_all(t, '{NON_HAN_RE}')"
+    other = f"list_concat([t], CASE WHEN len({pieces}) > 1 THEN {pieces} ELSE []::VARCHAR[] END)"
+    return f"flatten(list_transform({sql_tokens(x, SMART_RE)}, lambda t: CASE WHEN {han} THEN {bigrams} ELSE {other} END))"
+
+
+DOCS = "docs AS (SELECT doc_id AS id, text AS document, lang, source, n_chars FROM documents)"
+BENCH_Q = "bq AS (SELECT item_id AS query_id, text AS query_text FROM benchmark)"
+KEYWORD_Q = "kq AS (SELECT * FROM (VALUES (0::BIGINT, 'the'), (1::BIGINT, 'that'), (2::BIGINT, 'thon')) t(query_id, query_text))"
+
+
+def _bm25_sql(queries: str, k: int, where: str = "TRUE") -> str:
+    return f"""
+WITH {DOCS}, {BENCH_Q}, {KEYWORD_Q},
+toks AS (SELECT id, ({where}) AS keep, {sql_tokens('document')} AS tokens FROM docs),
+stats AS (SELECT count(*) AS n_docs, avg(len(tokens)) AS avgdl FROM toks),
+qt AS (SELECT DISTINCT query_id, unnest({sql_tokens('query_text')}) AS term FROM {queries}),
+post AS (
+  SELECT term, id, dl, keep, count(*) AS tf
+  FROM (SELECT id, keep, len(tokens) AS dl, unnest(tokens) AS term FROM toks)
+  WHERE term IN (SELECT term FROM qt)
+  GROUP BY ALL
+),
+dfreq AS (SELECT term, count(*) AS df FROM post GROUP BY term),
+scored AS (
+  SELECT qt.query_id, p.id,
+         sum(ln(1.0e0 + (s.n_docs - d.df + 0.5e0) / (d.df + 0.5e0))
+             * ((p.tf * 2.2e0) / (p.tf + 1.2e0 * (0.25e0 + 0.75e0 * p.dl / s.avgdl)))) AS score
+  FROM post p JOIN dfreq d USING (term) JOIN qt USING (term) CROSS JOIN stats s
+  WHERE p.keep
+  GROUP BY ALL
+),
+ranked AS (
+  SELECT query_id, id, floor(score * 1e6 + 0.5)::BIGINT AS score_key,
+         row_number() OVER (PARTITION BY query_id ORDER BY floor(score * 1e6 + 0.5) DESC, id) AS rank
+  FROM scored
+)
+SELECT query_id, id, score_key / 1e6 AS score, rank::BIGINT AS rank FROM ranked WHERE rank <= {k}
+"""
+
+
+def _get_sql(queries: str, limit: int) -> str:
+    return f"""
+WITH {DOCS}, {BENCH_Q}, {KEYWORD_Q},
+m AS (SELECT q.query_id, d.id FROM {queries} q JOIN docs d ON contains(d.document, q.query_text)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY id) AS rank FROM m)
+SELECT query_id, id, rank::BIGINT AS rank FROM r WHERE rank <= {limit}
+"""
+
+
+SQL["tokenize_documents"] = f"""
+WITH {DOCS}
+SELECT id,
+       len({sql_tokens('document')})::BIGINT AS n_basic,
+       len({sql_tokens('document', SMART_RE)})::BIGINT AS n_smart,
+       len({sql_max_word('document')})::BIGINT AS n_max_word,
+       len(list_distinct({sql_tokens('document')}))::BIGINT AS n_distinct
+FROM docs"""
+SQL["postings"] = f"""
+WITH {DOCS}
+SELECT term, id, dl, count(*) AS tf
+FROM (SELECT id, len(tokens)::BIGINT AS dl, unnest(tokens) AS term
+      FROM (SELECT id, {sql_tokens('document')} AS tokens FROM docs))
+GROUP BY ALL"""
+SQL["term_stats"] = f"""
+WITH {DOCS},
+p AS (SELECT term, id, count(*) AS tf
+      FROM (SELECT id, unnest({sql_tokens('document')}) AS term FROM docs) GROUP BY ALL)
+SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM p GROUP BY term"""
+SQL["corpus_stats"] = f"""
+WITH {DOCS}
+SELECT count(*) AS n_docs, avg(len({sql_tokens('document')})) AS avgdl,
+       sum(len({sql_tokens('document')}))::BIGINT AS total_terms
+FROM docs"""
+SQL["bm25_topk"] = _bm25_sql("bq", 10)
+SQL["bm25_filtered"] = _bm25_sql("bq", 5, "n_chars >= 2000")
+SQL["fulltext_get"] = _get_sql("bq", 10)
+SQL["keyword_get"] = _get_sql("kq", 5)
+SQL["keyword_match_counts"] = f"""
+WITH {DOCS}, {KEYWORD_Q},
+sub AS (SELECT q.query_id, count(*) AS n FROM kq q JOIN docs d ON contains(d.document, q.query_text) GROUP BY ALL),
+tok AS (SELECT q.query_id, count(*) AS n FROM kq q JOIN docs d
+        ON list_has_any({sql_tokens('d.document')}, {sql_tokens('q.query_text')}) GROUP BY ALL)
+SELECT q.query_id, q.query_text, coalesce(sub.n, 0)::BIGINT AS n_substring, coalesce(tok.n, 0)::BIGINT AS n_token
+FROM kq q LEFT JOIN sub USING (query_id) LEFT JOIN tok USING (query_id)"""
+SQL["token_match_all"] = f"""
+WITH {DOCS}, {BENCH_Q},
+qt AS (SELECT query_id, list_distinct({sql_tokens('query_text')}) AS terms FROM bq),
+dt AS (SELECT id, list_distinct({sql_tokens('document')}) AS terms FROM docs)
+SELECT qt.query_id, dt.id FROM qt JOIN dt ON len(qt.terms) > 0 AND list_has_all(dt.terms, qt.terms)"""

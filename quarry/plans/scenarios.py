@@ -104,3 +104,101 @@ def sanitize_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length(clean).cast("long").alias("clean_chars"),
         snippet("text", 100).alias("snippet"),
     )
+
+
+# ------------------------------------------------------------------ full text
+
+from quarry.functions.tokens import tokenize  # noqa: E402
+from quarry.operators import fulltext as ft  # noqa: E402
+
+# The keyword stand-ins present in the test corpus (FIXTURES §3).
+KEYWORDS = ["the", "that", "thon"]
+
+
+def keyword_queries(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(
+        [(i, kw) for i, kw in enumerate(KEYWORDS)], "query_id long, query_text string"
+    )
+
+
+@register
+def tokenize_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document under the three analyzer modes."""
+    d = inputs.text_collection(spark, sf_dir)
+    return d.select(
+        "id",
+        F.size(tokenize("document", "basic")).cast("long").alias("n_basic"),
+        F.size(tokenize("document", "smart")).cast("long").alias("n_smart"),
+        F.size(tokenize("document", "max_word")).cast("long").alias("n_max_word"),
+        F.size(F.array_distinct(tokenize("document", "basic"))).cast("long").alias("n_distinct"),
+    )
+
+
+@register
+def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The postings table (term, id, tf, dl) of the whole corpus."""
+    return ft.build_postings(inputs.text_collection(spark, sf_dir))
+
+
+@register
+def term_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document and collection frequency per term."""
+    return ft.term_stats(ft.build_postings(inputs.text_collection(spark, sf_dir)))
+
+
+@register
+def corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N, avgdl and total term count of the corpus."""
+    return ft.corpus_stats(inputs.text_collection(spark, sf_dir))
+
+
+@register
+def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BM25 top-10 for every benchmark passage as a query."""
+    return ft.bm25_topk(inputs.text_collection(spark, sf_dir), inputs.benchmark_queries(spark, sf_dir), 10)
+
+
+@register
+def bm25_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 + F2: BM25 top-5, candidates ``n_chars >= 2000`` (reviews stand-in), whole-corpus statistics."""
+    return ft.bm25_topk(
+        inputs.text_collection(spark, sf_dir),
+        inputs.benchmark_queries(spark, sf_dir),
+        5,
+        where=build_filter({"n_chars": {"$gte": 2000}}),
+    )
+
+
+@register
+def fulltext_get(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unranked ``$contains`` get, first 10 ids per benchmark passage."""
+    return ft.fulltext_get(inputs.text_collection(spark, sf_dir), inputs.benchmark_queries(spark, sf_dir), 10)
+
+
+@register
+def keyword_get(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's get-with-limit for the keyword stand-ins (limit 5)."""
+    return ft.fulltext_get(inputs.text_collection(spark, sf_dir), keyword_queries(spark), 5)
+
+
+@register
+def keyword_match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F7 vs F8: per keyword, documents matched as substring and as token."""
+    docs = inputs.text_collection(spark, sf_dir)
+    q = keyword_queries(spark)
+    sub = ft.substring_matches(docs, q).groupBy("query_id").agg(F.count(F.lit(1)).alias("n_substring"))
+    tok = ft.token_matches(docs, q).groupBy("query_id").agg(F.count(F.lit(1)).alias("n_token"))
+    return q.join(sub, "query_id", "left").join(tok, "query_id", "left").select(
+        "query_id",
+        "query_text",
+        F.coalesce("n_substring", F.lit(0)).cast("long").alias("n_substring"),
+        F.coalesce("n_token", F.lit(0)).cast("long").alias("n_token"),
+    )
+
+
+@register
+def token_match_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8 (all tokens): documents holding every token of a benchmark passage."""
+    return ft.token_matches(
+        inputs.text_collection(spark, sf_dir), inputs.benchmark_queries(spark, sf_dir), require_all=True
+    )
