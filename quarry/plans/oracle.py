@@ -275,3 +275,92 @@ WITH {DOCS}, {BENCH_Q},
 qt AS (SELECT query_id, list_distinct({sql_tokens('query_text')}) AS terms FROM bq),
 dt AS (SELECT id, list_distinct({sql_tokens('document')}) AS terms FROM docs)
 SELECT qt.query_id, dt.id FROM qt JOIN dt ON len(qt.terms) > 0 AND list_has_all(dt.terms, qt.terms)"""
+
+
+# ------------------------------------------------------------------ hybrid twins
+
+EMBED_DIM = 64
+
+
+def _embed_ctes(prefix: str, source: str, id_col: str, text_col: str, dim: int = EMBED_DIM) -> str:
+    return f"""
+{prefix}_tok AS (SELECT {id_col} AS id, unnest({sql_tokens(text_col)}) AS t FROM {source}),
+{prefix}_cnt AS (SELECT id, ((('0x' || substr(md5(t), 1, 8))::BIGINT) % {dim}) AS b, count(*) AS c
+                 FROM {prefix}_tok GROUP BY ALL),
+{prefix}_vec AS (SELECT id, b, (c / sqrt(sum(c * c) OVER (PARTITION BY id)))::FLOAT::DOUBLE AS v FROM {prefix}_cnt),
+{prefix}_norm AS (SELECT id, sqrt(sum(v * v)) AS n FROM {prefix}_vec GROUP BY id)"""
+
+
+def _hybrid_sql(k: int, n_text: int, n_vector: int, where: str = "TRUE", doc_where: str = "TRUE") -> str:
+    return f"""
+WITH {DOCS}, {BENCH_Q},
+toks AS (SELECT id, ({where}) AND ({doc_where}) AS keep, {sql_tokens('document')} AS tokens FROM docs),
+stats AS (SELECT count(*) AS n_docs, avg(len(tokens)) AS avgdl FROM toks),
+qt AS (SELECT DISTINCT query_id, unnest({sql_tokens('query_text')}) AS term FROM bq),
+post AS (
+  SELECT term, id, dl, keep, count(*) AS tf
+  FROM (SELECT id, keep, len(tokens) AS dl, unnest(tokens) AS term FROM toks)
+  WHERE term IN (SELECT term FROM qt)
+  GROUP BY ALL
+),
+dfreq AS (SELECT term, count(*) AS df FROM post GROUP BY term),
+tscored AS (
+  SELECT qt.query_id, p.id,
+         floor(sum(ln(1.0e0 + (s.n_docs - d.df + 0.5e0) / (d.df + 0.5e0))
+             * ((p.tf * 2.2e0) / (p.tf + 1.2e0 * (0.25e0 + 0.75e0 * p.dl / s.avgdl)))) * 1e6 + 0.5)::BIGINT AS score_key
+  FROM post p JOIN dfreq d USING (term) JOIN qt USING (term) CROSS JOIN stats s
+  WHERE p.keep
+  GROUP BY ALL
+),
+tleg AS (
+  SELECT query_id, id, score_key / 1e6 AS score,
+         row_number() OVER (PARTITION BY query_id ORDER BY score_key DESC, id) AS text_rank
+  FROM tscored QUALIFY text_rank <= {n_text}
+),
+{_embed_ctes('d', f'(SELECT * FROM docs WHERE {where})', 'id', 'document')},
+{_embed_ctes('q', 'bq', 'query_id', 'query_text')},
+vdots AS (SELECT q.id AS query_id, d.id, sum(q.v * d.v) AS dot FROM q_vec q JOIN d_vec d USING (b) GROUP BY ALL),
+vscored AS (
+  SELECT qn.id AS query_id, dn.id,
+         floor((1 - coalesce(v.dot, 0) / (qn.n * dn.n)) * 1e6 + 0.5)::BIGINT AS dist_key
+  FROM q_norm qn CROSS JOIN d_norm dn
+  LEFT JOIN vdots v ON v.query_id = qn.id AND v.id = dn.id
+  WHERE qn.n > 0 AND dn.n > 0
+),
+vleg AS (
+  SELECT query_id, id, dist_key / 1e6 AS distance,
+         row_number() OVER (PARTITION BY query_id ORDER BY dist_key, id) AS vector_rank
+  FROM vscored QUALIFY vector_rank <= {n_vector}
+),
+fused AS (
+  SELECT coalesce(t.query_id, v.query_id) AS query_id, coalesce(t.id, v.id) AS id,
+         t.score, t.text_rank, v.distance, v.vector_rank,
+         coalesce(1.0e0 / (60 + t.text_rank), 0.0e0) + coalesce(1.0e0 / (60 + v.vector_rank), 0.0e0) AS rrf
+  FROM tleg t FULL OUTER JOIN vleg v ON t.query_id = v.query_id AND t.id = v.id
+),
+top AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rrf DESC, id) AS rrf_rank
+  FROM fused QUALIFY rrf_rank <= {k}
+),
+shown AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance ASC NULLS LAST, rrf_rank) AS distance_rank
+  FROM top
+)
+SELECT s.query_id, s.id, s.rrf, s.rrf_rank::BIGINT AS rrf_rank, s.distance_rank::BIGINT AS distance_rank,
+       s.text_rank::BIGINT AS text_rank, s.vector_rank::BIGINT AS vector_rank, s.score, s.distance,
+       d.lang, d.source, d.n_chars
+FROM shown s JOIN docs d ON d.id = s.id
+"""
+
+
+SQL["hybrid_rrf"] = _hybrid_sql(10, 10, 10)
+SQL["hybrid_filtered"] = _hybrid_sql(
+    5, 5, 5, "lang = 'en' AND n_chars >= 500 AND n_chars <= 5000", "contains(document, 'the')"
+)
+SQL["hybrid_display"] = f"""
+WITH h AS ({_hybrid_sql(5, 10, 10)})
+SELECT query_id, id, distance_rank, round(1.0e0 - distance, 4) AS similarity,
+       CASE WHEN distance IS NULL THEN 'N/A' ELSE printf('%.2f%%', (1.0e0 - distance) * 100.0e0) END AS similarity_pct,
+       coalesce(source, 'Unknown') AS author,
+       format('{{:,}}', n_chars) AS reviews_text
+FROM h"""

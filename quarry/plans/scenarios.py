@@ -202,3 +202,57 @@ def token_match_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ft.token_matches(
         inputs.text_collection(spark, sf_dir), inputs.benchmark_queries(spark, sf_dir), require_all=True
     )
+
+
+# ------------------------------------------------------------------ hybrid search
+
+from quarry.functions.vectors import hashed_tf_embedding  # noqa: E402
+from quarry.operators import hybrid as hy  # noqa: E402
+
+# The collection's embedding function for text collections (V1): hashed term
+# counts of the basic analyzer, 64 dimensions (the width of the given vectors).
+EMBED_DIM = 64
+HYBRID_COLUMNS = [
+    "query_id", "id", "rrf", "rrf_rank", "distance_rank", "text_rank", "vector_rank", "score", "distance",
+]
+
+
+def embed_text(c):
+    return hashed_tf_embedding(tokenize(c, "basic"), EMBED_DIM)
+
+
+def _hybrid(spark: SparkSession, sf_dir: str, k: int, **kw) -> DataFrame:
+    coll = inputs.text_collection(spark, sf_dir)
+    q = inputs.benchmark_queries(spark, sf_dir)
+    res = hy.hybrid_search(coll, q, k=k, embed=embed_text, payload=["lang", "source", "n_chars"], **kw)
+    return res.select(*HYBRID_COLUMNS, "lang", "source", "n_chars")
+
+
+@register
+def hybrid_rrf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1-H3, H5-H7: BM25 leg + vector leg (10 each) fused by RRF, top-10, payload attached."""
+    return _hybrid(spark, sf_dir, 10)
+
+
+@register
+def hybrid_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1 + F4/F5/F6/F7: one metadata filter shared by both legs plus a ``$contains`` text filter."""
+    where = {"$and": [{"lang": "en"}, {"n_chars": {"$gte": 500}}, {"n_chars": {"$lte": 5000}}]}
+    return _hybrid(spark, sf_dir, 5, where=where, where_document={"$contains": "the"})
+
+
+@register
+def hybrid_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H6 + P19/P20/P21: results presented by distance with similarity, percent text and defaults."""
+    res = _hybrid(spark, sf_dir, 5, n_text=10, n_vector=10)
+    return res.select(
+        "query_id",
+        "id",
+        "distance_rank",
+        F.round(F.lit(1.0) - F.col("distance"), 4).alias("similarity"),
+        F.when(F.col("distance").isNull(), F.lit("N/A"))
+        .otherwise(F.format_string("%.2f%%", (F.lit(1.0) - F.col("distance")) * F.lit(100.0)))
+        .alias("similarity_pct"),
+        F.coalesce(F.col("source"), F.lit("Unknown")).alias("author"),
+        F.format_number(F.col("n_chars").cast("double"), 0).alias("reviews_text"),
+    )
