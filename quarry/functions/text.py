@@ -41,20 +41,26 @@ def strip_unicode(c: Column | str) -> Column:
     return F.regexp_replace(_col(c), EDGE_WS, "")
 
 
-def sanitize(c: Column | str) -> Column:
-    """P2 — the reference's ``sanitize_text`` as one expression chain."""
-    x = F.coalesce(_col(c).cast("string"), F.lit(""))
+def _clean_chain(x: Column) -> Column:
     x = F.regexp_replace(x, CONTROL_KEEP_WS, "")
     x = F.regexp_replace(x, SPACE_RUN, " ")
     x = F.regexp_replace(x, BLANK_LINES, "\n")
     return strip_unicode(x)
 
 
+def sanitize(c: Column | str) -> Column:
+    """P2 — the reference's ``sanitize_text`` as one expression chain."""
+    return _clean_chain(F.coalesce(_col(c).cast("string"), F.lit("")))
+
+
 def json_safe(c: Column | str) -> Column:
-    """P3 — ``ensure_json_safe`` for a string value (null stays null)."""
-    x = F.regexp_replace(sanitize(c), CONTROL_ALL, "")
-    x = F.translate(x, '"', "'")
-    return F.when(_col(c).isNull(), F.lit(None).cast("string")).otherwise(x)
+    """P3 — ``ensure_json_safe`` for a string value (null stays null).
+
+    The input is referenced once (regex functions propagate null), so
+    nesting ``json_safe(json_safe(x))`` does not duplicate ``x``.
+    """
+    x = F.regexp_replace(_clean_chain(_col(c).cast("string")), CONTROL_ALL, "")
+    return F.translate(x, '"', "'")
 
 
 def clean_text_field(c: Column | str, max_length: int | None = None) -> Column:

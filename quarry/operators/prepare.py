@@ -140,16 +140,22 @@ def validation_error_count(records: DataFrame) -> DataFrame:
     )
 
 
-def batch_validate(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """P14 / S4 split — (storable, quarantine).
+def storable() -> Column:
+    """P14 — a record can be stored when its document and metadata are JSON-clean.
 
-    A record is storable when its document and metadata are JSON-clean
-    strings (after ``json_safe`` every string is) and its metadata parses.
-    Rejects are returned, never silently dropped.
+    After ``json_safe`` every string is; the metadata must also parse.
     """
     parses = F.get_json_object(F.col("metadata"), "$").isNotNull()
-    good = F.col("document").isNotNull() & F.col("metadata").isNotNull() & parses
-    return records.where(good), records.where(~good | good.isNull())
+    return F.coalesce(F.col("document").isNotNull() & F.col("metadata").isNotNull() & parses, F.lit(False))
+
+
+def batch_validate(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """P14 / S4 split — (storable, quarantine); rejects are returned, never silently dropped."""
+    flagged = records.withColumn("_storable", storable())
+    return (
+        flagged.where("_storable").drop("_storable"),
+        flagged.where(~F.col("_storable")).drop("_storable"),
+    )
 
 
 def batch_numbers(n_rows: Column, batch_size: int = 100) -> Column:

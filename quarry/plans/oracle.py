@@ -364,3 +364,95 @@ SELECT query_id, id, distance_rank, round(1.0e0 - distance, 4) AS similarity,
        coalesce(source, 'Unknown') AS author,
        format('{{:,}}', n_chars) AS reviews_text
 FROM h"""
+
+
+# ------------------------------------------------------------------ comparison twins
+
+GET_B10 = _get_sql("bq", 10)
+HYB_10 = _hybrid_sql(10, 10, 10)
+
+COMPARE_BASE = f"""
+a AS (SELECT DISTINCT query_id, id FROM ({GET_B10})),
+b AS (SELECT DISTINCT query_id, id FROM ({HYB_10})),
+j AS (SELECT coalesce(a.query_id, b.query_id) AS query_id, coalesce(a.id, b.id) AS id,
+             a.id IS NOT NULL AS in_a, b.id IS NOT NULL AS in_b
+      FROM a FULL OUTER JOIN b ON a.query_id = b.query_id AND a.id = b.id),
+g AS (SELECT query_id,
+             count(*) FILTER (WHERE in_a) AS n_a, count(*) FILTER (WHERE in_b) AS n_b,
+             count(*) FILTER (WHERE in_a AND in_b) AS n_common,
+             count(*) FILTER (WHERE in_a AND NOT in_b) AS n_a_only,
+             count(*) FILTER (WHERE in_b AND NOT in_a) AS n_b_only,
+             list_sort(coalesce(list(id) FILTER (WHERE in_a AND in_b), [])) AS common_ids,
+             list_sort(coalesce(list(id) FILTER (WHERE in_a AND NOT in_b), [])) AS a_only_ids,
+             list_sort(coalesce(list(id) FILTER (WHERE in_b AND NOT in_a), [])) AS b_only_ids
+      FROM j GROUP BY query_id),
+rep AS (
+  SELECT q.query_id,
+         coalesce(n_a, 0)::BIGINT AS n_a, coalesce(n_b, 0)::BIGINT AS n_b, coalesce(n_common, 0)::BIGINT AS n_common,
+         coalesce(n_a_only, 0)::BIGINT AS n_a_only, coalesce(n_b_only, 0)::BIGINT AS n_b_only,
+         coalesce(common_ids, []::BIGINT[]) AS common_ids, coalesce(a_only_ids, []::BIGINT[]) AS a_only_ids,
+         coalesce(b_only_ids, []::BIGINT[]) AS b_only_ids
+  FROM (SELECT item_id AS query_id FROM benchmark) q LEFT JOIN g USING (query_id)
+)"""
+
+PCT = "CASE WHEN {1} > 0 THEN {0} / {1} * 100.0e0 ELSE 0.0e0 END"
+
+SQL["compare_overlap"] = f"""
+WITH {COMPARE_BASE}
+SELECT query_id, n_a AS full_text_count, n_b AS hybrid_count, n_common AS common_count,
+       n_a_only AS full_text_only, n_b_only AS hybrid_only,
+       {PCT.format('n_common', 'n_a')} AS overlap_ratio_ft,
+       {PCT.format('n_common', 'n_b')} AS overlap_ratio_hybrid,
+       common_ids, a_only_ids AS full_text_only_ids, b_only_ids AS hybrid_only_ids
+FROM rep"""
+SQL["compare_rollup"] = f"""
+WITH {COMPARE_BASE},
+t AS (SELECT count(*) AS n_queries, sum(n_a)::BIGINT AS total_a, sum(n_b)::BIGINT AS total_b,
+             sum(n_common)::BIGINT AS total_common FROM rep)
+SELECT *, {PCT.format('total_common', 'total_a')} AS overlap_pct FROM t"""
+SQL["compare_sets"] = f"""
+WITH a AS (SELECT DISTINCT query_id, id FROM ({GET_B10})),
+b AS (SELECT DISTINCT query_id, id FROM ({HYB_10}))
+SELECT query_id, id, 'both' AS membership FROM a WHERE (query_id, id) IN (SELECT (query_id, id) FROM b)
+UNION ALL
+SELECT query_id, id, 'full_text_only' FROM a WHERE (query_id, id) NOT IN (SELECT (query_id, id) FROM b)
+UNION ALL
+SELECT query_id, id, 'hybrid_only' FROM b WHERE (query_id, id) NOT IN (SELECT (query_id, id) FROM a)"""
+SQL["report_top5"] = f"""
+WITH {DOCS},
+a AS (SELECT query_id, id, rank, 'full_text' AS method FROM ({GET_B10}) WHERE rank <= 5),
+b AS (SELECT query_id, id, rrf_rank AS rank, 'hybrid' AS method FROM ({HYB_10}) WHERE rrf_rank <= 5),
+t AS (SELECT * FROM a UNION ALL SELECT * FROM b)
+SELECT t.query_id, t.method, t.rank, t.id,
+       CASE WHEN length(d.document) > 80 THEN left(d.document, 80) || '...' ELSE d.document END AS snippet
+FROM t JOIN docs d ON d.id = t.id"""
+
+TIMINGS = """
+timings AS (SELECT user_id AS query, event_type AS method, value AS seconds
+            FROM events WHERE event_type IN ('click', 'view'))"""
+STATS = """
+stats AS (SELECT query, method, avg(seconds) AS avg, min(seconds) AS min, max(seconds) AS max,
+                 sum(seconds) AS total, count(seconds) AS n FROM timings GROUP BY query, method)"""
+SQL["timing_stats"] = f"WITH {TIMINGS}, {STATS} SELECT * FROM stats"
+SQL["timing_side_by_side"] = f"""
+WITH {TIMINGS},
+p AS (SELECT query, avg(seconds) FILTER (WHERE method = 'click') AS base_avg,
+             avg(seconds) FILTER (WHERE method = 'view') AS other_avg FROM timings GROUP BY query),
+d AS (SELECT *, coalesce(CASE WHEN base_avg > 0 THEN (other_avg - base_avg) / base_avg * 100.0e0 ELSE 0.0e0 END, 0.0e0) AS diff_pct FROM p)
+SELECT query, base_avg, other_avg, diff_pct, CASE WHEN diff_pct > 0 THEN 'click' ELSE 'view' END AS faster,
+       abs(diff_pct) AS diff_abs_pct
+FROM d"""
+SQL["timing_summary"] = f"""
+WITH {TIMINGS}, {STATS}
+SELECT method, avg(avg) AS macro_avg, sum(total) AS grand_total, count(*) AS n_queries,
+       sum(total) / count(*) AS mean_per_query
+FROM stats GROUP BY method"""
+SQL["import_batches"] = f"""
+WITH {BOOKS}
+SELECT floor(id::BIGINT / 100)::BIGINT AS batch_id, count(*) AS n_rows,
+       count(*) FILTER (WHERE metadata IS NOT NULL AND document IS NOT NULL) AS n_stored,
+       count(*) FILTER (WHERE invalid_reason IS NOT NULL) AS n_invalid
+FROM records GROUP BY ALL"""
+SQL["import_summary"] = f"""
+WITH {BOOKS}
+SELECT count(*) AS n_records, ceil(count(*) / 100)::BIGINT AS n_batches FROM records"""

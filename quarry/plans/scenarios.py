@@ -256,3 +256,119 @@ def hybrid_display(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.col("source"), F.lit("Unknown")).alias("author"),
         F.format_number(F.col("n_chars").cast("double"), 0).alias("reviews_text"),
     )
+
+
+# ------------------------------------------------------------------ comparison and roll-ups
+
+from quarry.operators import compare as cmp  # noqa: E402
+
+COMPARE_NAMES = {
+    "n_a": "full_text_count",
+    "n_b": "hybrid_count",
+    "n_common": "common_count",
+    "n_a_only": "full_text_only",
+    "n_b_only": "hybrid_only",
+    "overlap_pct_a": "overlap_ratio_ft",
+    "overlap_pct_b": "overlap_ratio_hybrid",
+    "common_ids": "common_ids",
+    "a_only_ids": "full_text_only_ids",
+    "b_only_ids": "hybrid_only_ids",
+}
+
+
+def _ft_and_hybrid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    q = inputs.benchmark_queries(spark, sf_dir)
+    docs = inputs.text_collection(spark, sf_dir)
+    got = ft.fulltext_get(docs, q, 10)
+    hyb = hy.hybrid_search(docs, q, k=10, embed=embed_text)
+    return q, got, hyb
+
+
+def _comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q, got, hyb = _ft_and_hybrid(spark, sf_dir)
+    rep = cmp.compare_results(got, hyb, q)
+    return rep.select("query_id", *[F.col(k).alias(v) for k, v in COMPARE_NAMES.items()])
+
+
+@register
+def compare_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per benchmark query, full-text get (limit 10) vs hybrid top-10 overlap report."""
+    return _comparison(spark, sf_dir)
+
+
+@register
+def compare_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals over all queries and the micro-averaged overlap."""
+    q, got, hyb = _ft_and_hybrid(spark, sf_dir)
+    return cmp.comparison_rollup(cmp.compare_results(got, hyb, q))
+
+
+@register
+def compare_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids in both results (semi join) and in one only (anti joins), labelled."""
+    _, got, hyb = _ft_and_hybrid(spark, sf_dir)
+    both = cmp.intersect_ids(got, hyb).withColumn("membership", F.lit("both"))
+    a_only = cmp.difference_ids(got, hyb).withColumn("membership", F.lit("full_text_only"))
+    b_only = cmp.difference_ids(hyb, got).withColumn("membership", F.lit("hybrid_only"))
+    return both.unionByName(a_only).unionByName(b_only)
+
+
+@register
+def report_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3 + P21: first five results of each method per query with an 80-character snippet."""
+    _, got, hyb = _ft_and_hybrid(spark, sf_dir)
+    docs = inputs.text_collection(spark, sf_dir).select("id", "document")
+    a = got.where(F.col("rank") <= 5).select("query_id", "id", "rank", F.lit("full_text").alias("method"))
+    b = hyb.where(F.col("rrf_rank") <= 5).select(
+        "query_id", "id", F.col("rrf_rank").alias("rank"), F.lit("hybrid").alias("method")
+    )
+    top = a.unionByName(b)
+    return hy.hydrate(top, docs, ["document"]).select(
+        "query_id", "method", "rank", "id", snippet("document", 80).alias("snippet")
+    )
+
+
+def timings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timings stand-in from ``events``: query = user_id, method = event_type, seconds = value."""
+    e = read_table(spark, sf_dir, "events")
+    return e.select(
+        F.col("user_id").alias("query"), F.col("event_type").alias("method"), F.col("value").alias("seconds")
+    ).where(F.col("method").isin("click", "view"))
+
+
+@register
+def timing_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: avg/min/max/total/count per query and method."""
+    return cmp.measure_stats(timings(spark, sf_dir), ["query", "method"])
+
+
+@register
+def timing_side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2-A4: both methods per query, relative difference and the faster one."""
+    return cmp.side_by_side(timings(spark, sf_dir), "query", "method", "click", "view")
+
+
+@register
+def timing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Macro average of per-query averages, grand totals, mean per query."""
+    return cmp.overall_summary(cmp.measure_stats(timings(spark, sf_dir), ["query", "method"]), "method")
+
+
+@register
+def import_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 + S4/P14: per import batch of 100 rows: rows, storable rows, validation errors."""
+    recs = books(spark, sf_dir)
+    return recs.groupBy(prep.batch_id(F.col("id").cast("long")).alias("batch_id")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(prep.storable()).alias("n_stored"),
+        F.count_if(F.col("invalid_reason").isNotNull()).alias("n_invalid"),
+    )
+
+
+@register
+def import_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record count and number of batches of 100."""
+    recs = books(spark, sf_dir)
+    return recs.agg(F.count(F.lit(1)).alias("n_records")).select(
+        "n_records", prep.batch_numbers(F.col("n_records")).alias("n_batches")
+    )
