@@ -456,3 +456,30 @@ FROM records GROUP BY ALL"""
 SQL["import_summary"] = f"""
 WITH {BOOKS}
 SELECT count(*) AS n_records, ceil(count(*) / 100)::BIGINT AS n_batches FROM records"""
+
+
+# ------------------------------------------------------------------ collection and filter twins
+
+SQL["collection_roundtrip"] = "SELECT 'documents' AS name, count(*) AS n_records, NULL::VARCHAR AS error FROM documents"
+SQL["collection_typed_filter"] = """
+SELECT doc_id AS id, lang AS gen_lang, source AS gen_source, n_chars AS gen_n_chars
+FROM documents WHERE lang = 'de' AND n_chars >= 1000"""
+SQL["bm25_indexed"] = _bm25_sql("bq", 10)
+SQL["typed_metadata"] = f"""
+WITH {BOOKS}
+SELECT id,
+       json_extract_string(metadata, '$.genre') AS gen_genre,
+       TRY_CAST(json_extract_string(metadata, '$.year') AS BIGINT) AS gen_year,
+       TRY_CAST(json_extract_string(metadata, '$.user_rating') AS DOUBLE) AS gen_user_rating,
+       json_extract_string(metadata, '$.author') AS gen_author,
+       TRY_CAST(json_extract_string(metadata, '$.reviews') AS BIGINT) AS gen_reviews,
+       TRY_CAST(json_extract_string(metadata, '$.price') AS DOUBLE) AS gen_price,
+       json_extract_string(metadata, '$.edition') AS gen_edition
+FROM records"""
+SQL["metadata_filters"] = f"""
+WITH {BOOKS}
+SELECT id, 'rating_gte' AS filter FROM records WHERE user_rating >= 4.5
+UNION ALL SELECT id, 'genre_eq' FROM records WHERE genre = 'ECONOMY'
+UNION ALL SELECT id, 'genre_year_rating' FROM records WHERE year >= 2015 AND user_rating >= 4.0 AND genre = 'PROMO'
+UNION ALL SELECT id, 'reviews_gte' FROM records WHERE reviews >= 1000
+UNION ALL SELECT id, 'price_range_rating' FROM records WHERE price >= 950 AND price <= 960 AND user_rating >= 4.5"""
