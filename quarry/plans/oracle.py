@@ -483,3 +483,8 @@ UNION ALL SELECT id, 'genre_eq' FROM records WHERE genre = 'ECONOMY'
 UNION ALL SELECT id, 'genre_year_rating' FROM records WHERE year >= 2015 AND user_rating >= 4.0 AND genre = 'PROMO'
 UNION ALL SELECT id, 'reviews_gte' FROM records WHERE reviews >= 1000
 UNION ALL SELECT id, 'price_range_rating' FROM records WHERE price >= 950 AND price <= 960 AND user_rating >= 4.5"""
+SQL["ivf_knn_all_cells"] = SQL["knn_cosine"]
+SQL["stream_ingest_books"] = SQL["prepare_books"]
+SQL["stream_dedupe_events"] = """
+SELECT event_id, epoch_us(ts) AS ts_us, user_id, event_type, value
+FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts) AS rn FROM events) WHERE rn = 1"""

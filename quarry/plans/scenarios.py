@@ -444,3 +444,82 @@ def metadata_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     # one scan: an array of matching filter names per row, exploded
     names = F.array_compact(F.array(*[F.when(p, F.lit(n)) for n, p in pred.items()]))
     return recs.select("id", F.explode(names).alias("filter"))
+
+
+# ------------------------------------------------------------------ approximate search
+
+from quarry.operators import ivf  # noqa: E402
+
+IVF_CELLS = 8
+
+
+def _ivf_index(spark: SparkSession, sf_dir: str) -> str:
+    location = shared_dir(spark, "ivf")
+    return ivf.build_ivf(inputs.vector_collection(spark, sf_dir), location, IVF_CELLS, "cosine")
+
+
+@register
+def ivf_knn_all_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V9 with nprobe = all cells: must equal exact cosine kNN (V7) row for row."""
+    location = _ivf_index(spark, sf_dir)
+    return ivf.ivf_knn(spark, location, inputs.centroid_queries(spark, sf_dir), 5, IVF_CELLS, "cosine").select(
+        "query_id", "id", "distance", "rank"
+    )
+
+
+@register
+def ivf_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V9: approximate cosine top-5 probing 2 of 8 cells (partition-pruned scan)."""
+    location = _ivf_index(spark, sf_dir)
+    return ivf.ivf_knn(spark, location, inputs.centroid_queries(spark, sf_dir), 5, 2, "cosine")
+
+
+@register
+def ivf_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """recall@10 of the IVF search against exact kNN for nprobe 1, 2, 4 and 8."""
+    location = _ivf_index(spark, sf_dir)
+    q = inputs.centroid_queries(spark, sf_dir)
+    exact = knn(inputs.vector_collection(spark, sf_dir), q, 10)
+    parts = [
+        ivf.recall_at_k(ivf.ivf_knn(spark, location, q, 10, n, "cosine"), exact, 10).select(
+            F.lit(n).alias("nprobe"), "n_queries", "recall"
+        )
+        for n in (1, 2, 4, IVF_CELLS)
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ------------------------------------------------------------------ streaming ingest
+
+from quarry.sources.raw import books_from_part  # noqa: E402
+from quarry.streaming import ingest  # noqa: E402
+
+
+@register
+def stream_ingest_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw book files streamed through the preparation plan into an idempotent append target."""
+    schema = read_table(spark, sf_dir, "part").schema
+    target = shared_dir(spark, "stream-books")
+    return ingest.ingest_files(
+        spark,
+        sf_dir,
+        "part.parquet",
+        schema,
+        lambda s: prep.prepare_records(books_from_part(s), id_col="row_key"),
+        target,
+        key="id",
+    )
+
+
+@register
+def stream_dedupe_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 for events: watermark on event time + dropDuplicatesWithinWatermark(event_id)."""
+    schema = read_table(spark, sf_dir, "events").schema
+    target = shared_dir(spark, "stream-events")
+    out = ingest.dedupe_events(spark, sf_dir, "events.parquet", schema, "event_id", "ts", target)
+    return out.select(
+        "event_id", F.unix_micros("ts").alias("ts_us"), "user_id", "event_type", "value"
+    )
