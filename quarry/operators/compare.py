@@ -99,16 +99,25 @@ def comparison_rollup(report: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ timing roll-ups
 
 
+# Fixed value: decimals kept for summed measures (a floating sum depends on
+# the order of its terms in the last bits; 9 decimals make it reproducible).
+SUM_DECIMALS = 9
+
+
+def _stable(c: Column) -> Column:
+    return F.round(c, SUM_DECIMALS)
+
+
 def measure_stats(
     timings: DataFrame, key_cols: list[str], value_col: str = "seconds"
 ) -> DataFrame:
     """A1 — avg, min, max, sum and count of a measure per key (partial + final hash aggregate)."""
     v = F.col(value_col)
     return timings.groupBy(*key_cols).agg(
-        F.avg(v).alias("avg"),
+        _stable(F.avg(v)).alias("avg"),
         F.min(v).alias("min"),
         F.max(v).alias("max"),
-        F.sum(v).alias("total"),
+        _stable(F.sum(v)).alias("total"),
         F.count(v).alias("n"),
     )
 
@@ -129,10 +138,10 @@ def side_by_side(
     v = F.col(value_col)
     m = F.col(method_col)
     per_q = timings.where(m.isin(base_method, other_method)).groupBy(query_col).agg(
-        F.avg(F.when(m == base_method, v)).alias("base_avg"),
-        F.avg(F.when(m == other_method, v)).alias("other_avg"),
+        _stable(F.avg(F.when(m == base_method, v))).alias("base_avg"),
+        _stable(F.avg(F.when(m == other_method, v))).alias("other_avg"),
     )
-    diff = _pct(F.col("other_avg") - F.col("base_avg"), F.col("base_avg"))
+    diff = _stable(F.coalesce(_pct(F.col("other_avg") - F.col("base_avg"), F.col("base_avg")), F.lit(0.0)))
     return per_q.select(
         query_col,
         "base_avg",
@@ -146,7 +155,7 @@ def side_by_side(
 def overall_summary(stats: DataFrame, method_col: str) -> DataFrame:
     """A5/A6 — per method: macro average of per-query averages, grand total, mean per query."""
     return stats.groupBy(method_col).agg(
-        F.avg("avg").alias("macro_avg"),
-        F.sum("total").alias("grand_total"),
+        _stable(F.avg("avg")).alias("macro_avg"),
+        _stable(F.sum("total")).alias("grand_total"),
         F.count(F.lit(1)).alias("n_queries"),
-    ).withColumn("mean_per_query", F.col("grand_total") / F.col("n_queries"))
+    ).withColumn("mean_per_query", _stable(F.col("grand_total") / F.col("n_queries")))

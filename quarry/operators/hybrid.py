@@ -33,6 +33,8 @@ from quarry.operators.topk import number_rows, top_k, top_k_per_group
 
 # Fixed value: RRF constant (Cormack, Clarke & Buettcher, SIGIR 2009).
 RRF_K = 60
+# Resolution of summed RRF scores (n-leg form).
+RRF_SCALE = 1e12
 # Largest proven winner set that is broadcast for hydration.
 MAX_BROADCAST_ROWS = 1_000_000
 
@@ -68,12 +70,20 @@ def fuse_rrf(
 def fuse_rrf_union(
     legs: list[DataFrame], k: int, qid_col: str = "query_id", id_col: str = "id", c: int = RRF_K
 ) -> DataFrame:
-    """H2, n-leg form — ``unionByName`` of ``(qid, id, rank)`` legs, ``groupBy`` sum."""
+    """H2, n-leg form — ``unionByName`` of ``(qid, id, rank)`` legs, ``groupBy`` sum.
+
+    A sum of three or more terms depends on the summation order in its last
+    bit, so ranking uses the sum quantised to 1e-12 (``rrf`` reports that value).
+    """
     u = legs[0].select(qid_col, id_col, "rank")
     for leg in legs[1:]:
         u = u.unionByName(leg.select(qid_col, id_col, "rank"))
-    s = u.groupBy(qid_col, id_col).agg(F.sum(F.lit(1.0) / (F.lit(c) + F.col("rank"))).alias("rrf"))
-    return top_k_per_group(s, [qid_col], [F.col("rrf").desc(), F.col(id_col).asc()], k, "rrf_rank")
+    s = u.groupBy(qid_col, id_col).agg(F.sum(F.lit(1.0) / (F.lit(c) + F.col("rank"))).alias("_rrf"))
+    s = s.withColumn("rrf_key", F.floor(F.col("_rrf") * F.lit(RRF_SCALE) + F.lit(0.5)).cast("long"))
+    s = s.withColumn("rrf", F.col("rrf_key").cast("double") / F.lit(RRF_SCALE)).drop("_rrf")
+    return top_k_per_group(s, [qid_col], [F.col("rrf_key").desc(), F.col(id_col).asc()], k, "rrf_rank").drop(
+        "rrf_key"
+    )
 
 
 def display_order(fused: DataFrame, qid_col: str = "query_id", rank_col: str = "distance_rank") -> DataFrame:

@@ -431,21 +431,21 @@ TIMINGS = """
 timings AS (SELECT user_id AS query, event_type AS method, value AS seconds
             FROM events WHERE event_type IN ('click', 'view'))"""
 STATS = """
-stats AS (SELECT query, method, avg(seconds) AS avg, min(seconds) AS min, max(seconds) AS max,
-                 sum(seconds) AS total, count(seconds) AS n FROM timings GROUP BY query, method)"""
+stats AS (SELECT query, method, round(avg(seconds), 9) AS avg, min(seconds) AS min, max(seconds) AS max,
+                 round(sum(seconds), 9) AS total, count(seconds) AS n FROM timings GROUP BY query, method)"""
 SQL["timing_stats"] = f"WITH {TIMINGS}, {STATS} SELECT * FROM stats"
 SQL["timing_side_by_side"] = f"""
 WITH {TIMINGS},
-p AS (SELECT query, avg(seconds) FILTER (WHERE method = 'click') AS base_avg,
-             avg(seconds) FILTER (WHERE method = 'view') AS other_avg FROM timings GROUP BY query),
-d AS (SELECT *, coalesce(CASE WHEN base_avg > 0 THEN (other_avg - base_avg) / base_avg * 100.0e0 ELSE 0.0e0 END, 0.0e0) AS diff_pct FROM p)
+p AS (SELECT query, round(avg(seconds) FILTER (WHERE method = 'click'), 9) AS base_avg,
+             round(avg(seconds) FILTER (WHERE method = 'view'), 9) AS other_avg FROM timings GROUP BY query),
+d AS (SELECT *, round(coalesce(CASE WHEN base_avg > 0 THEN (other_avg - base_avg) / base_avg * 100.0e0 ELSE 0.0e0 END, 0.0e0), 9) AS diff_pct FROM p)
 SELECT query, base_avg, other_avg, diff_pct, CASE WHEN diff_pct > 0 THEN 'click' ELSE 'view' END AS faster,
        abs(diff_pct) AS diff_abs_pct
 FROM d"""
 SQL["timing_summary"] = f"""
 WITH {TIMINGS}, {STATS}
-SELECT method, avg(avg) AS macro_avg, sum(total) AS grand_total, count(*) AS n_queries,
-       sum(total) / count(*) AS mean_per_query
+SELECT method, round(avg(avg), 9) AS macro_avg, round(sum(total), 9) AS grand_total, count(*) AS n_queries,
+       round(round(sum(total), 9) / count(*), 9) AS mean_per_query
 FROM stats GROUP BY method"""
 SQL["import_batches"] = f"""
 WITH {BOOKS}
@@ -488,3 +488,57 @@ SQL["stream_ingest_books"] = SQL["prepare_books"]
 SQL["stream_dedupe_events"] = """
 SELECT event_id, epoch_us(ts) AS ts_us, user_id, event_type, value
 FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts) AS rn FROM events) WHERE rn = 1"""
+
+
+def _vleg_ctes(n: int, queries: str = "bq", qid: str = "query_id", qtext: str = "query_text") -> str:
+    return f"""
+{_embed_ctes('d', 'docs', 'id', 'document')},
+{_embed_ctes('q', queries, qid, qtext)},
+vdots AS (SELECT q.id AS query_id, d.id, sum(q.v * d.v) AS dot FROM q_vec q JOIN d_vec d USING (b) GROUP BY ALL),
+vscored AS (
+  SELECT qn.id AS query_id, dn.id,
+         floor((1 - coalesce(v.dot, 0) / (qn.n * dn.n)) * 1e6 + 0.5)::BIGINT AS dist_key
+  FROM q_norm qn CROSS JOIN d_norm dn
+  LEFT JOIN vdots v ON v.query_id = qn.id AND v.id = dn.id
+  WHERE qn.n > 0 AND dn.n > 0
+),
+vleg AS (
+  SELECT query_id, id, dist_key / 1e6 AS distance,
+         row_number() OVER (PARTITION BY query_id ORDER BY dist_key, id) AS rank
+  FROM vscored QUALIFY rank <= {n}
+)"""
+
+
+SCALAR_ES = """
+sleg AS (
+  SELECT q.query_id, s.id, s.rank
+  FROM bq q CROSS JOIN (SELECT id, row_number() OVER (ORDER BY id) AS rank FROM docs WHERE lang = 'es' QUALIFY rank <= 10) s
+)"""
+
+SQL["semantic_single"] = f"""
+WITH {DOCS}, sq AS (SELECT 0 AS query_id, 'Self‑Improvement and Personal Development' AS query_text),
+{_vleg_ctes(3, 'sq')}
+SELECT id, distance, rank::BIGINT AS rank, printf('%.2f%%', (1.0e0 - distance) * 100.0e0) AS similarity_pct FROM vleg"""
+
+SQL["hybrid_scalar_leg"] = f"""
+WITH {DOCS}, {BENCH_Q}, {_vleg_ctes(10)}, {SCALAR_ES},
+fused AS (
+  SELECT coalesce(s.query_id, v.query_id) AS query_id, coalesce(s.id, v.id) AS id,
+         s.rank AS scalar_rank, v.rank AS vector_rank,
+         coalesce(1.0e0 / (60 + s.rank), 0.0e0) + coalesce(1.0e0 / (60 + v.rank), 0.0e0) AS rrf
+  FROM sleg s FULL OUTER JOIN vleg v ON s.query_id = v.query_id AND s.id = v.id
+)
+SELECT query_id, id, rrf, rrf_rank::BIGINT AS rrf_rank, scalar_rank::BIGINT AS scalar_rank,
+       vector_rank::BIGINT AS vector_rank
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rrf DESC, id) AS rrf_rank FROM fused)
+WHERE rrf_rank <= 10"""
+
+SQL["rrf_three_legs"] = f"""
+WITH tl AS ({_bm25_sql('bq', 10)}),
+{DOCS}, {BENCH_Q}, {_vleg_ctes(10)}, {SCALAR_ES},
+u AS (SELECT query_id, id, rank FROM tl UNION ALL SELECT query_id, id, rank FROM vleg
+      UNION ALL SELECT query_id, id, rank FROM sleg),
+s AS (SELECT query_id, id, floor(sum(1.0e0 / (60 + rank)) * 1e12 + 0.5)::BIGINT AS rrf_key FROM u GROUP BY ALL)
+SELECT query_id, id, rrf_key / 1e12 AS rrf, rrf_rank::BIGINT AS rrf_rank
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rrf_key DESC, id) AS rrf_rank FROM s)
+WHERE rrf_rank <= 10"""

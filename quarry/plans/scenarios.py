@@ -523,3 +523,53 @@ def stream_dedupe_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "event_id", F.unix_micros("ts").alias("ts_us"), "user_id", "event_type", "value"
     )
+
+
+# ------------------------------------------------------------------ single-query semantic search, extra legs
+
+from quarry.operators.knn import knn_single  # noqa: E402
+
+# Fixed value: the reference's post-import smoke query (U+2011 hyphen kept).
+SMOKE_QUERY = "Self‑Improvement and Personal Development"
+
+
+@register
+def semantic_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V6 + V1 + P19: one query text embedded by the collection's function, native top-3 over every document."""
+    docs = inputs.text_collection(spark, sf_dir).withColumn("embedding", embed_text(F.col("document")))
+    qvec = spark.range(1).select(embed_text(F.lit(SMOKE_QUERY)).alias("v")).first()["v"]
+    res = knn_single(docs, list(qvec), 3)
+    return res.select(
+        "id",
+        "distance",
+        "rank",
+        F.format_string("%.2f%%", (F.lit(1.0) - F.col("distance")) * F.lit(100.0)).alias("similarity_pct"),
+    )
+
+
+def _vector_leg(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    docs = inputs.text_collection(spark, sf_dir).withColumn("embedding", embed_text(F.col("document")))
+    q = inputs.benchmark_queries(spark, sf_dir).withColumn("query_vector", embed_text(F.col("query_text")))
+    return knn(docs, q, n)
+
+
+@register
+def hybrid_scalar_leg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H4 + F9: a metadata-only leg (``lang = 'es'``, ranked by id) fused with the vector leg."""
+    docs = inputs.text_collection(spark, sf_dir)
+    q = inputs.benchmark_queries(spark, sf_dir)
+    scalar = hy.scalar_leg(docs, q, {"lang": "es"}, 10).withColumnRenamed("rank", "scalar_rank")
+    vec = _vector_leg(spark, sf_dir, 10).withColumnRenamed("rank", "vector_rank")
+    fused = hy.fuse_rrf([scalar, vec], ["scalar_rank", "vector_rank"], 10)
+    return fused.select("query_id", "id", "rrf", "rrf_rank", "scalar_rank", "vector_rank")
+
+
+@register
+def rrf_three_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H2 n-leg form: BM25, vector and metadata-only legs fused by ``unionByName`` + ``groupBy``."""
+    docs = inputs.text_collection(spark, sf_dir)
+    q = inputs.benchmark_queries(spark, sf_dir)
+    text = ft.bm25_topk(docs, q, 10)
+    vec = _vector_leg(spark, sf_dir, 10)
+    scalar = hy.scalar_leg(docs, q, {"lang": "es"}, 10)
+    return hy.fuse_rrf_union([text, vec, scalar], 10).select("query_id", "id", "rrf", "rrf_rank")
