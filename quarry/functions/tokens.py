@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 # Token patterns (Java regex; the only RE2 difference is the
 # Han script name, ``\\p{IsHan}`` here and ``\\p{Han}`` in RE2).
 BASIC_TOKEN = "[\\p{L}\\p{N}]+"
-EMAIL = "[\\p{L}\\p{N}._%+-]+@[\\p{L}\\p{N}-]+(?:\\.[\\p{L}\\p{N}-]+)+"
+_WORD = "[^\\p{IsHan}\\P{L}]"  # a letter that is not Han
+EMAIL = "(?:" + _WORD + "|[\\p{N}._%+-])+@(?:" + _WORD + "|[\\p{N}-])+(?:\\.(?:" + _WORD + "|[\\p{N}-])+)+"
 IPV4 = "(?:\\d{1,3}\\.){3}\\d{1,3}"
-HOST = "(?:[\\p{L}\\p{N}-]+\\.)+\\p{L}{2,}"
+HOST = "(?:(?:" + _WORD + "|[\\p{N}-])+\\.)+" + _WORD + "{2,}"
 HAN_RUN = "\\p{IsHan}+"
 NON_HAN_RUN = "(?:[^\\p{IsHan}\\P{L}]|\\p{N})+"
 SMART_TOKEN = "|".join([EMAIL, IPV4, HOST, HAN_RUN, NON_HAN_RUN])

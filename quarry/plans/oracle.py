@@ -169,10 +169,11 @@ FROM documents"""
 # ------------------------------------------------------------------ full text twins
 
 TOKEN_RE = "[\\p{L}\\p{N}]+"
+_W = "[^\\p{Han}\\P{L}]"
 SMART_RE = (
-    "[\\p{L}\\p{N}._%+-]+@[\\p{L}\\p{N}-]+(?:\\.[\\p{L}\\p{N}-]+)+"
+    f"(?:{_W}|[\\p{{N}}._%+-])+@(?:{_W}|[\\p{{N}}-])+(?:\\.(?:{_W}|[\\p{{N}}-])+)+"
     "|(?:\\d{1,3}\\.){3}\\d{1,3}"
-    "|(?:[\\p{L}\\p{N}-]+\\.)+\\p{L}{2,}"
+    f"|(?:(?:{_W}|[\\p{{N}}-])+\\.)+{_W}{{2,}}"
     "|\\p{Han}+"
     "|(?:[^\\p{Han}\\P{L}]|\\p{N})+"
 )
