@@ -25,16 +25,20 @@ matching in one pass, Arrow batches in ``mapInPandas``).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.tokens import tokenize
-from quarry.functions.vectors import from_key, rank_key
-from quarry.operators.topk import top_k_per_group
+from quarry.functions.vectors import from_key, np_rank_key, rank_key
+from quarry.operators.topk import NO_KEY, RunningTopK, top_k_per_group
 
 # Fixed values (BM25 parameters, Robertson & Zaragoza).
 K1 = 1.2
@@ -42,6 +46,11 @@ B = 0.75
 # Largest query vocabulary / keyword list shipped to executors in one pass.
 MAX_BROADCAST_TERMS = 200_000
 MAX_KEYWORDS_PER_PASS = 10_000
+# Ranked text search: queries and vocabulary per pass, and the size of the
+# dense (documents x vocabulary) weight block inside a task.
+MAX_QUERIES_PER_PASS = 256
+MAX_VOCAB_PER_PASS = 50_000
+DENSE_CELLS = 2_000_000
 
 
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
@@ -140,6 +149,143 @@ def bm25_scores(
     return scores.select(qid_col, id_col, rank_key(F.col("score")).alias("score_key"))
 
 
+def _arrow_type(dt: T.DataType) -> pa.DataType:
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    return to_arrow_type(dt)
+
+
+def _query_term_passes(
+    queries: DataFrame, qid_col: str, qtext_col: str, analyzer: str
+) -> Iterator[list[tuple]]:
+    """Stream ``(query_id, distinct terms)`` to the driver in bounded passes."""
+    rows = (
+        queries.select(qid_col, F.array_distinct(tokenize(F.col(qtext_col), analyzer)).alias("terms"))
+        .toLocalIterator(prefetchPartitions=True)
+    )
+    chunk: list[tuple] = []
+    vocab: set = set()
+    for qid, terms in rows:
+        if not terms:
+            continue  # a query without terms matches nothing
+        grown = vocab | set(terms)
+        if chunk and (len(chunk) >= MAX_QUERIES_PER_PASS or len(grown) > MAX_VOCAB_PER_PASS):
+            yield chunk
+            chunk, grown = [], set(terms)
+        chunk.append((qid, list(terms)))
+        vocab = grown
+    if chunk:
+        yield chunk
+
+
+def _term_codes(tokens: pa.ListArray, vocab: pa.Array):
+    """Vectorised term lookup of a batch of token lists (Arrow compute, no Python per token).
+
+    Returns ``(row, code)`` int64 arrays for the tokens found in ``vocab``
+    and the per-row token counts.
+    """
+    lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = pc.list_flatten(tokens)
+    parents = pc.list_parent_indices(tokens)
+    codes = pc.index_in(flat, value_set=vocab)
+    found = pc.is_valid(codes)
+    rows = pc.filter(parents, found).to_numpy(zero_copy_only=False).astype(np.int64)
+    cols = pc.filter(codes, found).to_numpy(zero_copy_only=False).astype(np.int64)
+    return rows, cols, lengths
+
+
+def _stats_kernel(bvocab):
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = pa.array(bvocab.value, type=pa.string())
+        nv = len(vocab)
+        dfc = np.zeros(nv, dtype=np.int64)
+        n_docs = 0
+        total = 0
+        for rb in batches:
+            rows, cols, lengths = _term_codes(rb.column(0), vocab)
+            n_docs += rb.num_rows
+            total += int(lengths.sum())
+            if len(rows):
+                pairs = np.unique(rows * nv + cols)  # each (document, term) once
+                dfc += np.bincount(pairs % nv, minlength=nv)
+        nz = np.nonzero(dfc)[0]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([[-1], nz]).astype(np.int64)),
+             pa.array(np.concatenate([[n_docs], dfc[nz]]).astype(np.int64)),
+             pa.array(np.concatenate([[total], np.zeros(len(nz), dtype=np.int64)]))],
+            names=["code", "df", "total"],
+        )
+
+    return kernel
+
+
+def vocabulary_stats(docs: DataFrame, text_col: str, analyzer: str, vocab: list[str]) -> tuple[int, float, dict]:
+    """T3 for a query vocabulary in one scan: ``(N, avgdl, {term: df})``.
+
+    Each task counts, with Arrow compute, in how many of its documents each
+    vocabulary term occurs, plus its document count and token total; the
+    per-task vectors (at most ``|vocab| + 1`` rows each) are summed by a
+    tiny aggregate.  A stop word present in a third of the corpus costs one
+    counter per task.  The vocabulary travels as a broadcast variable, not
+    as a literal list in the plan.
+    """
+    bvocab = docs.sparkSession.sparkContext.broadcast(vocab)
+    toks = docs.select(tokenize(F.col(text_col), analyzer).alias("_t"))
+    per_task = toks.mapInArrow(_stats_kernel(bvocab), "code long, df long, total long")
+    agg = per_task.groupBy("code").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
+    n_docs, total, dfs = 0, 0, {}
+    for row in agg.collect():
+        if row["code"] < 0:
+            n_docs, total = row["df"], row["total"]
+        else:
+            dfs[vocab[row["code"]]] = row["df"]
+    return n_docs, (total / n_docs if n_docs else 0.0), dfs
+
+
+def _bm25_kernel(bc, k: int, id_col: str, qid_col: str, qid_type: pa.DataType, id_type: pa.DataType):
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab_list, idf, qids, qterm_idx, avgdl, k1, b = bc.value
+        vocab = pa.array(vocab_list, type=pa.string())
+        nv, nq = len(vocab_list), len(qids)
+        # all query terms side by side; a query's score is the sum of its slice
+        qflat = np.concatenate(qterm_idx)
+        offsets = np.cumsum([0] + [len(t) for t in qterm_idx])[:-1]
+        best = RunningTopK(nq, k)
+        rows_per_block = max(1, DENSE_CELLS // max(nv, len(qflat), 1))
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            rows, cols, lengths = _term_codes(rb.column(1), vocab)
+            if not len(rows):
+                continue
+            ids = rb.column(0).to_numpy(zero_copy_only=False)
+            pairs, tf = np.unique(rows * nv + cols, return_counts=True)
+            r, v = pairs // nv, pairs % nv  # sorted by row
+            dl = lengths[r].astype(np.float64)
+            w = idf[v] * (tf * (k1 + 1.0)) / (tf + k1 * (1.0 - b + b * dl / avgdl))
+            for start in range(0, rb.num_rows, rows_per_block):
+                stop = min(start + rows_per_block, rb.num_rows)
+                lo, hi = np.searchsorted(r, [start, stop])
+                if lo == hi:
+                    continue
+                dense = np.zeros((stop - start, nv))
+                dense[r[lo:hi] - start, v[lo:hi]] = w[lo:hi]
+                scores = np.add.reduceat(dense[:, qflat], offsets, axis=1)  # (rows x queries)
+                keys = np.where(scores > 0, -np_rank_key(scores), NO_KEY)
+                block_ids = ids[start:stop]
+                for qi in range(nq):
+                    best.offer(qi, keys[:, qi], block_ids)
+        out_q, out_id, out_k = best.rows(qids)
+        if out_q:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out_q, type=qid_type), pa.array(out_id, type=id_type),
+                 pa.array([-x for x in out_k], type=pa.int64())],
+                names=[qid_col, id_col, "score_key"],
+            )
+
+    return kernel
+
+
 def bm25_topk(
     docs: DataFrame,
     queries: DataFrame,
@@ -150,10 +296,51 @@ def bm25_topk(
     qtext_col: str = "query_text",
     where: Column | None = None,
     analyzer: str = "basic",
+    k1: float = K1,
+    b: float = B,
 ) -> DataFrame:
-    """T5 — top-k per query by BM25: ``(query_id, id, score, rank)`` (score desc, id asc)."""
-    s = bm25_scores(docs, queries, id_col, text_col, qid_col, qtext_col, where, analyzer)
-    ranked = top_k_per_group(s, [qid_col], [F.col("score_key").desc(), F.col(id_col).asc()], k)
+    """T5/T6 — top-k per query by BM25: ``(query_id, id, score, rank)`` (score desc, id asc).
+
+    Per pass of at most ``MAX_QUERIES_PER_PASS`` queries:
+    1. one aggregate gives N, avgdl and df of the pass vocabulary (whole corpus);
+    2. one scan of the candidates (``where`` pushed down) feeds ``mapInPandas``:
+       each Arrow batch becomes a (documents x vocabulary) BM25 weight block,
+       multiplied by the (vocabulary x queries) incidence matrix; only the
+       running top-k per query leaves the partition;
+    3. a ``WindowGroupLimit`` window merges the partition winners.
+    No (query, document) pair is ever materialised or shuffled.
+    """
+    spark = docs.sparkSession
+    sc = spark.sparkContext
+    schema = T.StructType(
+        [
+            T.StructField(qid_col, queries.schema[qid_col].dataType),
+            T.StructField(id_col, docs.schema[id_col].dataType),
+            T.StructField("score_key", T.LongType()),
+        ]
+    )
+    cand = docs if where is None else docs.where(where)
+    parts = []
+    for chunk in _query_term_passes(queries, qid_col, qtext_col, analyzer):
+        vocab = sorted({t for _, terms in chunk for t in terms})
+        n_docs, avgdl, dfs = vocabulary_stats(docs, text_col, analyzer, vocab)
+        if n_docs == 0:
+            continue
+        pos = {t: i for i, t in enumerate(vocab)}
+        idf = np.array([math.log(1.0 + (n_docs - dfs.get(t, 0) + 0.5) / (dfs.get(t, 0) + 0.5)) for t in vocab])
+        qids = [q for q, _ in chunk]
+        qterm_idx = [np.array([pos[t] for t in terms], dtype=np.int64) for _, terms in chunk]
+        bc = sc.broadcast((vocab, idf, qids, qterm_idx, avgdl, k1, b))
+        src = cand.select(id_col, tokenize(F.col(text_col), analyzer).alias("_t"))
+        kernel = _bm25_kernel(bc, k, id_col, qid_col, _arrow_type(schema[qid_col].dataType), _arrow_type(schema[id_col].dataType))
+        parts.append(src.mapInArrow(kernel, schema))
+    if not parts:
+        empty = spark.createDataFrame([], schema)
+        return empty.select(qid_col, id_col, F.lit(None).cast("double").alias("score"), F.lit(None).cast("long").alias("rank"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    ranked = top_k_per_group(out, [qid_col], [F.col("score_key").desc(), F.col(id_col).asc()], k)
     return ranked.select(qid_col, id_col, from_key(F.col("score_key")).alias("score"), "rank")
 
 
@@ -185,7 +372,7 @@ def token_matches(
 
 def _collect_keywords(queries: DataFrame, qid_col: str, qtext_col: str) -> Iterator[list[tuple]]:
     chunk: list[tuple] = []
-    for row in queries.select(qid_col, qtext_col).orderBy(qid_col).toLocalIterator():
+    for row in queries.select(qid_col, qtext_col).toLocalIterator(prefetchPartitions=True):
         if row[1] is None:
             continue
         chunk.append((row[0], row[1]))

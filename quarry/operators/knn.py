@@ -28,31 +28,13 @@ from pyspark.sql import types as T
 
 from quarry.functions.vectors import distance as distance_expr
 from quarry.functions.vectors import from_key, np_distances, np_rank_key, rank_key
-from quarry.operators.topk import top_k, top_k_per_group
+from quarry.operators.topk import NO_KEY, RunningTopK, top_k, top_k_per_group
 
 # Query vectors per broadcast pass (bigger batches are processed in several
 # exact passes and unioned).
 MAX_QUERIES_PER_PASS = 1024
 # Corpus rows per matrix product inside a task (bounds executor memory).
 ROWS_PER_BLOCK = 4096
-_NO_KEY = np.iinfo(np.int64).max
-
-
-def _select_top(keys: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Indices of the k smallest ``(key, id)`` pairs (exact, ties by id)."""
-    valid = keys != _NO_KEY
-    n_valid = int(valid.sum())
-    if n_valid == 0:
-        return np.empty(0, dtype=np.int64)
-    if n_valid > k:
-        kth = np.partition(keys, k - 1)[k - 1]
-        cand = np.nonzero(keys <= kth)[0]
-    else:
-        cand = np.nonzero(valid)[0]
-    order = np.lexsort((ids[cand], keys[cand]))
-    return cand[order[:k]]
-
-
 def _kernel_factory(bq, k: int, metric: str, id_col: str, vec_col: str, qid_name: str, allowed=None):
     """Build the per-partition function for ``mapInPandas``.
 
@@ -63,10 +45,16 @@ def _kernel_factory(bq, k: int, metric: str, id_col: str, vec_col: str, qid_name
     def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         qids, qmat = bq.value
         nq = len(qids)
-        best_keys = [np.empty(0, dtype=np.int64) for _ in range(nq)]
-        best_ids: list[np.ndarray] = [np.empty(0, dtype=object) for _ in range(nq)]
+        best = RunningTopK(nq, k)
         probe = allowed.value if allowed is not None else None
         for pdf in batches:
+            # V2 shape check and missing vectors are handled here, not as a
+            # Spark filter: a filter on a computed vector would be pushed
+            # below the exchange and evaluate the embedding twice
+            dim = qmat.shape[1]
+            ok = np.fromiter((v is not None and len(v) == dim for v in pdf[vec_col]), dtype=bool, count=len(pdf))
+            if not ok.all():
+                pdf = pdf[ok]
             if pdf.empty:
                 continue
             for start in range(0, len(pdf), ROWS_PER_BLOCK):
@@ -74,23 +62,14 @@ def _kernel_factory(bq, k: int, metric: str, id_col: str, vec_col: str, qid_name
                 ids = block[id_col].to_numpy()
                 mat = np.stack([np.asarray(v, dtype=np.float64) for v in block[vec_col]])
                 dist = np_distances(qmat, mat, metric)
-                keys = np.where(np.isnan(dist), _NO_KEY, np_rank_key(np.nan_to_num(dist, nan=0.0)))
+                keys = np.where(np.isnan(dist), NO_KEY, np_rank_key(np.nan_to_num(dist, nan=0.0)))
                 if probe is not None:
                     cells = block["cell"].to_numpy()
                     for qi in range(nq):
-                        keys[qi, ~np.isin(cells, probe[qi])] = _NO_KEY
+                        keys[qi, ~np.isin(cells, probe[qi])] = NO_KEY
                 for qi in range(nq):
-                    all_keys = np.concatenate([best_keys[qi], keys[qi]])
-                    all_ids = np.concatenate([best_ids[qi], ids.astype(object)])
-                    pick = _select_top(all_keys, all_ids, k)
-                    best_keys[qi] = all_keys[pick]
-                    best_ids[qi] = all_ids[pick]
-        out_q, out_id, out_k = [], [], []
-        for qi in range(nq):
-            n = len(best_keys[qi])
-            out_q.extend([qids[qi]] * n)
-            out_id.extend(best_ids[qi].tolist())
-            out_k.extend(best_keys[qi].tolist())
+                    best.offer(qi, keys[qi], ids)
+        out_q, out_id, out_k = best.rows(qids)
         if out_q:
             yield pd.DataFrame({qid_name: out_q, id_col: out_id, "dist_key": out_k})
 
@@ -101,7 +80,7 @@ def collect_queries(queries: DataFrame, qid_col: str, qvec_col: str) -> Iterator
     """Stream the (small) query batch to the driver in bounded passes."""
     ids: list = []
     vecs: list = []
-    for row in queries.select(qid_col, qvec_col).orderBy(qid_col).toLocalIterator():
+    for row in queries.select(qid_col, qvec_col).toLocalIterator(prefetchPartitions=True):
         if row[1] is None:
             continue
         ids.append(row[0])
@@ -133,10 +112,8 @@ def knn(
     """
     spark = corpus.sparkSession
     src = corpus if where is None else corpus.where(where)
-    if dim is not None:
-        src = src.where(F.size(vec_col) == dim)
     cols = [id_col, vec_col] + (["cell"] if probes is not None else [])
-    src = src.select(*cols).where(F.col(vec_col).isNotNull())
+    src = src.select(*cols)
     qid_type = queries.schema[qid_col].dataType
     out_schema = T.StructType(
         [
@@ -147,6 +124,8 @@ def knn(
     )
     parts = []
     for qids, qmat in collect_queries(queries, qid_col, qvec_col):
+        if dim is not None and qmat.shape[1] != dim:
+            raise ValueError(f"query vectors have {qmat.shape[1]} dimensions, the collection {dim}")
         bq = spark.sparkContext.broadcast((qids, qmat))
         allowed = None
         if probes is not None:

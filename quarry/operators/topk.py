@@ -9,9 +9,12 @@ candidate set into one task.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+NO_KEY = np.iinfo(np.int64).max
+
 
 def top_k_per_group(
     df: DataFrame,
@@ -39,3 +42,47 @@ def number_rows(df: DataFrame, group_cols: list[str], order_cols: list[Column],
 def top_k(df: DataFrame, order_cols: list[Column], k: int) -> DataFrame:
     """O2 / V6 — global top-k: ``TakeOrderedAndProject`` (per-task heaps, k rows each)."""
     return df.orderBy(*order_cols).limit(k)
+
+
+def np_select_top(keys: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Indices of the k smallest ``(key, id)`` pairs (exact, ties by id).
+
+    ``NO_KEY`` marks rows that must never be ranked.  Used inside
+    ``mapInPandas`` kernels for the per-partition half of a top-k.
+    """
+    valid = keys != NO_KEY
+    n_valid = int(valid.sum())
+    if n_valid == 0:
+        return np.empty(0, dtype=np.int64)
+    if n_valid > k:
+        kth = np.partition(keys, k - 1)[k - 1]
+        cand = np.nonzero(keys <= kth)[0]
+    else:
+        cand = np.nonzero(valid)[0]
+    order = np.lexsort((ids[cand], keys[cand]))
+    return cand[order[:k]]
+
+
+class RunningTopK:
+    """Per-query running top-k of ``(key, id)`` across the batches of one partition."""
+
+    def __init__(self, n_queries: int, k: int):
+        self.k = k
+        self.keys = [np.empty(0, dtype=np.int64) for _ in range(n_queries)]
+        self.ids = [np.empty(0, dtype=object) for _ in range(n_queries)]
+
+    def offer(self, qi: int, keys: np.ndarray, ids: np.ndarray) -> None:
+        all_keys = np.concatenate([self.keys[qi], keys])
+        all_ids = np.concatenate([self.ids[qi], ids.astype(object)])
+        pick = np_select_top(all_keys, all_ids, self.k)
+        self.keys[qi] = all_keys[pick]
+        self.ids[qi] = all_ids[pick]
+
+    def rows(self, qids: list):
+        out_q, out_id, out_k = [], [], []
+        for qi, q in enumerate(qids):
+            n = len(self.keys[qi])
+            out_q.extend([q] * n)
+            out_id.extend(self.ids[qi].tolist())
+            out_k.extend(self.keys[qi].tolist())
+        return out_q, out_id, out_k

@@ -19,7 +19,7 @@ from quarry.sources.raw import books_from_part, read_table
 
 
 def text_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = read_table(spark, sf_dir, "documents")
+    d = read_table(spark, sf_dir, "documents", spread_by="doc_id")
     return d.select(
         F.col("doc_id").alias("id"), F.col("text").alias("document"), "lang", "source", "n_chars"
     )
@@ -27,7 +27,7 @@ def text_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vector_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = text_collection(spark, sf_dir)
-    emb = read_table(spark, sf_dir, "embeddings").select(
+    emb = read_table(spark, sf_dir, "embeddings", spread_by="vec_id").select(
         F.col("vec_id").alias("id"), "embedding", "label"
     )
     return docs.join(emb, "id")
@@ -44,4 +44,4 @@ def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_books(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return books_from_part(read_table(spark, sf_dir, "part"))
+    return books_from_part(read_table(spark, sf_dir, "part", spread_by="p_partkey"))

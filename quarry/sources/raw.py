@@ -34,8 +34,26 @@ TABLES = (
 ).split()
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    """Scan one of the given tables.
+
+    ``spread_by``: when the scan has fewer splits than the cluster has task
+    slots (a file written as one row group cannot be split), hash-partition
+    it by that key so per-row work (tokenizing, embedding) runs on every
+    slot.  A large table on a cluster is already split and is left as is.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread_by is not None:
+        return spread(df, spread_by)
+    return df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` only when its scan is under-split."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots, key)
+    return df
 
 
 def read_csv(
