@@ -92,3 +92,39 @@ def snippet(c: Column | str, n: int, always_ellipsis: bool = False) -> Column:
 def thousands(c: Column | str) -> Column:
     """P22 — thousands separated integer text (``17,350``)."""
     return F.format_number(_col(c).cast("double"), 0)
+
+
+def json_safe_value(c: Column | str, dtype) -> Column:
+    """P4 — ``ensure_json_safe`` for nested values, driven by the Spark type.
+
+    strings -> ``json_safe``; float/double -> 0.0 when NaN or infinite;
+    integers and booleans unchanged; arrays element-wise; maps with keys
+    stringified and cleaned (colliding keys: the last wins, which needs
+    ``spark.sql.mapKeyDedupPolicy=LAST_WIN``) and values cleaned; structs
+    field-wise; any other type (dates, decimals, binary) becomes cleaned
+    text.  Null stays null at every level.
+    """
+    from pyspark.sql import types as T
+
+    col = _col(c)
+    if isinstance(dtype, T.StringType):
+        return json_safe(col)
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        d = col.cast("double")
+        return F.when(F.isnan(d) | (F.abs(d) == F.lit(float("inf"))), F.lit(0.0)).otherwise(d)
+    if isinstance(dtype, (T.IntegralType, T.BooleanType)):
+        return col
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(col, lambda x: json_safe_value(x, dtype.elementType))
+    if isinstance(dtype, T.MapType):
+        entries = F.transform(
+            F.map_entries(col),
+            lambda e: F.struct(
+                json_safe(e["key"].cast("string")).alias("key"), json_safe_value(e["value"], dtype.valueType).alias("value")
+            ),
+        )
+        return F.when(col.isNull(), F.lit(None)).otherwise(F.map_from_entries(entries))
+    if isinstance(dtype, T.StructType):
+        fields = [json_safe_value(col[f.name], f.dataType).alias(f.name) for f in dtype.fields]
+        return F.when(col.isNull(), F.lit(None)).otherwise(F.struct(*fields))
+    return json_safe(col.cast("string"))

@@ -543,3 +543,17 @@ s AS (SELECT query_id, id, floor(sum(1.0e0 / (60 + rank)) * 1e12 + 0.5)::BIGINT
 SELECT query_id, id, rrf_key / 1e12 AS rrf, rrf_rank::BIGINT AS rrf_rank
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rrf_key DESC, id) AS rrf_rank FROM s)
 WHERE rrf_rank <= 10"""
+
+
+def _list_json_safe(x: str) -> str:
+    return f"list_transform({x}, lambda e: {sql_json_safe('e')})"
+
+
+SQL["json_safe_nested"] = f"""
+SELECT doc_id AS id,
+       {sql_json_safe('text')} AS text,
+       {_list_json_safe('[lang, source, left(text, 40)]')} AS tags,
+       CASE WHEN n_chars % 3 = 0 OR n_chars % 3 = 1 THEN 0.0e0 ELSE n_chars / 7.0e0 END AS ratio,
+       n_chars AS n
+FROM documents"""
+SQL["csv_roundtrip"] = SQL["prepare_books"]

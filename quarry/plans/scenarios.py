@@ -573,3 +573,43 @@ def rrf_three_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     vec = _vector_leg(spark, sf_dir, 10)
     scalar = hy.scalar_leg(docs, q, {"lang": "es"}, 10)
     return hy.fuse_rrf_union([text, vec, scalar], 10).select("query_id", "id", "rrf", "rrf_rank")
+
+
+# ------------------------------------------------------------------ nested JSON-safe values, CSV source
+
+from quarry.functions.text import json_safe_value  # noqa: E402
+from quarry.sources.raw import BOOK_SCHEMA, read_csv  # noqa: E402
+
+
+@register
+def json_safe_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recursive JSON-safe cleaning of a nested value built from every document."""
+    d = read_table(spark, sf_dir, "documents", spread_by="doc_id")
+    ratio = (
+        F.when(F.col("n_chars") % 3 == 0, F.lit(float("inf")))
+        .when(F.col("n_chars") % 3 == 1, F.lit(float("nan")))
+        .otherwise(F.col("n_chars") / F.lit(7.0))
+    )
+    nested = F.struct(
+        F.col("text").alias("text"),
+        F.array("lang", "source", F.substring("text", 1, 40)).alias("tags"),
+        ratio.alias("ratio"),
+        F.col("n_chars").alias("n"),
+    )
+    dtype = d.select(nested.alias("v")).schema["v"].dataType
+    clean = json_safe_value(nested, dtype)
+    return d.select(F.col("doc_id").alias("id"), clean.alias("v")).select(
+        "id", F.col("v.text").alias("text"), F.col("v.tags").alias("tags"), F.col("v.ratio").alias("ratio"),
+        F.col("v.n").alias("n"),
+    )
+
+
+@register
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + P15: raw rows written as header CSV (RFC 4180 quoting), scanned back with an explicit schema, prepared."""
+    path = shared_dir(spark, "books-csv")
+    schema = BOOK_SCHEMA.add("row_key", "long")
+    raw = inputs.raw_books(spark, sf_dir).select(*[f"`{f.name}`" for f in schema.fields])
+    raw.write.option("header", True).option("escape", '"').csv(path)
+    back = read_csv(spark, path, schema=schema)
+    return prep.prepare_records(back, id_col="row_key")

@@ -70,6 +70,8 @@ def read_csv(
     """
     reader = (
         spark.read.option("header", True)
+        # a schema is applied by position: check it against the header
+        .option("enforceSchema", False)
         .option("escape", '"')
         .option("multiLine", True)
         .option("mode", "PERMISSIVE")

@@ -43,3 +43,10 @@ def test_indexed_bm25_equals_scan(spark):
     a = {(r["query_id"], r["id"], r["rank"], r["score"]) for r in coll.bm25_indexed(spark, loc, q, 5).collect()}
     b = {(r["query_id"], r["id"], r["rank"], r["score"]) for r in ft.bm25_topk(docs_df(spark, rows), q, 5).collect()}
     assert a == b
+
+
+def test_progress_observation(spark):
+    loc = shared_dir(spark, "test-progress")
+    coll.create_collection(spark, loc, "p", id_type="bigint", recreate=True)
+    out = coll.add_records(spark, loc, docs_df(spark, [(1, "a b c", "{}"), (2, "d", "{}")]))
+    assert out["progress"]() == {"n_stored": 2, "n_tokens": 4}

@@ -108,3 +108,32 @@ def test_document_json_safe_once_metadata_twice(spark):
     assert r["name"] == "a b"
     assert r["author"] == "say 'hi'"
     assert r["user_rating"] == 4.0
+
+
+def test_json_safe_value_nested(spark):
+    from quarry.functions.text import json_safe_value
+
+    spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+    df = spark.createDataFrame(
+        [(["x\ty", None], float("nan"), 3, None)], "l array<string>, f double, i int, s string"
+    ).select(F.create_map(F.lit("a\n"), F.lit(1.0), F.lit("a"), F.lit(float("inf"))).alias("m"), "*")
+    row = df.select(*[json_safe_value(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields]).first()
+    assert row["m"] == {"a": 0.0}  # keys cleaned, colliding keys: last wins, inf -> 0.0
+    assert row["l"] == ["x y", None]
+    assert row["f"] == 0.0 and row["i"] == 3 and row["s"] is None
+
+
+def test_read_csv_pandas_nulls_and_quotes(spark, tmp_path):
+    from quarry.sources.raw import BOOK_SCHEMA, read_csv
+
+    p = tmp_path / "books.csv"
+    p.write_text(
+        'Name,Author,User Rating,Reviews,Price,Year,Genre\n'
+        '"A ""quoted"" name",NA,4.5,10,9.99,2019,Fiction\n'
+        '"multi\nline",Bob,N/A,null,1,2020,None\n'
+    )
+    rows = read_csv(spark, str(p), schema=BOOK_SCHEMA, pandas_nulls=True).collect()
+    assert rows[0]["Name"] == 'A "quoted" name' and rows[0]["Author"] is None
+    assert rows[1]["Name"] == "multi\nline" and rows[1]["User Rating"] is None and rows[1]["Genre"] is None
+    plain = read_csv(spark, str(p), schema=BOOK_SCHEMA).collect()
+    assert plain[0]["Author"] == "NA"
