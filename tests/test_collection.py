@@ -49,4 +49,4 @@ def test_progress_observation(spark):
     loc = shared_dir(spark, "test-progress")
     coll.create_collection(spark, loc, "p", id_type="bigint", recreate=True)
     out = coll.add_records(spark, loc, docs_df(spark, [(1, "a b c", "{}"), (2, "d", "{}")]))
-    assert out["progress"]() == {"n_stored": 2, "n_tokens": 4}
+    assert out["progress"] == {"n_stored": 2, "n_tokens": 4}
