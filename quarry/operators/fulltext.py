@@ -51,6 +51,7 @@ MAX_KEYWORDS_PER_PASS = 10_000
 MAX_QUERIES_PER_PASS = 256
 MAX_VOCAB_PER_PASS = 50_000
 DENSE_CELLS = 2_000_000
+MAX_STATS_VOCAB = 500_000
 
 
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
@@ -320,10 +321,17 @@ def bm25_topk(
         ]
     )
     cand = docs if where is None else docs.where(where)
+    # one statistics scan for the whole batch when its vocabulary is bounded
+    # (checked with a limit); otherwise one per pass.  Passes stream.
+    vocab_rows = query_terms(queries, qid_col, qtext_col, analyzer).select("term").distinct()
+    all_vocab = [r[0] for r in vocab_rows.limit(MAX_STATS_VOCAB + 1).collect()]
+    shared = None
+    if len(all_vocab) <= MAX_STATS_VOCAB:
+        shared = vocabulary_stats(docs, text_col, analyzer, sorted(all_vocab))
     parts = []
     for chunk in _query_term_passes(queries, qid_col, qtext_col, analyzer):
         vocab = sorted({t for _, terms in chunk for t in terms})
-        n_docs, avgdl, dfs = vocabulary_stats(docs, text_col, analyzer, vocab)
+        n_docs, avgdl, dfs = shared or vocabulary_stats(docs, text_col, analyzer, vocab)
         if n_docs == 0:
             continue
         pos = {t: i for i, t in enumerate(vocab)}
@@ -419,6 +427,12 @@ def _substring_kernel(bkw, id_col: str, text_col: str, qid_col: str, limit: int
                     if limit is not None and len(ids) >= 4 * limit:
                         ids.sort()
                         del ids[limit:]
+            if limit is None and kept:
+                # unlimited matches stream out batch by batch
+                yield pd.DataFrame(
+                    {qid_col: [q for q, ids in kept.items() for _ in ids], id_col: [i for ids in kept.values() for i in ids]}
+                )
+                kept = {}
         out_q: list = []
         out_id: list = []
         for qid, ids in kept.items():

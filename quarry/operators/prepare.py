@@ -117,14 +117,27 @@ def prepare_records(raw: DataFrame, id_col: Column | str | None = None) -> DataF
 
 
 def with_row_ids(df: DataFrame, name: str = "row_id") -> DataFrame:
-    """P1 fallback — consecutive row positions without a global sort/shuffle.
+    """P1 fallback — consecutive row positions (0, 1, 2, ...) in scan order, JVM only.
 
-    ``zipWithIndex`` numbers rows partition by partition (one small job to
-    count partition sizes); no single task ever sees all rows.
+    ``monotonically_increasing_id`` is ``partition << 33 | row-in-partition``;
+    one small aggregate counts the rows of every partition (one row per
+    partition reaches the driver), and each row adds its partition's offset.
+    No sort, no shuffle of the data, no single task sees all rows.  The
+    input must have a deterministic partitioning (a file scan has).
     """
-    schema = df.schema.add(name, "long", False)
-    rdd = df.rdd.zipWithIndex().map(lambda ri: (*ri[0], ri[1]))
-    return df.sparkSession.createDataFrame(rdd, schema)
+    tagged = df.withColumn("_mono", F.monotonically_increasing_id()).withColumn("_pid", F.spark_partition_id())
+    counts = sorted(
+        (r["_pid"], r["n"]) for r in tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()
+    )
+    offsets, running = {}, 0
+    for pid, n in counts:
+        offsets[pid] = running
+        running += n
+    n_parts = (max(offsets) + 1) if offsets else 1
+    table = F.array(*[F.lit(offsets.get(i, 0)).cast("long") for i in range(n_parts)])
+    start = F.shiftleft(F.col("_pid").cast("long"), 33)
+    pos = F.element_at(table, F.col("_pid") + 1) + (F.col("_mono") - start)
+    return tagged.withColumn(name, pos).drop("_mono", "_pid")
 
 
 def validation_summary(records: DataFrame) -> DataFrame:

@@ -137,3 +137,12 @@ def test_read_csv_pandas_nulls_and_quotes(spark, tmp_path):
     assert rows[1]["Name"] == "multi\nline" and rows[1]["User Rating"] is None and rows[1]["Genre"] is None
     plain = read_csv(spark, str(p), schema=BOOK_SCHEMA).collect()
     assert plain[0]["Author"] == "NA"
+
+
+def test_with_row_ids_consecutive(spark):
+    from quarry.operators.prepare import with_row_ids
+
+    df = spark.range(0, 1000, numPartitions=7).withColumnRenamed("id", "v")
+    rows = with_row_ids(df, "pos").collect()
+    assert sorted(r["pos"] for r in rows) == list(range(1000))
+    assert all(r["pos"] == r["v"] for r in rows)  # scan order
