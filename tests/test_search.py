@@ -69,3 +69,32 @@ def test_substring_get_limit_is_exact(spark):
     assert by_q[0] == [1, 2, 4, 5, 7]
     assert by_q[1] == [0, 3, 6, 9, 12]
     assert 2 not in by_q
+
+
+def test_multi_pass_equals_single_pass(spark, monkeypatch):
+    """Query batches split into several broadcast passes give the same rows."""
+    import numpy as np
+
+    from quarry.operators import knn as knn_mod
+
+    rng = np.random.default_rng(5)
+    words = ["alpha", "beta", "gamma", "delta", "eps", "zeta", "eta", "theta"]
+    docs = spark.createDataFrame(
+        [(i, " ".join(rng.choice(words, size=6)), rng.normal(size=4).astype(np.float32).tolist()) for i in range(120)],
+        "id long, document string, embedding array<float>",
+    ).repartition(3)
+    q = spark.createDataFrame(
+        [(j, " ".join(rng.choice(words, size=2)), rng.normal(size=4).tolist()) for j in range(9)],
+        "query_id long, query_text string, query_vector array<double>",
+    )
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    one_text = rows(ft.bm25_topk(docs, q, 4))
+    one_vec = rows(knn(docs, q, 4))
+    monkeypatch.setattr(ft, "MAX_QUERIES_PER_PASS", 2)
+    monkeypatch.setattr(ft, "MAX_STATS_VOCAB", 1)  # statistics per pass as well
+    monkeypatch.setattr(knn_mod, "MAX_QUERIES_PER_PASS", 2)
+    assert rows(ft.bm25_topk(docs, q, 4)) == one_text
+    assert rows(knn(docs, q, 4)) == one_vec
