@@ -90,7 +90,7 @@ def np_distances(q: np.ndarray, m: np.ndarray, metric: str) -> np.ndarray:
         return 1.0 - sim
     if metric == "l2":
         d2 = (q * q).sum(1)[:, None] + (m * m).sum(1)[None, :] - 2.0 * (q @ m.T)
-        # exact difference form for stability of the small distances
+        # expanded form (one matrix product); clip rounding below zero
         d2 = np.maximum(d2, 0.0)
         return np.sqrt(d2)
     if metric == "ip":
@@ -115,12 +115,20 @@ def token_buckets(tokens: Column, dim: int) -> Column:
 def _bincount_normalize_udf(dim: int):
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def bincount_normalize(buckets: pd.Series) -> pd.Series:
-        out = []
-        for b in buckets:
-            counts = np.bincount(np.asarray(b, dtype=np.int64), minlength=dim).astype(np.float64)
-            n = np.sqrt((counts * counts).sum())
-            out.append((counts / n if n > 0 else counts).astype(np.float32))
-        return pd.Series(out)
+        # one bincount over the whole Arrow batch: cell = row * dim + bucket
+        n = len(buckets)
+        lengths = np.fromiter((0 if b is None else len(b) for b in buckets), dtype=np.int64, count=n)
+        if lengths.sum():
+            flat = np.concatenate([np.asarray(b, dtype=np.int64) for b in buckets if b is not None and len(b)])
+            rows = np.repeat(np.arange(n, dtype=np.int64), lengths)
+            counts = np.bincount(rows * dim + flat, minlength=n * dim).reshape(n, dim).astype(np.float64)
+        else:
+            counts = np.zeros((n, dim))
+        norms = np.sqrt((counts * counts).sum(axis=1))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            vecs = np.where(norms[:, None] > 0, counts / norms[:, None], 0.0).astype(np.float32)
+        out = pd.Series(list(vecs))
+        return out.where(pd.Series([b is not None for b in buckets]), None)
 
     return bincount_normalize
 
@@ -128,7 +136,7 @@ def _bincount_normalize_udf(dim: int):
 def hashed_tf_embedding(tokens: Column, dim: int = 64) -> Column:
     """V1 default embedder: L2-normalised hashed term counts as ``array<float>``.
 
-    Bucketing is native; only the per-row count/normalise step runs in an
-    Arrow-batched pandas UDF (numpy ``bincount``).
+    Bucketing is native; the count/normalise step runs once per Arrow batch
+    in a pandas UDF (one numpy ``bincount`` over ``row * dim + bucket``).
     """
     return _bincount_normalize_udf(dim)(token_buckets(tokens, dim))
