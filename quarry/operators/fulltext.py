@@ -25,6 +25,7 @@ matching in one pass, Arrow batches in ``mapInPandas``).
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -321,15 +322,23 @@ def bm25_topk(
         ]
     )
     cand = docs if where is None else docs.where(where)
-    # one statistics scan for the whole batch when its vocabulary is bounded
-    # (checked with a limit); otherwise one per pass.  Passes stream.
-    vocab_rows = query_terms(queries, qid_col, qtext_col, analyzer).select("term").distinct()
-    all_vocab = [r[0] for r in vocab_rows.limit(MAX_STATS_VOCAB + 1).collect()]
+    # One statistics scan for the whole batch: a single pass uses its own
+    # vocabulary; several passes share the batch vocabulary when it is
+    # bounded (checked with a limit), else count per pass.  Passes stream.
+    it = _query_term_passes(queries, qid_col, qtext_col, analyzer)
+    first = next(it, None)
+    second = next(it, None) if first is not None else None
     shared = None
-    if len(all_vocab) <= MAX_STATS_VOCAB:
-        shared = vocabulary_stats(docs, text_col, analyzer, sorted(all_vocab))
+    if first is not None and second is None:
+        shared = vocabulary_stats(docs, text_col, analyzer, sorted({t for _, ts in first for t in ts}))
+    elif second is not None:
+        vocab_rows = query_terms(queries, qid_col, qtext_col, analyzer).select("term").distinct()
+        all_vocab = [r[0] for r in vocab_rows.limit(MAX_STATS_VOCAB + 1).collect()]
+        if len(all_vocab) <= MAX_STATS_VOCAB:
+            shared = vocabulary_stats(docs, text_col, analyzer, sorted(all_vocab))
+    passes = itertools.chain([c for c in (first, second) if c is not None], it)
     parts = []
-    for chunk in _query_term_passes(queries, qid_col, qtext_col, analyzer):
+    for chunk in passes:
         vocab = sorted({t for _, terms in chunk for t in terms})
         n_docs, avgdl, dfs = shared or vocabulary_stats(docs, text_col, analyzer, vocab)
         if n_docs == 0:
