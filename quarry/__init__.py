@@ -13,3 +13,22 @@ streaming/   incremental ingest with Structured Streaming
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Pickle this package's functions by value inside Spark task closures.
+
+    The ``mapInPandas`` / ``mapInArrow`` kernels and pandas UDFs live in this
+    package; shipping them by value means executors' Python workers need no
+    installed copy of the package (and no ``PYTHONPATH``) to run them.
+    """
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+    except ImportError:  # pragma: no cover - pyspark always ships it
+        return
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_by_value()

@@ -75,12 +75,15 @@ def _paths(location: str) -> dict[str, str]:
     return {k: f"{base}/{k}" for k in ("records", "postings", "stats", "properties")}
 
 
+def _path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop FileSystem of the path (any shared store)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def exists(spark: SparkSession, location: str) -> bool:
-    try:
-        spark.read.parquet(_paths(location)["properties"]).limit(1).collect()
-        return True
-    except AnalysisException:
-        return False
+    return _path_exists(spark, _paths(location)["properties"])
 
 
 def create_collection(
@@ -120,12 +123,14 @@ _EMPTY_SCHEMAS = {
 def _read(spark: SparkSession, location: str, key: str) -> DataFrame:
     """A data set of the collection; missing or empty reads as an empty DataFrame."""
     path = _paths(location)[key]
-    try:
-        # appends may add columns (typed fields, vectors): merge the file schemas
-        return spark.read.option("mergeSchema", "true").parquet(path)
-    except AnalysisException:
-        id_type = properties(spark, location).get("id_type") or "string"
-        return spark.createDataFrame([], _EMPTY_SCHEMAS[key].format(id_type=id_type))
+    if _path_exists(spark, path):
+        try:
+            # appends may add columns (typed fields, vectors): merge the file schemas
+            return spark.read.option("mergeSchema", "true").parquet(path)
+        except AnalysisException:  # folder without data files yet
+            pass
+    id_type = properties(spark, location).get("id_type") or "string"
+    return spark.createDataFrame([], _EMPTY_SCHEMAS[key].format(id_type=id_type))
 
 
 def properties(spark: SparkSession, location: str) -> dict[str, Any]:

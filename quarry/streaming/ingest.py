@@ -20,7 +20,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from quarry.session import shared_dir
 
@@ -30,11 +29,11 @@ def _append_new(batch: DataFrame, target: str, key: str, order_col: str | None)
     payload = [c for c in batch.columns if c != key]
     order = F.col(order_col) if order_col else F.col(key)
     firsts = batch.groupBy(key).agg(F.min_by(F.struct(*payload), order).alias("_r")).select(key, "_r.*")
-    try:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
         existing = spark.read.parquet(target).select(key)
         firsts = firsts.join(existing, key, "left_anti")
-    except AnalysisException:
-        pass  # first micro-batch: nothing stored yet
     firsts.write.mode("append").parquet(target)
 
 
