@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from quarry.functions.tokens import tokenize
-from quarry.operators.fulltext import MAX_BROADCAST_TERMS, build_postings, checked_broadcast, query_terms
+from quarry.operators.fulltext import build_postings
 from quarry.operators.prepare import storable
 
 # Metadata field -> typed column type, and the default field list.
@@ -230,28 +230,74 @@ def stored_stats(spark: SparkSession, location: str) -> DataFrame:
     return s.agg(F.sum("n_docs").cast("long").alias("n_docs"), (F.sum("total_terms") / F.sum("n_docs")).alias("avgdl"))
 
 
-def query_postings(spark: SparkSession, location: str, queries: DataFrame, qid_col: str = "query_id",
-                   qtext_col: str = "query_text") -> tuple[DataFrame, DataFrame]:
-    """Postings of the query vocabulary only, read with partition pruning.
+def query_postings(spark: SparkSession, location: str, vocab: list[str]) -> DataFrame:
+    """Postings of ``vocab`` only, read with partition pruning.
 
-    The (bounded, checked) vocabulary's term buckets become a literal
-    ``IN`` list on the partition column, so only those folders are listed
-    and scanned; the term list itself is pushed into the parquet reader.
-    Returns ``(postings, query_terms)``.
+    The vocabulary's term buckets become a literal ``IN`` list on the
+    partition column, so only those folders are listed and scanned; the
+    terms themselves are a (bounded) broadcast semi join.
     """
     props = properties(spark, location)
-    analyzer = props.get("analyzer") or "basic"
     buckets = props.get("buckets") or DEFAULT_BUCKETS
-    qt = query_terms(queries, qid_col, qtext_col, analyzer)
-    vocab_df = qt.select("term").distinct()
-    vocab = [r[0] for r in vocab_df.limit(MAX_BROADCAST_TERMS + 1).collect()]
-    post = _read(spark, location, "postings")
-    if len(vocab) <= MAX_BROADCAST_TERMS:
-        bucket_ids = [r[0] for r in vocab_df.select(term_bucket(F.col("term"), buckets)).distinct().collect()]
-        post = post.where(F.col("term_bucket").isin(bucket_ids)).join(F.broadcast(vocab_df), "term", "left_semi")
-    else:
-        post = post.join(checked_broadcast(vocab_df, MAX_BROADCAST_TERMS), "term", "left_semi")
-    return post, qt
+    vocab_df = spark.createDataFrame([(t,) for t in vocab], "term string")
+    bucket_ids = [r[0] for r in vocab_df.select(term_bucket(F.col("term"), buckets)).distinct().collect()]
+    post = _read(spark, location, "postings").where(F.col("term_bucket").isin(bucket_ids))
+    return post.join(F.broadcast(vocab_df), "term", "left_semi")
+
+
+def _indexed_kernel(bc, k: int, qid_col: str, qid_type, id_type):
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from quarry.functions.vectors import np_rank_key
+    from quarry.operators.fulltext import DENSE_CELLS
+    from quarry.operators.topk import NO_KEY, RunningTopK
+
+    def kernel(batches):
+        vocab_list, idf, qids, qterm_idx, avgdl, k1, b = bc.value
+        vocab = pa.array(vocab_list, type=pa.string())
+        nv, nq = len(vocab_list), len(qids)
+        qflat = np.concatenate(qterm_idx)
+        offsets = np.cumsum([0] + [len(t) for t in qterm_idx])[:-1]
+        ids_parts, codes_parts, tf_parts, dl_parts = [], [], [], []
+        for rb in batches:  # all postings of a document are in this partition
+            if rb.num_rows == 0:
+                continue
+            ids_parts.append(rb.column(0).to_numpy(zero_copy_only=False))
+            codes_parts.append(pc.index_in(rb.column(1), value_set=vocab).to_numpy(zero_copy_only=False))
+            tf_parts.append(rb.column(2).to_numpy(zero_copy_only=False).astype(np.float64))
+            dl_parts.append(rb.column(3).to_numpy(zero_copy_only=False).astype(np.float64))
+        if not ids_parts:
+            return
+        ids_all = np.concatenate(ids_parts)
+        codes = np.concatenate(codes_parts).astype(np.int64)
+        tf = np.concatenate(tf_parts)
+        dl = np.concatenate(dl_parts)
+        uniq, row = np.unique(ids_all, return_inverse=True)
+        order = np.argsort(row, kind="stable")
+        row, codes, tf, dl = row[order], codes[order], tf[order], dl[order]
+        w = idf[codes] * (tf * (k1 + 1.0)) / (tf + k1 * (1.0 - b + b * dl / avgdl))
+        best = RunningTopK(nq, k)
+        rows_per_block = max(1, DENSE_CELLS // max(nv, len(qflat), 1))
+        for start in range(0, len(uniq), rows_per_block):
+            stop = min(start + rows_per_block, len(uniq))
+            lo, hi = np.searchsorted(row, [start, stop])
+            dense = np.zeros((stop - start, nv))
+            dense[row[lo:hi] - start, codes[lo:hi]] = w[lo:hi]
+            scores = np.add.reduceat(dense[:, qflat], offsets, axis=1)
+            keys = np.where(scores > 0, -np_rank_key(scores), NO_KEY)
+            for qi in range(nq):
+                best.offer(qi, keys[:, qi], uniq[start:stop])
+        out_q, out_id, out_k = best.rows(qids)
+        if out_q:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out_q, type=qid_type), pa.array(out_id, type=id_type),
+                 pa.array([-x for x in out_k], type=pa.int64())],
+                names=[qid_col, "id", "score_key"],
+            )
+
+    return kernel
 
 
 def bm25_indexed(
@@ -265,31 +311,60 @@ def bm25_indexed(
     k1: float = 1.2,
     b: float = 0.75,
 ) -> DataFrame:
-    """T5 over a stored collection: postings by partition pruning, statistics from ``stats/``."""
-    from quarry.functions.vectors import from_key, rank_key
+    """T5 over a stored collection, per pass of queries:
+
+    * postings of the pass vocabulary only (partition-pruned scan);
+    * N and avgdl from ``stats/`` (one row), df from the pruned postings
+      (one row per vocabulary term reaches the driver);
+    * the matched postings (never multiplied by the number of queries) are
+      shuffled by document id and scored per partition in ``mapInArrow``
+      (BM25 weights gathered per query term), keeping a running top-k;
+    * a ``WindowGroupLimit`` window merges the partition winners.
+    """
+    import math
+
+    import numpy as np
+    from pyspark.sql import types as T
+
+    from quarry.functions.vectors import from_key
     from quarry.operators.filters import build_filter
+    from quarry.operators.fulltext import _arrow_type, _query_term_passes
     from quarry.operators.topk import top_k_per_group
 
-    post, qt = query_postings(spark, location, queries, qid_col, qtext_col)
-    stats = stored_stats(spark, location)
-    n_docs = stats.select("n_docs").scalar()
-    avgdl = stats.select("avgdl").scalar()
-    dfreq = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    cand = post
-    if where:
-        recs = get_collection(spark, location)
-        keep = recs.where(build_filter(where, recs.columns)).select("id")
-        cand = post.join(keep, "id", "left_semi")
-    idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
-    norm_tf = (F.col("tf") * F.lit(k1 + 1.0)) / (
-        F.col("tf") + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl)
-    )
-    contrib = cand.join(dfreq.withColumn("idf", idf), "term").join(qt, "term").select(
-        qid_col, "id", (F.col("idf") * norm_tf).alias("s")
+    props = properties(spark, location)
+    analyzer = props.get("analyzer") or "basic"
+    st = stored_stats(spark, location).first()
+    n_docs, avgdl = st["n_docs"] or 0, st["avgdl"] or 0.0
+    recs = get_collection(spark, location)
+    schema = T.StructType(
+        [T.StructField(qid_col, queries.schema[qid_col].dataType), T.StructField("id", recs.schema["id"].dataType),
+         T.StructField("score_key", T.LongType())]
     )
-    scores = contrib.groupBy(qid_col, "id").agg(F.sum("s").alias("score"))
-    keyed = scores.select(qid_col, "id", rank_key(F.col("score")).alias("score_key"))
-    ranked = top_k_per_group(keyed, [qid_col], [F.col("score_key").desc(), F.col("id").asc()], k)
+    parts = []
+    for chunk in _query_term_passes(queries, qid_col, qtext_col, analyzer) if n_docs else []:
+        vocab = sorted({t for _, terms in chunk for t in terms})
+        post = query_postings(spark, location, vocab)
+        dfs = {r["term"]: r["df"] for r in post.groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect()}
+        pos = {t: i for i, t in enumerate(vocab)}
+        idf = np.array([math.log(1.0 + (n_docs - dfs.get(t, 0) + 0.5) / (dfs.get(t, 0) + 0.5)) for t in vocab])
+        qids = [q for q, _ in chunk]
+        qterm_idx = [np.array([pos[t] for t in terms], dtype=np.int64) for _, terms in chunk]
+        bc = spark.sparkContext.broadcast((vocab, idf, qids, qterm_idx, float(avgdl), k1, b))
+        cand = post
+        if where:
+            keep = recs.where(build_filter(where, recs.columns)).select("id")
+            cand = cand.join(keep, "id", "left_semi")
+        by_doc = cand.select("id", "term", "tf", "dl").repartition("id")
+        kernel = _indexed_kernel(bc, k, qid_col, _arrow_type(schema[qid_col].dataType), _arrow_type(schema["id"].dataType))
+        parts.append(by_doc.mapInArrow(kernel, schema))
+    if not parts:
+        return spark.createDataFrame([], schema).select(
+            qid_col, "id", F.lit(None).cast("double").alias("score"), F.lit(None).cast("long").alias("rank")
+        )
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    ranked = top_k_per_group(out, [qid_col], [F.col("score_key").desc(), F.col("id").asc()], k)
     return ranked.select(qid_col, "id", from_key(F.col("score_key")).alias("score"), "rank")
 
 
