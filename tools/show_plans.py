@@ -5,6 +5,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import re
 import sys
@@ -28,12 +30,17 @@ def main() -> None:
         for i, line in enumerate(plan.splitlines()):
             if i and "+- " not in line:
                 continue  # continuation of a long expression
-            line = re.sub(r"INSET [^)\]]*", "INSET ...", line)
-            line = re.sub(r"Location: [^,]*, ", "", line)
-            keep = re.findall(r"(PushedFilters: \[[^\]]*\]|PartitionFilters: \[[^\]]*\]|ReadSchema: \S+)", line)
-            head = re.split(r" \[|\(", line, maxsplit=1)[0]
-            extra = (" " + " ".join(keep)) if keep else ""
-            print((head.rstrip() + extra)[:220])
+            m = re.match(r"^([\s:|+\-]*)(\*\(\d+\) )?(.*)$", line)
+            prefix, body = m.group(1), m.group(3)
+            head = re.split(r" \[|\(|,", body, maxsplit=1)[0]
+            print((prefix + head.rstrip())[:200])
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain("formatted")
+        scans = [ln.strip() for ln in buf.getvalue().splitlines()
+                 if ln.startswith(("PushedFilters:", "PartitionFilters:", "ReadSchema:")) and "[]" not in ln]
+        for ln in scans:
+            print("  " + re.sub(r"INSET [^)\]]*", "INSET ...", ln)[:200])
         print("```\n")
 
 
