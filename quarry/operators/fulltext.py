@@ -274,9 +274,7 @@ def _bm25_kernel(bc, k: int, id_col: str, qid_col: str, qid_type: pa.DataType, i
                 dense[r[lo:hi] - start, v[lo:hi]] = w[lo:hi]
                 scores = np.add.reduceat(dense[:, qflat], offsets, axis=1)  # (rows x queries)
                 keys = np.where(scores > 0, -np_rank_key(scores), NO_KEY)
-                block_ids = ids[start:stop]
-                for qi in range(nq):
-                    best.offer(qi, keys[:, qi], block_ids)
+                best.offer_block(keys.T, ids[start:stop])
         out_q, out_id, out_k = best.rows(qids)
         if out_q:
             yield pa.RecordBatch.from_arrays(

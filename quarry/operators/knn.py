@@ -67,8 +67,7 @@ def _kernel_factory(bq, k: int, metric: str, id_col: str, vec_col: str, qid_name
                     cells = block["cell"].to_numpy()
                     for qi in range(nq):
                         keys[qi, ~np.isin(cells, probe[qi])] = NO_KEY
-                for qi in range(nq):
-                    best.offer(qi, keys[qi], ids)
+                best.offer_block(keys, ids)
         out_q, out_id, out_k = best.rows(qids)
         if out_q:
             yield pd.DataFrame({qid_name: out_q, id_col: out_id, "dist_key": out_k})

@@ -78,6 +78,21 @@ class RunningTopK:
         self.keys[qi] = all_keys[pick]
         self.ids[qi] = all_ids[pick]
 
+    def offer_block(self, keys: np.ndarray, ids: np.ndarray) -> None:
+        """Offer a (queries x rows) key matrix; only queries the block can improve are touched.
+
+        A query whose running top-k is full and whose k-th key is below every
+        key of the block is skipped (a tie with the k-th key may still win on
+        id, so ``<=`` is kept).
+        """
+        col_min = keys.min(axis=1)
+        worst = np.array(
+            [self.keys[qi].max() if len(self.keys[qi]) >= self.k else NO_KEY for qi in range(len(self.keys))],
+            dtype=np.int64,
+        )
+        for qi in np.nonzero((col_min != NO_KEY) & (col_min <= worst))[0]:
+            self.offer(int(qi), keys[qi], ids)
+
     def rows(self, qids: list):
         out_q, out_id, out_k = [], [], []
         for qi, q in enumerate(qids):

@@ -287,8 +287,7 @@ def _indexed_kernel(bc, k: int, qid_col: str, qid_type, id_type):
             dense[row[lo:hi] - start, codes[lo:hi]] = w[lo:hi]
             scores = np.add.reduceat(dense[:, qflat], offsets, axis=1)
             keys = np.where(scores > 0, -np_rank_key(scores), NO_KEY)
-            for qi in range(nq):
-                best.offer(qi, keys[:, qi], uniq[start:stop])
+            best.offer_block(keys.T, uniq[start:stop])
         out_q, out_id, out_k = best.rows(qids)
         if out_q:
             yield pa.RecordBatch.from_arrays(
