@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.session import shared_dir
@@ -48,11 +48,14 @@ def ingest_files(
     order_col: str | None = None,
     max_files_per_trigger: int = 1,
     checkpoint: str | None = None,
+    on_progress: Callable[[dict], None] | None = None,
 ) -> DataFrame:
     """S6 — stream files through ``prepare`` into ``target``; returns the final table.
 
     Runs with ``trigger(availableNow=True)``: every file present at start is
     processed in bounded micro-batches, then the query stops.
+    ``on_progress`` (U2) receives ``{"batch_id", "n_input"}`` per non-empty
+    micro-batch, counted while the batch is written (``Observation``).
     """
     checkpoint = checkpoint or shared_dir(spark, "ingest-checkpoint")
     stream = (
@@ -62,8 +65,18 @@ def ingest_files(
         .parquet(source_dir)
     )
     prepared = prepare(stream)
+    def run_batch(df: DataFrame, epoch: int) -> None:
+        if on_progress is None:
+            _append_new(df, target, key, order_col)
+            return
+        obs = Observation(f"ingest-{epoch}")
+        _append_new(df.observe(obs, F.count(F.lit(1)).alias("n_input")), target, key, order_col)
+        n = obs.get.get("n_input", 0)
+        if n:  # like the reference's callback: empty batches are not reported
+            on_progress({"batch_id": epoch, "n_input": n})
+
     query = (
-        prepared.writeStream.foreachBatch(lambda df, _epoch: _append_new(df, target, key, order_col))
+        prepared.writeStream.foreachBatch(run_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -1,5 +1,7 @@
 """Metamorphic checks: IVF with every cell probed = exact kNN; streaming ingest = batch preparation."""
 
+import os
+
 import numpy as np
 
 from quarry.operators import ivf
@@ -41,3 +43,47 @@ def test_stream_ingest_equals_batch(spark):
         lambda s: prepare_records(books_from_part(s), id_col="row_key"), target, key="id",
     )
     assert again.count() == batch.count()
+
+
+def test_stream_many_files_many_micro_batches(spark):
+    """Several source files -> several micro-batches; result equals the batch plan."""
+    from pyspark.sql import functions as F
+
+    part = read_table(spark, SF, "part")
+    src = shared_dir(spark, "test-stream-src")
+    # three files, written by Spark (ids interleaved across files)
+    part.repartitionByRange(3, F.col("p_partkey")).write.parquet(src)
+    n_files = len([f for f in os.listdir(src) if f.endswith(".parquet")])
+    target = shared_dir(spark, "test-stream-multi")
+    progress = []
+
+    streamed = ingest.ingest_files(
+        spark, src, "*.parquet", part.schema,
+        lambda s: prepare_records(books_from_part(s), id_col="row_key"), target, key="id",
+        max_files_per_trigger=1, on_progress=progress.append,
+    )
+    batch = prepare_records(books_from_part(part), id_col="row_key")
+    cols = sorted(batch.columns)
+    assert sorted(streamed.select(cols).collect()) == sorted(batch.select(cols).collect())
+    assert n_files == 3 and len(progress) == n_files  # one micro-batch per file
+    assert sum(p["n_input"] for p in progress) == part.count()
+
+
+def test_hot_duplicate_ids_first_wins(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.sources import collection as coll
+
+    loc = shared_dir(spark, "test-dups")
+    coll.create_collection(spark, loc, "dups", id_type="bigint", recreate=True)
+    n = 300
+    rows = [((7 if i % 3 == 0 else i), f"doc {i}", "{}", i) for i in range(n)]  # id 7 holds a third of the rows
+    df = spark.createDataFrame(rows, "id long, document string, metadata string, _pos long").repartition(4)
+    out = coll.add_records(spark, loc, df)
+    stored = {r["id"]: r["document"] for r in coll.get_collection(spark, loc).collect()}
+    assert stored[7] == "doc 0"  # lowest position wins
+    assert len(stored) == 1 + (n - n // 3) - (1 if 7 % 3 else 0)
+    dup = {r["id"]: r["n"] for r in out["duplicates_in_batch"].collect()}
+    assert dup[7] == n // 3 - (0 if 7 % 3 else 1)
+    assert "_pos" not in coll.get_collection(spark, loc).columns
+    assert F  # imported for readability of the test data
