@@ -56,7 +56,11 @@ def build_ivf(
     )
     model = km.fit(train)
     assigned = model.transform(feats).drop("_features")
-    assigned.write.mode("overwrite").partitionBy("cell").parquet(f"{location}/cells")
+    # range-partition by (cell, id): a hot cell is split over several tasks
+    # and each task writes the folders of only a few cells
+    n_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    laid_out = assigned.repartitionByRange(n_tasks, "cell", id_col).sortWithinPartitions("cell", id_col)
+    laid_out.write.mode("overwrite").partitionBy("cell").parquet(f"{location}/cells")
     centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     spark.createDataFrame(centers, "cell int, center array<double>").coalesce(1).write.mode("overwrite").parquet(
         f"{location}/centroids"

@@ -11,9 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.text import json_safe, json_safe_value, sanitize, snippet
+from quarry.functions.tokens import tokenize
+from quarry.functions.vectors import hashed_tf_embedding
+from quarry.operators import compare as cmp
+from quarry.operators import fulltext as ft
+from quarry.operators import hybrid as hy
+from quarry.operators import ivf
+from quarry.operators import prepare as prep
 from quarry.operators.filters import build_filter
-from quarry.operators.knn import knn
+from quarry.operators.knn import knn, knn_single
 from quarry.plans import inputs
+from quarry.session import shared_dir
+from quarry.sources import collection as coll
+from quarry.sources.raw import BOOK_SCHEMA, books_from_part, profile, read_csv, read_table
+from quarry.streaming import ingest
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -58,10 +70,6 @@ def knn_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ record preparation
 
-from quarry.functions.text import json_safe, sanitize, snippet  # noqa: E402
-from quarry.operators import prepare as prep  # noqa: E402
-from quarry.sources.raw import profile, read_table  # noqa: E402
-
 
 def books(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = inputs.raw_books(spark, sf_dir)
@@ -108,8 +116,6 @@ def sanitize_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ full text
 
-from quarry.functions.tokens import tokenize  # noqa: E402
-from quarry.operators import fulltext as ft  # noqa: E402
 
 # The keyword stand-ins present in the test corpus (FIXTURES §3).
 KEYWORDS = ["the", "that", "thon"]
@@ -206,8 +212,6 @@ def token_match_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ hybrid search
 
-from quarry.functions.vectors import hashed_tf_embedding  # noqa: E402
-from quarry.operators import hybrid as hy  # noqa: E402
 
 # The collection's embedding function for text collections (V1): hashed term
 # counts of the basic analyzer, 64 dimensions (the width of the given vectors).
@@ -260,7 +264,6 @@ def hybrid_display(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ comparison and roll-ups
 
-from quarry.operators import compare as cmp  # noqa: E402
 
 COMPARE_NAMES = {
     "n_a": "full_text_count",
@@ -376,8 +379,6 @@ def import_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ stored collections, typed metadata, filters
 
-from quarry.session import shared_dir  # noqa: E402
-from quarry.sources import collection as coll  # noqa: E402
 
 DOC_FIELDS = {"lang": "string", "source": "string", "n_chars": "bigint"}
 
@@ -448,7 +449,6 @@ def metadata_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ approximate search
 
-from quarry.operators import ivf  # noqa: E402
 
 IVF_CELLS = 8
 
@@ -494,9 +494,6 @@ def ivf_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ streaming ingest
 
-from quarry.sources.raw import books_from_part  # noqa: E402
-from quarry.streaming import ingest  # noqa: E402
-
 
 @register
 def stream_ingest_books(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -527,7 +524,6 @@ def stream_dedupe_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ single-query semantic search, extra legs
 
-from quarry.operators.knn import knn_single  # noqa: E402
 
 # Fixed value: the reference's post-import smoke query (U+2011 hyphen kept).
 SMOKE_QUERY = "Self‑Improvement and Personal Development"
@@ -577,9 +573,6 @@ def rrf_three_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ nested JSON-safe values, CSV source
 
-from quarry.functions.text import json_safe_value  # noqa: E402
-from quarry.sources.raw import BOOK_SCHEMA, read_csv  # noqa: E402
-
 
 @register
 def json_safe_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
