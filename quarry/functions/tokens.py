@@ -58,7 +58,8 @@ def max_word_tokens(c: Column | str) -> Column:
 
     def parts(tok: Column) -> Column:
         is_han = tok.rlike("^" + HAN_RUN + "$")
-        pieces = F.regexp_extract_all(tok, F.lit(NON_HAN_RUN), 0)
+        # only e-mail / IPv4 / host tokens carry separators and can split further
+        pieces = F.when(tok.rlike("[._%+@-]"), F.regexp_extract_all(tok, F.lit(NON_HAN_RUN), 0))
         finer = F.when(F.size(pieces) > 1, pieces).otherwise(F.array().cast("array<string>"))
         return F.when(is_han, _han_bigrams(tok)).otherwise(F.concat(F.array(tok), finer))
 
