@@ -66,3 +66,36 @@ def similarity(distance: Column, decimals: int = 4) -> Column:
 def percent_text(fraction: Column) -> Column:
     """P19 — ``x*100`` with two decimals and a percent sign ("83.12%")."""
     return F.format_string("%.2f%%", fraction * F.lit(100.0))
+
+
+def _micro(distance: Column) -> Column:
+    """The integer micro-unit key of a distance reported as ``key / 1e6``."""
+    return F.floor(distance * F.lit(1_000_000.0) + F.lit(0.5)).cast("long")
+
+
+def similarity_4(distance: Column) -> Column:
+    """P19 — ``1 - distance`` to 4 decimals, half up, from the integer distance key.
+
+    Integer arithmetic makes the value identical in every engine (decimal
+    rounding of a binary double differs between engines on ties).
+    """
+    units = F.lit(1_000_000) - _micro(distance)
+    return F.floor((units + F.lit(50)) / F.lit(100)).cast("double") / F.lit(10_000.0)
+
+
+def similarity_percent_text(distance: Column) -> Column:
+    """P19 — similarity as a percentage with two decimals (``"87.12%"``), half up, exact.
+
+    Built from integers: hundredths of a percent = similarity in 1e-4 units.
+    """
+    units = F.lit(1_000_000) - _micro(distance)
+    p = F.floor((units + F.lit(50)) / F.lit(100)).cast("long")
+    a = F.abs(p)
+    text = F.concat(
+        F.when(p < 0, F.lit("-")).otherwise(F.lit("")),
+        F.floor(a / F.lit(100)).cast("long").cast("string"),
+        F.lit("."),
+        F.lpad((a % F.lit(100)).cast("string"), 2, "0"),
+        F.lit("%"),
+    )
+    return F.when(distance.isNull(), F.lit("N/A")).otherwise(text)

@@ -360,11 +360,15 @@ SQL["hybrid_filtered"] = _hybrid_sql(
 )
 SQL["hybrid_display"] = f"""
 WITH h AS ({_hybrid_sql(5, 10, 10)})
-SELECT query_id, id, distance_rank, round(1.0e0 - distance, 4) AS similarity,
-       CASE WHEN distance IS NULL THEN 'N/A' ELSE printf('%.2f%%', (1.0e0 - distance) * 100.0e0) END AS similarity_pct,
+SELECT query_id, id, distance_rank,
+       floor((1000000 - u + 50) / 100) / 10000.0e0 AS similarity,
+       CASE WHEN distance IS NULL THEN 'N/A' ELSE
+         (CASE WHEN p < 0 THEN '-' ELSE '' END) || (abs(p) // 100)::VARCHAR || '.' ||
+         lpad((abs(p) % 100)::VARCHAR, 2, '0') || '%' END AS similarity_pct,
        coalesce(source, 'Unknown') AS author,
        format('{{:,}}', n_chars) AS reviews_text
-FROM h"""
+FROM (SELECT *, floor((1000000 - u + 50) / 100)::BIGINT AS p
+      FROM (SELECT *, floor(distance * 1000000.0e0 + 0.5)::BIGINT AS u FROM h))"""
 
 
 # ------------------------------------------------------------------ comparison twins
@@ -519,7 +523,11 @@ sleg AS (
 SQL["semantic_single"] = f"""
 WITH {DOCS}, sq AS (SELECT 0 AS query_id, 'Self‑Improvement and Personal Development' AS query_text),
 {_vleg_ctes(3, 'sq')}
-SELECT id, distance, rank::BIGINT AS rank, printf('%.2f%%', (1.0e0 - distance) * 100.0e0) AS similarity_pct FROM vleg"""
+SELECT id, distance, rank, CASE WHEN distance IS NULL THEN 'N/A' ELSE
+         (CASE WHEN p < 0 THEN '-' ELSE '' END) || (abs(p) // 100)::VARCHAR || '.' ||
+         lpad((abs(p) % 100)::VARCHAR, 2, '0') || '%' END AS similarity_pct
+FROM (SELECT id, distance, rank::BIGINT AS rank,
+             floor((1000000 - floor(distance * 1000000.0e0 + 0.5)::BIGINT + 50) / 100)::BIGINT AS p FROM vleg)"""
 
 SQL["hybrid_scalar_leg"] = f"""
 WITH {DOCS}, {BENCH_Q}, {_vleg_ctes(10)}, {SCALAR_ES},

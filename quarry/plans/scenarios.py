@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.numeric import similarity_4, similarity_percent_text
 from quarry.functions.text import json_safe, json_safe_value, sanitize, snippet
 from quarry.functions.tokens import tokenize
 from quarry.functions.vectors import hashed_tf_embedding
@@ -253,10 +254,8 @@ def hybrid_display(spark: SparkSession, sf_dir: str) -> DataFrame:
         "query_id",
         "id",
         "distance_rank",
-        F.round(F.lit(1.0) - F.col("distance"), 4).alias("similarity"),
-        F.when(F.col("distance").isNull(), F.lit("N/A"))
-        .otherwise(F.format_string("%.2f%%", (F.lit(1.0) - F.col("distance")) * F.lit(100.0)))
-        .alias("similarity_pct"),
+        similarity_4(F.col("distance")).alias("similarity"),
+        similarity_percent_text(F.col("distance")).alias("similarity_pct"),
         F.coalesce(F.col("source"), F.lit("Unknown")).alias("author"),
         F.format_number(F.col("n_chars").cast("double"), 0).alias("reviews_text"),
     )
@@ -539,7 +538,7 @@ def semantic_single(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id",
         "distance",
         "rank",
-        F.format_string("%.2f%%", (F.lit(1.0) - F.col("distance")) * F.lit(100.0)).alias("similarity_pct"),
+        similarity_percent_text(F.col("distance")).alias("similarity_pct"),
     )
 
 
