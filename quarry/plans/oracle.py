@@ -491,7 +491,7 @@ UNION ALL SELECT id, 'price_range_rating' FROM records WHERE price >= 950 AND pr
 SQL["ivf_knn_all_cells"] = SQL["knn_cosine"]
 SQL["stream_ingest_books"] = SQL["prepare_books"]
 SQL["stream_dedupe_events"] = """
-SELECT event_id, epoch_us(ts) AS ts_us, user_id, event_type, value
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts_text, user_id, event_type, value
 FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts) AS rn FROM events) WHERE rn = 1"""
 
 

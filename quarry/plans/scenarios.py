@@ -516,8 +516,9 @@ def stream_dedupe_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = read_table(spark, sf_dir, "events").schema
     target = shared_dir(spark, "stream-events")
     out = ingest.dedupe_events(spark, sf_dir, "events.parquet", schema, "event_id", "ts", target)
+    # the wall-clock text does not depend on the session time zone
     return out.select(
-        "event_id", F.unix_micros("ts").alias("ts_us"), "user_id", "event_type", "value"
+        "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts_text"), "user_id", "event_type", "value"
     )
 
 

@@ -105,10 +105,11 @@ def dedupe_events(
         .option("pathGlobFilter", file_glob)
         .option("maxFilesPerTrigger", 1)
         .parquet(source_dir)
-        # TIMESTAMP_NTZ cannot carry a watermark: interpret it in the session time zone
-        .withColumn(event_time, F.col(event_time).cast("timestamp"))
+        # TIMESTAMP_NTZ cannot carry a watermark: watermark a derived instant
+        # and keep the original wall-clock column unchanged
+        .withColumn("_event_instant", F.col(event_time).cast("timestamp"))
     )
-    deduped = stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+    deduped = stream.withWatermark("_event_instant", delay).dropDuplicatesWithinWatermark([key])
     query = (
         deduped.writeStream.format("parquet")
         .option("path", target)
