@@ -147,11 +147,14 @@ def add_records(
 ) -> dict[str, DataFrame]:
     """S4 — validate, de-duplicate and append records; returns ``stored`` and ``rejected``.
 
-    * rows failing P14 (not storable), the V2 dimension check, or whose id
-      already exists in the collection are rejected with a reason;
-    * within the batch the first row per id (lowest ``id`` position given by
-      ``_pos`` when present, else any) wins: an aggregate with map-side
-      ``min_by``, so a hot duplicated id never lands in one task whole;
+    * rows failing P14 (not storable) or the V2 dimension check are rejected
+      with a reason;
+    * within the batch the first row per id (lowest ``_pos`` when present,
+      else any) wins: an aggregate with map-side ``min_by``, so a hot
+      duplicated id never lands in one task whole; the remaining copies are
+      counted in ``duplicates_in_batch``;
+    * a winner whose id already exists in the collection is rejected as
+      ``duplicate_id`` (the join sees unique ids only);
     * postings and corpus statistics of the new rows are appended.
     """
     props = properties(spark, location)
@@ -169,17 +172,22 @@ def add_records(
         reason = reason.when(F.coalesce(F.size("embedding"), F.lit(-1)) != dim, F.lit("dimension"))
     flagged = recs.withColumn("reject_reason", reason)
 
-    existing = _read(spark, location, "records").select("id")
-    fresh = flagged.join(existing, "id", "left_anti")
-    dup_existing = flagged.join(existing, "id", "left_semi").withColumn("reject_reason", F.lit("duplicate_id"))
-
-    ok = fresh.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    # De-duplicate inside the batch first: an aggregate with map-side
+    # ``min_by`` (a hot id shared by a third of the rows is one partial row per
+    # task), so the join against the stored ids only sees unique ids.
+    ok = flagged.where(F.col("reject_reason").isNull()).drop("reject_reason")
     order_col = "_pos" if "_pos" in ok.columns else "id"
-    payload = [c for c in ok.columns if c not in ("id",)]
-    winners = ok.groupBy("id").agg(F.min_by(F.struct(*payload), F.col(order_col)).alias("r")).select("id", "r.*")
-    if "_pos" in winners.columns:
-        winners = winners.drop("_pos")
-    n_dups = ok.groupBy("id").agg((F.count(F.lit(1)) - 1).alias("n")).where("n > 0")
+    payload = [c for c in ok.columns if c != "id"]
+    grouped = ok.groupBy("id").agg(
+        F.min_by(F.struct(*payload), F.col(order_col)).alias("r"), F.count(F.lit(1)).alias("_n")
+    )
+    n_dups = grouped.where("_n > 1").select("id", (F.col("_n") - 1).alias("n"))
+    firsts = grouped.select("id", "r.*")
+    if "_pos" in firsts.columns:
+        firsts = firsts.drop("_pos")
+    existing = _read(spark, location, "records").select("id")
+    winners = firsts.join(existing, "id", "left_anti")
+    dup_existing = firsts.join(existing, "id", "left_semi").withColumn("reject_reason", F.lit("duplicate_id"))
 
     batch = uuid.uuid4().hex
     tokens = tokenize(F.col("document"), analyzer)
@@ -197,7 +205,7 @@ def add_records(
         F.count(F.lit(1)).alias("n_docs"), F.sum("dl").cast("long").alias("total_terms")
     ).withColumn("ingest_batch", F.lit(batch)).write.mode("append").parquet(p["stats"])
 
-    rejected = fresh.where(F.col("reject_reason").isNotNull()).unionByName(dup_existing, allowMissingColumns=True)
+    rejected = flagged.where(F.col("reject_reason").isNotNull()).unionByName(dup_existing, allowMissingColumns=True)
     return {
         "stored": written,
         "rejected": rejected,
