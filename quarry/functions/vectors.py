@@ -12,8 +12,12 @@ point sum differ (summation order).
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,31 +116,42 @@ def token_buckets(tokens: Column, dim: int) -> Column:
     )
 
 
-def _bincount_normalize_udf(dim: int):
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def bincount_normalize(buckets: pd.Series) -> pd.Series:
-        # one bincount over the whole Arrow batch: cell = row * dim + bucket
-        n = len(buckets)
-        lengths = np.fromiter((0 if b is None else len(b) for b in buckets), dtype=np.int64, count=n)
+def _md5_bucket(term: str, dim: int) -> int:
+    """Bucket of one term: first 32 bits of its MD5 (hex), modulo ``dim`` — as ``token_buckets``."""
+    return int(hashlib.md5(term.encode("utf-8")).hexdigest()[:8], 16) % dim
+
+
+def _hashed_tf_udf(dim: int):
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def hashed_tf(tokens: pa.Array) -> pa.Array:
+        n = len(tokens)
+        lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        counts = np.zeros((n, dim))
         if lengths.sum():
-            flat = np.concatenate([np.asarray(b, dtype=np.int64) for b in buckets if b is not None and len(b)])
-            rows = np.repeat(np.arange(n, dtype=np.int64), lengths)
-            counts = np.bincount(rows * dim + flat, minlength=n * dim).reshape(n, dim).astype(np.float64)
-        else:
-            counts = np.zeros((n, dim))
+            flat = pc.list_flatten(tokens)
+            rows = pc.list_parent_indices(tokens).to_numpy(zero_copy_only=False).astype(np.int64)
+            enc = pc.dictionary_encode(flat)
+            # one MD5 per distinct term of the batch, not per occurrence
+            per_term = np.fromiter(
+                (_md5_bucket(t, dim) for t in enc.dictionary.to_pylist()), dtype=np.int64, count=len(enc.dictionary)
+            )
+            buckets = per_term[enc.indices.to_numpy(zero_copy_only=False)]
+            counts = np.bincount(rows * dim + buckets, minlength=n * dim).reshape(n, dim).astype(np.float64)
         norms = np.sqrt((counts * counts).sum(axis=1))
         with np.errstate(divide="ignore", invalid="ignore"):
             vecs = np.where(norms[:, None] > 0, counts / norms[:, None], 0.0).astype(np.float32)
-        out = pd.Series(list(vecs))
-        return out.where(pd.Series([b is not None for b in buckets]), None)
+        offsets = pa.array(np.arange(0, (n + 1) * dim, dim, dtype=np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(vecs.ravel()), mask=pc.is_null(tokens))
 
-    return bincount_normalize
+    return hashed_tf
 
 
 def hashed_tf_embedding(tokens: Column, dim: int = 64) -> Column:
     """V1 default embedder: L2-normalised hashed term counts as ``array<float>``.
 
-    Bucketing is native; the count/normalise step runs once per Arrow batch
-    in a pandas UDF (one numpy ``bincount`` over ``row * dim + bucket``).
+    An Arrow UDF over the token arrays: the batch's tokens are
+    dictionary-encoded, each *distinct* term is hashed once (MD5, the same
+    bucket as ``token_buckets`` and as SQL engines compute), and one numpy
+    ``bincount`` over ``row * dim + bucket`` builds every vector of the batch.
     """
-    return _bincount_normalize_udf(dim)(token_buckets(tokens, dim))
+    return _hashed_tf_udf(dim)(tokens)

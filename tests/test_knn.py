@@ -58,3 +58,22 @@ def test_knn_pre_filter_and_dimension_check(spark):
 
     got = knn(cdf, qdf, 3, "l2", where=F.col("g") == "a", dim=2).collect()
     assert sorted(r["id"] for r in got) == [1, 3, 5]
+
+
+def test_hashed_tf_embedding_matches_native_buckets(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.functions.tokens import tokenize
+    from quarry.functions.vectors import hashed_tf_embedding, token_buckets
+
+    rows = [("the cat the hat",), ("",), (None,), ("Ünïcode wörds wörds 42",)]
+    df = spark.createDataFrame(rows, "t string").select(tokenize(F.col("t")).alias("tok"))
+    got = df.select(hashed_tf_embedding(F.col("tok"), 16).alias("v"), token_buckets(F.col("tok"), 16).alias("b")).collect()
+    for r in got:
+        if r["b"] is None:
+            assert r["v"] is None
+            continue
+        counts = np.bincount(np.asarray(r["b"], dtype=np.int64), minlength=16).astype(np.float64)
+        n = np.sqrt((counts * counts).sum())
+        expect = (counts / n if n > 0 else counts).astype(np.float32)
+        assert np.array_equal(np.asarray(r["v"], dtype=np.float32), expect)
