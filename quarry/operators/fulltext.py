@@ -231,8 +231,9 @@ def vocabulary_stats(docs: DataFrame, text_col: str, analyzer: str, vocab: list[
     counter per task.  The vocabulary travels as a broadcast variable, not
     as a literal list in the plan.
     """
-    if len(vocab) > MAX_STATS_VOCAB:
-        raise ValueError(f"vocabulary of {len(vocab)} terms exceeds the broadcast bound {MAX_STATS_VOCAB}")
+    bound = max(MAX_STATS_VOCAB, MAX_VOCAB_PER_PASS)
+    if len(vocab) > bound:
+        raise ValueError(f"vocabulary of {len(vocab)} terms exceeds the broadcast bound {bound}")
     bvocab = docs.sparkSession.sparkContext.broadcast(vocab)
     toks = docs.select(tokenize(F.col(text_col), analyzer).alias("_t"))
     per_task = toks.mapInArrow(_stats_kernel(bvocab), "code long, df long, total long")

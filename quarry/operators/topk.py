@@ -70,6 +70,8 @@ class RunningTopK:
         self.k = k
         self.keys = [np.empty(0, dtype=np.int64) for _ in range(n_queries)]
         self.ids = [np.empty(0, dtype=object) for _ in range(n_queries)]
+        # k-th best key per query once k rows are held (NO_KEY until then)
+        self.worst = np.full(n_queries, NO_KEY, dtype=np.int64)
 
     def offer(self, qi: int, keys: np.ndarray, ids: np.ndarray) -> None:
         all_keys = np.concatenate([self.keys[qi], keys])
@@ -77,6 +79,8 @@ class RunningTopK:
         pick = np_select_top(all_keys, all_ids, self.k)
         self.keys[qi] = all_keys[pick]
         self.ids[qi] = all_ids[pick]
+        if len(pick) >= self.k:
+            self.worst[qi] = self.keys[qi].max()
 
     def offer_block(self, keys: np.ndarray, ids: np.ndarray) -> None:
         """Offer a (queries x rows) key matrix; only queries the block can improve are touched.
@@ -86,11 +90,7 @@ class RunningTopK:
         id, so ``<=`` is kept).
         """
         col_min = keys.min(axis=1)
-        worst = np.array(
-            [self.keys[qi].max() if len(self.keys[qi]) >= self.k else NO_KEY for qi in range(len(self.keys))],
-            dtype=np.int64,
-        )
-        for qi in np.nonzero((col_min != NO_KEY) & (col_min <= worst))[0]:
+        for qi in np.nonzero((col_min != NO_KEY) & (col_min <= self.worst))[0]:
             self.offer(int(qi), keys[qi], ids)
 
     def rows(self, qids: list):
