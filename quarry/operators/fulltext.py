@@ -362,6 +362,44 @@ def bm25_topk(
     return ranked.select(qid_col, id_col, from_key(F.col("score_key")).alias("score"), "rank")
 
 
+def _match_kernel(bc, id_col: str, qid_col: str, require_all: bool, qid_type: pa.DataType, id_type: pa.DataType):
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab_list, qids, qterm_idx = bc.value
+        vocab = pa.array(vocab_list, type=pa.string())
+        nv = len(vocab_list)
+        qflat = np.concatenate(qterm_idx)
+        offsets = np.cumsum([0] + [len(t) for t in qterm_idx])[:-1]
+        need = np.array([len(t) for t in qterm_idx])
+        qid_arr = np.array(qids, dtype=object)
+        rows_per_block = max(1, DENSE_CELLS // max(nv, len(qflat), 1))
+        for rb in batches:
+            rows, cols, _ = _term_codes(rb.column(1), vocab)
+            if not len(rows):
+                continue
+            ids = rb.column(0).to_numpy(zero_copy_only=False)
+            pairs = np.unique(rows * nv + cols)
+            r, v = pairs // nv, pairs % nv
+            out_q, out_id = [], []
+            for start in range(0, rb.num_rows, rows_per_block):
+                stop = min(start + rows_per_block, rb.num_rows)
+                lo, hi = np.searchsorted(r, [start, stop])
+                if lo == hi:
+                    continue
+                present = np.zeros((stop - start, nv), dtype=np.int32)
+                present[r[lo:hi] - start, v[lo:hi]] = 1
+                matched = np.add.reduceat(present[:, qflat], offsets, axis=1)  # distinct query terms found
+                hit = matched >= (need[None, :] if require_all else 1)
+                di, qi = np.nonzero(hit)
+                out_q.extend(qid_arr[qi].tolist())
+                out_id.extend(ids[start:stop][di].tolist())
+            if out_q:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(out_q, type=qid_type), pa.array(out_id, type=id_type)], names=[qid_col, id_col]
+                )
+
+    return kernel
+
+
 def token_matches(
     docs: DataFrame,
     queries: DataFrame,
@@ -372,17 +410,35 @@ def token_matches(
     qtext_col: str = "query_text",
     analyzer: str = "basic",
 ) -> DataFrame:
-    """F8 for a batch — documents holding any (or all) analyzed query tokens: ``(query_id, id)``."""
-    qt = query_terms(queries, qid_col, qtext_col, analyzer)
-    vocab = checked_broadcast(qt.select("term").distinct(), MAX_BROADCAST_TERMS)
-    tf = _query_postings(docs, vocab, id_col, text_col, analyzer, None)
-    matched = tf.select("term", id_col).join(qt, "term").groupBy(qid_col, id_col).agg(
-        F.count(F.lit(1)).alias("n_terms")
+    """F8 for a batch — documents holding any (or all) analyzed query tokens: ``(query_id, id)``.
+
+    One scan; each Arrow batch of token arrays is matched against the pass
+    vocabulary (``index_in``) and the distinct query terms found per
+    document are counted with a gather + ``reduceat``.  Matching pairs are
+    emitted directly: no join, no aggregate, no shuffle.
+    """
+    spark = docs.sparkSession
+    schema = T.StructType(
+        [T.StructField(qid_col, queries.schema[qid_col].dataType), T.StructField(id_col, docs.schema[id_col].dataType)]
     )
-    if require_all:
-        need = qt.groupBy(qid_col).agg(F.count(F.lit(1)).alias("n_query_terms"))
-        matched = matched.join(need, qid_col).where(F.col("n_terms") == F.col("n_query_terms"))
-    return matched.select(qid_col, id_col)
+    src = docs.select(id_col, tokenize(F.col(text_col), analyzer).alias("_t"))
+    parts = []
+    for chunk in _query_term_passes(queries, qid_col, qtext_col, analyzer):
+        vocab = sorted({t for _, terms in chunk for t in terms})
+        pos = {t: i for i, t in enumerate(vocab)}
+        qids = [q for q, _ in chunk]
+        qterm_idx = [np.array([pos[t] for t in terms], dtype=np.int64) for _, terms in chunk]
+        bc = spark.sparkContext.broadcast((vocab, qids, qterm_idx))
+        kernel = _match_kernel(
+            bc, id_col, qid_col, require_all, _arrow_type(schema[qid_col].dataType), _arrow_type(schema[id_col].dataType)
+        )
+        parts.append(src.mapInArrow(kernel, schema))
+    if not parts:
+        return spark.createDataFrame([], schema)
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
 
 
 # ------------------------------------------------------------------ substring batches
