@@ -1,6 +1,6 @@
 """Column -> Column building blocks."""
 
-from quarry.functions.numeric import clean_float, clean_int, percent_text, similarity
+from quarry.functions.numeric import clean_float, clean_int, similarity_4, similarity_percent_text
 from quarry.functions.text import (
     clean_text_field,
     document_text,
@@ -23,10 +23,10 @@ __all__ = [
     "hashed_tf_embedding",
     "json_safe",
     "or_default",
-    "percent_text",
     "rank_key",
     "sanitize",
-    "similarity",
+    "similarity_4",
+    "similarity_percent_text",
     "snippet",
     "strip_unicode",
     "thousands",

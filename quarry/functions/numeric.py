@@ -58,16 +58,6 @@ def clean_int(c: Column, dtype: T.DataType) -> Column:
     return F.lit(0).cast("long")
 
 
-def similarity(distance: Column, decimals: int = 4) -> Column:
-    """P19 — ``1 - distance`` rounded; null distance stays null."""
-    return F.round(F.lit(1.0) - distance, decimals)
-
-
-def percent_text(fraction: Column) -> Column:
-    """P19 — ``x*100`` with two decimals and a percent sign ("83.12%")."""
-    return F.format_string("%.2f%%", fraction * F.lit(100.0))
-
-
 def _micro(distance: Column) -> Column:
     """The integer micro-unit key of a distance reported as ``key / 1e6``."""
     return F.floor(distance * F.lit(1_000_000.0) + F.lit(0.5)).cast("long")

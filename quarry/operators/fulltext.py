@@ -38,14 +38,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.tokens import tokenize
-from quarry.functions.vectors import from_key, np_rank_key, rank_key
+from quarry.functions.vectors import from_key, np_rank_key
 from quarry.operators.topk import NO_KEY, RunningTopK, top_k_per_group
 
 # Fixed values (BM25 parameters, Robertson & Zaragoza).
 K1 = 1.2
 B = 0.75
-# Largest query vocabulary / keyword list shipped to executors in one pass.
-MAX_BROADCAST_TERMS = 200_000
+# Largest keyword list shipped to executors in one pass.
 MAX_KEYWORDS_PER_PASS = 10_000
 # Ranked text search: queries and vocabulary per pass, and the size of the
 # dense (documents x vocabulary) weight block inside a task.
@@ -55,16 +54,6 @@ DENSE_CELLS = 2_000_000
 MAX_STATS_VOCAB = 500_000
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
-
-    Beyond the bound the plain DataFrame is returned and the join falls
-    back to a shuffle (or to AQE's runtime choice).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def doc_tokens(docs: DataFrame, id_col: str = "id", text_col: str = "document", analyzer: str = "basic") -> DataFrame:
     """T1 — ``(id, tokens)``."""
     return docs.select(id_col, tokenize(F.col(text_col), analyzer).alias("tokens"))
@@ -103,54 +92,6 @@ def query_terms(queries: DataFrame, qid_col: str = "query_id", qtext_col: str =
     )
 
 
-def _query_postings(
-    docs: DataFrame,
-    vocab: DataFrame,
-    id_col: str,
-    text_col: str,
-    analyzer: str,
-    where: Column | None,
-) -> DataFrame:
-    """Postings restricted to the query vocabulary, with the candidate flag."""
-    keep = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
-    toks = docs.select(id_col, keep.alias("keep"), tokenize(F.col(text_col), analyzer).alias("tokens"))
-    exploded = toks.select(
-        id_col, "keep", F.size("tokens").cast("long").alias("dl"), F.explode("tokens").alias("term")
-    )
-    hits = exploded.join(vocab, "term", "left_semi")
-    return hits.groupBy("term", id_col, "dl", "keep").agg(F.count(F.lit(1)).alias("tf"))
-
-
-def bm25_scores(
-    docs: DataFrame,
-    queries: DataFrame,
-    id_col: str = "id",
-    text_col: str = "document",
-    qid_col: str = "query_id",
-    qtext_col: str = "query_text",
-    where: Column | None = None,
-    analyzer: str = "basic",
-    k1: float = K1,
-    b: float = B,
-) -> DataFrame:
-    """T5/T6 — every (query, candidate) with a positive BM25 score: ``(query_id, id, score_key)``."""
-    stats = corpus_stats(docs, text_col, analyzer)
-    n_docs = stats.select("n_docs").scalar()
-    avgdl = stats.select("avgdl").scalar()
-    qt = query_terms(queries, qid_col, qtext_col, analyzer)
-    vocab = checked_broadcast(qt.select("term").distinct(), MAX_BROADCAST_TERMS)
-    tf = _query_postings(docs, vocab, id_col, text_col, analyzer, where)
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5)))
-    weighted = tf.where("keep").join(dfreq.withColumn("idf", idf), "term")
-    norm_tf = (F.col("tf") * F.lit(k1 + 1.0)) / (
-        F.col("tf") + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl)
-    )
-    contrib = weighted.join(qt, "term").select(qid_col, id_col, (F.col("idf") * norm_tf).alias("s"))
-    scores = contrib.groupBy(qid_col, id_col).agg(F.sum("s").alias("score"))
-    return scores.select(qid_col, id_col, rank_key(F.col("score")).alias("score_key"))
-
-
 def _arrow_type(dt: T.DataType) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 
