@@ -23,12 +23,14 @@ from quarry.plans import scenarios  # noqa: E402
 from quarry.session import get_session  # noqa: E402
 
 # The reference's measured operations: full-text get, hybrid search and the
-# import (prepare) path, plus the semantic leg, ranked full text and the
+# import path (record preparation; collection write with typed columns,
+# postings and statistics), plus the semantic leg, ranked full text and the
 # comparison report built on them.
 HEADLINE = [
     "fulltext_get",
     "hybrid_rrf",
     "prepare_books",
+    "collection_roundtrip",
     "knn_cosine",
     "bm25_topk",
     "compare_overlap",

@@ -177,12 +177,20 @@ def add_records(
     # task), so the join against the stored ids only sees unique ids.
     ok = flagged.where(F.col("reject_reason").isNull()).drop("reject_reason")
     order_col = "_pos" if "_pos" in ok.columns else "id"
-    payload = [c for c in ok.columns if c != "id"]
-    grouped = ok.groupBy("id").agg(
-        F.min_by(F.struct(*payload), F.col(order_col)).alias("r"), F.count(F.lit(1)).alias("_n")
-    )
-    n_dups = grouped.where("_n > 1").select("id", (F.col("_n") - 1).alias("n"))
-    firsts = grouped.select("id", "r.*")
+    # Fast path: a check on the id column alone (a pruned scan, ids only in
+    # the shuffle) finds whether the batch repeats any id; only then is the
+    # payload aggregated.
+    repeats = records.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    if repeats.limit(1).count() == 0:
+        firsts = ok
+        n_dups = repeats.select("id", (F.col("_n") - 1).alias("n"))
+    else:
+        payload = [c for c in ok.columns if c != "id"]
+        grouped = ok.groupBy("id").agg(
+            F.min_by(F.struct(*payload), F.col(order_col)).alias("r"), F.count(F.lit(1)).alias("_n")
+        )
+        n_dups = grouped.where("_n > 1").select("id", (F.col("_n") - 1).alias("n"))
+        firsts = grouped.select("id", "r.*")
     if "_pos" in firsts.columns:
         firsts = firsts.drop("_pos")
     existing = _read(spark, location, "records").select("id")
@@ -200,6 +208,11 @@ def add_records(
     # by the write; the batch tag is pushed down to skip older files)
     written = _read(spark, location, "records").where(F.col("ingest_batch") == batch)
     post = build_postings(written, "id", "document", analyzer).withColumn("term_bucket", term_bucket(F.col("term"), buckets))
+    # cluster by bucket before the partitioned write: each task writes one or
+    # two bucket folders (not every bucket), and range boundaries on
+    # (term, id) split a hot bucket over several tasks
+    n_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    post = post.repartitionByRange(n_tasks, "term_bucket", "term", "id")
     post.write.mode("append").partitionBy("term_bucket").parquet(p["postings"])
     written.agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum("dl").cast("long").alias("total_terms")
