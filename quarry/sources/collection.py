@@ -72,7 +72,7 @@ def term_bucket(term: Column, buckets: int) -> Column:
 
 def _paths(location: str) -> dict[str, str]:
     base = location.rstrip("/")
-    return {k: f"{base}/{k}" for k in ("records", "postings", "stats", "properties")}
+    return {k: f"{base}/{k}" for k in ("records", "postings", "stats", "properties", "quarantine")}
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
@@ -117,6 +117,7 @@ _EMPTY_SCHEMAS = {
     "records": "id {id_type}, document string, metadata string, dl bigint, ingest_batch string",
     "postings": "term string, id {id_type}, tf bigint, dl bigint, term_bucket int",
     "stats": "n_docs bigint, total_terms bigint, ingest_batch string",
+    "quarantine": "id {id_type}, document string, metadata string, reject_reason string",
 }
 
 
@@ -144,6 +145,7 @@ def add_records(
     records: DataFrame,
     embed=None,
     typed_fields: list[str] | dict[str, str] | None = None,
+    quarantine: bool = True,
 ) -> dict[str, DataFrame]:
     """S4 — validate, de-duplicate and append records; returns ``stored`` and ``rejected``.
 
@@ -155,7 +157,8 @@ def add_records(
       counted in ``duplicates_in_batch``;
     * a winner whose id already exists in the collection is rejected as
       ``duplicate_id`` (the join sees unique ids only);
-    * postings and corpus statistics of the new rows are appended.
+    * postings and corpus statistics of the new rows are appended;
+    * rejects (with ``reject_reason``) are appended to ``quarantine/``.
     """
     props = properties(spark, location)
     p = _paths(location)
@@ -219,6 +222,12 @@ def add_records(
     ).withColumn("ingest_batch", F.lit(batch)).write.mode("append").parquet(p["stats"])
 
     rejected = flagged.where(F.col("reject_reason").isNotNull()).unionByName(dup_existing, allowMissingColumns=True)
+    if quarantine:
+        # rejects are kept, never silently dropped
+        rejected.withColumn("ingest_batch", F.lit(batch)).write.mode("append").option("mergeSchema", "true").parquet(
+            p["quarantine"]
+        )
+        rejected = _read(spark, location, "quarantine").where(F.col("ingest_batch") == batch).drop("ingest_batch")
     return {
         "stored": written,
         "rejected": rejected,

@@ -25,6 +25,8 @@ def test_create_append_info(spark):
     out2 = coll.add_records(spark, loc, docs_df(spark, [(2, "again", "{}"), (4, "new pie", "{}")]), typed_fields=["genre"])
     assert sorted(r["id"] for r in out2["stored"].collect()) == [4]
     assert [r["reject_reason"] for r in out2["rejected"].collect()] == ["duplicate_id"]
+    q = coll._read(spark, loc, "quarantine")
+    assert sorted(r["reject_reason"] for r in q.collect()) == ["duplicate_id", "not_storable"]
     info = coll.collection_info(spark, loc).first()
     assert info["name"] == "books" and info["n_records"] == 3 and info["error"] is None
     recs = coll.get_collection(spark, loc)
