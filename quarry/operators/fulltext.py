@@ -48,7 +48,7 @@ B = 0.75
 MAX_KEYWORDS_PER_PASS = 10_000
 # Ranked text search: queries and vocabulary per pass, and the size of the
 # dense (documents x vocabulary) weight block inside a task.
-MAX_QUERIES_PER_PASS = 256
+MAX_QUERIES_PER_PASS = 2048
 MAX_VOCAB_PER_PASS = 50_000
 DENSE_CELLS = 2_000_000
 MAX_STATS_VOCAB = 500_000

@@ -30,11 +30,13 @@ from quarry.functions.vectors import distance as distance_expr
 from quarry.functions.vectors import from_key, np_distances, np_rank_key, rank_key
 from quarry.operators.topk import NO_KEY, RunningTopK, top_k, top_k_per_group
 
-# Query vectors per broadcast pass (bigger batches are processed in several
-# exact passes and unioned).
-MAX_QUERIES_PER_PASS = 1024
-# Corpus rows per matrix product inside a task (bounds executor memory).
-ROWS_PER_BLOCK = 4096
+# Query vectors per broadcast pass, bounded in bytes (float64 x dim) and in
+# count; bigger batches are processed in several exact passes and unioned,
+# each pass being one scan of the corpus.
+MAX_QUERY_BYTES = 64 * 1024 * 1024
+MAX_QUERIES_PER_PASS = 131_072
+# Cells of the (queries x corpus rows) distance block inside a task.
+DIST_CELLS = 8_000_000
 def _kernel_factory(bq, k: int, metric: str, id_col: str, vec_col: str, qid_name: str, allowed=None):
     """Build the per-partition function for ``mapInPandas``.
 
@@ -57,8 +59,9 @@ def _kernel_factory(bq, k: int, metric: str, id_col: str, vec_col: str, qid_name
                 pdf = pdf[ok]
             if pdf.empty:
                 continue
-            for start in range(0, len(pdf), ROWS_PER_BLOCK):
-                block = pdf.iloc[start : start + ROWS_PER_BLOCK]
+            rows_per_block = max(1, DIST_CELLS // max(nq, 1))
+            for start in range(0, len(pdf), rows_per_block):
+                block = pdf.iloc[start : start + rows_per_block]
                 ids = block[id_col].to_numpy()
                 mat = np.stack([np.asarray(v, dtype=np.float64) for v in block[vec_col]])
                 dist = np_distances(qmat, mat, metric)
@@ -84,7 +87,8 @@ def collect_queries(queries: DataFrame, qid_col: str, qvec_col: str) -> Iterator
             continue
         ids.append(row[0])
         vecs.append(np.asarray(row[1], dtype=np.float64))
-        if len(ids) == MAX_QUERIES_PER_PASS:
+        per_pass = min(MAX_QUERIES_PER_PASS, max(1, MAX_QUERY_BYTES // (8 * max(len(vecs[0]), 1))))
+        if len(ids) >= per_pass:
             yield ids, np.stack(vecs)
             ids, vecs = [], []
     if ids:
