@@ -178,27 +178,31 @@ def add_records(
     # De-duplicate inside the batch first: an aggregate with map-side
     # ``min_by`` (a hot id shared by a third of the rows is one partial row per
     # task), so the join against the stored ids only sees unique ids.
-    ok = flagged.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    order_col = "_pos" if "_pos" in ok.columns else "id"
+    order_col = "_pos" if "_pos" in flagged.columns else "id"
     # Fast path: a check on the id column alone (a pruned scan, ids only in
     # the shuffle) finds whether the batch repeats any id; only then is the
     # payload aggregated.
     repeats = records.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     if repeats.limit(1).count() == 0:
-        firsts = ok
+        firsts = flagged  # unique ids: every row keeps its own reject reason
         n_dups = repeats.select("id", (F.col("_n") - 1).alias("n"))
     else:
+        ok = flagged.where(F.col("reject_reason").isNull())
         payload = [c for c in ok.columns if c != "id"]
         grouped = ok.groupBy("id").agg(
             F.min_by(F.struct(*payload), F.col(order_col)).alias("r"), F.count(F.lit(1)).alias("_n")
         )
         n_dups = grouped.where("_n > 1").select("id", (F.col("_n") - 1).alias("n"))
-        firsts = grouped.select("id", "r.*")
+        firsts = grouped.select("id", "r.*").unionByName(flagged.where(F.col("reject_reason").isNotNull()))
     if "_pos" in firsts.columns:
         firsts = firsts.drop("_pos")
-    existing = _read(spark, location, "records").select("id")
-    winners = firsts.join(existing, "id", "left_anti")
-    dup_existing = firsts.join(existing, "id", "left_semi").withColumn("reject_reason", F.lit("duplicate_id"))
+    # one left join against the stored ids marks every row: stored rows and
+    # rejects are two filters of the same marked plan
+    existing = _read(spark, location, "records").select("id").withColumn("_exists", F.lit(True))
+    status = F.coalesce(F.col("reject_reason"), F.when(F.col("_exists"), F.lit("duplicate_id")))
+    marked = firsts.join(existing, "id", "left").withColumn("reject_reason", status).drop("_exists")
+    winners = marked.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    rejected = marked.where(F.col("reject_reason").isNotNull())
 
     batch = uuid.uuid4().hex
     tokens = tokenize(F.col("document"), analyzer)
@@ -221,7 +225,6 @@ def add_records(
         F.count(F.lit(1)).alias("n_docs"), F.sum("dl").cast("long").alias("total_terms")
     ).withColumn("ingest_batch", F.lit(batch)).write.mode("append").parquet(p["stats"])
 
-    rejected = flagged.where(F.col("reject_reason").isNotNull()).unionByName(dup_existing, allowMissingColumns=True)
     if quarantine:
         # rejects are kept, never silently dropped
         rejected.withColumn("ingest_batch", F.lit(batch)).write.mode("append").option("mergeSchema", "true").parquet(
