@@ -565,3 +565,4 @@ SELECT doc_id AS id,
        n_chars AS n
 FROM documents"""
 SQL["csv_roundtrip"] = SQL["prepare_books"]
+SQL["collection_vector_knn"] = SQL["knn_cosine"]

@@ -399,6 +399,19 @@ def collection_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coll.collection_info(spark, build_document_collection(spark, sf_dir))
 
 
+@register
+def collection_vector_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3/S4 with vectors + V2 + S5 + V7: store records with 64-dim vectors, then kNN from storage."""
+    location = shared_dir(spark, "collection-vectors")
+    coll.create_collection(spark, location, "vectors", dimension=64, id_type="bigint", recreate=True)
+    recs = inputs.vector_collection(spark, sf_dir).select(
+        "id", "document", F.to_json(F.struct("lang", "source", "n_chars")).alias("metadata"), "embedding"
+    )
+    coll.add_records(spark, location, recs, typed_fields=DOC_FIELDS)
+    stored = coll.get_collection(spark, location)
+    return knn(stored, inputs.centroid_queries(spark, sf_dir), 5, dim=64)
+
+
 @register
 def collection_typed_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5 + P16 + F2/F4: a filter on stored typed columns (``gen_*``), pushed into the scan."""
