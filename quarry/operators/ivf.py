@@ -27,6 +27,8 @@ from quarry.operators.knn import collect_queries, knn
 
 # Most centroids shipped to the driver/broadcast (cells are a small fixed number).
 MAX_CELLS = 65_536
+# Vectors used to train the cells (a seeded sample above this).
+MAX_TRAIN_ROWS = 1_000_000
 
 
 def build_ivf(
@@ -39,13 +41,22 @@ def build_ivf(
     sample_fraction: float | None = None,
     seed: int = 42,
     max_iter: int = 20,
+    max_train_rows: int = MAX_TRAIN_ROWS,
 ) -> str:
-    """V9 build — train cells, write ``location/cells`` (partitioned) and ``location/centroids``."""
+    """V9 build — train cells, write ``location/cells`` (partitioned) and ``location/centroids``.
+
+    Centroids are trained on a seeded sample of at most ``max_train_rows``
+    vectors (or ``sample_fraction``); every vector is then assigned a cell,
+    so no row is dropped — sampling only shapes the cells.
+    """
     if n_cells > MAX_CELLS:
         raise ValueError(f"n_cells={n_cells} exceeds the centroid bound {MAX_CELLS}")
     spark = corpus.sparkSession
     feats = corpus.withColumn("_features", array_to_vector(F.col(vec_col)))
-    train = feats.sample(fraction=sample_fraction, seed=seed) if sample_fraction else feats
+    if sample_fraction is None:
+        n = corpus.select(id_col).count()
+        sample_fraction = min(1.0, max_train_rows / n) if n else 1.0
+    train = feats.sample(fraction=sample_fraction, seed=seed) if sample_fraction < 1.0 else feats
     km = KMeans(
         k=n_cells,
         featuresCol="_features",
