@@ -146,3 +146,14 @@ def test_with_row_ids_consecutive(spark):
     rows = with_row_ids(df, "pos").collect()
     assert sorted(r["pos"] for r in rows) == list(range(1000))
     assert all(r["pos"] == r["v"] for r in rows)  # scan order
+
+
+def test_read_csv_rejects_reordered_header(spark, tmp_path):
+    import pytest
+
+    from quarry.sources.raw import BOOK_SCHEMA, read_csv
+
+    p = tmp_path / "reordered.csv"
+    p.write_text("Author,Name,User Rating,Reviews,Price,Year,Genre\nBob,A,4.5,10,9.99,2019,Fiction\n")
+    with pytest.raises(Exception):
+        read_csv(spark, str(p), schema=BOOK_SCHEMA).collect()
