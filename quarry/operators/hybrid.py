@@ -123,17 +123,33 @@ def hybrid_search(
     qvec_col: str = "query_vector",
     payload: list[str] | None = None,
     c: int = RRF_K,
+    shared_scan: bool = False,
 ) -> DataFrame:
     """H1 — fused top-k per query.
 
     ``embed`` turns text into vectors (the collection's embedding function,
     V1/U1); it is applied to the collection when ``vec_col`` is absent and
-    to the queries when ``qvec_col`` is absent.
+    to the queries when ``qvec_col`` is absent.  With ``shared_scan`` (opt-in,
+    not yet shown to be faster) and both legs fitting one pass, one scan of
+    the candidates feeds both legs (``_fused_legs``); otherwise each leg
+    scans on its own.
     """
     n_text = n_text or k
     n_vector = n_vector or k
     pred = build_filter(where, collection.columns)
     text_pred = pred & document_filter(where_document, text_col)
+    if shared_scan and vec_col not in collection.columns and qvec_col not in queries.columns and embed is not None:
+        legs = _fused_legs(
+            collection, queries, n_text, n_vector, pred, document_filter(where_document, text_col), embed, metric,
+            id_col, text_col, qid_col, qtext_col,
+        )
+        if legs is not None:
+            text_leg, vec_leg = legs
+            fused = fuse_rrf([text_leg, vec_leg], ["text_rank", "vector_rank"], k, qid_col, id_col, c)
+            shown = display_order(fused, qid_col)
+            if payload:
+                shown = hydrate(shown, collection, payload, id_col, bound=queries.count() * k)
+            return shown
     text_leg = bm25_topk(collection, queries, n_text, id_col, text_col, qid_col, qtext_col, where=text_pred)
     text_leg = text_leg.withColumnRenamed("rank", "text_rank")
 
@@ -179,3 +195,140 @@ def scalar_leg(
     return queries.select(qid_col, F.posexplode(arr).alias("_pos", id_col)).select(
         qid_col, id_col, (F.col("_pos") + 1).cast("long").alias("rank")
     )
+
+
+def _fused_kernel(bc, n_text: int, n_vec: int, metric: str, id_col: str, qid_col: str, qid_type, id_type):
+    """Both legs from one Arrow batch: BM25 blocks over the tokens, distances over the embeddings."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from quarry.functions.vectors import np_distances, np_rank_key
+    from quarry.operators.fulltext import DENSE_CELLS, _term_codes
+    from quarry.operators.topk import NO_KEY, RunningTopK
+
+    def kernel(batches):
+        vocab_list, idf, tq, qterm_idx, avgdl, k1, b, vq, qmat = bc.value
+        vocab = pa.array(vocab_list, type=pa.string())
+        nv = len(vocab_list)
+        qflat = np.concatenate(qterm_idx) if qterm_idx else np.empty(0, dtype=np.int64)
+        offsets = np.cumsum([0] + [len(t) for t in qterm_idx])[:-1]
+        best_t = RunningTopK(len(tq), n_text)
+        best_v = RunningTopK(len(vq), n_vec)
+        dim = qmat.shape[1]
+        rows_per_block = max(1, DENSE_CELLS // max(nv, len(qflat), 1))
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            ids = rb.column(0).to_numpy(zero_copy_only=False)
+            # vector leg: every candidate with a well-formed embedding
+            emb = rb.column(3)
+            lens = pc.fill_null(pc.list_value_length(emb), -1).to_numpy(zero_copy_only=False)
+            ok = lens == dim
+            if ok.any():
+                flat = pc.list_flatten(pc.filter(emb, pa.array(ok))).to_numpy(zero_copy_only=False)
+                mat = flat.astype(np.float64).reshape(int(ok.sum()), dim)
+                dist = np_distances(qmat, mat, metric)
+                keys = np.where(np.isnan(dist), NO_KEY, np_rank_key(np.nan_to_num(dist, nan=0.0)))
+                best_v.offer_block(keys, ids[ok])
+            # text leg: candidates passing the document filter
+            if len(tq):
+                text_ok = pc.fill_null(rb.column(1), False).to_numpy(zero_copy_only=False)
+                rows, cols, lengths = _term_codes(rb.column(2), vocab)
+                keep = text_ok[rows] if len(rows) else np.empty(0, dtype=bool)
+                rows, cols = rows[keep], cols[keep]
+                if len(rows):
+                    pairs, tf = np.unique(rows * nv + cols, return_counts=True)
+                    r, v = pairs // nv, pairs % nv
+                    dl = lengths[r].astype(np.float64)
+                    w = idf[v] * (tf * (k1 + 1.0)) / (tf + k1 * (1.0 - b + b * dl / avgdl))
+                    for start in range(0, rb.num_rows, rows_per_block):
+                        stop = min(start + rows_per_block, rb.num_rows)
+                        lo, hi = np.searchsorted(r, [start, stop])
+                        if lo == hi:
+                            continue
+                        dense = np.zeros((stop - start, nv))
+                        dense[r[lo:hi] - start, v[lo:hi]] = w[lo:hi]
+                        scores = np.add.reduceat(dense[:, qflat], offsets, axis=1)
+                        tkeys = np.where(scores > 0, -np_rank_key(scores), NO_KEY)
+                        best_t.offer_block(tkeys.T, ids[start:stop])
+        legs, out_q, out_id, out_k = [], [], [], []
+        for leg, best, qids, sign in (("text", best_t, tq, -1), ("vector", best_v, vq, 1)):
+            q_, i_, k_ = best.rows(qids)
+            legs.extend([leg] * len(q_))
+            out_q.extend(q_)
+            out_id.extend(i_)
+            out_k.extend([sign * x for x in k_])
+        if out_q:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(legs, type=pa.string()), pa.array(out_q, type=qid_type), pa.array(out_id, type=id_type),
+                 pa.array(out_k, type=pa.int64())],
+                names=["leg", qid_col, id_col, "key"],
+            )
+
+    return kernel
+
+
+def _fused_legs(collection, queries, n_text, n_vector, pred, doc_pred, embed, metric, id_col, text_col, qid_col, qtext_col):
+    """One scan for both legs when each fits a single pass; ``None`` otherwise."""
+    import math
+
+    import numpy as np
+    from pyspark.sql import types as T
+
+    from quarry.functions.tokens import tokenize
+    from quarry.functions.vectors import from_key
+    from quarry.operators import fulltext as ft
+    from quarry.operators import knn as kn
+
+    spark = collection.sparkSession
+    passes = ft._query_term_passes(queries, qid_col, qtext_col, "basic")
+    first = next(passes, None)
+    if next(passes, None) is not None:
+        return None
+    vec_passes = kn.collect_queries(queries.withColumn("_qv", embed(F.col(qtext_col))), qid_col, "_qv")
+    vfirst = next(vec_passes, None)
+    if vfirst is None or next(vec_passes, None) is not None:
+        return None
+    chunk = first or []
+    vocab = sorted({t for _, terms in chunk for t in terms})
+    if vocab:
+        n_docs, avgdl, dfs = ft.vocabulary_stats(collection, text_col, "basic", vocab)
+    else:
+        n_docs, avgdl, dfs = 0, 0.0, {}
+    if n_docs == 0:
+        chunk, vocab = [], []
+    pos = {t: i for i, t in enumerate(vocab)}
+    idf = np.array([math.log(1.0 + (n_docs - dfs.get(t, 0) + 0.5) / (dfs.get(t, 0) + 0.5)) for t in vocab])
+    tq = [q for q, _ in chunk]
+    qterm_idx = [np.array([pos[t] for t in terms], dtype=np.int64) for _, terms in chunk]
+    vq, qmat = vfirst
+    bc = spark.sparkContext.broadcast((vocab, idf, tq, qterm_idx, float(avgdl), ft.K1, ft.B, vq, qmat))
+    schema = T.StructType(
+        [T.StructField("leg", T.StringType()), T.StructField(qid_col, queries.schema[qid_col].dataType),
+         T.StructField(id_col, collection.schema[id_col].dataType), T.StructField("key", T.LongType())]
+    )
+    toks = tokenize(F.col(text_col), "basic")
+    src = collection.where(pred).select(
+        id_col, F.coalesce(doc_pred, F.lit(False)).alias("_text_ok"), toks.alias("_t"), embed(F.col(text_col)).alias("_v")
+    )
+    kernel = _fused_kernel(
+        bc, n_text, n_vector, metric, id_col, qid_col,
+        ft._arrow_type(schema[qid_col].dataType), ft._arrow_type(schema[id_col].dataType),
+    )
+    cand = src.mapInArrow(kernel, schema)
+    # One ranking over (leg, query): a single exchange, reused by both legs.
+    # The group is a struct so the legs' filters are not pushed below the
+    # window (which would give two different plans and run the scan twice).
+    sort_key = F.when(F.col("leg") == "text", -F.col("key")).otherwise(F.col("key"))
+    ranked = top_k_per_group(
+        cand.withColumn("_sort", sort_key), [F.struct("leg", qid_col)], [F.col("_sort").asc(), F.col(id_col).asc()],
+        max(n_text, n_vector), "_r",
+    )
+    text = ranked.where((F.col("leg") == "text") & (F.col("_r") <= n_text)).select(
+        qid_col, id_col, from_key(F.col("key")).alias("score"), F.col("_r").alias("text_rank")
+    )
+    vec = ranked.where((F.col("leg") == "vector") & (F.col("_r") <= n_vector)).select(
+        qid_col, id_col, from_key(F.col("key")).alias("distance"), F.col("_r").alias("vector_rank")
+    )
+    return text, vec

@@ -18,7 +18,7 @@ NO_KEY = np.iinfo(np.int64).max
 
 def top_k_per_group(
     df: DataFrame,
-    group_cols: list[str],
+    group_cols: list[str | Column],
     order_cols: list[Column],
     k: int,
     rank_col: str = "rank",
