@@ -241,7 +241,7 @@ class Encoder:
 
     def __init__(self, model: PieceModel):
         self.model = model
-        self.cache: dict[str, np.ndarray] = {}
+        self.cache: dict[str, bytes] = {}  # ids as 32-bit integers
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         parts = [self.model.split(t) for t in texts]
@@ -250,9 +250,9 @@ class Encoder:
             self.cache = {}
             new = list({w for p in parts for w in p})
         for w, ids in zip(new, self.model.encode_words(new)):
-            self.cache[w] = ids.astype(np.int32)
+            self.cache[w] = ids.astype(np.int32).tobytes()
         get = self.cache.__getitem__
-        return [np.concatenate(list(map(get, p))) if p else np.zeros(0, np.int32) for p in parts]
+        return [np.frombuffer(b"".join(map(get, p)), dtype=np.int32) for p in parts]
 
 
 def _groups(texts: list, limit: int = 1 << 19) -> Iterator[list[str]]:

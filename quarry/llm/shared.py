@@ -150,3 +150,37 @@ def shingle_hashes(words: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np
     row = np.concatenate([rows[full], short])
     order = np.argsort(row, kind="stable")
     return out[order], row[order]
+
+
+def line_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    r"""(starts, ends, row) of the lines between ``\n``; every row has at least one line."""
+    breaks = np.flatnonzero(data == 10)
+    owner = np.searchsorted(offsets, breaks, side="right") - 1
+    starts = np.concatenate([offsets[:-1], breaks + 1])
+    rows = np.concatenate([np.arange(len(offsets) - 1), owner])
+    order = np.lexsort((starts, rows))
+    starts, rows = starts[order], rows[order]
+    last = np.r_[rows[1:] != rows[:-1], True] if len(rows) else np.zeros(0, bool)
+    ends = np.where(last, offsets[1:][rows], np.r_[starts[1:] - 1, 0] if len(rows) else starts)
+    return starts, ends, rows
+
+
+def sequence_hashes(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of every run ``values[begin:end]`` of 64-bit values, in order."""
+    p, q = _power_tables(len(values))
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * p[: len(values)], out=sums[1:])
+    return mix((sums[end] - sums[begin]) * q[begin] ^ ((end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+
+
+def repeated(rows: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """For each element: how many elements of the same row have its value, and whether an earlier one has."""
+    order = np.lexsort((np.arange(len(rows)), values, rows))
+    r, v = rows[order], values[order]
+    first = np.r_[True, (r[1:] != r[:-1]) | (v[1:] != v[:-1])] if len(r) else np.zeros(0, bool)
+    group = np.cumsum(first) - 1
+    size = np.bincount(group) if len(r) else np.zeros(0, int)
+    out = np.zeros((2, len(rows)), dtype=np.int64)
+    out[0, order] = size[group] if len(r) else 0
+    out[1, order] = ~first
+    return out
