@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from quarry.llm import chat_format, line_quality, warc
+from quarry.llm import chat_format, line_quality, minhash_dedup, warc
 from quarry.llm.language_ppm import op9_language
 from quarry.llm.sentencepiece_bpe import op3_sentencepiece
 
 QUERIES = {
+    "op1_minhash": minhash_dedup.op1_minhash,
     "op2_line_quality": line_quality.op2_line_quality,
     "op3_sentencepiece": op3_sentencepiece,
     "op5_warc": warc.op5_warc,
@@ -14,7 +15,7 @@ QUERIES = {
     "op9_language": op9_language,
 }
 
-#: Operators 3, 9 (tokens, statistics learned in Spark) have no SQL form; tests hold them against brute force.
+#: Operators 1, 3, 9 (components of verified links, merges, trained statistics) have no SQL form; tests hold them against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op2_line_quality": line_quality.ORACLE,
     "op5_warc": warc.ORACLE,
