@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import chat_format, line_quality, minhash_dedup, warc
+from quarry.llm import chat_format, decontaminate, line_quality, minhash_dedup, warc
 from quarry.llm.language_ppm import op9_language
 from quarry.llm.sentencepiece_bpe import op3_sentencepiece
 
@@ -12,10 +12,11 @@ QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op5_warc": warc.op5_warc,
     "op6_chat": chat_format.op6_chat,
+    "op7_decontaminate": decontaminate.op7_decontaminate,
     "op9_language": op9_language,
 }
 
-#: Operators 1, 3, 9 (components of verified links, merges, trained statistics) have no SQL form; tests hold them against brute force.
+#: Operators 1, 3, 7, 9 (components of verified links, merges, spans, trained statistics) have no SQL form; tests hold them against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op2_line_quality": line_quality.ORACLE,
     "op5_warc": warc.ORACLE,
