@@ -18,16 +18,26 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text handled at once by the numpy kernels (a longer single text is one chunk).
 CHUNK_BYTES = 1 << 21
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors.
+
+    The shuffle files of the write are of no further use, so Spark is asked to remove them when it ends.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

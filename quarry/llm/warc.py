@@ -126,7 +126,8 @@ def write_archives(pages: DataFrame, folder: str, date: str = WARC_DATE) -> Data
 def read_records(index: DataFrame, folder: str) -> DataFrame:
     """(page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to) of the records in ``index``."""
     part = F.floor(F.col("offset") / READ_BYTES).alias("part")
-    rows = index.select("file", part, "offset", "length").repartition("file", "part").sortWithinPartitions("file", "offset")
+    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # index rows are few bytes, what they name is not
+    rows = index.select("file", part, "offset", "length").repartition(tasks, "file", "part").sortWithinPartitions("file", "offset")
     schema = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
     def number(field: str | None) -> int | None:
