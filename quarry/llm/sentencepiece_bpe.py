@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +36,24 @@ from quarry.llm.shared import revived, table
 SPACE = "▁"
 NO_RANK = np.int64(1 << 40)
 #: Encoded words kept per task; the memory bound of the cache, not of the result.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 250_000
+
+
+def _hash_levels(keys: np.ndarray, ranks: np.ndarray, bits: int = 18) -> list[tuple]:
+    """Lookup tables (multiplier, shift, keys by slot, ranks by slot); keys that lose their slot go to the next table."""
+    levels = []
+    mult = 0x9E3779B97F4A7C15
+    while len(keys):
+        mult = (mult * 0xD1342543DE82EF95 + 2) & ((1 << 64) - 1) | 1
+        slot = (keys.view(np.uint64) * np.uint64(mult)) >> np.uint64(64 - bits)
+        _, first = np.unique(slot, return_index=True)
+        by_key, by_rank = np.full(1 << bits, -1, dtype=np.int64), np.zeros(1 << bits, dtype=np.int64)
+        by_key[slot[first]], by_rank[slot[first]] = keys[first], ranks[first]
+        levels.append((np.uint64(mult), np.uint64(64 - bits), by_key, by_rank))
+        rest = np.ones(len(keys), dtype=bool)
+        rest[first] = False
+        keys, ranks, bits = keys[rest], ranks[rest], max(12, bits - 3)
+    return levels
 
 
 class PieceModel:
@@ -63,7 +81,7 @@ class PieceModel:
         if len(order) != len(inner):
             raise ValueError("two pieces share a score")
         self.width = self.size + len(extra) + 1
-        keys, ranks, made = [], [], []
+        keys, ranks = [], []
         follow = np.full(self.width, NO_RANK)
         for p, i in inner.items():
             for cut in range(1, len(p)):
@@ -71,12 +89,10 @@ class PieceModel:
                 if a is not None and b is not None:
                     keys.append(a * self.width + b)
                     ranks.append(rank[i])
-                    made.append(i)
                 for part in (a, b):
                     if part is not None:
                         follow[part] = min(follow[part], rank[i])
-        at = np.argsort(np.array(keys))
-        self.keys, self.ranks, self.made = np.array(keys)[at], np.array(ranks)[at], np.array(made)[at]
+        self.levels = _hash_levels(np.array(keys, dtype=np.int64), np.array(ranks, dtype=np.int64))
         self.unsafe = np.zeros(len(inner), dtype=bool)  # by rank: the joined piece may have a better pair
         self.piece_of_rank = np.zeros(len(inner), dtype=np.int64)
         for i, r in rank.items():
@@ -130,9 +146,12 @@ class PieceModel:
         if len(sym) < 2:
             return out
         key = np.where((word[1:] == word[:-1]) & (sym[:-1] >= 0) & (sym[1:] >= 0), sym[:-1] * self.width + sym[1:], -1)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        hit = self.keys[at] == key
-        out[:-1][hit] = self.ranks[at[hit]]
+        at = np.flatnonzero(key >= 0)
+        key = key[at]
+        for mult, shift, keys, ranks in self.levels:
+            slot = (key.view(np.uint64) * mult) >> shift
+            hit = np.flatnonzero(keys[slot] == key)
+            out[at[hit]] = ranks[slot[hit]]
         return out
 
     def encode_words(self, words: list[str]) -> list[np.ndarray]:
@@ -255,17 +274,15 @@ class Encoder:
         return [np.frombuffer(b"".join(map(get, p)), dtype=np.int32) for p in parts]
 
 
-def _groups(texts: list, limit: int = 1 << 19) -> Iterator[list[str]]:
-    """Consecutive texts of about ``limit`` characters together."""
-    group, size = [], 0
-    for t in texts:
-        group.append(t or "")
-        size += len(group[-1])
-        if size >= limit:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
+def _groups(column: pa.Array, limit: int = 1 << 19) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of consecutive rows with about ``limit`` bytes together; null is empty."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(column):
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield at, [t or "" for t in column.slice(at, end - at).to_pylist()]
+        at = end
 
 
 def encode_documents(df: DataFrame, model: PieceModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -278,12 +295,10 @@ def encode_documents(df: DataFrame, model: PieceModel, text: str = "text", keep:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder(revived(PieceModel, shipped.value))
         for batch in batches:
-            at = 0
-            for group in _groups(batch.column(0).to_pylist()):
+            for at, group in _groups(batch.column(0)):
                 ids = enc.encode(group)
                 cols = [pa.array(ids, pa.list_(pa.int32())), pa.array([enc.model.decode(i) for i in ids], pa.string())]
                 rest = batch.slice(at, len(group))
-                at += len(group)
                 yield pa.RecordBatch.from_arrays([*cols, *rest.columns[1:]], names=["ids", "decoded", *rest.schema.names[1:]])
 
     out = slim.mapInArrow(run, schema)
