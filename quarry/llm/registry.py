@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import chat_format, decontaminate, line_dedup, line_quality, minhash_dedup, warc
+from quarry.llm import chat_format, decontaminate, line_dedup, line_quality, minhash_dedup, site_style, warc
 from quarry.llm.language_ppm import op9_language
 from quarry.llm.sentencepiece_bpe import op3_sentencepiece
 
@@ -15,9 +15,10 @@ QUERIES = {
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_language": op9_language,
+    "op10_main_text": site_style.op10_main_text,
 }
 
-#: Operators 1, 3, 7, 8, 9 (components of verified links, merges, spans, trained statistics) have no SQL form; tests hold them against brute force.
+#: Operators 1, 3, 7, 8, 9, 10 (components of verified links, merges, spans, DOM trees, trained statistics) have no SQL form; tests hold them against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op2_line_quality": line_quality.ORACLE,
     "op5_warc": warc.ORACLE,
