@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import chat_format, decontaminate, line_dedup, line_quality, minhash_dedup, site_style, warc
+from quarry.llm import chat_format, decontaminate, line_dedup, line_quality, minhash_dedup, pitman_yor, site_style, warc
 from quarry.llm.language_ppm import op9_language
 from quarry.llm.sentencepiece_bpe import op3_sentencepiece
 
@@ -10,6 +10,7 @@ QUERIES = {
     "op1_minhash": minhash_dedup.op1_minhash,
     "op2_line_quality": line_quality.op2_line_quality,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_pitman_yor": pitman_yor.op4_pitman_yor,
     "op5_warc": warc.op5_warc,
     "op6_chat": chat_format.op6_chat,
     "op7_decontaminate": decontaminate.op7_decontaminate,
@@ -18,7 +19,7 @@ QUERIES = {
     "op10_main_text": site_style.op10_main_text,
 }
 
-#: Operators 1, 3, 7, 8, 9, 10 (components of verified links, merges, spans, DOM trees, trained statistics) have no SQL form; tests hold them against brute force.
+#: Operators 1, 3, 4, 7, 8, 9, 10 (components of verified links, merges, spans, DOM trees, trained statistics) have no SQL form; tests hold them against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op2_line_quality": line_quality.ORACLE,
     "op5_warc": warc.ORACLE,
