@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.llm.shared import in_fold, revived, table, text_chunks
 
@@ -42,8 +43,11 @@ UND = "und"
 def sample_rows(train: DataFrame, rows_per_lang: int = ROWS_PER_LANG) -> DataFrame:
     """(lang, text): per language the rows of smallest id hash; ids are ranked without their texts."""
     labelled = train.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.select("lang", "doc_id").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rows_per_lang)
+    chosen = labelled.select("lang", "doc_id", F.xxhash64("doc_id").alias("hash"))
+    # first within 64 slices of a language, then among their winners: no task sees more than a slice's candidates
+    for keys in (["lang", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(64))], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy("hash", "doc_id")
+        chosen = chosen.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rows_per_lang).drop("rank")
     chosen = chosen.select("lang", "doc_id").distinct()  # at most languages x rows_per_lang ids
     return labelled.select("lang", "doc_id", "text").join(F.broadcast(chosen), ["lang", "doc_id"], "left_semi").select("lang", "text")
 
@@ -151,12 +155,16 @@ def train(rows: DataFrame, rows_per_lang: int = ROWS_PER_LANG, order: int = ORDE
     return ContextTrees(langs, lang, got["gram"].to_numpy(dtype=np.int64), got["n"].to_numpy(dtype=float), order)
 
 
-def identify(df: DataFrame, trees: ContextTrees, text: str = "text") -> DataFrame:
-    """``df`` without ``text`` plus lang_pred, score (posterior under equal priors), bits_per_byte of the best language."""
+def identify(df: DataFrame, trees: ContextTrees, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Columns ``keep`` (default: all but ``text``) plus lang_pred, score (posterior under equal priors), bits_per_byte of the best language.
+
+    An input column with an output's name gives way to the output.
+    """
     shipped = df.sparkSession.sparkContext.broadcast(vars(trees))  # bounded by the sample
-    keep = [c for c in df.columns if c != text]
-    slim = df.select(F.col(text).alias("__text"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("__letter"), *[F.col(c).alias(f"k_{c}") for c in keep])
-    kept_types = [f"`k_{c}` {slim.schema[f'k_{c}'].dataType.simpleString()}" for c in keep]
+    made = ("lang_pred", "score", "bits_per_byte")
+    keep = [c for c in (keep or df.columns) if c not in (text, *made)]
+    slim = df.select(F.col(text).alias("t"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("letter"), *[F.col(f"`{c}`").alias(f"k_{c}") for c in keep])
+    schema = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits_per_byte", T.DoubleType()), *slim.schema.fields[2:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = revived(ContextTrees, shipped.value)
@@ -178,8 +186,8 @@ def identify(df: DataFrame, trees: ContextTrees, text: str = "text") -> DataFram
                 best[~letter], score[~letter] = len(model.langs), 0.0
             yield pa.RecordBatch.from_arrays([pa.array(names[best], pa.string()), pa.array(score), pa.array(per_byte), *batch.columns[2:]], names=["lang_pred", "score", "bits_per_byte", *batch.schema.names[2:]])
 
-    out = slim.mapInArrow(run, ", ".join(["lang_pred string", "score double", "bits_per_byte double", *kept_types]))
-    return out.select(*[F.col(f"k_{c}").alias(c) for c in keep], "lang_pred", "score", "bits_per_byte")
+    out = slim.mapInArrow(run, schema)
+    return out.select(*[F.col(f"`k_{c}`").alias(c) for c in keep], *made)
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:

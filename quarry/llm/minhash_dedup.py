@@ -208,7 +208,11 @@ def estimated_pairs(rows: DataFrame, least: float) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, class_id) per row of ``df`` (columns doc_id, text)."""
+    """(doc_id, node, class_id, stays) per row of ``df`` (columns doc_id, text).
+
+    ``node`` is the text's digest (null without words); ``stays`` marks the class's row of
+    smallest doc_id (null last), then node; rows that repeat both stay together.
+    """
     members = signatures(df)
     nodes = members.select("node", "bands", "sig").dropDuplicates(["node"])
     entries = nodes.select("node", F.explode("bands").alias("key"))
@@ -243,12 +247,27 @@ def near_duplicates(df: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     alone = second.join(first, "node", "left_anti").select("node", "component")
     final = written(final.unionByName(alone), "op1-components")
 
-    classed = written(members.select("node", "doc_id").join(final, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component")), "op1-classed")
-    named = written(classed.groupBy("component").agg(F.min("doc_id").alias("class_id")), "op1-named")
-    out = classed.join(named, "component").select("doc_id", "class_id")
-    wordless = df.where(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))).select("doc_id", F.col("doc_id").alias("class_id"))
-    return out.unionByName(wordless)
+    classed = members.select("node", "doc_id").join(final, "node", "left").select("doc_id", "node", F.coalesce("component", "node").alias("component"))
+    classed = written(classed, "op1-classed")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node")
+    named = written(classed.groupBy("component").agg(F.min(order).alias("first")), "op1-named")
+    out = classed.join(named, "component").select("doc_id", "node", F.col("first.doc_id").alias("class_id"), (order == F.col("first")).alias("stays"))
+    wordless = df.where(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    return out.unionByName(wordless.select("doc_id", F.lit(None).cast("binary").alias("node"), F.col("doc_id").alias("class_id"), F.lit(True).alias("stays")))
+
+
+def one_per_class(df: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``df`` that stay: one of each class (a repeated row once), and all rows without words."""
+    keep = written(near_duplicates(df.select("doc_id", "text"), similarity).where("stays and node is not null").groupBy("doc_id", "node").agg(F.count("*").alias("n")), "op1-stays")
+    rows = df.select(F.struct("*").alias("doc"), F.unhex(F.md5("text")).alias("digest"))
+
+    def chosen(part: DataFrame) -> DataFrame:
+        return rows.join(part, (F.col("digest") == F.col("node")) & F.col("doc.doc_id").eqNullSafe(F.col("doc_id")), "left_semi")
+
+    again = chosen(keep.where("n > 1")).select("doc", "digest", F.col("doc.doc_id").alias("id")).dropDuplicates(["id", "digest"]).select("doc")
+    wordless = rows.where(~F.coalesce(F.col("doc.text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))).select("doc")
+    return chosen(keep.where("n = 1")).select("doc").union(again).union(wordless).select("doc.*")
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id")
