@@ -30,6 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.llm.shared import revived, table
 
@@ -286,11 +287,14 @@ def _groups(column: pa.Array, limit: int = 1 << 19) -> Iterator[tuple[int, list[
 
 
 def encode_documents(df: DataFrame, model: PieceModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Columns ``keep`` (default: all but ``text``) plus ``ids array<int>`` and ``decoded string``."""
-    keep = [c for c in df.columns if c != text] if keep is None else keep
+    """Columns ``keep`` (default: all but ``text``) plus ``ids array<int>`` and ``decoded string``.
+
+    An input column with an output's name gives way to the output.
+    """
+    keep = [c for c in (keep or df.columns) if c not in (text, "ids", "decoded")]
     shipped = df.sparkSession.sparkContext.broadcast(vars(model))  # a vocabulary file: fixed size
-    slim = df.select(F.col(text).alias("__text"), *[F.col(c).alias(f"k_{c}") for c in keep])
-    schema = ", ".join(["ids array<int>", "decoded string", *[f"`k_{c}` {slim.schema[f'k_{c}'].dataType.simpleString()}" for c in keep]])
+    slim = df.select(F.col(text).alias("t"), *[F.col(f"`{c}`").alias(f"k_{c}") for c in keep])
+    schema = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType()), *slim.schema.fields[1:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder(revived(PieceModel, shipped.value))
@@ -302,7 +306,7 @@ def encode_documents(df: DataFrame, model: PieceModel, text: str = "text", keep:
                 yield pa.RecordBatch.from_arrays([*cols, *rest.columns[1:]], names=["ids", "decoded", *rest.schema.names[1:]])
 
     out = slim.mapInArrow(run, schema)
-    return out.select("ids", "decoded", *[F.col(f"k_{c}").alias(c) for c in keep])
+    return out.select(*[F.col(f"`k_{c}`").alias(c) for c in keep], "ids", "decoded")
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
