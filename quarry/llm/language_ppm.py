@@ -121,7 +121,7 @@ class ContextTrees:
                 lookup[rows] = len(cost) + np.arange(len(rows))
                 cost = np.concatenate([cost, here])
                 self.context = lookup.astype(np.int32)
-        self.cost = cost.reshape(-1, count).astype(np.float32)
+        self.cost = cost.reshape(cost.shape[0] * a, count).astype(np.float32)
 
     def _row(self, codes: np.ndarray, k: int) -> np.ndarray:
         return self.context[codes].astype(np.int64) if k > 0 else np.zeros(len(codes), dtype=np.int64)
