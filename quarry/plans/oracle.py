@@ -434,7 +434,7 @@ FROM t JOIN docs d ON d.id = t.id"""
 
 TIMINGS = """
 timings AS (SELECT user_id AS query, event_type AS method, value AS seconds
-            FROM events WHERE event_type IN ('click', 'view'))"""
+            FROM events)"""
 STATS = """
 stats AS (SELECT query, method, round(avg(seconds), 9) AS avg, min(seconds) AS min, max(seconds) AS max,
                  round(sum(seconds), 9) AS total, count(seconds) AS n FROM timings GROUP BY query, method)"""
@@ -442,7 +442,8 @@ SQL["timing_stats"] = f"WITH {TIMINGS}, {STATS} SELECT * FROM stats"
 SQL["timing_side_by_side"] = f"""
 WITH {TIMINGS},
 p AS (SELECT query, round(avg(seconds) FILTER (WHERE method = 'click'), 9) AS base_avg,
-             round(avg(seconds) FILTER (WHERE method = 'view'), 9) AS other_avg FROM timings GROUP BY query),
+             round(avg(seconds) FILTER (WHERE method = 'view'), 9) AS other_avg FROM timings
+      WHERE method IN ('click', 'view') GROUP BY query),
 d AS (SELECT *, round(coalesce(CASE WHEN base_avg > 0 THEN (other_avg - base_avg) / base_avg * 100.0e0 ELSE 0.0e0 END, 0.0e0), 9) AS diff_pct FROM p)
 SELECT query, base_avg, other_avg, diff_pct, CASE WHEN diff_pct > 0 THEN 'click' ELSE 'view' END AS faster,
        abs(diff_pct) AS diff_abs_pct
@@ -490,6 +491,8 @@ UNION ALL SELECT id, 'reviews_gte' FROM records WHERE reviews >= 1000
 UNION ALL SELECT id, 'price_range_rating' FROM records WHERE price >= 950 AND price <= 960 AND user_rating >= 4.5"""
 SQL["ivf_knn_all_cells"] = SQL["knn_cosine"]
 SQL["stream_ingest_books"] = SQL["prepare_books"]
+SQL["stream_duplicates"] = """
+SELECT 2 * count(*) AS n_input, count(DISTINCT event_id) AS n_kept, 2 * count(*) - count(DISTINCT event_id) AS n_copies FROM events"""
 SQL["stream_dedupe_events"] = """
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts_text, user_id, event_type, value
 FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts) AS rn FROM events) WHERE rn = 1"""

@@ -43,14 +43,18 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh sub-folder of the cluster's shared checkpoint folder.
 
     The folder comes from ``spark.checkpoint.dir`` (or the context's
-    checkpoint dir).  Only when neither is set (unit tests on a laptop) is a
-    private temporary folder created and registered as the checkpoint dir.
+    checkpoint dir).  Only when neither is set and Spark runs in one process
+    (``local[...]``: tests, bench) is a temporary folder created and registered
+    as the checkpoint dir; on a cluster, where executors could not see it, that
+    is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         ctx_dir = spark.sparkContext.getCheckpointDir()
         base = ctx_dir
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     if spark.sparkContext.getCheckpointDir() is None:

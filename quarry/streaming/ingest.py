@@ -1,40 +1,91 @@
 """Incremental ingest with Structured Streaming.
 
-The reference appends prepared records in batches of 100 and skips records
-that fail; here a file-stream source feeds the same preparation plan, and
-every micro-batch is appended idempotently in ``foreachBatch``:
-
-* rows whose key already exists in the target are skipped (anti join
-  against the stored keys: a retried micro-batch writes nothing twice);
-* within a micro-batch the first row per key wins (map-side ``min_by``);
-* the checkpoint lives in the cluster's shared checkpoint folder.
-
-For event streams with an event-time column, ``dedupe_events`` uses a
-watermark and ``dropDuplicatesWithinWatermark`` so that the dedupe state
-is bounded by the watermark, not by the stream's history.
+A file-stream source feeds a preparation plan, and every micro-batch is
+written once, by ``foreachBatch``, to a folder of its own below the target:
+
+    rows/run=<checkpoint>/epoch=<batch id>/
+
+A repeated micro-batch overwrites its own folder, so nothing is stored twice
+and nothing is lost whatever the order of the files; no micro-batch reads what
+earlier ones wrote, so the total work follows the input.  Every row is kept:
+``ingested`` returns the first row of each key and ``duplicates`` all others.
+The checkpoint lives in the cluster's shared folder.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.session import shared_dir
 
+PLACE = ("run", "epoch")
+
+
+def _stored(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.option("basePath", f"{target}/rows").parquet(f"{target}/rows")
+
+
+def _order(rows: DataFrame, key: str, order_cols: list[str]) -> Column:
+    """A total order of the copies of a key: ``order_cols``, then every other column."""
+    rest = [c for c in rows.columns if c not in (key, *order_cols, *PLACE, "copies")]
+    return F.struct(*order_cols, *rest)
+
+
+def _first(rows: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
+    """The first copy of each key; ``min`` combines map-side, so a hot key is one partial row per task."""
+    least = rows.groupBy(key).agg(F.min(_order(rows, key, order_cols)).alias("first"))
+    return least.select(key, "first.*")
+
 
-def _append_new(batch: DataFrame, target: str, key: str, order_col: str | None) -> None:
-    spark = batch.sparkSession
-    payload = [c for c in batch.columns if c != key]
-    order = F.col(order_col) if order_col else F.col(key)
-    firsts = batch.groupBy(key).agg(F.min_by(F.struct(*payload), order).alias("_r")).select(key, "_r.*")
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(target)
-    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        existing = spark.read.parquet(target).select(key)
-        firsts = firsts.join(existing, key, "left_anti")
-    firsts.write.mode("append").parquet(target)
+def ingested(spark: SparkSession, target: str, key: str = "id", order_cols: list[str] | None = None) -> DataFrame:
+    """The first row of every key (by ``order_cols``, then all columns) in ``target``."""
+    rows = _stored(spark, target).drop(*PLACE)
+    columns = [c for c in rows.columns if c != "copies"]
+    return _first(rows.select(columns), key, order_cols or []).select(columns)
+
+
+def duplicates(spark: SparkSession, target: str, key: str = "id") -> DataFrame:
+    """``(key, copies)``: how many rows beyond the first every repeated key has."""
+    return _stored(spark, target).groupBy(key).agg((F.sum("copies") - 1).alias("copies")).where("copies > 0")
+
+
+def _run_files(
+    spark: SparkSession,
+    source_dir: str,
+    file_glob: str,
+    schema,
+    prepare: Callable[[DataFrame], DataFrame],
+    target: str,
+    max_bytes_per_trigger: int | None,
+    max_files_per_trigger: int | None,
+    checkpoint: str,
+    on_progress: Callable[[dict], None] | None,
+) -> None:
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+    if max_bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    run = hashlib.md5(checkpoint.encode()).hexdigest()
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        seen = Observation(f"ingest-{epoch}")
+        rows = batch.observe(seen, F.count(F.lit(1)).alias("n_input")) if on_progress else batch
+        # equal rows become one with a count: a map-side combine, nothing is lost
+        packed = rows.groupBy(*[F.col(f"`{c}`") for c in rows.columns]).agg(F.count(F.lit(1)).alias("copies"))
+        packed.write.mode("overwrite").parquet(f"{target}/rows/run={run}/epoch={epoch}")
+        if on_progress and seen.get.get("n_input", 0):  # empty batches are not reported
+            on_progress({"batch_id": epoch, "n_input": seen.get["n_input"]})
+
+    query = prepare(reader.parquet(source_dir)).writeStream.foreachBatch(write)
+    query = query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
 
 
 def ingest_files(
@@ -46,45 +97,23 @@ def ingest_files(
     target: str,
     key: str = "id",
     order_col: str | None = None,
-    max_files_per_trigger: int = 1,
+    max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = 4 << 30,
     checkpoint: str | None = None,
     on_progress: Callable[[dict], None] | None = None,
 ) -> DataFrame:
-    """S6 — stream files through ``prepare`` into ``target``; returns the final table.
+    """S6 — stream files through ``prepare`` into ``target``; returns the first row of every key.
 
     Runs with ``trigger(availableNow=True)``: every file present at start is
-    processed in bounded micro-batches, then the query stops.
+    processed in micro-batches bounded by bytes, then the query stops.
     ``on_progress`` (U2) receives ``{"batch_id", "n_input"}`` per non-empty
     micro-batch, counted while the batch is written (``Observation``).
     """
+    if max_files_per_trigger is not None:
+        max_bytes_per_trigger = None  # one bound per source
     checkpoint = checkpoint or shared_dir(spark, "ingest-checkpoint")
-    stream = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", file_glob)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(source_dir)
-    )
-    prepared = prepare(stream)
-    def run_batch(df: DataFrame, epoch: int) -> None:
-        if on_progress is None:
-            _append_new(df, target, key, order_col)
-            return
-        obs = Observation(f"ingest-{epoch}")
-        _append_new(df.observe(obs, F.count(F.lit(1)).alias("n_input")), target, key, order_col)
-        n = obs.get.get("n_input", 0)
-        if n:  # like the reference's callback: empty batches are not reported
-            on_progress({"batch_id": epoch, "n_input": n})
-
-    query = (
-        prepared.writeStream.foreachBatch(run_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
-    return spark.read.parquet(target)
+    _run_files(spark, source_dir, file_glob, schema, prepare, target, max_bytes_per_trigger, max_files_per_trigger, checkpoint, on_progress)
+    return ingested(spark, target, key, [order_col] if order_col else None)
 
 
 def dedupe_events(
@@ -95,30 +124,13 @@ def dedupe_events(
     key: str,
     event_time: str,
     target: str,
-    delay: str = "1 hour",
+    max_files_per_trigger: int | None = None,
     checkpoint: str | None = None,
 ) -> DataFrame:
-    """S6 for event streams — watermark + ``dropDuplicatesWithinWatermark(key)``, appended as parquet."""
-    checkpoint = checkpoint or shared_dir(spark, "events-checkpoint")
-    stream = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", file_glob)
-        .option("maxFilesPerTrigger", 1)
-        .parquet(source_dir)
-        # TIMESTAMP_NTZ cannot carry a watermark: watermark a derived instant
-        # and keep the original wall-clock column unchanged
-        .withColumn("_event_instant", F.col(event_time).cast("timestamp"))
-    )
-    deduped = stream.withWatermark("_event_instant", delay).dropDuplicatesWithinWatermark([key])
-    query = (
-        deduped.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
+    """S6 for event streams — one row per key, the earliest by event time, whatever order files arrive in.
+
+    No watermark: an event may be arbitrarily late and is never thrown away.
+    """
+    return ingest_files(
+        spark, source_dir, file_glob, schema, lambda stream: stream, target, key, event_time, max_files_per_trigger, checkpoint=checkpoint
     )
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
-    return spark.read.parquet(target)
