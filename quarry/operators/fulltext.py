@@ -1,9 +1,7 @@
 """Full-text retrieval (T1-T6, F7/F8 for query batches).
 
-Postings (T2) are ``(term, id, tf, dl)``: tokens are exploded and counted
-with keys ``(term, id, dl)``.  All tokens of a document live in one row, so
-the map-side partial aggregate already produces final counts and only one
-row per posting crosses the shuffle.
+Postings (T2) are ``(term, id, tf, dl)``.  All tokens of a document live in
+one row, so they are counted inside the row and nothing is shuffled.
 
 Ranked retrieval (T5/T6) scores a *batch* of queries in one plan with BM25:
 
@@ -63,9 +61,33 @@ def build_postings(
     docs: DataFrame, id_col: str = "id", text_col: str = "document", analyzer: str = "basic"
 ) -> DataFrame:
     """T2 — ``(term, id, tf, dl)`` for the whole collection."""
-    toks = doc_tokens(docs, id_col, text_col, analyzer)
-    exploded = toks.select(id_col, F.size("tokens").cast("long").alias("dl"), F.explode("tokens").alias("term"))
-    return exploded.groupBy("term", id_col, "dl").agg(F.count(F.lit(1)).alias("tf"))
+    return postings_of_tokens(doc_tokens(docs, id_col, text_col, analyzer), id_col)
+
+
+def postings_of_tokens(toks: DataFrame, id_col: str = "id") -> DataFrame:
+    """T2 from ``(id, tokens)`` — all tokens of a document are in one row, so they are counted there: no shuffle."""
+    id_type = toks.schema[id_col].dataType
+    schema = T.StructType(
+        [T.StructField("term", T.StringType()), T.StructField(id_col, id_type), T.StructField("dl", T.LongType()), T.StructField("tf", T.LongType())]
+    )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            for start in range(0, rb.num_rows, 512):
+                part = rb.slice(start, 512)
+                tokens = part.column(1)
+                lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                enc = pc.dictionary_encode(pc.list_flatten(tokens))
+                rows = pc.list_parent_indices(tokens).to_numpy(zero_copy_only=False).astype(np.int64)
+                nv = max(1, len(enc.dictionary))
+                pairs, tf = np.unique(rows * nv + enc.indices.to_numpy(zero_copy_only=False), return_counts=True)
+                row = pa.array(pairs // nv)
+                yield pa.RecordBatch.from_arrays(
+                    [enc.dictionary.take(pa.array(pairs % nv)), part.column(0).take(row), pa.array(lengths[pairs // nv]), pa.array(tf.astype(np.int64))],
+                    names=["term", id_col, "dl", "tf"],
+                )
+
+    return toks.select(id_col, "tokens").mapInArrow(count, schema)
 
 
 def corpus_stats(docs: DataFrame, text_col: str = "document", analyzer: str = "basic") -> DataFrame:

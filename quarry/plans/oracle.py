@@ -491,6 +491,12 @@ UNION ALL SELECT id, 'reviews_gte' FROM records WHERE reviews >= 1000
 UNION ALL SELECT id, 'price_range_rating' FROM records WHERE price >= 950 AND price <= 960 AND user_rating >= 4.5"""
 SQL["ivf_knn_all_cells"] = SQL["knn_cosine"]
 SQL["stream_ingest_books"] = SQL["prepare_books"]
+SQL["ingest_duplicates"] = """
+SELECT doc_id AS id, 'a ' || lang AS document, 'stored' AS outcome FROM documents
+UNION ALL SELECT doc_id, 'copy', 'duplicate_in_batch' FROM documents WHERE doc_id % 3 = 0
+UNION ALL SELECT -1 - doc_id, lang, 'not_storable' FROM documents WHERE doc_id % 5 = 0
+UNION ALL SELECT NULL, lang, 'missing_id' FROM documents WHERE doc_id % 7 = 0
+UNION ALL SELECT doc_id, 'again', 'duplicate_id' FROM documents WHERE doc_id % 2 = 0"""
 SQL["stream_duplicates"] = """
 SELECT 2 * count(*) AS n_input, count(DISTINCT event_id) AS n_kept, 2 * count(*) - count(DISTINCT event_id) AS n_copies FROM events"""
 SQL["stream_dedupe_events"] = """

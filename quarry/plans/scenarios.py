@@ -389,7 +389,7 @@ def build_document_collection(spark: SparkSession, sf_dir: str) -> str:
     docs = inputs.text_collection(spark, sf_dir).select(
         "id", "document", F.to_json(F.struct("lang", "source", "n_chars")).alias("metadata")
     )
-    coll.add_records(spark, location, docs, typed_fields=DOC_FIELDS)
+    coll.add_records(spark, location, docs, typed_fields=DOC_FIELDS, clean=False)  # texts as given
     return location
 
 
@@ -399,6 +399,25 @@ def collection_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coll.collection_info(spark, build_document_collection(spark, sf_dir))
 
 
+@register
+def ingest_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 + P14: two appends with repeated ids, missing ids, unparsable metadata and dirty texts; all rows by outcome."""
+    location = shared_dir(spark, "collection-duplicates")
+    coll.create_collection(spark, location, "duplicates", id_type="bigint", recreate=True)
+    docs = inputs.text_collection(spark, sf_dir)
+    every = lambda n: F.col("id") % n == 0
+    meta = F.to_json(F.struct("lang"))
+    first = docs.select("id", F.concat(F.lit("\x07a  "), "lang").alias("document"), meta.alias("metadata"), F.lit(0).alias("_pos"))
+    copies = docs.where(every(3)).select("id", F.lit("copy").alias("document"), meta.alias("metadata"), F.lit(1).alias("_pos"))
+    broken = docs.where(every(5)).select((-1 - F.col("id")).alias("id"), "lang", F.lit("{not json").alias("metadata"), F.lit(0).alias("_pos"))
+    nameless = docs.where(every(7)).select(F.lit(None).cast("long").alias("id"), "lang", meta.alias("metadata"), F.lit(0).alias("_pos"))
+    one = coll.add_records(spark, location, first.union(copies).union(broken).union(nameless), typed_fields={"lang": "string"})
+    two = coll.add_records(spark, location, docs.where(every(2)).select("id", F.lit("again").alias("document"), meta.alias("metadata")), typed_fields={"lang": "string"})
+    rows = [coll.get_collection(spark, location).select("id", "document", F.lit("stored").alias("outcome"))]
+    rows += [r["rejected"].select("id", "document", F.col("reject_reason").alias("outcome")) for r in (one, two)]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 @register
 def collection_vector_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3/S4 with vectors + V2 + S5 + V7: store records with 64-dim vectors, then kNN from storage."""
@@ -407,7 +426,7 @@ def collection_vector_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     recs = inputs.vector_collection(spark, sf_dir).select(
         "id", "document", F.to_json(F.struct("lang", "source", "n_chars")).alias("metadata"), "embedding"
     )
-    coll.add_records(spark, location, recs, typed_fields=DOC_FIELDS)
+    coll.add_records(spark, location, recs, typed_fields=DOC_FIELDS, clean=False)
     stored = coll.get_collection(spark, location)
     return knn(stored, inputs.centroid_queries(spark, sf_dir), 5, dim=64)
 

@@ -5,9 +5,14 @@ A collection is a folder on shared storage with four parquet datasets:
     records/     id, document, metadata (JSON text), gen_<field> typed columns,
                  embedding (optional), dl (token count)
     postings/    term, id, tf, dl, partitioned by term_bucket = pmod(xxhash64(term), B)
-    stats/       one row per append: n_docs, total_terms (additive)
+    quarantine/  rejected rows with reject_reason
+    commits/     one row per append, written last: n_docs, total_terms (additive)
     properties/  one row: name, dimension, metric, analyzer, buckets
 
+Every append has folders of its own (``ingest_batch=<id>``) in the first three;
+readers open the folders of committed appends only, so an append that broke
+off is not seen.
+
 Writes go through the DataFrame writer (any Hadoop file system), so the
 same code runs against a cluster's shared folder.  Queries read only what
 they need: typed columns instead of JSON parsing (pushed-down filters), and
@@ -21,10 +26,11 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
+from quarry.functions.text import json_safe, json_safe_value
 from quarry.functions.tokens import tokenize
-from quarry.operators.fulltext import build_postings
+from quarry.operators.fulltext import postings_of_tokens
 from quarry.operators.prepare import storable
 
 # Metadata field -> typed column type, and the default field list.
@@ -72,7 +78,7 @@ def term_bucket(term: Column, buckets: int) -> Column:
 
 def _paths(location: str) -> dict[str, str]:
     base = location.rstrip("/")
-    return {k: f"{base}/{k}" for k in ("records", "postings", "stats", "properties", "quarantine")}
+    return {k: f"{base}/{k}" for k in ("records", "postings", "quarantine", "commits", "properties", "staging")}
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
@@ -105,33 +111,41 @@ def create_collection(
         "name string, dimension int, metric string, analyzer string, buckets int, id_type string",
     )
     props.coalesce(1).write.mode("overwrite").parquet(_paths(location)["properties"])
-    if recreate:
-        # replace the data sets by empty ones (overwrite keeps the layout)
-        for key in ("records", "postings", "stats"):
-            schema = _EMPTY_SCHEMAS[key].format(id_type=id_type)
-            spark.createDataFrame([], schema).write.mode("overwrite").parquet(_paths(location)[key])
+    # no append is committed: whatever an earlier collection left here is not read
+    spark.createDataFrame([], COMMIT_SCHEMA).write.mode("overwrite").parquet(_paths(location)["commits"])
     return properties(spark, location)
 
 
+COMMIT_SCHEMA = "ingest_batch string, n_docs bigint, total_terms bigint"
 _EMPTY_SCHEMAS = {
     "records": "id {id_type}, document string, metadata string, dl bigint, ingest_batch string",
-    "postings": "term string, id {id_type}, tf bigint, dl bigint, term_bucket int",
-    "stats": "n_docs bigint, total_terms bigint, ingest_batch string",
-    "quarantine": "id {id_type}, document string, metadata string, reject_reason string",
+    "postings": "term string, id {id_type}, tf bigint, dl bigint, ingest_batch string, term_bucket int",
+    "quarantine": "id {id_type}, document string, metadata string, reject_reason string, ingest_batch string",
 }
+#: The schemas of these never change, so no file footers are compared.
+_FIXED = ("postings",)
+
+
+def _commits(spark: SparkSession, location: str) -> DataFrame:
+    path = _paths(location)["commits"]
+    return spark.read.schema(COMMIT_SCHEMA).parquet(path) if _path_exists(spark, path) else spark.createDataFrame([], COMMIT_SCHEMA)
 
 
-def _read(spark: SparkSession, location: str, key: str) -> DataFrame:
-    """A data set of the collection; missing or empty reads as an empty DataFrame."""
+def _read(spark: SparkSession, location: str, key: str, batches: list[str] | None = None) -> DataFrame:
+    """A data set of the collection: the folders of the committed appends (or of ``batches``); none reads as empty."""
+    if batches is None:
+        batches = [r.ingest_batch for r in _commits(spark, location).select("ingest_batch").collect()]  # one row per append
     path = _paths(location)[key]
-    if _path_exists(spark, path):
-        try:
-            # appends may add columns (typed fields, vectors): merge the file schemas
-            return spark.read.option("mergeSchema", "true").parquet(path)
-        except AnalysisException:  # folder without data files yet
-            pass
+    folders = [f for f in (f"{path}/ingest_batch={b}" for b in batches) if _path_exists(spark, f)]
     id_type = properties(spark, location).get("id_type") or "string"
-    return spark.createDataFrame([], _EMPTY_SCHEMAS[key].format(id_type=id_type))
+    empty = _EMPTY_SCHEMAS[key].format(id_type=id_type)
+    if not folders:
+        return spark.createDataFrame([], empty)
+    reader = spark.read.option("basePath", path)
+    if key in _FIXED:
+        return reader.schema(empty).parquet(*folders)
+    # appends may add columns (typed fields, vectors): merge the file schemas
+    return reader.option("mergeSchema", "true").parquet(*folders)
 
 
 def properties(spark: SparkSession, location: str) -> dict[str, Any]:
@@ -139,6 +153,15 @@ def properties(spark: SparkSession, location: str) -> dict[str, Any]:
     return row.asDict()
 
 
+def _cleaned(records: DataFrame) -> DataFrame:
+    """P14 at append — JSON-safe document; metadata given as a struct or map is cleaned value by value and serialised."""
+    out = records.withColumn("document", json_safe(F.col("document")))
+    kind = records.schema["metadata"].dataType
+    if not isinstance(kind, T.StringType):
+        out = out.withColumn("metadata", F.to_json(json_safe_value(F.col("metadata"), kind)))
+    return out
+
+
 def add_records(
     spark: SparkSession,
     location: str,
@@ -146,97 +169,78 @@ def add_records(
     embed=None,
     typed_fields: list[str] | dict[str, str] | None = None,
     quarantine: bool = True,
+    clean: bool = True,
 ) -> dict[str, DataFrame]:
-    """S4 — validate, de-duplicate and append records; returns ``stored`` and ``rejected``.
-
-    * rows failing P14 (not storable) or the V2 dimension check are rejected
-      with a reason;
-    * within the batch the first row per id (lowest ``_pos`` when present,
-      else any) wins: an aggregate with map-side ``min_by``, so a hot
-      duplicated id never lands in one task whole; the remaining copies are
-      counted in ``duplicates_in_batch``;
-    * a winner whose id already exists in the collection is rejected as
-      ``duplicate_id`` (the join sees unique ids only);
-    * postings and corpus statistics of the new rows are appended;
-    * rejects (with ``reject_reason``) are appended to ``quarantine/``.
+    """S4 — clean, validate, de-duplicate and append records; returns ``stored`` and ``rejected``.
+
+    The batch is evaluated once: cleaned, typed, embedded and tokenised rows
+    are staged, everything after reads the stage.  A row is rejected as
+    ``missing_id``, ``not_storable`` (P14), ``dimension`` (V2), ``duplicate_in_batch``
+    (every copy of an id but the first: lowest ``_pos``, then all columns) or
+    ``duplicate_id`` (the id is in the collection).  Rejects go to
+    ``quarantine/`` (with ``quarantine=False`` they are only returned), so
+    stored + rejected = input.  First copies and stored ids are found on the id
+    column alone.  Postings are counted per row, without a shuffle.  The
+    commit with the batch's statistics is written last.
     """
     props = properties(spark, location)
     p = _paths(location)
     dim = props.get("dimension")
     analyzer = props.get("analyzer") or "basic"
     buckets = props.get("buckets") or DEFAULT_BUCKETS
+    batch = uuid.uuid4().hex
 
-    recs = records
+    recs = _cleaned(records) if clean else records
     if embed is not None and "embedding" not in recs.columns:
         recs = recs.withColumn("embedding", embed(F.col("document")))
     recs = add_typed_columns(recs, typed_fields)
-    reason = F.when(~storable(), F.lit("not_storable"))
+    reason = F.when(F.col("id").isNull(), F.lit("missing_id")).when(~storable(), F.lit("not_storable"))
     if dim is not None and "embedding" in recs.columns:
         reason = reason.when(F.coalesce(F.size("embedding"), F.lit(-1)) != dim, F.lit("dimension"))
-    flagged = recs.withColumn("reject_reason", reason)
-
-    # De-duplicate inside the batch first: an aggregate with map-side
-    # ``min_by`` (a hot id shared by a third of the rows is one partial row per
-    # task), so the join against the stored ids only sees unique ids.
-    order_col = "_pos" if "_pos" in flagged.columns else "id"
-    # Fast path: a check on the id column alone (a pruned scan, ids only in
-    # the shuffle) finds whether the batch repeats any id; only then is the
-    # payload aggregated.
-    repeats = records.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    if repeats.limit(1).count() == 0:
-        firsts = flagged  # unique ids: every row keeps its own reject reason
-        n_dups = repeats.select("id", (F.col("_n") - 1).alias("n"))
-    else:
-        ok = flagged.where(F.col("reject_reason").isNull())
-        payload = [c for c in ok.columns if c != "id"]
-        grouped = ok.groupBy("id").agg(
-            F.min_by(F.struct(*payload), F.col(order_col)).alias("r"), F.count(F.lit(1)).alias("_n")
-        )
-        n_dups = grouped.where("_n > 1").select("id", (F.col("_n") - 1).alias("n"))
-        firsts = grouped.select("id", "r.*").unionByName(flagged.where(F.col("reject_reason").isNotNull()))
-    if "_pos" in firsts.columns:
-        firsts = firsts.drop("_pos")
-    # one left join against the stored ids marks every row: stored rows and
-    # rejects are two filters of the same marked plan
-    existing = _read(spark, location, "records").select("id").withColumn("_exists", F.lit(True))
-    status = F.coalesce(F.col("reject_reason"), F.when(F.col("_exists"), F.lit("duplicate_id")))
-    marked = firsts.join(existing, "id", "left").withColumn("reject_reason", status).drop("_exists")
-    winners = marked.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    rejected = marked.where(F.col("reject_reason").isNotNull())
-
-    batch = uuid.uuid4().hex
     tokens = tokenize(F.col("document"), analyzer)
-    stored = winners.withColumn("dl", F.size(tokens).cast("long")).withColumn("ingest_batch", F.lit(batch))
+    staged = recs.withColumns({"reject_reason": reason, "_seq": F.monotonically_increasing_id(), "_tokens": tokens})
+    stage = f"{p['staging']}/{batch}"
+    staged.withColumn("dl", F.size("_tokens").cast("long")).write.parquet(stage)
+    staged = spark.read.parquet(stage)
+    given = [c for c in records.columns if c not in ("id", "_pos")]
+
+    # of each id the first copy; the columns of equal copies are equal, the row number decides
+    ok = staged.where("reject_reason is null")
+    repeated = ok.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    copies = ok.join(repeated, "id")
+    tied = F.struct(*(["_pos"] if "_pos" in staged.columns else []), F.md5(F.to_json(F.struct(*given))).alias("_content"), "_seq")
+    firsts = copies.groupBy("id").agg(F.min(tied).alias("_first"), (F.count(F.lit(1)) - 1).alias("n"))
+    later = copies.join(firsts, "id").where(tied != F.col("_first")).select("_seq", F.lit("duplicate_in_batch").alias("_why"))
+    known = _read(spark, location, "records").select("id").distinct()
+    stored_before = ok.select("id", "_seq").join(known, "id", "left_semi").select("_seq", F.lit("duplicate_id").alias("_why"))
+    # a later copy of a stored id is a duplicate in the batch first
+    losers = later.unionByName(stored_before).groupBy("_seq").agg(F.max("_why").alias("_why"))
+    losers.write.parquet(f"{stage}-losers")
+    losers = spark.read.parquet(f"{stage}-losers")
+
+    hidden = ("reject_reason", "_seq", "_tokens", "_pos")
+    keep = [c for c in staged.columns if c not in hidden]
+    winners = ok.join(losers, "_seq", "left_anti")
     progress = Observation(f"ingest-{batch}")
-    stored = stored.observe(progress, F.count(F.lit(1)).alias("n_stored"), F.sum("dl").alias("n_tokens"))
-    stored.write.mode("append").parquet(p["records"])
-
-    # derive postings and statistics from the rows just written (lineage cut
-    # by the write; the batch tag is pushed down to skip older files)
-    written = _read(spark, location, "records").where(F.col("ingest_batch") == batch)
-    post = build_postings(written, "id", "document", analyzer).withColumn("term_bucket", term_bucket(F.col("term"), buckets))
-    # cluster by bucket before the partitioned write: each task writes one or
-    # two bucket folders (not every bucket), and range boundaries on
-    # (term, id) split a hot bucket over several tasks
-    n_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    post = post.repartitionByRange(n_tasks, "term_bucket", "term", "id")
-    post.write.mode("append").partitionBy("term_bucket").parquet(p["postings"])
-    written.agg(
-        F.count(F.lit(1)).alias("n_docs"), F.sum("dl").cast("long").alias("total_terms")
-    ).withColumn("ingest_batch", F.lit(batch)).write.mode("append").parquet(p["stats"])
-
+    counted = winners.observe(progress, F.count(F.lit(1)).alias("n_stored"), F.coalesce(F.sum("dl"), F.lit(0)).alias("n_tokens"))
+    counted.select(*keep).write.parquet(f"{p['records']}/ingest_batch={batch}")
+    posts = postings_of_tokens(winners.select("id", F.col("_tokens").alias("tokens")))
+    posts = posts.withColumn("term_bucket", term_bucket(F.col("term"), buckets)).sortWithinPartitions("term_bucket", "term", "id")
+    posts.write.partitionBy("term_bucket").parquet(f"{p['postings']}/ingest_batch={batch}")
+
+    rejected = staged.join(losers, "_seq", "left").withColumn("reject_reason", F.coalesce("reject_reason", "_why")).where("reject_reason is not null")
+    rejected = rejected.select(*keep, "reject_reason")
     if quarantine:
-        # rejects are kept, never silently dropped
-        rejected.withColumn("ingest_batch", F.lit(batch)).write.mode("append").option("mergeSchema", "true").parquet(
-            p["quarantine"]
-        )
-        rejected = _read(spark, location, "quarantine").where(F.col("ingest_batch") == batch).drop("ingest_batch")
+        rejected.write.parquet(f"{p['quarantine']}/ingest_batch={batch}")
+        rejected = _read(spark, location, "quarantine", [batch]).drop("ingest_batch")
+    got = progress.get
+    spark.createDataFrame([(batch, got["n_stored"], got["n_tokens"])], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(p["commits"])
     return {
-        "stored": written,
+        "stored": _read(spark, location, "records", [batch]),
         "rejected": rejected,
-        "duplicates_in_batch": n_dups,
+        "duplicates_in_batch": firsts.select("id", "n"),
         # Progress numbers observed while the batch was written (no extra pass)
-        "progress": progress.get,
+        "progress": got,
     }
 
 
@@ -259,8 +263,8 @@ def collection_info(spark: SparkSession, location: str, name: str | None = None)
 
 def stored_stats(spark: SparkSession, location: str) -> DataFrame:
     """T3 from the stored per-append statistics: one row ``n_docs, avgdl``."""
-    s = _read(spark, location, "stats")
-    return s.agg(F.sum("n_docs").cast("long").alias("n_docs"), (F.sum("total_terms") / F.sum("n_docs")).alias("avgdl"))
+    s = _commits(spark, location)
+    return s.agg(F.sum("n_docs").cast("long").alias("n_docs"), F.try_divide(F.sum("total_terms"), F.sum("n_docs")).alias("avgdl"))
 
 
 def query_postings(spark: SparkSession, location: str, vocab: list[str]) -> DataFrame:
@@ -356,8 +360,6 @@ def bm25_indexed(
     import math
 
     import numpy as np
-    from pyspark.sql import types as T
-
     from quarry.functions.vectors import from_key
     from quarry.operators.filters import build_filter
     from quarry.operators.fulltext import _arrow_type, _query_term_passes

@@ -52,3 +52,33 @@ def test_progress_observation(spark):
     coll.create_collection(spark, loc, "p", id_type="bigint", recreate=True)
     out = coll.add_records(spark, loc, docs_df(spark, [(1, "a b c", "{}"), (2, "d", "{}")]))
     assert out["progress"] == {"n_stored": 2, "n_tokens": 4}
+
+
+def test_every_row_is_stored_or_quarantined(spark):
+    loc = shared_dir(spark, "test-all")
+    coll.create_collection(spark, loc, "a", id_type="bigint", recreate=True)
+    rows = [(1, "x\x07  y", "{}"), (1, "x", "{}"), (1, "x", "{}"), (None, "n", "{}"), (2, "b", "{bad")]
+    out = coll.add_records(spark, loc, docs_df(spark, rows))
+    assert out["stored"].count() + out["rejected"].count() == len(rows)
+    assert sorted(r["reject_reason"] for r in out["rejected"].collect()) == ["duplicate_in_batch"] * 2 + ["missing_id", "not_storable"]
+    coll.create_collection(spark, loc, "a", id_type="bigint", recreate=True)
+    assert coll.get_collection(spark, loc).count() == 0 and coll._read(spark, loc, "quarantine").count() == 0
+
+
+def test_metadata_structs_are_cleaned(spark):
+    loc = shared_dir(spark, "test-clean")
+    coll.create_collection(spark, loc, "c", id_type="bigint", recreate=True)
+    meta = F.struct(F.lit("x\x07  y").alias("genre"), F.lit(float("nan")).alias("score"))
+    df = spark.range(1).select(F.lit(1).cast("long").alias("id"), F.lit('a "b"').alias("document"), meta.alias("metadata"))
+    coll.add_records(spark, loc, df, typed_fields=["genre"])
+    r = coll.get_collection(spark, loc).first()
+    assert r["document"] == "a 'b'" and r["gen_genre"] == "x y" and "NaN" not in r["metadata"]
+
+
+def test_a_half_written_append_is_not_read(spark):
+    loc = shared_dir(spark, "test-half")
+    coll.create_collection(spark, loc, "h", id_type="bigint", recreate=True)
+    coll.add_records(spark, loc, docs_df(spark, [(1, "a", "{}")]))
+    broken = coll.get_collection(spark, loc).drop("ingest_batch").withColumn("id", F.lit(2).cast("long"))
+    broken.write.parquet(f"{loc}/records/ingest_batch=broken")
+    assert [r["id"] for r in coll.get_collection(spark, loc).collect()] == [1]
