@@ -14,7 +14,8 @@
 3. Nothing may hide behind a star: buckets that still hold several components
    are compared in blocks by their signatures, and pairs of different
    components whose estimate reaches ``SIMILARITY`` less three standard errors
-   are verified as well.  Pairs inside a component are never formed.
+   are verified as well, inside the block: only links that join components
+   leave it, never pairs inside a component.
 
 Classes are the connected components of verified links and exact copies.
 
@@ -147,64 +148,101 @@ def texts_of(df: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
     chosen = members.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(wanted, "node", "left_semi")
     chosen = written(chosen, "op1-chosen").alias("c")
     docs = df.select("doc_id", "text", F.unhex(F.md5("text")).alias("node")).alias("d")
-    found = docs.join(chosen, (F.col("d.node") == F.col("c.node")) & F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")), "left_semi")
+    # a hash join of the small side: the texts are shuffled once and not sorted
+    found = docs.join(chosen.hint("shuffle_hash"), (F.col("d.node") == F.col("c.node")) & F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")), "left_semi")
     return written(found.dropDuplicates(["node"]).select("node", "text"), "op1-texts")
 
 
-def estimated_pairs(rows: DataFrame, least: float) -> DataFrame:
-    """Pairs of different components in one bucket whose signature estimate is at least ``least``.
+def cross_links(rows: DataFrame, similarity: float, margin: float) -> DataFrame:
+    """Verified links (a, b) between different components of one bucket, enough of them to join all that belong together.
 
-    ``rows``: key, m (bucket size), node, component, sig.  Buckets are cut into blocks of about
-    ``BLOCK`` nodes and every two blocks meet once.
+    ``rows``: key, m (bucket size), node, component, sig, text.  Buckets are cut into blocks of about
+    ``BLOCK`` nodes and every two blocks meet once.  Pairs whose signature estimate reaches
+    ``similarity - margin`` are verified exactly, best estimates first; pairs whose components the
+    block has already joined are passed over.
     """
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     spread = rows.withColumn("blocks", blocks).withColumn("own", own)
     spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "sig")
+    spread = spread.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "sig", "text")
     ordered = spread.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
-    def compare(i: int, j: int, own: np.ndarray, comp: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def candidates(i: int, j: int, own: np.ndarray, comp: np.ndarray, sig: np.ndarray) -> Iterator[tuple[int, int]]:
         left = np.flatnonzero(own == i)
         right = np.flatnonzero(own == j)
         found = []
         for at in range(0, len(left), 64):
             part = left[at : at + 64]
-            share = (sig[part][:, None, :] == sig[right][None, :, :]).mean(axis=2)
-            estimate = (share * 256 - 1) / 255
-            x, y = np.nonzero((estimate >= least) & (comp[part][:, None] != comp[right][None, :]))
-            keep = part[x] < right[y] if i == j else slice(None)
-            found.append((part[x][keep], right[y][keep]))
-        return tuple(np.concatenate(f) for f in zip(*found)) if found else (left[:0], right[:0])
+            estimate = ((sig[part][:, None, :] == sig[right][None, :, :]).mean(axis=2) * 256 - 1) / 255
+            x, y = np.nonzero((estimate >= similarity - margin) & (comp[part][:, None] != comp[right][None, :]))
+            keep = part[x] < right[y] if i == j else np.ones(len(x), dtype=bool)
+            found.append((part[x][keep], right[y][keep], estimate[x, y][keep]))
+        if found:
+            a, b, e = (np.concatenate(f) for f in zip(*found))
+            order = np.argsort(-e, kind="stable")
+            yield from zip(a[order].tolist(), b[order].tolist())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs_of(group: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links_of(group: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             t = pa.Table.from_batches(group)
             nodes = t.column("node").combine_chunks()
             comp = np.unique(np.array(t.column("component").to_pylist(), dtype=object), return_inverse=True)[1]
             sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), dtype=np.uint8).reshape(t.num_rows, -1)
-            i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-            x, y = compare(i, j, t.column("own").to_numpy(), comp, sig)
-            if len(x):
-                yield pa.RecordBatch.from_arrays([nodes.take(pa.array(x)), nodes.take(pa.array(y))], names=["a", "b"])
+            up = list(range(t.num_rows))  # local components
+            bags: list = []
+            found = []
+
+            def root(x: int) -> int:
+                while up[x] != x:
+                    up[x] = up[up[x]]
+                    x = up[x]
+                return x
+
+            for a, b in candidates(t.column("i")[0].as_py(), t.column("j")[0].as_py(), t.column("own").to_numpy(), comp, sig):
+                x, y = root(int(comp[a])), root(int(comp[b]))
+                if x == y:
+                    continue
+                bags = bags or _bags(t.column("text"))
+                if _similarity(bags[a], bags[b]) >= similarity:
+                    up[x] = y
+                    found.append((a, b))
+            if found:
+                left, right = zip(*found)
+                yield pa.RecordBatch.from_arrays([nodes.take(pa.array(left)), nodes.take(pa.array(right))], names=["a", "b"])
 
         held: list[pa.RecordBatch] = []
         held_key = None
         for batch in batches:
             keys = np.stack([batch.column(c).to_numpy() for c in range(3)])
-            cuts = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
-            for begin, end in zip(cuts, np.r_[cuts[1:], batch.num_rows]):
+            cuts = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)]) if batch.num_rows else []
+            for begin, end in zip(cuts, np.r_[cuts[1:], batch.num_rows].astype(int)):
                 key = tuple(keys[:, begin])
                 if key != held_key and held:
-                    yield from pairs_of(held)
+                    yield from links_of(held)
                     held = []
                 held_key = key
                 held.append(batch.slice(int(begin), int(end - begin)))
         if held:
-            yield from pairs_of(held)
+            yield from links_of(held)
 
-    out = ordered.mapInArrow(run, "a binary, b binary")
-    return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return ordered.mapInArrow(run, "a binary, b binary")
+
+
+def _bags(texts: pa.ChunkedArray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(sorted shingle hashes, counts) of each text."""
+    out = []
+    for _, data, offs in text_chunks(texts):
+        row, h, count = shingle_bags(data, offs)
+        cuts = np.searchsorted(row, np.arange(len(offs)))
+        out += [(h[a:b], count[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+    return out
+
+
+def _similarity(a: tuple, b: tuple) -> float:
+    _, x, y = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    low = int(np.minimum(a[1][x], b[1][y]).sum())
+    return low / max(1, int(a[1].sum() + b[1].sum()) - low)
 
 
 def near_duplicates(df: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -230,12 +268,11 @@ def near_duplicates(df: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
     mixed = written(mixed, "op1-mixed")
     rows = placed.join(mixed, "key", "left_semi")
-    keyed = members.select("node", "sig").dropDuplicates(["node"])
-    rows = rows.join(written(keyed.join(rows.select("node").distinct(), "node", "left_semi"), "op1-sigs"), "node")
+    wanted = rows.select("node").distinct()
+    about = members.select("node", "sig").dropDuplicates(["node"]).join(texts, "node").join(wanted, "node", "left_semi")
+    rows = rows.join(written(about, "op1-about"), "node").select("key", "m", "node", "component", "sig", "text")
     margin = 3 * math.sqrt(similarity * (1 - similarity) / K)
-    more = estimated_pairs(rows.select("key", "m", "node", "component", "sig"), similarity - margin)
-    more = written(more.join(stars, ["a", "b"], "left_anti"), "op1-pairs")
-    late = verified(more, texts, similarity)
+    late = written(cross_links(rows, similarity, margin), "op1-links")
     to = first.select(F.col("node"), F.col("component"))
     between = late.join(to.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
     between = between.join(to.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
