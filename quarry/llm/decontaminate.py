@@ -40,17 +40,22 @@ LADDER = (1, 2, 3, 5, 8, 12, 18, 26, 40, 64, 128)
 STRIDE = 4
 RADIUS = 3
 MAX_ITEMS = 20_000
+SEGMENT = 8192  # words whose votes are held at once; a multiple of STRIDE
 
 
-def window_fingerprints(words: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    """64-bit SimHash of the windows ``words[at:at+size]``; each word votes on every bit."""
-    if not len(at):
+def votes_before(words: np.ndarray) -> np.ndarray:
+    """(words + 1, 64): how many of the words before each place vote for each bit."""
+    out = np.zeros((len(words) + 1, 64), dtype=np.int16 if len(words) < 32000 else np.int32)
+    np.cumsum(np.unpackbits(words.view(np.uint8).reshape(-1, 8), axis=1), axis=0, dtype=out.dtype, out=out[1:])
+    return out
+
+
+def window_fingerprints(votes: np.ndarray, size: int, stride: int = 1) -> np.ndarray:
+    """64-bit SimHash of the windows of ``size`` words that start at every ``stride``-th word; each word votes on every bit."""
+    if len(votes) <= size:
         return np.zeros(0, np.uint64)
-    bits = np.unpackbits(words.view(np.uint8).reshape(-1, 8), axis=1).astype(np.int16 if size < 16000 else np.int32)
-    votes = np.zeros((len(words) + 1, 64), dtype=np.int32)
-    np.cumsum(bits, axis=0, out=votes[1:])
-    ones = votes[at + size] - votes[at]
-    return np.packbits(ones * 2 > size, axis=1).view(np.uint64).ravel()
+    ones = votes[size::stride] - votes[: len(votes) - size : stride]
+    return np.packbits(ones > size // 2, axis=1).view(np.uint64).ravel()
 
 
 def stride_of(size: int) -> int:
@@ -91,7 +96,7 @@ class ItemIndex:
                 continue
             s = window_size(n)
             at = np.arange(n - s + 1)
-            per_size.setdefault(s, []).append((window_fingerprints(h, at, s), np.full(len(at), k), at))
+            per_size.setdefault(s, []).append((window_fingerprints(votes_before(h), s), np.full(len(at), k), at))
             k += 1
         self.width = 64 // (radius + 1)
         self.tables = {}
@@ -102,7 +107,7 @@ class ItemIndex:
                 key = self._block(prints, b)
                 order = np.argsort(key, kind="stable")
                 bounds = np.searchsorted(key[order], np.arange((1 << self.width) + 1)).astype(np.int32)
-                blocks.append((order.astype(np.int32), bounds))
+                blocks.append((order.astype(np.int32), bounds, np.diff(bounds) > 0))
             self.tables[s] = (prints, item, offset, blocks)
 
     def _block(self, prints: np.ndarray, b: int) -> np.ndarray:
@@ -112,16 +117,15 @@ class ItemIndex:
         """(query position, item window) of all fingerprints within the radius."""
         own, _, _, blocks = self.tables[size]
         hits = []
-        for b, (order, bounds) in enumerate(blocks):
+        for b, (order, bounds, some_here) in enumerate(blocks):
             key = self._block(prints, b)
+            some = np.flatnonzero(some_here[key])
+            key = key[some]
             first, count = bounds[key], bounds[key + 1] - bounds[key]
-            some = np.flatnonzero(count)
-            count = count[some]
             query = np.repeat(some, count)
             inner = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-            window = order[np.repeat(first[some], count) + inner]
-            distance = np.bitwise_count(prints[query] ^ own[window])
-            close = distance <= self.radius
+            window = order[np.repeat(first, count) + inner]
+            close = np.bitwise_count(prints[query] ^ own[window]) <= self.radius
             hits.append((query[close], window[close]))
         query, window = (np.concatenate(h) for h in zip(*hits))
         pairs = np.unique(np.stack([query, window]), axis=1) if len(query) else np.zeros((2, 0), np.int64)
@@ -129,20 +133,21 @@ class ItemIndex:
 
     def search(self, h: np.ndarray, bounds: np.ndarray, similarity: float) -> list[tuple[int, int, int, float]]:
         """(row, item, first word, similarity) of the best verified span per row and item; ``h``: word hashes of the rows."""
-        rows = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        row_end = np.repeat(bounds[1:], np.diff(bounds))
         best: dict[tuple[int, int], tuple[float, int]] = {}
         tested: set[tuple[int, int, int]] = set()
-        for s, (_, item, offset, _) in self.tables.items():
-            place = np.arange(len(h)) - bounds[:-1][rows]
-            at = np.flatnonzero((bounds[1:][rows] - np.arange(len(h)) >= s) & (place % stride_of(s) == 0))
-            for part in np.array_split(at, max(1, len(at) // 65536)):
-                if not len(part):
-                    continue
-                base = int(part[0])
-                stop = int(part[-1]) + s
-                query, window = self.near(s, window_fingerprints(h[base:stop], part - base, s))
-                for q, w in zip(part[query].tolist(), window.tolist()):
-                    row, k = int(rows[q]), int(item[w])
+        longest = max(self.tables, default=0)
+        for begin_at in range(0, len(h) if longest else 0, SEGMENT):
+            stop = min(begin_at + SEGMENT, len(h))
+            votes = votes_before(h[begin_at : stop + longest])
+            for s, (_, item, offset, _) in self.tables.items():
+                stride = stride_of(s)
+                prints = window_fingerprints(votes[: stop - begin_at + s], s, stride)
+                place = begin_at + stride * np.arange(len(prints))
+                inside = row_end[place] - place >= s
+                query, window = self.near(s, prints[inside])
+                for q, w in zip(place[inside][query].tolist(), window.tolist()):
+                    row, k = int(np.searchsorted(bounds, q, side="right")) - 1, int(item[w])
                     begin = max(q - int(offset[w]), int(bounds[row]))
                     end = min(begin + int(self.size[k]), int(bounds[row + 1]))
                     if (k, begin, end) in tested:
