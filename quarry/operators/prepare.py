@@ -16,7 +16,7 @@ Semantics (SURVEY §1.4.7-9):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.numeric import clean_float, clean_int
@@ -120,24 +120,18 @@ def with_row_ids(df: DataFrame, name: str = "row_id") -> DataFrame:
     """P1 fallback — consecutive row positions (0, 1, 2, ...) in scan order, JVM only.
 
     ``monotonically_increasing_id`` is ``partition << 33 | row-in-partition``;
-    one small aggregate counts the rows of every partition (one row per
-    partition reaches the driver), and each row adds its partition's offset.
-    No sort, no shuffle of the data, no single task sees all rows.  The
-    input must have a deterministic partitioning (a file scan has).
+    one aggregate counts the rows of every partition, a running sum over those
+    counts (one row per partition, never the data) gives each partition's
+    first position, and a join on the partition number adds it.  No sort or
+    single task sees the rows.  The input must have a deterministic
+    partitioning (a file scan has).
     """
-    tagged = df.withColumn("_mono", F.monotonically_increasing_id()).withColumn("_pid", F.spark_partition_id())
-    counts = sorted(
-        (r["_pid"], r["n"]) for r in tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()
-    )
-    offsets, running = {}, 0
-    for pid, n in counts:
-        offsets[pid] = running
-        running += n
-    n_parts = (max(offsets) + 1) if offsets else 1
-    table = F.array(*[F.lit(offsets.get(i, 0)).cast("long") for i in range(n_parts)])
-    start = F.shiftleft(F.col("_pid").cast("long"), 33)
-    pos = F.element_at(table, F.col("_pid") + 1) + (F.col("_mono") - start)
-    return tagged.withColumn(name, pos).drop("_mono", "_pid")
+    tagged = df.withColumn("_mono", F.monotonically_increasing_id()).withColumn("_pid", F.shiftright("_mono", 33))
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    pos = F.col("_start") + F.col("_mono").bitwiseAND(F.lit((1 << 33) - 1))
+    return tagged.join(starts, "_pid").withColumn(name, pos).select(*[F.col(f"`{c}`") for c in df.columns], name)
 
 
 def validation_summary(records: DataFrame) -> DataFrame:

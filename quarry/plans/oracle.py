@@ -491,6 +491,9 @@ UNION ALL SELECT id, 'reviews_gte' FROM records WHERE reviews >= 1000
 UNION ALL SELECT id, 'price_range_rating' FROM records WHERE price >= 950 AND price <= 960 AND user_rating >= 4.5"""
 SQL["ivf_knn_all_cells"] = SQL["knn_cosine"]
 SQL["stream_ingest_books"] = SQL["prepare_books"]
+SQL["csv_malformed"] = """
+WITH b AS (SELECT count(*) AS n, count(*) FILTER (WHERE p_partkey % 50 = 0) AS bad FROM part)
+SELECT n + bad AS n_rows, bad AS n_malformed, bad AS n_kept_text, 0::BIGINT AS first_position, n + bad - 1 AS last_position, n + bad AS n_positions FROM b"""
 SQL["ingest_duplicates"] = """
 SELECT doc_id AS id, 'a ' || lang AS document, 'stored' AS outcome FROM documents
 UNION ALL SELECT doc_id, 'copy', 'duplicate_in_batch' FROM documents WHERE doc_id % 3 = 0

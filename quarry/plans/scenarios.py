@@ -660,3 +660,22 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw.write.option("header", True).option("escape", '"').csv(path)
     back = read_csv(spark, path, schema=schema)
     return prep.prepare_records(back, id_col="row_key")
+
+
+@register
+def csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + P1: good and malformed CSV rows in one folder; all kept, malformed ones with their text, positions without gaps."""
+    path = shared_dir(spark, "books-malformed")
+    raw = inputs.raw_books(spark, sf_dir).select(*[f"`{f.name}`" for f in BOOK_SCHEMA.fields])
+    raw.write.option("header", True).option("escape", '"').csv(path)
+    broken = raw.where(F.col("Reviews") % 50 == 0).withColumn("Price", F.lit("no price"))
+    broken.write.mode("append").option("header", True).option("escape", '"').csv(path)
+    back = prep.with_row_ids(read_csv(spark, path, corrupt_column="_corrupt"), "position")
+    return back.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("_corrupt").isNotNull()).alias("n_malformed"),
+        F.count_if(F.col("_corrupt").contains("no price") & F.col("Price").isNull()).alias("n_kept_text"),
+        F.min("position").alias("first_position"),
+        F.max("position").alias("last_position"),
+        F.countDistinct("position").alias("n_positions"),
+    )

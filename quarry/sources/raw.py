@@ -37,10 +37,9 @@ TABLES = (
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
     """Scan one of the given tables.
 
-    ``spread_by``: when the scan has fewer splits than the cluster has task
-    slots (a file written as one row group cannot be split), hash-partition
-    it by that key so per-row work (tokenizing, embedding) runs on every
-    slot.  A large table on a cluster is already split and is left as is.
+    ``spread_by`` (the caller's choice, for tables known to be a single row
+    group, which cannot be split) hash-partitions an under-split scan by that
+    key so per-row work runs on every slot.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if spread_by is not None:
@@ -62,18 +61,24 @@ def read_csv(
     schema: T.StructType | None = BOOK_SCHEMA,
     infer: bool = False,
     pandas_nulls: bool = False,
+    multi_line: bool = False,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
-    """S1 — header CSV with RFC-4180 quoting; malformed rows are kept as nulls.
-
-    With ``pandas_nulls`` the usual pandas null spellings become SQL nulls
-    (string columns are read as text first, then mapped and cast).
+    """S1 — header CSV with RFC-4180 quoting; malformed rows are kept.
+
+    A field that does not parse is null; with ``corrupt_column`` the row's text
+    is kept in a column of that name (null for good rows).  Files are split
+    between tasks unless ``multi_line`` says that quoted fields may hold line
+    breaks (then a file is one task).  With ``pandas_nulls`` the usual pandas
+    null spellings become SQL nulls (string columns are read as text first,
+    then mapped and cast).
     """
     reader = (
         spark.read.option("header", True)
         # a schema is applied by position: check it against the header
         .option("enforceSchema", False)
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
     )
     if pandas_nulls and schema is not None:
@@ -86,6 +91,9 @@ def read_csv(
             out.append((c if isinstance(f.dataType, T.StringType) else c.try_cast(f.dataType)).alias(f.name))
         return df.select(*out)
     if schema is not None and not infer:
+        if corrupt_column is not None:
+            schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
+            reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", True).csv(path)
 
