@@ -3,11 +3,10 @@
 Row-wise distances between two ``array<float|double>`` columns are native
 higher-order-function expressions (no Python).  Arithmetic is DOUBLE.
 
-Ranking keys: every distance/score used for ranking is quantised to an
-integer number of micro-units, ``floor(x * 1e6 + 0.5)``.  The same IEEE
-operations give the same key in Spark, numpy and SQL engines, so ranks and
-id tie-breaks agree across engines even when the last bits of a floating
-point sum differ (summation order).
+Ranking keys: distances rank by ``floor(x * 1e12 + 0.5)`` (a whole number held
+as DOUBLE), fine enough to separate any distances that differ beyond the
+rounding of the sums themselves, so ranks and id tie-breaks agree across
+engines.  The value reported is rounded to 6 decimals.
 """
 
 from __future__ import annotations
@@ -22,8 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 METRICS = ("cosine", "l2", "ip")
-# Fixed value: ranking resolution (6 decimals).
-KEY_SCALE = 1_000_000.0
+# Resolution of ranking keys, and of reported values (6 decimals).
+KEY_SCALE = 1e12
+REPORT_SCALE = 1e6
 
 
 def _d(x: Column) -> Column:
@@ -65,17 +65,19 @@ def distance(a: Column, b: Column, metric: str = "cosine") -> Column:
     raise ValueError(f"unknown metric {metric!r}; expected one of {METRICS}")
 
 
-def rank_key(x: Column) -> Column:
-    """Quantised ranking key ``floor(x*1e6 + 0.5)`` as BIGINT."""
-    return F.floor(x * F.lit(KEY_SCALE) + F.lit(0.5)).cast("long")
+def rank_key(x: Column, scale: float = KEY_SCALE) -> Column:
+    """Ranking key ``floor(x * scale + 0.5)`` as DOUBLE."""
+    y = x * F.lit(scale) + F.lit(0.5)
+    return y - F.pmod(y, F.lit(1.0))
 
 
-def from_key(k: Column) -> Column:
-    return k.cast("double") / F.lit(KEY_SCALE)
+def from_key(k: Column, scale: float = KEY_SCALE) -> Column:
+    """The reported value of a ranking key, to 6 decimals."""
+    return F.floor(k / F.lit(scale / REPORT_SCALE) + F.lit(0.5)).cast("double") / F.lit(REPORT_SCALE)
 
 
-def np_rank_key(x: np.ndarray) -> np.ndarray:
-    return np.floor(x * KEY_SCALE + 0.5).astype(np.int64)
+def np_rank_key(x: np.ndarray, scale: float = KEY_SCALE) -> np.ndarray:
+    return np.floor(x * scale + 0.5)
 
 
 def np_distances(q: np.ndarray, m: np.ndarray, metric: str) -> np.ndarray:
@@ -92,10 +94,13 @@ def np_distances(q: np.ndarray, m: np.ndarray, metric: str) -> np.ndarray:
         sim[qn == 0, :] = np.nan
         return 1.0 - sim
     if metric == "l2":
-        d2 = (q * q).sum(1)[:, None] + (m * m).sum(1)[None, :] - 2.0 * (q @ m.T)
-        # expanded form (one matrix product); clip rounding below zero
-        d2 = np.maximum(d2, 0.0)
-        return np.sqrt(d2)
+        # by differences (the expanded form cancels for close or large vectors), some queries at a time
+        out = np.empty((len(q), len(m)))
+        step = max(1, 4_000_000 // max(1, m.size))
+        for i in range(0, len(q), step):
+            diff = q[i : i + step, None, :] - m[None, :, :]
+            out[i : i + step] = np.sqrt(np.einsum("qnd,qnd->qn", diff, diff))
+        return out
     if metric == "ip":
         return -(q @ m.T)
     raise ValueError(f"unknown metric {metric!r}")

@@ -16,19 +16,16 @@ the corpus scan into a semi join, so only postings of query terms are
 counted and shuffled.  A hot term (a stop word in a third of the corpus) is
 a hot *term* key only for the df count, which is combined map-side.
 
-Unranked substring retrieval for keyword batches (T4 / F7) scans every
-document once with an Aho-Corasick automaton of all keywords (multi-pattern
-matching in one pass, Arrow batches in ``mapInPandas``).
+Unranked substring retrieval for keyword batches (T4 / F7) is native: one scan
+per block of keywords.
 """
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -37,19 +34,24 @@ from pyspark.sql import types as T
 
 from quarry.functions.tokens import tokenize
 from quarry.functions.vectors import from_key, np_rank_key
-from quarry.operators.topk import NO_KEY, RunningTopK, top_k_per_group
+from quarry.operators.topk import NO_KEY, RunningTopK, merge_top_k, top_k_per_group
 
 # Fixed values (BM25 parameters, Robertson & Zaragoza).
 K1 = 1.2
 B = 0.75
-# Largest keyword list shipped to executors in one pass.
-MAX_KEYWORDS_PER_PASS = 10_000
+# Keywords tested by one scan.
+MAX_KEYWORDS_PER_PASS = 200
 # Ranked text search: queries and vocabulary per pass, and the size of the
-# dense (documents x vocabulary) weight block inside a task.
+# blocks of matches inside a task.
 MAX_QUERIES_PER_PASS = 2048
 MAX_VOCAB_PER_PASS = 50_000
-DENSE_CELLS = 2_000_000
+MAX_TERMS_PER_PASS = 200_000
+# Terms whose document frequencies are counted by one scan (more terms: more scans).
 MAX_STATS_VOCAB = 500_000
+# (document, query, term) matches held at once inside a task.
+MATCHES = 2_000_000
+# Fixed value: resolution of BM25 ranking keys.
+SCORE_SCALE = 1e9
 
 
 def doc_tokens(docs: DataFrame, id_col: str = "id", text_col: str = "document", analyzer: str = "basic") -> DataFrame:
@@ -130,13 +132,15 @@ def _query_term_passes(
     )
     chunk: list[tuple] = []
     vocab: set = set()
+    n_terms = 0
     for qid, terms in rows:
         if not terms:
             continue  # a query without terms matches nothing
         grown = vocab | set(terms)
-        if chunk and (len(chunk) >= MAX_QUERIES_PER_PASS or len(grown) > MAX_VOCAB_PER_PASS):
+        n_terms += len(terms)
+        if chunk and (len(chunk) >= MAX_QUERIES_PER_PASS or len(grown) > MAX_VOCAB_PER_PASS or n_terms > MAX_TERMS_PER_PASS):
             yield chunk
-            chunk, grown = [], set(terms)
+            chunk, grown, n_terms = [], set(terms), len(terms)
         chunk.append((qid, list(terms)))
         vocab = grown
     if chunk:
@@ -194,60 +198,91 @@ def vocabulary_stats(docs: DataFrame, text_col: str, analyzer: str, vocab: list[
     counter per task.  The vocabulary travels as a broadcast variable, not
     as a literal list in the plan.
     """
-    bound = max(MAX_STATS_VOCAB, MAX_VOCAB_PER_PASS)
-    if len(vocab) > bound:
-        raise ValueError(f"vocabulary of {len(vocab)} terms exceeds the broadcast bound {bound}")
-    bvocab = docs.sparkSession.sparkContext.broadcast(vocab)
     toks = docs.select(tokenize(F.col(text_col), analyzer).alias("_t"))
-    per_task = toks.mapInArrow(_stats_kernel(bvocab), "code long, df long, total long")
-    agg = per_task.groupBy("code").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
     n_docs, total, dfs = 0, 0, {}
-    for row in agg.collect():
-        if row["code"] < 0:
-            n_docs, total = row["df"], row["total"]
-        else:
-            dfs[vocab[row["code"]]] = row["df"]
+    for start in range(0, max(1, len(vocab)), MAX_STATS_VOCAB):
+        part = vocab[start : start + MAX_STATS_VOCAB]
+        bvocab = docs.sparkSession.sparkContext.broadcast(part)
+        per_task = toks.mapInArrow(_stats_kernel(bvocab), "code long, df long, total long")
+        for row in per_task.groupBy("code").agg(F.sum("df").alias("df"), F.sum("total").alias("total")).collect():
+            if row["code"] < 0:
+                n_docs, total = row["df"], row["total"]
+            else:
+                dfs[part[row["code"]]] = row["df"]
+        bvocab.unpersist()
     return n_docs, (total / n_docs if n_docs else 0.0), dfs
 
 
-def _bm25_kernel(bc, k: int, id_col: str, qid_col: str, qid_type: pa.DataType, id_type: pa.DataType):
+class TermIndex:
+    """The queries of a pass by term: which queries hold each vocabulary term."""
+
+    def __init__(self, qterm_idx: list[np.ndarray], n_terms: int):
+        term = np.concatenate(qterm_idx) if qterm_idx else np.zeros(0, np.int64)
+        query = np.repeat(np.arange(len(qterm_idx)), [len(t) for t in qterm_idx])
+        order = np.argsort(term, kind="stable")
+        self.query = query[order]
+        self.start = np.searchsorted(term[order], np.arange(n_terms + 1))
+        self.n_queries = len(qterm_idx)
+
+
+def query_sums(index: TermIndex, row: np.ndarray, term: np.ndarray, weight: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, query, sum of weights) of all pairs that share a term, in blocks of whole rows.
+
+    ``row`` (ascending), ``term``, ``weight``: each (document, term) once.  Only
+    pairs with a common term are ever formed, ``MATCHES`` of them at a time.
+    """
+    reach = index.start[term + 1] - index.start[term]
+    done = np.cumsum(reach)
+    at = 0
+    while at < len(row):
+        end = max(at + 1, int(np.searchsorted(done, (done[at - 1] if at else 0) + MATCHES, side="right")))
+        end = int(np.searchsorted(row, row[end - 1], side="right"))  # whole rows
+        n = reach[at:end]
+        inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        query = index.query[np.repeat(index.start[term[at:end]], n) + inner]
+        pair = np.repeat(row[at:end], n) * index.n_queries + query
+        each, of = np.unique(pair, return_inverse=True)
+        yield each // index.n_queries, each % index.n_queries, np.bincount(of, weights=np.repeat(weight[at:end], n), minlength=len(each))
+        at = end
+
+
+def bm25_weights(idf: np.ndarray, tf: np.ndarray, dl: np.ndarray, avgdl: float, k1: float, b: float) -> np.ndarray:
+    return idf * (tf * (k1 + 1.0)) / (tf + k1 * (1.0 - b + b * dl / avgdl))
+
+
+def score_schema(qid_col: str, id_col: str, queries: DataFrame, docs: DataFrame) -> T.StructType:
+    return T.StructType(
+        [T.StructField(qid_col, queries.schema[qid_col].dataType), T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("score_key", T.DoubleType())]
+    )
+
+
+def offer_scores(best: RunningTopK, index: TermIndex, row: np.ndarray, term: np.ndarray, weight: np.ndarray, ids: np.ndarray) -> None:
+    """Scores of all matching (document, query) pairs into the running top-k; ``ids`` by row."""
+    for r, q, score in query_sums(index, row, term, weight):
+        best.offer(q, np.where(score > 0, -np_rank_key(score, SCORE_SCALE), NO_KEY), ids[r])
+
+
+def winners(best: RunningTopK, qids: list, qid_col: str, id_col: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    out_q, out_id, out_k = best.rows(qids)
+    if out_q:
+        yield pa.RecordBatch.from_arrays([pa.array(v, type=t) for v, t in zip((out_q, out_id, [-x for x in out_k]), schema)], names=[qid_col, id_col, "score_key"])
+
+
+def _bm25_kernel(bc, k: int, id_col: str, qid_col: str, kinds: list[pa.DataType]):
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab_list, idf, qids, qterm_idx, avgdl, k1, b = bc.value
         vocab = pa.array(vocab_list, type=pa.string())
-        nv, nq = len(vocab_list), len(qids)
-        # all query terms side by side; a query's score is the sum of its slice
-        qflat = np.concatenate(qterm_idx)
-        offsets = np.cumsum([0] + [len(t) for t in qterm_idx])[:-1]
-        best = RunningTopK(nq, k)
-        rows_per_block = max(1, DENSE_CELLS // max(nv, len(qflat), 1))
+        nv = len(vocab_list)
+        index = TermIndex(qterm_idx, nv)
+        best = RunningTopK(len(qids), k)
         for rb in batches:
-            if rb.num_rows == 0:
-                continue
             rows, cols, lengths = _term_codes(rb.column(1), vocab)
-            if not len(rows):
-                continue
-            ids = rb.column(0).to_numpy(zero_copy_only=False)
-            pairs, tf = np.unique(rows * nv + cols, return_counts=True)
-            r, v = pairs // nv, pairs % nv  # sorted by row
-            dl = lengths[r].astype(np.float64)
-            w = idf[v] * (tf * (k1 + 1.0)) / (tf + k1 * (1.0 - b + b * dl / avgdl))
-            for start in range(0, rb.num_rows, rows_per_block):
-                stop = min(start + rows_per_block, rb.num_rows)
-                lo, hi = np.searchsorted(r, [start, stop])
-                if lo == hi:
-                    continue
-                dense = np.zeros((stop - start, nv))
-                dense[r[lo:hi] - start, v[lo:hi]] = w[lo:hi]
-                scores = np.add.reduceat(dense[:, qflat], offsets, axis=1)  # (rows x queries)
-                keys = np.where(scores > 0, -np_rank_key(scores), NO_KEY)
-                best.offer_block(keys.T, ids[start:stop])
-        out_q, out_id, out_k = best.rows(qids)
-        if out_q:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out_q, type=qid_type), pa.array(out_id, type=id_type),
-                 pa.array([-x for x in out_k], type=pa.int64())],
-                names=[qid_col, id_col, "score_key"],
-            )
+            if len(rows):
+                pairs, tf = np.unique(rows * nv + cols, return_counts=True)
+                r, v = pairs // nv, pairs % nv  # sorted by row
+                w = bm25_weights(idf[v], tf, lengths[r].astype(np.float64), avgdl, k1, b)
+                offer_scores(best, index, r, v, w, rb.column(0).to_numpy(zero_copy_only=False))
+        yield from winners(best, qids, qid_col, id_col, kinds)
 
     return kernel
 
@@ -269,42 +304,22 @@ def bm25_topk(
 
     Per pass of at most ``MAX_QUERIES_PER_PASS`` queries:
     1. one aggregate gives N, avgdl and df of the pass vocabulary (whole corpus);
-    2. one scan of the candidates (``where`` pushed down) feeds ``mapInPandas``:
-       each Arrow batch becomes a (documents x vocabulary) BM25 weight block,
-       multiplied by the (vocabulary x queries) incidence matrix; only the
-       running top-k per query leaves the partition;
-    3. a ``WindowGroupLimit`` window merges the partition winners.
-    No (query, document) pair is ever materialised or shuffled.
+    2. one scan of the candidates (``where`` pushed down) feeds ``mapInArrow``:
+       the weights of matched (document, term) pairs are summed per query
+       through a term -> queries index; pairs without a common term are
+       never formed and only the running top-k per query leaves the partition;
+    3. two ``WindowGroupLimit`` windows merge the partition winners.
+    No (query, document) pair is ever shuffled.
     """
     spark = docs.sparkSession
     sc = spark.sparkContext
-    schema = T.StructType(
-        [
-            T.StructField(qid_col, queries.schema[qid_col].dataType),
-            T.StructField(id_col, docs.schema[id_col].dataType),
-            T.StructField("score_key", T.LongType()),
-        ]
-    )
+    schema = score_schema(qid_col, id_col, queries, docs)
+    kinds = [_arrow_type(f.dataType) for f in schema]
     cand = docs if where is None else docs.where(where)
-    # One statistics scan for the whole batch: a single pass uses its own
-    # vocabulary; several passes share the batch vocabulary when it is
-    # bounded (checked with a limit), else count per pass.  Passes stream.
-    it = _query_term_passes(queries, qid_col, qtext_col, analyzer)
-    first = next(it, None)
-    second = next(it, None) if first is not None else None
-    shared = None
-    if first is not None and second is None:
-        shared = vocabulary_stats(docs, text_col, analyzer, sorted({t for _, ts in first for t in ts}))
-    elif second is not None:
-        vocab_rows = query_terms(queries, qid_col, qtext_col, analyzer).select("term").distinct()
-        all_vocab = [r[0] for r in vocab_rows.limit(MAX_STATS_VOCAB + 1).collect()]
-        if len(all_vocab) <= MAX_STATS_VOCAB:
-            shared = vocabulary_stats(docs, text_col, analyzer, sorted(all_vocab))
-    passes = itertools.chain([c for c in (first, second) if c is not None], it)
     parts = []
-    for chunk in passes:
+    for chunk in _query_term_passes(queries, qid_col, qtext_col, analyzer):
         vocab = sorted({t for _, terms in chunk for t in terms})
-        n_docs, avgdl, dfs = shared or vocabulary_stats(docs, text_col, analyzer, vocab)
+        n_docs, avgdl, dfs = vocabulary_stats(docs, text_col, analyzer, vocab)
         if n_docs == 0:
             continue
         pos = {t: i for i, t in enumerate(vocab)}
@@ -313,16 +328,15 @@ def bm25_topk(
         qterm_idx = [np.array([pos[t] for t in terms], dtype=np.int64) for _, terms in chunk]
         bc = sc.broadcast((vocab, idf, qids, qterm_idx, avgdl, k1, b))
         src = cand.select(id_col, tokenize(F.col(text_col), analyzer).alias("_t"))
-        kernel = _bm25_kernel(bc, k, id_col, qid_col, _arrow_type(schema[qid_col].dataType), _arrow_type(schema[id_col].dataType))
-        parts.append(src.mapInArrow(kernel, schema))
+        parts.append(src.mapInArrow(_bm25_kernel(bc, k, id_col, qid_col, kinds), schema))
     if not parts:
         empty = spark.createDataFrame([], schema)
         return empty.select(qid_col, id_col, F.lit(None).cast("double").alias("score"), F.lit(None).cast("long").alias("rank"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    ranked = top_k_per_group(out, [qid_col], [F.col("score_key").desc(), F.col(id_col).asc()], k)
-    return ranked.select(qid_col, id_col, from_key(F.col("score_key")).alias("score"), "rank")
+    ranked = merge_top_k(out, [qid_col], [F.col("score_key").desc(), F.col(id_col).asc()], id_col, k)
+    return ranked.select(qid_col, id_col, from_key(F.col("score_key"), SCORE_SCALE).alias("score"), "rank")
 
 
 def _match_kernel(bc, id_col: str, qid_col: str, require_all: bool, qid_type: pa.DataType, id_type: pa.DataType):
@@ -330,35 +344,17 @@ def _match_kernel(bc, id_col: str, qid_col: str, require_all: bool, qid_type: pa
         vocab_list, qids, qterm_idx = bc.value
         vocab = pa.array(vocab_list, type=pa.string())
         nv = len(vocab_list)
-        qflat = np.concatenate(qterm_idx)
-        offsets = np.cumsum([0] + [len(t) for t in qterm_idx])[:-1]
+        index = TermIndex(qterm_idx, nv)
         need = np.array([len(t) for t in qterm_idx])
-        qid_arr = np.array(qids, dtype=object)
-        rows_per_block = max(1, DENSE_CELLS // max(nv, len(qflat), 1))
         for rb in batches:
             rows, cols, _ = _term_codes(rb.column(1), vocab)
-            if not len(rows):
-                continue
-            ids = rb.column(0).to_numpy(zero_copy_only=False)
             pairs = np.unique(rows * nv + cols)
-            r, v = pairs // nv, pairs % nv
-            out_q, out_id = [], []
-            for start in range(0, rb.num_rows, rows_per_block):
-                stop = min(start + rows_per_block, rb.num_rows)
-                lo, hi = np.searchsorted(r, [start, stop])
-                if lo == hi:
-                    continue
-                present = np.zeros((stop - start, nv), dtype=np.int32)
-                present[r[lo:hi] - start, v[lo:hi]] = 1
-                matched = np.add.reduceat(present[:, qflat], offsets, axis=1)  # distinct query terms found
-                hit = matched >= (need[None, :] if require_all else 1)
-                di, qi = np.nonzero(hit)
-                out_q.extend(qid_arr[qi].tolist())
-                out_id.extend(ids[start:stop][di].tolist())
-            if out_q:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out_q, type=qid_type), pa.array(out_id, type=id_type)], names=[qid_col, id_col]
-                )
+            for r, q, found in query_sums(index, pairs // nv, pairs % nv, np.ones(len(pairs))):
+                hit = found >= (need[q] if require_all else 1)
+                if hit.any():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([qids[i] for i in q[hit].tolist()], type=qid_type), rb.column(0).take(pa.array(r[hit])).cast(id_type)], names=[qid_col, id_col]
+                    )
 
     return kernel
 
@@ -377,8 +373,8 @@ def token_matches(
 
     One scan; each Arrow batch of token arrays is matched against the pass
     vocabulary (``index_in``) and the distinct query terms found per
-    document are counted with a gather + ``reduceat``.  Matching pairs are
-    emitted directly: no join, no aggregate, no shuffle.
+    document are counted through the term -> queries index.  Matching pairs
+    are emitted directly: no join, no aggregate, no shuffle.
     """
     spark = docs.sparkSession
     schema = T.StructType(
@@ -407,74 +403,6 @@ def token_matches(
 # ------------------------------------------------------------------ substring batches
 
 
-def _collect_keywords(queries: DataFrame, qid_col: str, qtext_col: str) -> Iterator[list[tuple]]:
-    chunk: list[tuple] = []
-    for row in queries.select(qid_col, qtext_col).toLocalIterator(prefetchPartitions=True):
-        if row[1] is None:
-            continue
-        chunk.append((row[0], row[1]))
-        if len(chunk) == MAX_KEYWORDS_PER_PASS:
-            yield chunk
-            chunk = []
-    if chunk:
-        yield chunk
-
-
-def _substring_kernel(bkw, id_col: str, text_col: str, qid_col: str, limit: int | None, case_sensitive: bool):
-    def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        by_kw: dict[str, list] = {}
-        for qid, kw in bkw.value:
-            by_kw.setdefault(kw if case_sensitive else kw.lower(), []).append(qid)
-        every_doc = by_kw.pop("", [])  # the empty string is contained in every text
-        try:
-            import ahocorasick
-
-            auto = ahocorasick.Automaton()
-            for kw, qids in by_kw.items():
-                auto.add_word(kw, qids)
-            if by_kw:
-                auto.make_automaton()
-
-            def found(text: str) -> set:
-                return {qid for _, qs in auto.iter(text) for qid in qs} if by_kw else set()
-
-        except ImportError:  # plain scan, same result
-
-            def found(text: str) -> set:
-                return {qid for kw, qs in by_kw.items() if kw in text for qid in qs}
-
-        kept: dict = {}  # query -> ids (pruned to the ``limit`` smallest)
-        for pdf in batches:
-            for rid, text in zip(pdf[id_col].tolist(), pdf[text_col].tolist()):
-                if text is None:
-                    continue
-                hit = found(text if case_sensitive else text.lower())
-                hit.update(every_doc)
-                for qid in hit:
-                    ids = kept.setdefault(qid, [])
-                    ids.append(rid)
-                    if limit is not None and len(ids) >= 4 * limit:
-                        ids.sort()
-                        del ids[limit:]
-            if limit is None and kept:
-                # unlimited matches stream out batch by batch
-                yield pd.DataFrame(
-                    {qid_col: [q for q, ids in kept.items() for _ in ids], id_col: [i for ids in kept.values() for i in ids]}
-                )
-                kept = {}
-        out_q: list = []
-        out_id: list = []
-        for qid, ids in kept.items():
-            if limit is not None:
-                ids = sorted(ids)[:limit]
-            out_q.extend([qid] * len(ids))
-            out_id.extend(ids)
-        if out_q:
-            yield pd.DataFrame({qid_col: out_q, id_col: out_id})
-
-    return kernel
-
-
 def substring_matches(
     docs: DataFrame,
     queries: DataFrame,
@@ -482,31 +410,37 @@ def substring_matches(
     text_col: str = "document",
     qid_col: str = "query_id",
     qtext_col: str = "query_text",
-    limit: int | None = None,
     case_sensitive: bool = True,
 ) -> DataFrame:
     """F7 for a batch — ``(query_id, id)`` where the document contains the query text.
 
-    With ``limit`` only the ``limit`` smallest ids per query survive each
-    partition (exact for an id-ordered limit downstream).
+    One scan per block of keywords: an array of the matching queries per
+    document (native ``contains``), exploded.  A null query matches nothing, the
+    empty text every document.
     """
-    spark = docs.sparkSession
-    schema = T.StructType(
-        [T.StructField(qid_col, queries.schema[qid_col].dataType), T.StructField(id_col, docs.schema[id_col].dataType)]
-    )
-    src = docs.select(id_col, text_col)
-    parts = []
-    for chunk in _collect_keywords(queries, qid_col, qtext_col):
-        bkw = spark.sparkContext.broadcast(chunk)
-        parts.append(src.mapInPandas(_substring_kernel(bkw, id_col, text_col, qid_col, limit, case_sensitive), schema))
-    if not parts:
-        return spark.createDataFrame([], schema)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    qid_type = queries.schema[qid_col].dataType
+    text = F.col(text_col) if case_sensitive else F.lower(text_col)
+    out = None
+    for block in _keyword_blocks(queries, qid_col, qtext_col):
+        hits = [F.when(F.contains(text, F.lit(kw if case_sensitive else kw.lower())), F.lit(q).cast(qid_type)) for q, kw in block]
+        found = docs.select(F.explode(F.array_compact(F.array(*hits))).alias(qid_col), F.col(id_col))
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        return docs.select(F.lit(None).cast(qid_type).alias(qid_col), id_col).limit(0)
     return out
 
 
+def _keyword_blocks(queries: DataFrame, qid_col: str, qtext_col: str) -> Iterator[list[tuple]]:
+    block: list[tuple] = []
+    for row in queries.select(qid_col, qtext_col).where(F.col(qtext_col).isNotNull()).toLocalIterator(prefetchPartitions=True):
+        block.append((row[0], row[1]))
+        if len(block) == MAX_KEYWORDS_PER_PASS:
+            yield block
+            block = []
+    if block:
+        yield block
+
+
 def fulltext_get(
     docs: DataFrame,
     queries: DataFrame,
@@ -515,7 +449,23 @@ def fulltext_get(
     text_col: str = "document",
     qid_col: str = "query_id",
     qtext_col: str = "query_text",
+    where: Column | None = None,
+    token_mode: str | None = None,
+    include: list[str] | None = None,
+    analyzer: str = "basic",
 ) -> DataFrame:
-    """T4 — unranked ``$contains`` get, first ``limit`` ids per query: ``(query_id, id, rank)``."""
-    m = substring_matches(docs, queries, id_col, text_col, qid_col, qtext_col, limit=limit)
-    return top_k_per_group(m, [qid_col], [F.col(id_col).asc()], limit)
+    """T4 — unranked get, first ``limit`` ids per query: ``(query_id, id, rank[, included fields])``.
+
+    Matches by substring (``$contains``) or, with ``token_mode`` ``"any"`` / ``"all"``, by analyzed
+    tokens; ``where`` filters the candidates first (pushed to the scan), ``include`` adds
+    stored fields of the winners (P18).
+    """
+    cand = docs if where is None else docs.where(where)
+    if token_mode is None:
+        m = substring_matches(cand, queries, id_col, text_col, qid_col, qtext_col)
+    else:
+        m = token_matches(cand, queries, token_mode == "all", id_col, text_col, qid_col, qtext_col, analyzer)
+    got = top_k_per_group(m, [qid_col], [F.col(id_col).asc()], limit)
+    if include:
+        got = got.join(docs.select(id_col, *include), id_col)
+    return got.select(qid_col, id_col, "rank", *(include or []))

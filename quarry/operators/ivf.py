@@ -3,12 +3,14 @@
 The reference configures an HNSW graph inside its engine; a graph is an
 engine internal, so the Spark-first equivalent here is a *table layout*:
 
-* ``build_ivf``: MLlib ``KMeans`` (cosine or Euclidean, trained on a sample)
-  assigns every vector a ``cell``; the corpus is written partitioned by
-  ``cell`` and the (small, bounded) centroids are stored next to it.
+* ``build_ivf``: MLlib ``KMeans`` (cosine or Euclidean, trained on every
+  vector unless the caller asks for a sample) assigns every vector a ``cell``;
+  the corpus is written partitioned by ``cell`` and the centroids are stored
+  next to it.  The number of cells grows with the square root of the rows.
+* ``ivf_append``: new vectors join the cell of their nearest centroid.
 * ``ivf_knn``: each query probes its ``nprobe`` nearest centroids; the scan
-  reads only the probed ``cell=`` folders (partition pruning) and the exact
-  kernel of ``knn`` ranks the rows of each query's own cells.
+  reads only the probed ``cell=`` folders (partition pruning) and computes
+  only the distances between a query and its own cells.
 
 With ``nprobe`` = number of cells the result is exactly ``knn`` (checked by
 a test); smaller ``nprobe`` trades recall (``recall_at_k``) for scan volume.
@@ -17,46 +19,41 @@ a test); smaller ``nprobe`` trades recall (``recall_at_k``) for scan volume.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.functions.vectors import np_distances
-from quarry.operators.knn import collect_queries, knn
+from quarry.operators.knn import _matrix, collect_queries, knn
 
-# Most centroids shipped to the driver/broadcast (cells are a small fixed number).
+# Most cells that are chosen without being asked for (centroids are broadcast).
 MAX_CELLS = 65_536
-# Vectors used to train the cells (a seeded sample above this).
-MAX_TRAIN_ROWS = 1_000_000
 
 
 def build_ivf(
     corpus: DataFrame,
     location: str,
-    n_cells: int,
+    n_cells: int | None = None,
     metric: str = "cosine",
     id_col: str = "id",
     vec_col: str = "embedding",
     sample_fraction: float | None = None,
     seed: int = 42,
     max_iter: int = 20,
-    max_train_rows: int = MAX_TRAIN_ROWS,
 ) -> str:
     """V9 build — train cells, write ``location/cells`` (partitioned) and ``location/centroids``.
 
-    Centroids are trained on a seeded sample of at most ``max_train_rows``
-    vectors (or ``sample_fraction``); every vector is then assigned a cell,
-    so no row is dropped — sampling only shapes the cells.
+    ``n_cells`` defaults to the square root of the number of vectors.  Cells are
+    trained on all vectors; ``sample_fraction`` is the caller's choice.
     """
-    if n_cells > MAX_CELLS:
-        raise ValueError(f"n_cells={n_cells} exceeds the centroid bound {MAX_CELLS}")
     spark = corpus.sparkSession
+    if n_cells is None:
+        n_cells = min(MAX_CELLS, max(2, round(corpus.count() ** 0.5)))
     feats = corpus.withColumn("_features", array_to_vector(F.col(vec_col)))
-    if sample_fraction is None:
-        n = corpus.select(id_col).count()
-        sample_fraction = min(1.0, max_train_rows / n) if n else 1.0
-    train = feats.sample(fraction=sample_fraction, seed=seed) if sample_fraction < 1.0 else feats
+    train = feats if sample_fraction is None else feats.sample(fraction=sample_fraction, seed=seed)
     km = KMeans(
         k=n_cells,
         featuresCol="_features",
@@ -79,6 +76,30 @@ def build_ivf(
     return location
 
 
+def n_cells(spark: SparkSession, location: str) -> int:
+    return spark.read.parquet(f"{location}/centroids").count()
+
+
+def ivf_append(vectors: DataFrame, location: str, metric: str = "cosine", vec_col: str = "embedding") -> None:
+    """New vectors (with the stored columns) go to the cell of their nearest centroid; ties to the smaller cell."""
+    spark = vectors.sparkSession
+    cents = spark.read.parquet(f"{location}/centroids").orderBy("cell").collect()
+    shipped = spark.sparkContext.broadcast((np.array([r["cell"] for r in cents]), np.stack([np.asarray(r["center"], dtype=np.float64) for r in cents])))
+
+    def assign(batches):
+        cells, cmat = shipped.value
+        for batch in batches:
+            rows, mat = _matrix(batch.column(batch.schema.get_field_index(vec_col)), cmat.shape[1])
+            if len(rows) < batch.num_rows:
+                raise ValueError(f"{batch.num_rows - len(rows)} vectors of a batch are null or not of {cmat.shape[1]} dimensions")
+            d = np.nan_to_num(np_distances(mat, cmat, metric), nan=np.inf)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells[d.argmin(axis=1)].astype(np.int32))], names=[*batch.schema.names, "cell"])
+
+    schema = T.StructType([*vectors.schema.fields, T.StructField("cell", T.IntegerType())])
+    placed = vectors.mapInArrow(assign, schema)
+    placed.write.mode("append").partitionBy("cell").parquet(f"{location}/cells")
+
+
 def probe_cells(spark: SparkSession, location: str, queries: DataFrame, nprobe: int, metric: str,
                 qid_col: str, qvec_col: str) -> dict:
     """Nearest ``nprobe`` centroids of every query (queries and centroids are both bounded)."""

@@ -2,11 +2,16 @@
 
 Batch kernel (V7): the query batch is small and its size is checked; it is
 shipped to executors as a broadcast variable (never joined as a cross
-product).  Each corpus partition is scanned once by ``mapInPandas``: Arrow
-batches of vectors become a numpy matrix, distances to every query come
-from one matrix product, and only the running top-k per query survives the
-partition.  A window with ``WindowGroupLimit`` then merges the per-partition
-winners (at most ``k`` rows per query per partition cross the shuffle).
+product).  Each corpus partition is scanned once by ``mapInArrow``: the value
+buffer of a batch of vectors is a numpy matrix as it is, distances to every
+query come from one matrix product, and only the running top-k per query
+survives the partition.  Two windows with ``WindowGroupLimit`` merge the
+per-partition winners (at most ``k`` rows per query per partition cross the
+shuffle, and no task receives all of a query's).
+
+Vectors that are null or of another length than the queries are not ranked
+(V2); ``vector_rejects`` counts them by reason, and ``on_reject="error"``
+fails on the first one.
 
 Ordering is ``(rank_key(distance), id)`` everywhere, so partial and final
 top-k agree exactly and ties are broken by id.  Rows whose distance is
@@ -21,14 +26,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quarry.functions.vectors import distance as distance_expr
-from quarry.functions.vectors import from_key, np_distances, np_rank_key, rank_key
-from quarry.operators.topk import NO_KEY, RunningTopK, top_k, top_k_per_group
+from quarry.functions.vectors import from_key, norm, np_distances, np_rank_key, rank_key
+from quarry.operators.topk import NO_KEY, RunningTopK, merge_top_k, top_k
 
 # Query vectors per broadcast pass, bounded in bytes (float64 x dim) and in
 # count; bigger batches are processed in several exact passes and unioned,
@@ -37,47 +46,70 @@ MAX_QUERY_BYTES = 64 * 1024 * 1024
 MAX_QUERIES_PER_PASS = 131_072
 # Cells of the (queries x corpus rows) distance block inside a task.
 DIST_CELLS = 8_000_000
-def _kernel_factory(bq, k: int, metric: str, id_col: str, vec_col: str, qid_name: str, allowed=None):
-    """Build the per-partition function for ``mapInPandas``.
 
-    ``allowed`` (optional broadcast) maps query position -> set of corpus
-    ``cell`` values it may see (IVF probing); ``None`` means all.
+
+def _matrix(vectors: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row numbers, matrix) of the vectors of length ``dim``; null vectors and elements leave a row out."""
+    lengths = pc.fill_null(pc.list_value_length(vectors), -1).to_numpy(zero_copy_only=False)
+    rows = np.flatnonzero(lengths == dim)
+    flat = pc.list_flatten(vectors if len(rows) == len(vectors) else vectors.take(pa.array(rows)))
+    mat = flat.cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(len(rows), dim)
+    if flat.null_count:
+        full = ~np.isnan(mat).any(axis=1)
+        rows, mat = rows[full], mat[full]
+    return rows, mat
+
+
+def _kernel_factory(bq, k: int, metric: str, qid_name: str, id_name: str, qid_type, id_type, on_reject: str, probes=None):
+    """Per-partition function for ``mapInArrow`` over (id, vector[, cell]).
+
+    ``probes`` (optional broadcast) maps a cell to the positions of the
+    queries that probe it (IVF): only those distances are computed.
     """
 
-    def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         qids, qmat = bq.value
-        nq = len(qids)
-        best = RunningTopK(nq, k)
-        probe = allowed.value if allowed is not None else None
-        for pdf in batches:
-            # V2 shape check and missing vectors are handled here, not as a
-            # Spark filter: a filter on a computed vector would be pushed
-            # below the exchange and evaluate the embedding twice
-            dim = qmat.shape[1]
-            ok = np.fromiter((v is not None and len(v) == dim for v in pdf[vec_col]), dtype=bool, count=len(pdf))
-            if not ok.all():
-                pdf = pdf[ok]
-            if pdf.empty:
-                continue
-            rows_per_block = max(1, DIST_CELLS // max(nq, 1))
-            for start in range(0, len(pdf), rows_per_block):
-                block = pdf.iloc[start : start + rows_per_block]
-                ids = block[id_col].to_numpy()
-                mat = np.stack([np.asarray(v, dtype=np.float64) for v in block[vec_col]])
-                dist = np_distances(qmat, mat, metric)
-                keys = np.where(np.isnan(dist), NO_KEY, np_rank_key(np.nan_to_num(dist, nan=0.0)))
-                if probe is not None:
-                    cells = block["cell"].to_numpy()
-                    for qi in range(nq):
-                        keys[qi, ~np.isin(cells, probe[qi])] = NO_KEY
-                best.offer_block(keys, ids)
+        best = RunningTopK(len(qids), k)
+        for batch in batches:
+            rows, mat = _matrix(batch.column(1), qmat.shape[1])
+            if on_reject == "error" and len(rows) < batch.num_rows:
+                raise ValueError(f"{batch.num_rows - len(rows)} vectors of a batch are null or not of {qmat.shape[1]} dimensions")
+            ids = batch.column(0).to_numpy(zero_copy_only=False)[rows]
+            if probes is None:
+                groups = [(None, slice(0, len(rows)))]
+            else:
+                cells = batch.column(2).to_numpy(zero_copy_only=False)[rows]
+                groups = [(probes.value.get(int(c)), np.flatnonzero(cells == c)) for c in np.unique(cells)]
+            for who, part in groups:
+                if probes is not None and who is None:
+                    continue
+                q, m, own = (qmat if who is None else qmat[who]), mat[part], ids[part]
+                step = max(1, DIST_CELLS // max(len(q), 1))
+                for start in range(0, len(m), step):
+                    dist = np_distances(q, m[start : start + step], metric)
+                    keys = np.where(np.isnan(dist), NO_KEY, np_rank_key(np.nan_to_num(dist, nan=0.0)))
+                    best.offer_block(keys, own[start : start + step], who)
         out_q, out_id, out_k = best.rows(qids)
         if out_q:
-            yield pd.DataFrame({qid_name: out_q, id_col: out_id, "dist_key": out_k})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out_q, type=qid_type), pa.array(out_id, type=id_type), pa.array(out_k, type=pa.float64())], names=[qid_name, id_name, "dist_key"]
+            )
 
     return kernel
 
 
+def vector_rejects(corpus: DataFrame, dim: int, vec_col: str = "embedding") -> DataFrame:
+    """V2 — one row: vectors in all, null, of another length than ``dim``, and without direction (zero norm)."""
+    v = F.col(vec_col)
+    right = F.size(v) == dim
+    return corpus.agg(
+        F.count(F.lit(1)).alias("n_vectors"),
+        F.count_if(v.isNull()).alias("n_null"),
+        F.count_if(v.isNotNull() & ~right).alias("n_wrong_size"),
+        F.count_if(right & (norm(v) == 0)).alias("n_zero"),
+    )
+
+
 def collect_queries(queries: DataFrame, qid_col: str, qvec_col: str) -> Iterator[tuple[list, np.ndarray]]:
     """Stream the (small) query batch to the driver in bounded passes."""
     ids: list = []
@@ -107,11 +139,13 @@ def knn(
     where: Column | None = None,
     dim: int | None = None,
     probes: dict | None = None,
+    on_reject: str = "skip",
 ) -> DataFrame:
     """V7/V8 — exact top-k per query: ``(query_id, id, distance, rank)``.
 
     ``where`` is applied to the corpus *before* ranking (pre-filter, pushed
-    to the scan).  ``dim`` adds the V2 shape check.
+    to the scan).  ``dim`` adds the V2 shape check of the queries.  ``probes``
+    maps each query id to the cells it may see.
     """
     spark = corpus.sparkSession
     src = corpus if where is None else corpus.where(where)
@@ -122,19 +156,24 @@ def knn(
         [
             T.StructField(qid_col, qid_type),
             T.StructField(id_col, corpus.schema[id_col].dataType),
-            T.StructField("dist_key", T.LongType()),
+            T.StructField("dist_key", T.DoubleType()),
         ]
     )
+    qid_arrow, id_arrow = to_arrow_type(qid_type), to_arrow_type(corpus.schema[id_col].dataType)
     parts = []
     for qids, qmat in collect_queries(queries, qid_col, qvec_col):
         if dim is not None and qmat.shape[1] != dim:
             raise ValueError(f"query vectors have {qmat.shape[1]} dimensions, the collection {dim}")
         bq = spark.sparkContext.broadcast((qids, qmat))
-        allowed = None
+        seen = None
         if probes is not None:
-            allowed = spark.sparkContext.broadcast([np.asarray(sorted(probes[q])) for q in qids])
-        kernel = _kernel_factory(bq, k, metric, id_col, vec_col, qid_col, allowed)
-        parts.append(src.mapInPandas(kernel, out_schema))
+            by_cell: dict = {}
+            for i, q in enumerate(qids):
+                for c in probes[q]:
+                    by_cell.setdefault(int(c), []).append(i)
+            seen = spark.sparkContext.broadcast({c: np.array(i) for c, i in by_cell.items()})
+        kernel = _kernel_factory(bq, k, metric, qid_col, id_col, qid_arrow, id_arrow, on_reject, seen)
+        parts.append(src.mapInArrow(kernel, out_schema))
     if not parts:
         return spark.createDataFrame([], out_schema).select(
             qid_col, id_col, F.lit(None).cast("double").alias("distance"), F.lit(None).cast("long").alias("rank")
@@ -142,7 +181,7 @@ def knn(
     cand = parts[0]
     for p in parts[1:]:
         cand = cand.unionByName(p)
-    ranked = top_k_per_group(cand, [qid_col], [F.col("dist_key").asc(), F.col(id_col).asc()], k)
+    ranked = merge_top_k(cand, [qid_col], [F.col("dist_key").asc(), F.col(id_col).asc()], id_col, k)
     return ranked.select(qid_col, id_col, from_key(F.col("dist_key")).alias("distance"), "rank")
 
 
@@ -171,14 +210,9 @@ def label_centroids(
 ) -> DataFrame:
     """Query batch derived from the data: the mean vector of every label.
 
-    ``posexplode`` + ``groupBy(label, pos)`` with map-side partial averages;
-    a hot label costs one partial row per partition, not a skewed task.
+    MLlib's ``Summarizer`` combines map-side: a hot label costs one partial
+    vector per partition.
     """
-    per_dim = (
-        vectors.select(label_col, F.posexplode(vec_col).alias("pos", "v"))
-        .groupBy(label_col, "pos")
-        .agg(F.avg(F.col("v").cast("double")).alias("m"))
-    )
-    return per_dim.groupBy(label_col).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"]).alias(qvec_name)
-    ).select(F.col(label_col).cast("long").alias(qid_name), qvec_name)
+    mean = Summarizer.mean(array_to_vector(F.col(vec_col).cast("array<double>")))
+    means = vectors.where(F.col(vec_col).isNotNull()).groupBy(label_col).agg(mean.alias("m"))
+    return means.select(F.col(label_col).cast("long").alias(qid_name), vector_to_array("m").alias(qvec_name))

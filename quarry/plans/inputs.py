@@ -2,6 +2,7 @@
 
 * ``vector_collection``: ``documents JOIN embeddings ON doc_id = vec_id``,
   i.e. records that carry a precomputed vector.
+* ``vectors_only``: every vector of ``embeddings``.
 * ``text_collection``: every document (text-only corpus).
 * ``centroid_queries``: one query vector per embedding label, the label's
   mean vector (derived from the whole ``embeddings`` table).
@@ -33,6 +34,11 @@ def vector_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(emb, "id")
 
 
+def vectors_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector of ``embeddings`` with its id; no document column is needed to rank them."""
+    return read_table(spark, sf_dir, "embeddings", spread_by="vec_id").select(F.col("vec_id").alias("id"), "embedding")
+
+
 def centroid_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = read_table(spark, sf_dir, "embeddings")
     return label_centroids(emb, "label", "embedding")

@@ -1,7 +1,8 @@
 """DuckDB twins of the registered scenarios (same column names and types).
 
 Conventions shared with the Spark side:
-* distances/scores are DOUBLE and ranked by ``floor(x*1e6 + 0.5)``, ties by id;
+* distances rank by ``floor(x * 1e12 + 0.5)``, BM25 scores by ``floor(x * 1e9 + 0.5)``, ties by id;
+  both are reported to 6 decimals;
 * ranks are BIGINT ``row_number()`` from 1;
 * Unicode whitespace for trims is ``[\\s\\p{Z}]`` (RE2 has no Unicode ``\\s``;
   U+0085 and U+001C..U+001F are removed before any trim).
@@ -35,11 +36,15 @@ _DIST = {
 }
 
 
-def _knn_sql(metric: str, k: int, where: str = "TRUE") -> str:
+VONLY = """
+vcoll AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings)"""
+
+
+def _knn_sql(metric: str, k: int, where: str = "TRUE", vectors: str = VONLY) -> str:
     return f"""
-WITH {CENTROIDS}, {VCOLL},
+WITH {CENTROIDS}, {vectors},
 scored AS (
-  SELECT q.query_id, c.id, floor(({_DIST[metric]}) * 1e6 + 0.5)::BIGINT AS dist_key
+  SELECT q.query_id, c.id, floor(({_DIST[metric]}) * 1e12 + 0.5) AS dist_key
   FROM centroids q, vcoll c
   WHERE {where}
 ),
@@ -47,7 +52,7 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dist_key, id) AS rank
   FROM scored WHERE dist_key IS NOT NULL
 )
-SELECT query_id, id, dist_key / 1e6 AS distance, rank::BIGINT AS rank FROM ranked WHERE rank <= {k}
+SELECT query_id, id, floor(dist_key / 1e6 + 0.5) / 1e6 AS distance, rank::BIGINT AS rank FROM ranked WHERE rank <= {k}
 """
 
 
@@ -55,7 +60,7 @@ SQL: dict[str, str] = {
     "knn_cosine": _knn_sql("cosine", 5),
     "knn_l2": _knn_sql("l2", 5),
     "knn_ip": _knn_sql("ip", 5),
-    "knn_filtered": _knn_sql("cosine", 10, "c.lang = 'en'"),
+    "knn_filtered": _knn_sql("cosine", 10, "c.lang = 'en'", VCOLL),
 }
 
 
@@ -219,11 +224,11 @@ scored AS (
   GROUP BY ALL
 ),
 ranked AS (
-  SELECT query_id, id, floor(score * 1e6 + 0.5)::BIGINT AS score_key,
-         row_number() OVER (PARTITION BY query_id ORDER BY floor(score * 1e6 + 0.5) DESC, id) AS rank
+  SELECT query_id, id, floor(score * 1e9 + 0.5) AS score_key,
+         row_number() OVER (PARTITION BY query_id ORDER BY floor(score * 1e9 + 0.5) DESC, id) AS rank
   FROM scored
 )
-SELECT query_id, id, score_key / 1e6 AS score, rank::BIGINT AS rank FROM ranked WHERE rank <= {k}
+SELECT query_id, id, floor(score_key / 1e3 + 0.5) / 1e6 AS score, rank::BIGINT AS rank FROM ranked WHERE rank <= {k}
 """
 
 
@@ -308,13 +313,13 @@ dfreq AS (SELECT term, count(*) AS df FROM post GROUP BY term),
 tscored AS (
   SELECT qt.query_id, p.id,
          floor(sum(ln(1.0e0 + (s.n_docs - d.df + 0.5e0) / (d.df + 0.5e0))
-             * ((p.tf * 2.2e0) / (p.tf + 1.2e0 * (0.25e0 + 0.75e0 * p.dl / s.avgdl)))) * 1e6 + 0.5)::BIGINT AS score_key
+             * ((p.tf * 2.2e0) / (p.tf + 1.2e0 * (0.25e0 + 0.75e0 * p.dl / s.avgdl)))) * 1e9 + 0.5) AS score_key
   FROM post p JOIN dfreq d USING (term) JOIN qt USING (term) CROSS JOIN stats s
   WHERE p.keep
   GROUP BY ALL
 ),
 tleg AS (
-  SELECT query_id, id, score_key / 1e6 AS score,
+  SELECT query_id, id, floor(score_key / 1e3 + 0.5) / 1e6 AS score,
          row_number() OVER (PARTITION BY query_id ORDER BY score_key DESC, id) AS text_rank
   FROM tscored QUALIFY text_rank <= {n_text}
 ),
@@ -323,13 +328,13 @@ tleg AS (
 vdots AS (SELECT q.id AS query_id, d.id, sum(q.v * d.v) AS dot FROM q_vec q JOIN d_vec d USING (b) GROUP BY ALL),
 vscored AS (
   SELECT qn.id AS query_id, dn.id,
-         floor((1 - coalesce(v.dot, 0) / (qn.n * dn.n)) * 1e6 + 0.5)::BIGINT AS dist_key
+         floor((1 - coalesce(v.dot, 0) / (qn.n * dn.n)) * 1e12 + 0.5) AS dist_key
   FROM q_norm qn CROSS JOIN d_norm dn
   LEFT JOIN vdots v ON v.query_id = qn.id AND v.id = dn.id
   WHERE qn.n > 0 AND dn.n > 0
 ),
 vleg AS (
-  SELECT query_id, id, dist_key / 1e6 AS distance,
+  SELECT query_id, id, floor(dist_key / 1e6 + 0.5) / 1e6 AS distance,
          row_number() OVER (PARTITION BY query_id ORDER BY dist_key, id) AS vector_rank
   FROM vscored QUALIFY vector_rank <= {n_vector}
 ),
@@ -404,11 +409,10 @@ PCT = "CASE WHEN {1} > 0 THEN {0} / {1} * 100.0e0 ELSE 0.0e0 END"
 
 SQL["compare_overlap"] = f"""
 WITH {COMPARE_BASE}
-SELECT query_id, n_a AS full_text_count, n_b AS hybrid_count, n_common AS common_count,
-       n_a_only AS full_text_only, n_b_only AS hybrid_only,
-       {PCT.format('n_common', 'n_a')} AS overlap_ratio_ft,
-       {PCT.format('n_common', 'n_b')} AS overlap_ratio_hybrid,
-       common_ids, a_only_ids AS full_text_only_ids, b_only_ids AS hybrid_only_ids
+SELECT query_id, n_a, n_b, n_common, n_a_only, n_b_only,
+       {PCT.format('n_common', 'n_a')} AS overlap_pct_a,
+       {PCT.format('n_common', 'n_b')} AS overlap_pct_b,
+       common_ids, a_only_ids, b_only_ids
 FROM rep"""
 SQL["compare_rollup"] = f"""
 WITH {COMPARE_BASE},
@@ -494,6 +498,10 @@ SQL["stream_ingest_books"] = SQL["prepare_books"]
 SQL["csv_malformed"] = """
 WITH b AS (SELECT count(*) AS n, count(*) FILTER (WHERE p_partkey % 50 = 0) AS bad FROM part)
 SELECT n + bad AS n_rows, bad AS n_malformed, bad AS n_kept_text, 0::BIGINT AS first_position, n + bad - 1 AS last_position, n + bad AS n_positions FROM b"""
+SQL["vector_checks"] = """
+SELECT count(*) + count(*) FILTER (WHERE vec_id % 10 = 0) + count(*) FILTER (WHERE vec_id % 20 = 0) + count(*) FILTER (WHERE vec_id % 25 = 0) AS n_vectors,
+       count(*) FILTER (WHERE vec_id % 20 = 0) AS n_null, count(*) FILTER (WHERE vec_id % 10 = 0) AS n_wrong_size, count(*) FILTER (WHERE vec_id % 25 = 0) AS n_zero FROM embeddings"""
+SQL["ivf_checks"] = "SELECT count(DISTINCT label) AS n_queries, 0::BIGINT AS n_wrong, 0::BIGINT AS n_falls, 1.0::DOUBLE AS recall_all_cells FROM embeddings"
 SQL["ingest_duplicates"] = """
 SELECT doc_id AS id, 'a ' || lang AS document, 'stored' AS outcome FROM documents
 UNION ALL SELECT doc_id, 'copy', 'duplicate_in_batch' FROM documents WHERE doc_id % 3 = 0
@@ -514,13 +522,13 @@ def _vleg_ctes(n: int, queries: str = "bq", qid: str = "query_id", qtext: str =
 vdots AS (SELECT q.id AS query_id, d.id, sum(q.v * d.v) AS dot FROM q_vec q JOIN d_vec d USING (b) GROUP BY ALL),
 vscored AS (
   SELECT qn.id AS query_id, dn.id,
-         floor((1 - coalesce(v.dot, 0) / (qn.n * dn.n)) * 1e6 + 0.5)::BIGINT AS dist_key
+         floor((1 - coalesce(v.dot, 0) / (qn.n * dn.n)) * 1e12 + 0.5) AS dist_key
   FROM q_norm qn CROSS JOIN d_norm dn
   LEFT JOIN vdots v ON v.query_id = qn.id AND v.id = dn.id
   WHERE qn.n > 0 AND dn.n > 0
 ),
 vleg AS (
-  SELECT query_id, id, dist_key / 1e6 AS distance,
+  SELECT query_id, id, floor(dist_key / 1e6 + 0.5) / 1e6 AS distance,
          row_number() OVER (PARTITION BY query_id ORDER BY dist_key, id) AS rank
   FROM vscored QUALIFY rank <= {n}
 )"""
@@ -577,4 +585,4 @@ SELECT doc_id AS id,
        n_chars AS n
 FROM documents"""
 SQL["csv_roundtrip"] = SQL["prepare_books"]
-SQL["collection_vector_knn"] = SQL["knn_cosine"]
+SQL["collection_vector_knn"] = _knn_sql("cosine", 5, "TRUE", VCOLL)

@@ -21,7 +21,7 @@ from quarry.operators import hybrid as hy
 from quarry.operators import ivf
 from quarry.operators import prepare as prep
 from quarry.operators.filters import build_filter
-from quarry.operators.knn import knn, knn_single
+from quarry.operators.knn import knn, knn_single, vector_rejects
 from quarry.plans import inputs
 from quarry.session import shared_dir
 from quarry.sources import collection as coll
@@ -40,11 +40,21 @@ def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 
 def _knn(spark: SparkSession, sf_dir: str, metric: str, k: int, where=None) -> DataFrame:
-    coll = inputs.vector_collection(spark, sf_dir)
+    coll = inputs.vectors_only(spark, sf_dir) if where is None else inputs.vector_collection(spark, sf_dir)
     queries = inputs.centroid_queries(spark, sf_dir)
     return knn(coll, queries, k, metric=metric, where=where)
 
 
+@register
+def vector_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2: all vectors plus injected null, short and zero ones, counted by what is wrong with them."""
+    v = inputs.vectors_only(spark, sf_dir)
+    short = v.where("id % 10 = 0").select("id", F.slice("embedding", 1, 3).alias("embedding"))
+    null = v.where("id % 20 = 0").select("id", F.lit(None).cast("array<float>").alias("embedding"))
+    zero = v.where("id % 25 = 0").select("id", F.transform("embedding", lambda x: x * F.lit(0).cast("float")).alias("embedding"))
+    return vector_rejects(v.union(short).union(null).union(zero), 64)
+
+
 @register
 def knn_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V3 + V7: cosine top-5 for every label centroid."""
@@ -264,20 +274,6 @@ def hybrid_display(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ comparison and roll-ups
 
 
-COMPARE_NAMES = {
-    "n_a": "full_text_count",
-    "n_b": "hybrid_count",
-    "n_common": "common_count",
-    "n_a_only": "full_text_only",
-    "n_b_only": "hybrid_only",
-    "overlap_pct_a": "overlap_ratio_ft",
-    "overlap_pct_b": "overlap_ratio_hybrid",
-    "common_ids": "common_ids",
-    "a_only_ids": "full_text_only_ids",
-    "b_only_ids": "hybrid_only_ids",
-}
-
-
 def _ft_and_hybrid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     q = inputs.benchmark_queries(spark, sf_dir)
     docs = inputs.text_collection(spark, sf_dir)
@@ -288,8 +284,7 @@ def _ft_and_hybrid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 def _comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     q, got, hyb = _ft_and_hybrid(spark, sf_dir)
-    rep = cmp.compare_results(got, hyb, q)
-    return rep.select("query_id", *[F.col(k).alias(v) for k, v in COMPARE_NAMES.items()])
+    return cmp.compare_results(got, hyb, q)
 
 
 @register
@@ -481,48 +476,66 @@ def metadata_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ approximate search
 
 
-IVF_CELLS = 8
-
-
 def _ivf_index(spark: SparkSession, sf_dir: str) -> str:
+    """Cells of all vectors: trained on those of even ids, the others appended to them."""
     location = shared_dir(spark, "ivf")
-    return ivf.build_ivf(inputs.vector_collection(spark, sf_dir), location, IVF_CELLS, "cosine")
+    vectors = inputs.vectors_only(spark, sf_dir)
+    ivf.build_ivf(vectors.where("id % 2 = 0"), location)
+    ivf.ivf_append(vectors.where("id % 2 <> 0"), location)
+    return location
 
 
 @register
 def ivf_knn_all_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V9 with nprobe = all cells: must equal exact cosine kNN (V7) row for row."""
     location = _ivf_index(spark, sf_dir)
-    return ivf.ivf_knn(spark, location, inputs.centroid_queries(spark, sf_dir), 5, IVF_CELLS, "cosine").select(
-        "query_id", "id", "distance", "rank"
-    )
+    every = ivf.n_cells(spark, location)
+    return ivf.ivf_knn(spark, location, inputs.centroid_queries(spark, sf_dir), 5, every, "cosine").select("query_id", "id", "distance", "rank")
 
 
 @register
 def ivf_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V9: approximate cosine top-5 probing 2 of 8 cells (partition-pruned scan)."""
+    """V9: approximate cosine top-5 probing a quarter of the cells (partition-pruned scan)."""
     location = _ivf_index(spark, sf_dir)
-    return ivf.ivf_knn(spark, location, inputs.centroid_queries(spark, sf_dir), 5, 2, "cosine")
+    some = max(1, ivf.n_cells(spark, location) // 4)
+    return ivf.ivf_knn(spark, location, inputs.centroid_queries(spark, sf_dir), 5, some, "cosine")
 
 
-@register
-def ivf_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """recall@10 of the IVF search against exact kNN for nprobe 1, 2, 4 and 8."""
+def _probe_levels(spark: SparkSession, sf_dir: str, k: int) -> tuple[list[tuple[int, DataFrame]], DataFrame]:
     location = _ivf_index(spark, sf_dir)
     q = inputs.centroid_queries(spark, sf_dir)
-    exact = knn(inputs.vector_collection(spark, sf_dir), q, 10)
-    parts = [
-        ivf.recall_at_k(ivf.ivf_knn(spark, location, q, 10, n, "cosine"), exact, 10).select(
-            F.lit(n).alias("nprobe"), "n_queries", "recall"
-        )
-        for n in (1, 2, 4, IVF_CELLS)
-    ]
+    every = ivf.n_cells(spark, location)
+    levels = sorted({max(1, every // n) for n in (8, 4, 2, 1)})
+    return [(n, ivf.ivf_knn(spark, location, q, k, n, "cosine")) for n in levels], knn(inputs.vectors_only(spark, sf_dir), q, k)
+
+
+@register
+def ivf_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """recall@10 of the IVF search against exact kNN as more cells are probed."""
+    found, exact = _probe_levels(spark, sf_dir, 10)
+    parts = [ivf.recall_at_k(got, exact, 10).select(F.lit(n).alias("nprobe"), "n_queries", "recall") for n, got in found]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+@register
+def ivf_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V9 + V10: at every probe level the share of wrong distances (none), whether recall falls, and recall at all cells."""
+    found, exact = _probe_levels(spark, sf_dir, 10)
+    every = knn(inputs.vectors_only(spark, sf_dir), inputs.centroid_queries(spark, sf_dir), 1_000_000).select("query_id", "id", F.col("distance").alias("true"))
+    rows = None
+    for n, got in found:
+        right = got.join(every, ["query_id", "id"]).agg(F.count_if(F.col("distance") != F.col("true")).alias("n_wrong"))
+        row = right.crossJoin(ivf.recall_at_k(got, exact, 10)).select(F.lit(n).alias("nprobe"), "n_wrong", "n_queries", "recall")  # one row each
+        rows = row if rows is None else rows.unionByName(row)
+    at = F.max_by("recall", "nprobe")
+    in_order = F.sort_array(F.collect_list(F.struct("nprobe", "recall")))  # four rows
+    falls = F.size(F.filter(F.transform(F.sequence(F.lit(1), F.lit(len(found) - 1)), lambda i: F.get(in_order, i)["recall"] - F.get(in_order, i - 1)["recall"]), lambda d: d < 0))
+    return rows.agg(F.max("n_queries").alias("n_queries"), F.sum("n_wrong").alias("n_wrong"), falls.cast("long").alias("n_falls"), at.alias("recall_all_cells"))
+
+
 # ------------------------------------------------------------------ streaming ingest
 
 

@@ -282,56 +282,42 @@ def query_postings(spark: SparkSession, location: str, vocab: list[str]) -> Data
     return post.join(F.broadcast(vocab_df), "term", "left_semi")
 
 
-def _indexed_kernel(bc, k: int, qid_col: str, qid_type, id_type):
+def _indexed_kernel(bc, k: int, qid_col: str, kinds: list):
+    """Scores postings that arrive sorted by document as a stream: memory holds one batch and the last document."""
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    from quarry.functions.vectors import np_rank_key
-    from quarry.operators.fulltext import DENSE_CELLS
-    from quarry.operators.topk import NO_KEY, RunningTopK
+    from quarry.operators.fulltext import TermIndex, bm25_weights, offer_scores, winners
+    from quarry.operators.topk import RunningTopK
 
     def kernel(batches):
         vocab_list, idf, qids, qterm_idx, avgdl, k1, b = bc.value
         vocab = pa.array(vocab_list, type=pa.string())
-        nv, nq = len(vocab_list), len(qids)
-        qflat = np.concatenate(qterm_idx)
-        offsets = np.cumsum([0] + [len(t) for t in qterm_idx])[:-1]
-        ids_parts, codes_parts, tf_parts, dl_parts = [], [], [], []
-        for rb in batches:  # all postings of a document are in this partition
-            if rb.num_rows == 0:
+        index = TermIndex(qterm_idx, len(vocab_list))
+        best = RunningTopK(len(qids), k)
+
+        def score(t: pa.Table) -> None:
+            ids = t.column(0).combine_chunks().to_numpy(zero_copy_only=False)
+            new = np.r_[True, ids[1:] != ids[:-1]]
+            code = pc.index_in(t.column(1).combine_chunks(), value_set=vocab).to_numpy(zero_copy_only=False).astype(np.int64)
+            tf, dl = (t.column(i).to_numpy().astype(np.float64) for i in (2, 3))
+            offer_scores(best, index, np.cumsum(new) - 1, code, bm25_weights(idf[code], tf, dl, avgdl, k1, b), ids[new])
+
+        held = None
+        for rb in batches:
+            t = pa.Table.from_batches([rb])
+            t = t if held is None else pa.concat_tables([held, t])
+            ids = t.column(0).combine_chunks().to_numpy(zero_copy_only=False)
+            if not len(ids):
                 continue
-            ids_parts.append(rb.column(0).to_numpy(zero_copy_only=False))
-            codes_parts.append(pc.index_in(rb.column(1), value_set=vocab).to_numpy(zero_copy_only=False))
-            tf_parts.append(rb.column(2).to_numpy(zero_copy_only=False).astype(np.float64))
-            dl_parts.append(rb.column(3).to_numpy(zero_copy_only=False).astype(np.float64))
-        if not ids_parts:
-            return
-        ids_all = np.concatenate(ids_parts)
-        codes = np.concatenate(codes_parts).astype(np.int64)
-        tf = np.concatenate(tf_parts)
-        dl = np.concatenate(dl_parts)
-        uniq, row = np.unique(ids_all, return_inverse=True)
-        order = np.argsort(row, kind="stable")
-        row, codes, tf, dl = row[order], codes[order], tf[order], dl[order]
-        w = idf[codes] * (tf * (k1 + 1.0)) / (tf + k1 * (1.0 - b + b * dl / avgdl))
-        best = RunningTopK(nq, k)
-        rows_per_block = max(1, DENSE_CELLS // max(nv, len(qflat), 1))
-        for start in range(0, len(uniq), rows_per_block):
-            stop = min(start + rows_per_block, len(uniq))
-            lo, hi = np.searchsorted(row, [start, stop])
-            dense = np.zeros((stop - start, nv))
-            dense[row[lo:hi] - start, codes[lo:hi]] = w[lo:hi]
-            scores = np.add.reduceat(dense[:, qflat], offsets, axis=1)
-            keys = np.where(scores > 0, -np_rank_key(scores), NO_KEY)
-            best.offer_block(keys.T, uniq[start:stop])
-        out_q, out_id, out_k = best.rows(qids)
-        if out_q:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out_q, type=qid_type), pa.array(out_id, type=id_type),
-                 pa.array([-x for x in out_k], type=pa.int64())],
-                names=[qid_col, "id", "score_key"],
-            )
+            whole = int(np.flatnonzero(ids != ids[-1])[-1]) + 1 if (ids != ids[-1]).any() else 0
+            if whole:
+                score(t.slice(0, whole))
+            held = t.slice(whole)
+        if held is not None and held.num_rows:
+            score(held)
+        yield from winners(best, qids, qid_col, "id", kinds)
 
     return kernel
 
@@ -353,27 +339,25 @@ def bm25_indexed(
     * N and avgdl from ``stats/`` (one row), df from the pruned postings
       (one row per vocabulary term reaches the driver);
     * the matched postings (never multiplied by the number of queries) are
-      shuffled by document id and scored per partition in ``mapInArrow``
-      (BM25 weights gathered per query term), keeping a running top-k;
-    * a ``WindowGroupLimit`` window merges the partition winners.
+      shuffled by document id and scored as a sorted stream in
+      ``mapInArrow``, keeping a running top-k;
+    * two ``WindowGroupLimit`` windows merge the partition winners.
     """
     import math
 
     import numpy as np
     from quarry.functions.vectors import from_key
     from quarry.operators.filters import build_filter
-    from quarry.operators.fulltext import _arrow_type, _query_term_passes
-    from quarry.operators.topk import top_k_per_group
+    from quarry.operators.fulltext import SCORE_SCALE, _arrow_type, _query_term_passes, score_schema
+    from quarry.operators.topk import merge_top_k
 
     props = properties(spark, location)
     analyzer = props.get("analyzer") or "basic"
     st = stored_stats(spark, location).first()
     n_docs, avgdl = st["n_docs"] or 0, st["avgdl"] or 0.0
     recs = get_collection(spark, location)
-    schema = T.StructType(
-        [T.StructField(qid_col, queries.schema[qid_col].dataType), T.StructField("id", recs.schema["id"].dataType),
-         T.StructField("score_key", T.LongType())]
-    )
+    schema = score_schema(qid_col, "id", queries, recs)
+    kinds = [_arrow_type(f.dataType) for f in schema]
     parts = []
     for chunk in _query_term_passes(queries, qid_col, qtext_col, analyzer) if n_docs else []:
         vocab = sorted({t for _, terms in chunk for t in terms})
@@ -388,9 +372,8 @@ def bm25_indexed(
         if where:
             keep = recs.where(build_filter(where, recs.columns)).select("id")
             cand = cand.join(keep, "id", "left_semi")
-        by_doc = cand.select("id", "term", "tf", "dl").repartition("id")
-        kernel = _indexed_kernel(bc, k, qid_col, _arrow_type(schema[qid_col].dataType), _arrow_type(schema["id"].dataType))
-        parts.append(by_doc.mapInArrow(kernel, schema))
+        by_doc = cand.select("id", "term", "tf", "dl").repartition("id").sortWithinPartitions("id", "term")
+        parts.append(by_doc.mapInArrow(_indexed_kernel(bc, k, qid_col, kinds), schema))
     if not parts:
         return spark.createDataFrame([], schema).select(
             qid_col, "id", F.lit(None).cast("double").alias("score"), F.lit(None).cast("long").alias("rank")
@@ -398,8 +381,8 @@ def bm25_indexed(
     out = parts[0]
     for p_ in parts[1:]:
         out = out.unionByName(p_)
-    ranked = top_k_per_group(out, [qid_col], [F.col("score_key").desc(), F.col("id").asc()], k)
-    return ranked.select(qid_col, "id", from_key(F.col("score_key")).alias("score"), "rank")
+    ranked = merge_top_k(out, [qid_col], [F.col("score_key").desc(), F.col("id").asc()], "id", k)
+    return ranked.select(qid_col, "id", from_key(F.col("score_key"), SCORE_SCALE).alias("score"), "rank")
 
 
 __all__ = [

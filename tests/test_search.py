@@ -98,18 +98,3 @@ def test_multi_pass_equals_single_pass(spark, monkeypatch):
     monkeypatch.setattr(knn_mod, "MAX_QUERIES_PER_PASS", 2)
     assert rows(ft.bm25_topk(docs, q, 4)) == one_text
     assert rows(knn(docs, q, 4)) == one_vec
-
-
-def test_shared_scan_equals_separate_legs(spark):
-    """The opt-in single-scan hybrid returns exactly the rows of the two separate legs."""
-    from quarry.plans import inputs, scenarios
-
-    sf = "/root/testdata/sf0.001"
-    coll = inputs.text_collection(spark, sf)
-    q = inputs.benchmark_queries(spark, sf)
-
-    def rows(shared):
-        res = hy.hybrid_search(coll, q, k=10, embed=scenarios.embed_text, shared_scan=shared)
-        return sorted((tuple(r) for r in res.select(sorted(res.columns)).collect()), key=repr)
-
-    assert rows(True) == rows(False)
