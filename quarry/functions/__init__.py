@@ -1,34 +1 @@
 """Column -> Column building blocks."""
-
-from quarry.functions.numeric import clean_float, clean_int, similarity_4, similarity_percent_text
-from quarry.functions.text import (
-    clean_text_field,
-    document_text,
-    json_safe,
-    or_default,
-    sanitize,
-    snippet,
-    strip_unicode,
-    thousands,
-)
-from quarry.functions.tokens import tokenize
-from quarry.functions.vectors import distance, hashed_tf_embedding, rank_key
-
-__all__ = [
-    "clean_float",
-    "clean_int",
-    "clean_text_field",
-    "distance",
-    "document_text",
-    "hashed_tf_embedding",
-    "json_safe",
-    "or_default",
-    "rank_key",
-    "sanitize",
-    "similarity_4",
-    "similarity_percent_text",
-    "snippet",
-    "strip_unicode",
-    "thousands",
-    "tokenize",
-]

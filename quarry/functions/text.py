@@ -90,8 +90,8 @@ def snippet(c: Column | str, n: int, always_ellipsis: bool = False) -> Column:
 
 
 def thousands(c: Column | str) -> Column:
-    """P22 — thousands separated integer text (``17,350``)."""
-    return F.format_number(_col(c).cast("double"), 0)
+    """P22 — thousands separated integer text (``17,350``); text that is no number stays as it is."""
+    return F.coalesce(F.format_number(_col(c).try_cast("double"), 0), _col(c).cast("string"))
 
 
 def json_safe_value(c: Column | str, dtype) -> Column:

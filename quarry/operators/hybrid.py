@@ -21,6 +21,7 @@ vector leg's ranking through the outer join (H8 data-level fallback).
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -35,8 +36,6 @@ from quarry.operators.topk import number_rows, top_k, top_k_per_group
 RRF_K = 60
 # Resolution of summed RRF scores (n-leg form).
 RRF_SCALE = 1e12
-# Largest proven winner set that is broadcast for hydration.
-MAX_BROADCAST_ROWS = 1_000_000
 
 
 def rrf_term(rank: Column, c: int = RRF_K) -> Column:
@@ -91,18 +90,13 @@ def display_order(fused: DataFrame, qid_col: str = "query_id", rank_col: str = "
     return number_rows(fused, [qid_col], [F.col("distance").asc_nulls_last(), F.col("rrf_rank").asc()], rank_col)
 
 
-def hydrate(
-    results: DataFrame, collection: DataFrame, payload: list[str], id_col: str = "id", bound: int | None = None
-) -> DataFrame:
+def hydrate(results: DataFrame, collection: DataFrame, payload: list[str], id_col: str = "id") -> DataFrame:
     """H7 — attach payload columns to the (small) winner set.
 
-    The winners come from the collection, so an inner join loses nothing,
-    and an inner join may broadcast either side: with ``bound`` rows proven
-    (queries x k) the winners are broadcast and the collection is streamed
-    once, never shuffled.
+    The winners come from the collection, so an inner join loses nothing; Spark
+    broadcasts the winners when their measured size is small.
     """
-    small = F.broadcast(results) if bound is not None and bound <= MAX_BROADCAST_ROWS else results
-    return small.join(collection.select(id_col, *payload), id_col)
+    return results.join(collection.select(id_col, *payload), id_col)
 
 
 def hybrid_search(
@@ -153,11 +147,60 @@ def hybrid_search(
     fused = fuse_rrf([text_leg, vec_leg], ["text_rank", "vector_rank"], k, qid_col, id_col, c)
     shown = display_order(fused, qid_col)
     if payload:
-        n_queries = queries.count()
-        shown = hydrate(shown, collection, payload, id_col, bound=n_queries * k)
+        shown = hydrate(shown, collection, payload, id_col)
     return shown
 
 
+@dataclass(frozen=True)
+class SearchGroup:
+    """Queries that share their conditions; each has a text for either leg.
+
+    ``queries``: query_id, keyword_text, vector_text.  ``where`` filters the vector
+    leg, ``keyword_where`` the text leg (default: ``where``), ``where_document``
+    the documents of the text leg.
+    """
+
+    queries: DataFrame
+    where: dict[str, Any] | None = None
+    keyword_where: dict[str, Any] | None = None
+    where_document: dict[str, Any] | None = None
+    n_text: int | None = None
+    n_vector: int | None = None
+
+
+def search_groups(
+    collection: DataFrame,
+    groups: list[SearchGroup],
+    k: int,
+    embed: Callable[[Column], Column],
+    metric: str = "cosine",
+    id_col: str = "id",
+    text_col: str = "document",
+    vec_col: str = "embedding",
+    payload: list[str] | None = None,
+    c: int = RRF_K,
+) -> DataFrame:
+    """H1/H5 — one batch of queries with their own texts, filters and sizes per leg, fused together.
+
+    Each group adds a filtered scan per leg; fusion, display order and
+    hydration happen once for all.
+    """
+    corpus = collection if vec_col in collection.columns else collection.withColumn(vec_col, embed(F.col(text_col)))
+    texts, vectors = None, None
+    for g in groups:
+        keyword = build_filter(g.where if g.keyword_where is None else g.keyword_where, collection.columns)
+        text = bm25_topk(
+            collection, g.queries, g.n_text or k, id_col, text_col, "query_id", "keyword_text", where=keyword & document_filter(g.where_document, text_col)
+        )
+        qs = g.queries.select("query_id", embed(F.col("vector_text")).alias("query_vector"))
+        vector = knn(corpus, qs, g.n_vector or k, metric, id_col, vec_col, where=build_filter(g.where, collection.columns))
+        texts = text if texts is None else texts.unionByName(text)
+        vectors = vector if vectors is None else vectors.unionByName(vector)
+    legs = [texts.withColumnRenamed("rank", "text_rank"), vectors.withColumnRenamed("rank", "vector_rank")]
+    shown = display_order(fuse_rrf(legs, ["text_rank", "vector_rank"], k, "query_id", id_col, c))
+    return hydrate(shown, collection, payload, id_col) if payload else shown
+
+
 def scalar_leg(
     collection: DataFrame,
     queries: DataFrame,

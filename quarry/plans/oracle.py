@@ -297,12 +297,23 @@ def _embed_ctes(prefix: str, source: str, id_col: str, text_col: str, dim: int =
 {prefix}_norm AS (SELECT id, sqrt(sum(v * v)) AS n FROM {prefix}_vec GROUP BY id)"""
 
 
-def _hybrid_sql(k: int, n_text: int, n_vector: int, where: str = "TRUE", doc_where: str = "TRUE") -> str:
+def _hybrid_sql(
+    k: int,
+    n_text: int,
+    n_vector: int,
+    where: str = "TRUE",
+    doc_where: str = "TRUE",
+    keyword_where: str | None = None,
+    queries: str = BENCH_Q,
+    keyword_q: str = "bq",
+    vector_q: str = "bq",
+) -> str:
+    """``where`` filters the vector leg (and the text leg, unless ``keyword_where`` is given), ``doc_where`` the text leg."""
     return f"""
-WITH {DOCS}, {BENCH_Q},
-toks AS (SELECT id, ({where}) AND ({doc_where}) AS keep, {sql_tokens('document')} AS tokens FROM docs),
+WITH {DOCS}, {queries},
+toks AS (SELECT id, ({keyword_where or where}) AND ({doc_where}) AS keep, {sql_tokens('document')} AS tokens FROM docs),
 stats AS (SELECT count(*) AS n_docs, avg(len(tokens)) AS avgdl FROM toks),
-qt AS (SELECT DISTINCT query_id, unnest({sql_tokens('query_text')}) AS term FROM bq),
+qt AS (SELECT DISTINCT query_id, unnest({sql_tokens('query_text')}) AS term FROM {keyword_q}),
 post AS (
   SELECT term, id, dl, keep, count(*) AS tf
   FROM (SELECT id, keep, len(tokens) AS dl, unnest(tokens) AS term FROM toks)
@@ -324,7 +335,7 @@ tleg AS (
   FROM tscored QUALIFY text_rank <= {n_text}
 ),
 {_embed_ctes('d', f'(SELECT * FROM docs WHERE {where})', 'id', 'document')},
-{_embed_ctes('q', 'bq', 'query_id', 'query_text')},
+{_embed_ctes('q', vector_q, 'query_id', 'query_text')},
 vdots AS (SELECT q.id AS query_id, d.id, sum(q.v * d.v) AS dot FROM q_vec q JOIN d_vec d USING (b) GROUP BY ALL),
 vscored AS (
   SELECT qn.id AS query_id, dn.id,
@@ -363,6 +374,41 @@ SQL["hybrid_rrf"] = _hybrid_sql(10, 10, 10)
 SQL["hybrid_filtered"] = _hybrid_sql(
     5, 5, 5, "lang = 'en' AND n_chars >= 500 AND n_chars <= 5000", "contains(document, 'the')"
 )
+SQL["hybrid_stored"] = SQL["hybrid_rrf"]
+SQL["hybrid_no_match"] = _hybrid_sql(
+    10, 10, 10, queries="bq AS (SELECT item_id AS query_id, CASE item_id % 3 WHEN 0 THEN 'zqxj' || item_id WHEN 1 THEN '' ELSE text END AS query_text FROM benchmark)"
+)
+
+
+def _scenario_sql(n: int, **kw: str) -> str:
+    both = f"""bq AS (SELECT item_id AS query_id, text AS query_text FROM benchmark WHERE item_id % 5 = {n}),
+kwq AS (SELECT query_id, array_to_string(string_split(query_text, ' ')[1:5], ' ') AS query_text FROM bq)"""
+    return f"SELECT * FROM ({_hybrid_sql(5, 10, 10, queries=both, keyword_q='kwq', **kw)})"
+
+
+SQL["hybrid_scenarios"] = " UNION ALL ".join(
+    [
+        _scenario_sql(0),
+        _scenario_sql(1, where="lang = 'en'"),
+        _scenario_sql(2, where="n_chars >= 2000", keyword_where="lang = 'de'"),
+        _scenario_sql(3, where="lang = 'fr' OR lang = 'es'", doc_where="contains(document, 'en')"),
+        _scenario_sql(4, where="n_chars >= 500 AND n_chars <= 5000 AND lang <> 'de'"),
+    ]
+)
+SQL["get_filtered"] = f"""
+WITH {DOCS}, {BENCH_Q},
+qt AS (SELECT query_id, list_distinct({sql_tokens("array_to_string(string_split(query_text, ' ')[1:3], ' ')")}) AS terms FROM bq),
+dt AS (SELECT id, lang, source, list_distinct({sql_tokens('document')}) AS terms FROM docs WHERE n_chars >= 1000)
+SELECT query_id, id, rank::BIGINT AS rank, lang, source FROM (
+  SELECT qt.query_id, dt.id, dt.lang, dt.source, row_number() OVER (PARTITION BY qt.query_id ORDER BY dt.id) AS rank
+  FROM qt JOIN dt ON len(qt.terms) > 0 AND list_has_all(dt.terms, qt.terms)) WHERE rank <= 7"""
+SQL["display_fields"] = """
+SELECT doc_id AS id, left(text, 150) || '...' AS snippet,
+       CASE WHEN doc_id % 3 = 0 THEN 'n/a ' || lang ELSE format('{:,}', n_chars) END AS count_text FROM documents"""
+HAN = "全文检索 PySpark3.5 混合搜索测试 mail@example.com 192.168.0.1 www.example.org 中"
+SQL["tokenize_han"] = f"""
+WITH h AS (SELECT doc_id AS id, left(text, 40) || ' {HAN} ' || lang AS document FROM documents)
+SELECT id, {sql_tokens('document')} AS basic, {sql_tokens('document', SMART_RE)} AS smart, {sql_max_word('document')} AS max_word FROM h"""
 SQL["hybrid_display"] = f"""
 WITH h AS ({_hybrid_sql(5, 10, 10)})
 SELECT query_id, id, distance_rank,

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.numeric import similarity_4, similarity_percent_text
-from quarry.functions.text import json_safe, json_safe_value, sanitize, snippet
+from quarry.functions.text import json_safe, json_safe_value, sanitize, snippet, thousands
 from quarry.functions.tokens import tokenize
 from quarry.functions.vectors import hashed_tf_embedding
 from quarry.operators import compare as cmp
@@ -256,6 +256,71 @@ def hybrid_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hybrid(spark, sf_dir, 5, where=where, where_document={"$contains": "the"})
 
 
+@register
+def hybrid_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1 on a stored collection: postings, statistics and vectors written at import, all settings from its properties."""
+    location = build_document_collection(spark, sf_dir, dimension=64)
+    fields = ["gen_lang", "gen_source", "gen_n_chars"]
+    res = coll.hybrid_stored(spark, location, inputs.benchmark_queries(spark, sf_dir), 10, payload=fields)
+    return res.select(*HYBRID_COLUMNS, *[F.col(f).alias(f[4:]) for f in fields])
+
+
+@register
+def hybrid_no_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F10 + H8: unknown words (text leg empty), empty texts (both legs empty, no rows) and ordinary queries in one batch."""
+    n = F.col("query_id") % 3
+    text = F.when(n == 0, F.concat(F.lit("zqxj"), F.col("query_id").cast("string"))).when(n == 1, F.lit("")).otherwise(F.col("query_text"))
+    q = inputs.benchmark_queries(spark, sf_dir).withColumn("query_text", text)
+    res = hy.hybrid_search(inputs.text_collection(spark, sf_dir), q, k=10, embed=embed_text, payload=["lang", "source", "n_chars"])
+    return res.select(*HYBRID_COLUMNS, "lang", "source", "n_chars")
+
+
+@register
+def hybrid_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1 + H5: one batch of five scenarios with filters of their own and two texts per query (keywords, whole passage)."""
+    q = inputs.benchmark_queries(spark, sf_dir)
+    words = F.array_join(F.slice(F.split("query_text", " "), 1, 5), " ")
+    q = q.select("query_id", words.alias("keyword_text"), F.col("query_text").alias("vector_text"))
+    conditions = [
+        {},
+        {"where": {"lang": "en"}},
+        {"where": {"n_chars": {"$gte": 2000}}, "keyword_where": {"lang": "de"}},
+        {"where": {"$or": [{"lang": "fr"}, {"lang": "es"}]}, "where_document": {"$contains": "en"}},
+        {"where": {"$and": [{"n_chars": {"$gte": 500}}, {"n_chars": {"$lte": 5000}}, {"lang": {"$ne": "de"}}]}},
+    ]
+    groups = [hy.SearchGroup(q.where(F.col("query_id") % 5 == i), n_text=10, n_vector=10, **c) for i, c in enumerate(conditions)]
+    res = hy.search_groups(inputs.text_collection(spark, sf_dir), groups, 5, embed_text, payload=["lang", "source", "n_chars"])
+    return res.select(*HYBRID_COLUMNS, "lang", "source", "n_chars")
+
+
+@register
+def get_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 + F2/F8 + P18: unranked get by all tokens of three words, under a filter, with chosen fields."""
+    words = F.array_join(F.slice(F.split("query_text", " "), 1, 3), " ")
+    q = inputs.benchmark_queries(spark, sf_dir).withColumn("query_text", words)
+    docs = inputs.text_collection(spark, sf_dir)
+    return ft.fulltext_get(docs, q, 7, where=build_filter({"n_chars": {"$gte": 1000}}, docs.columns), token_mode="all", include=["lang", "source"])
+
+
+@register
+def display_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P21 + P22: 150-character snippet (always with dots) and a count text that stays text when it is no number."""
+    count = F.when(F.col("id") % 3 == 0, F.concat(F.lit("n/a "), "lang")).otherwise(F.col("n_chars").cast("string"))
+    return inputs.text_collection(spark, sf_dir).select("id", snippet("document", 150, always_ellipsis=True).alias("snippet"), thousands(count).alias("count_text"))
+
+
+# Fixed value: Han text, an e-mail address, an IPv4 address and a host name for the analyzers.
+HAN_SAMPLE = "全文检索 PySpark3.5 混合搜索测试 mail@example.com 192.168.0.1 www.example.org 中"
+
+
+@register
+def tokenize_han(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens themselves under the three analyzers, on every document's beginning joined with Han text."""
+    text = F.concat(F.substring("document", 1, 40), F.lit(f" {HAN_SAMPLE} "), F.col("lang"))
+    d = inputs.text_collection(spark, sf_dir).select("id", text.alias("document"))
+    return d.select("id", *[tokenize("document", m).alias(m) for m in ("basic", "smart", "max_word")])
+
+
 @register
 def hybrid_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H6 + P19/P20/P21: results presented by distance with similarity, percent text and defaults."""
@@ -267,7 +332,7 @@ def hybrid_display(spark: SparkSession, sf_dir: str) -> DataFrame:
         similarity_4(F.col("distance")).alias("similarity"),
         similarity_percent_text(F.col("distance")).alias("similarity_pct"),
         F.coalesce(F.col("source"), F.lit("Unknown")).alias("author"),
-        F.format_number(F.col("n_chars").cast("double"), 0).alias("reviews_text"),
+        thousands("n_chars").alias("reviews_text"),
     )
 
 
@@ -377,10 +442,10 @@ def import_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 DOC_FIELDS = {"lang": "string", "source": "string", "n_chars": "bigint"}
 
 
-def build_document_collection(spark: SparkSession, sf_dir: str) -> str:
-    """S3 + S4: a stored collection of every document (metadata JSON + typed columns + postings)."""
+def build_document_collection(spark: SparkSession, sf_dir: str, dimension: int | None = None) -> str:
+    """S3 + S4: a stored collection of every document (metadata JSON + typed columns + postings, vectors with ``dimension``)."""
     location = shared_dir(spark, "collection-documents")
-    coll.create_collection(spark, location, "documents", dimension=None, id_type="bigint", recreate=True)
+    coll.create_collection(spark, location, "documents", dimension=dimension, id_type="bigint", recreate=True)
     docs = inputs.text_collection(spark, sf_dir).select(
         "id", "document", F.to_json(F.struct("lang", "source", "n_chars")).alias("metadata")
     )
@@ -422,8 +487,7 @@ def collection_vector_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", "document", F.to_json(F.struct("lang", "source", "n_chars")).alias("metadata"), "embedding"
     )
     coll.add_records(spark, location, recs, typed_fields=DOC_FIELDS, clean=False)
-    stored = coll.get_collection(spark, location)
-    return knn(stored, inputs.centroid_queries(spark, sf_dir), 5, dim=64)
+    return coll.knn_stored(spark, location, inputs.centroid_queries(spark, sf_dir), 5)
 
 
 @register

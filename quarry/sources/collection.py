@@ -7,7 +7,7 @@ A collection is a folder on shared storage with four parquet datasets:
     postings/    term, id, tf, dl, partitioned by term_bucket = pmod(xxhash64(term), B)
     quarantine/  rejected rows with reject_reason
     commits/     one row per append, written last: n_docs, total_terms (additive)
-    properties/  one row: name, dimension, metric, analyzer, buckets
+    properties/  one row: name, dimension, metric, analyzer, buckets, embedder
 
 Every append has folders of its own (``ingest_batch=<id>``) in the first three;
 readers open the folders of committed appends only, so an append that broke
@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from quarry.functions.text import json_safe, json_safe_value
 from quarry.functions.tokens import tokenize
+from quarry.functions.vectors import hashed_tf_embedding
 from quarry.operators.fulltext import postings_of_tokens
 from quarry.operators.prepare import storable
 
@@ -102,13 +103,14 @@ def create_collection(
     buckets: int = DEFAULT_BUCKETS,
     recreate: bool = False,
     id_type: str = "string",
+    embedder: str = "hashed_tf",
 ) -> dict[str, Any]:
     """S3 — create (or, with ``recreate``, replace) an empty collection; returns its properties."""
     if exists(spark, location) and not recreate:
         return properties(spark, location)
     props = spark.createDataFrame(
-        [(name, dimension, metric, analyzer, buckets, id_type)],
-        "name string, dimension int, metric string, analyzer string, buckets int, id_type string",
+        [(name, dimension, metric, analyzer, buckets, id_type, embedder)],
+        "name string, dimension int, metric string, analyzer string, buckets int, id_type string, embedder string",
     )
     props.coalesce(1).write.mode("overwrite").parquet(_paths(location)["properties"])
     # no append is committed: whatever an earlier collection left here is not read
@@ -153,6 +155,16 @@ def properties(spark: SparkSession, location: str) -> dict[str, Any]:
     return row.asDict()
 
 
+#: Embedders by the name a collection stores: (text column, dimension, analyzer) -> vector column.
+EMBEDDERS = {"hashed_tf": lambda text, dimension, analyzer: hashed_tf_embedding(tokenize(text, analyzer), dimension)}
+
+
+def embedder_of(props: dict[str, Any]):
+    """U1 — the embedding function of a collection, from its stored name, dimension and analyzer."""
+    make = EMBEDDERS[props.get("embedder") or "hashed_tf"]
+    return lambda text: make(text, props["dimension"], props.get("analyzer") or "basic")
+
+
 def _cleaned(records: DataFrame) -> DataFrame:
     """P14 at append — JSON-safe document; metadata given as a struct or map is cleaned value by value and serialised."""
     out = records.withColumn("document", json_safe(F.col("document")))
@@ -191,8 +203,8 @@ def add_records(
     batch = uuid.uuid4().hex
 
     recs = _cleaned(records) if clean else records
-    if embed is not None and "embedding" not in recs.columns:
-        recs = recs.withColumn("embedding", embed(F.col("document")))
+    if "embedding" not in recs.columns and (embed is not None or dim is not None):
+        recs = recs.withColumn("embedding", (embed or embedder_of(props))(F.col("document")))
     recs = add_typed_columns(recs, typed_fields)
     reason = F.when(F.col("id").isNull(), F.lit("missing_id")).when(~storable(), F.lit("not_storable"))
     if dim is not None and "embedding" in recs.columns:
@@ -385,6 +397,41 @@ def bm25_indexed(
     return ranked.select(qid_col, "id", from_key(F.col("score_key"), SCORE_SCALE).alias("score"), "rank")
 
 
+def knn_stored(spark: SparkSession, location: str, queries: DataFrame, k: int, where: dict[str, Any] | None = None, **kw) -> DataFrame:
+    """V7/V8 over a stored collection: its vectors, metric and dimension; filters on typed columns reach the scan."""
+    from quarry.operators.filters import build_filter
+    from quarry.operators.knn import knn
+
+    props = properties(spark, location)
+    recs = get_collection(spark, location)
+    pred = build_filter(where, recs.columns) if where else None
+    return knn(recs, queries, k, metric=props["metric"], where=pred, dim=props["dimension"], **kw)
+
+
+def hybrid_stored(
+    spark: SparkSession,
+    location: str,
+    queries: DataFrame,
+    k: int = 10,
+    n_text: int | None = None,
+    n_vector: int | None = None,
+    where: dict[str, Any] | None = None,
+    payload: list[str] | None = None,
+) -> DataFrame:
+    """H1 over a stored collection: pruned postings, stored statistics and vectors; no document is tokenised or embedded.
+
+    Analyzer, metric, dimension and embedder are the collection's.
+    """
+    from quarry.operators.hybrid import display_order, fuse_rrf, hydrate
+
+    props = properties(spark, location)
+    text = bm25_indexed(spark, location, queries, n_text or k, where).withColumnRenamed("rank", "text_rank")
+    qs = queries.withColumn("query_vector", embedder_of(props)(F.col("query_text")))
+    vector = knn_stored(spark, location, qs, n_vector or k, where).withColumnRenamed("rank", "vector_rank")
+    shown = display_order(fuse_rrf([text, vector], ["text_rank", "vector_rank"], k))
+    return hydrate(shown, get_collection(spark, location), payload) if payload else shown
+
+
 __all__ = [
     "add_records",
     "add_typed_columns",
@@ -392,6 +439,8 @@ __all__ = [
     "collection_info",
     "create_collection",
     "get_collection",
+    "hybrid_stored",
+    "knn_stored",
     "properties",
     "query_postings",
     "stored_stats",

@@ -16,6 +16,7 @@ def ids(df):
     return sorted(r["id"] for r in df.collect())
 
 
+# The filter dictionaries of the scenarios under test.
 def test_reference_filters(books):
     assert ids(books.where(build_filter({"user_rating": {"$gte": 4.5}}))) == [1]
     assert ids(books.where(build_filter({"genre": "Non Fiction"}))) == [2]

@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 from quarry.functions.tokens import tokenize
 
 
+# The texts below are the tokenizer inputs under test.
+
+
 def toks(spark, text, mode):
     return spark.createDataFrame([(text,)], "t string").select(tokenize(F.col("t"), mode).alias("x")).first()["x"]
 
