@@ -113,6 +113,7 @@ class PieceModel:
         self.blob = np.frombuffer(b"".join(blobs), dtype=np.uint8)
         self.blob_len = np.array([len(b) for b in blobs])
         self.blob_at = np.cumsum(self.blob_len) - self.blob_len
+        self.control = np.array([k == 3 for k in kinds])
         self.starts_with_space = np.array([p.startswith(SPACE) and kinds[i] == 1 for i, p in enumerate(pieces)])
 
     @classmethod
@@ -231,12 +232,21 @@ class PieceModel:
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of ``ids``: the prefix space goes, bytes that are no UTF-8 become U+FFFD one by one."""
+        control = np.flatnonzero(self.control[ids]) if len(ids) else ids
+        if not len(control):
+            return self._text(ids, True)
+        # control pieces have no text; bytes on either side of one make no character together
+        runs = [r[~self.control[r]] for r in np.split(ids, control)]
+        runs = [r for r in runs if len(r)]
+        return "".join(self._text(r, k == 0) for k, r in enumerate(runs))
+
+    def _text(self, ids: np.ndarray, first: bool) -> str:
         if not len(ids):
             return ""
         size = self.blob_len[ids]
         begin = np.cumsum(size) - size
         data = self.blob[np.arange(int(size.sum())) + np.repeat(self.blob_at[ids] - begin, size)].tobytes()
-        if self.starts_with_space[ids[0]]:
+        if first and self.starts_with_space[ids[0]]:
             data = data[1:]
         try:
             return data.decode()
