@@ -27,6 +27,19 @@ def test_ivf_all_cells_is_exact(spark):
     assert rec["n_queries"] == 5 and 0.0 <= rec["recall"] <= 1.0
 
 
+def test_appended_vectors_are_found(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(300)]
+    corpus = spark.createDataFrame(rows, "id long, embedding array<float>")
+    q = spark.createDataFrame([(j, rows[200 + j][1]) for j in range(5)], "query_id long, query_vector array<float>")
+    loc = ivf.build_ivf(corpus.where("id < 150"), shared_dir(spark, "test-ivf-append"))
+    ivf.ivf_append(corpus.where("id >= 150"), loc)
+    got = ivf.ivf_knn(spark, loc, q, 1, 1).collect()
+    assert {r["query_id"]: r["id"] for r in got} == {j: 200 + j for j in range(5)}  # each in the cell it probes
+    exact = {tuple(r) for r in knn(corpus, q, 4).select("query_id", "id", "rank").collect()}
+    assert {tuple(r) for r in ivf.ivf_knn(spark, loc, q, 4, ivf.n_cells(spark, loc)).select("query_id", "id", "rank").collect()} == exact
+
+
 def test_stream_ingest_equals_batch(spark):
     part = read_table(spark, SF, "part")
     target = shared_dir(spark, "test-stream")

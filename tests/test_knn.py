@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from quarry.functions.vectors import np_distances
-from quarry.operators.knn import knn, knn_single
+from quarry.operators.knn import knn, knn_single, vector_rejects
 
 
 def brute(corpus, queries, k, metric):
@@ -13,7 +13,7 @@ def brute(corpus, queries, k, metric):
     out = {}
     for qid, qv in queries:
         d = np_distances(np.array([qv], dtype=np.float64), mat, metric)[0]
-        keys = np.floor(d * 1e6 + 0.5)
+        keys = np.floor(d * 1e12 + 0.5)
         ok = ~np.isnan(d)
         order = sorted([(keys[i], ids[i]) for i in range(len(ids)) if ok[i]])[:k]
         out[qid] = [int(i) for _, i in order]
@@ -77,3 +77,22 @@ def test_hashed_tf_embedding_matches_native_buckets(spark):
         n = np.sqrt((counts * counts).sum())
         expect = (counts / n if n > 0 else counts).astype(np.float32)
         assert np.array_equal(np.asarray(r["v"], dtype=np.float32), expect)
+
+
+def test_exact_match_ranks_before_a_near_tie(spark):
+    base = [1.0, 2.0, 3.0]
+    rows = [(1, [1.0, 2.0, 3.003]), (2, base)]
+    corpus = spark.createDataFrame(rows, "id long, embedding array<double>")
+    q = spark.createDataFrame([(0, base)], "query_id long, query_vector array<double>")
+    for metric in ("cosine", "l2"):
+        assert [r["id"] for r in knn(corpus, q, 2, metric).orderBy("rank").collect()] == [2, 1]
+
+
+def test_rejected_vectors_are_counted_or_fail(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0]), (3, None), (4, [0.0, 0.0])]
+    corpus = spark.createDataFrame(rows, "id long, embedding array<double>")
+    q = spark.createDataFrame([(0, [1.0, 0.0])], "query_id long, query_vector array<double>")
+    assert [r["id"] for r in knn(corpus, q, 5).collect()] == [1]
+    assert tuple(vector_rejects(corpus, 2).first()) == (4, 1, 1, 1)
+    with pytest.raises(Exception, match="2 dimensions"):
+        knn(corpus, q, 5, on_reject="error").collect()
