@@ -20,13 +20,13 @@ def test_hot_term_bm25_bounded_and_exact(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "id long, document string").repartition(parts)
     q = spark.createDataFrame([(0, "hot"), (1, "hot w7"), (2, "w3 x17")], "query_id long, query_text string")
     captured = {}
-    real = ft.top_k_per_group
+    real = ft.merge_top_k
 
     def spy(df, *a, **kw):
         captured["n"] = df.count()
         return real(df, *a, **kw)
 
-    monkeypatch.setattr(ft, "top_k_per_group", spy)
+    monkeypatch.setattr(ft, "merge_top_k", spy)
     got = ft.bm25_topk(docs, q, k).collect()
     assert captured["n"] <= parts * 3 * k
     by_q = {}
@@ -48,13 +48,13 @@ def test_copied_vectors_knn_bounded_and_exact(spark, monkeypatch):
     corpus = spark.createDataFrame(rows, "id long, embedding array<float>").repartition(parts)
     q = spark.createDataFrame([(0, hot), (1, rng.normal(size=8).tolist())], "query_id long, query_vector array<double>")
     captured = {}
-    real = knn_mod.top_k_per_group
+    real = knn_mod.merge_top_k
 
     def spy(df, *a, **kw):
         captured["n"] = df.count()
         return real(df, *a, **kw)
 
-    monkeypatch.setattr(knn_mod, "top_k_per_group", spy)
+    monkeypatch.setattr(knn_mod, "merge_top_k", spy)
     got = knn(corpus, q, k).where(F.col("query_id") == 0).orderBy("rank").collect()
     assert captured["n"] <= parts * 2 * k
     assert [r["id"] for r in got] == [0, 3, 6, 9]  # a thousand exact ties: smallest ids win
