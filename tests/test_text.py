@@ -132,7 +132,7 @@ def test_read_csv_pandas_nulls_and_quotes(spark, tmp_path):
         '"A ""quoted"" name",NA,4.5,10,9.99,2019,Fiction\n'
         '"multi\nline",Bob,N/A,null,1,2020,None\n'
     )
-    rows = read_csv(spark, str(p), schema=BOOK_SCHEMA, pandas_nulls=True).collect()
+    rows = read_csv(spark, str(p), schema=BOOK_SCHEMA, pandas_nulls=True, multi_line=True).collect()
     assert rows[0]["Name"] == 'A "quoted" name' and rows[0]["Author"] is None
     assert rows[1]["Name"] == "multi\nline" and rows[1]["User Rating"] is None and rows[1]["Genre"] is None
     plain = read_csv(spark, str(p), schema=BOOK_SCHEMA).collect()
