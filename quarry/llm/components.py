@@ -1,10 +1,11 @@
-"""Connected components by alternating stars, on DataFrames only.
-
-Every round hangs each node on its smallest known neighbour (large star, then
-small star) and is written to the shared folder: lineage is cut, a lost
-executor costs one stage, and nothing but two counts reaches the driver.  Hub
-nodes aggregate map-side; the joins that bring the minimum back read plain
-tables on both sides, so Spark splits a hub's edges.
+"""Connected components by label propagation with shortcuts, on DataFrames only.
+
+Every node carries the smallest node known to be in its component.  A round
+takes the smallest label among a node's neighbours, then the label of that
+label (pointer jumping, so chains shrink by half), and is written to the shared
+folder: lineage is cut, a lost executor costs one stage, and only "did any
+label change" reaches the driver.  Minima combine map-side and the joins
+read plain or freshly shuffled rows on both sides, so Spark splits a hub's edges.
 """
 
 from __future__ import annotations
@@ -20,23 +21,15 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     Loops, repeated edges and null ends are ignored; no edges give an empty table.
     """
-    ends = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    e = written(ends.where("u <> v").distinct(), "components")
-    while not _is_star(e):
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m")), "components")
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = written(large.distinct(), "components")
-        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "components")
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        e = written(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "components")
-    roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return written(e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots), "components")
-
-
-def _is_star(e: DataFrame) -> bool:
-    """Each larger end has one smaller neighbour, which is no larger end itself."""
-    owners = e.groupBy("u").agg(F.count("*").alias("n"))
-    if not owners.where("n > 1").isEmpty():
-        return False
-    return e.select(F.col("v").alias("u")).distinct().join(e.select("u"), "u", "left_semi").isEmpty()
+    ends = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
+    e = written(ends.union(ends.select("v", "u")).distinct(), "components")
+    labels = written(e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("v")).select("node", F.least("node", "v").alias("label")), "components")
+    while True:
+        near = e.join(labels.withColumnRenamed("node", "v"), "v").groupBy(F.col("u").alias("node")).agg(F.min("label").alias("near"))
+        hooked = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("next"))
+        jump = labels.select(F.col("node").alias("next"), F.col("label").alias("beyond"))
+        moved = hooked.join(jump, "next").select("node", F.least("next", "beyond").alias("label"), (F.least("next", "beyond") != F.col("label")).alias("changed"))
+        labels = written(moved, "components")
+        if labels.where("changed").isEmpty():
+            return labels.select("node", F.col("label").alias("component"))
+        labels = labels.drop("changed")
