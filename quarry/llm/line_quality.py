@@ -9,15 +9,18 @@ that fails the base rules (fewer than 50 words, or over half of its words in
 repeated 3-word windows).
 
 One pass over the texts writes the per-row figures and the distinct line
-hashes of each row (numpy kernels, no text leaves its task); counting, the
-join with the frequent lines and the sums are DataFrame operations on
-hashes.  A line in a third of all rows is one partial count per task, and the
+hashes of each row (numpy kernels); counting and the join with the frequent
+lines are DataFrame operations on hashes.  A second pass brings every text
+together with the hashes of its frequent lines and returns it without them
+(``cleaned``); the words it lost are counted there.  A line in a third of all rows is one partial count per task, and the
 join that brings frequent lines back has plain shuffled sides that Spark
 splits when skewed.
 
 Defined results: null text counts as a text without words (base_failed); rows
 without a source form one host; rows that repeat a doc_id are one document in
 line counts and get a row each in the result; a null doc_id is one document.
+A removed line goes with its line break, all other bytes stay; a null text
+stays null, and a text that loses all of its lines is empty.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.shared import line_spans, repeated, sequence_hashes, span_hashes, table, text_chunks, word_spans, written
@@ -77,8 +80,14 @@ def _figures(data: np.ndarray, offs: np.ndarray) -> tuple[list[np.ndarray], np.n
     return [n_words, word_chars, n_symbols, n_dup, n_repeat], line_row[seen], norm[seen].view(np.int64), (words * copies)[seen]
 
 
+def _text_key() -> Column:
+    """Digest of (source, text); what a row loses follows from them alone."""
+    source = F.when(F.col("source").isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), F.col("source").cast("string")))
+    return F.unhex(F.md5(F.concat(source, F.lit("\0"), F.coalesce("text", F.lit(""))).cast("binary")))
+
+
 def line_table(df: DataFrame) -> DataFrame:
-    """Scratch table of (row_id, doc_id, source, figures, lines array<struct<hash, words>>) per input row."""
+    """Scratch table of (doc_id, source, key, figures, lines array<struct<hash, words>>) per input row; key: ``_text_key``."""
     fields = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, lines array<struct<hash:bigint,words:bigint>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,29 +99,62 @@ def line_table(df: DataFrame) -> DataFrame:
                 lines = pa.ListArray.from_arrays(pa.array(bounds), pa.StructArray.from_arrays([pa.array(hashes), pa.array(words.astype(np.int64))], names=["hash", "words"]))
                 yield pa.RecordBatch.from_arrays([*batch.slice(at, n).columns[1:], *[pa.array(f) for f in figures], lines], names=[*batch.schema.names[1:], "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines"])
 
-    slim = df.select("text", "doc_id", "source")
+    slim = df.select("text", "doc_id", "source", _text_key().alias("key"))
     kinds = {f.name: f.dataType.simpleString() for f in slim.schema}
-    out = slim.mapInArrow(run, f"doc_id {kinds['doc_id']}, source {kinds['source']}, {fields}")
-    return written(out.withColumn("row_id", F.monotonically_increasing_id()), "op2-lines")
+    out = slim.mapInArrow(run, f"doc_id {kinds['doc_id']}, source {kinds['source']}, key binary, {fields}")
+    return written(out, "op2-lines")
 
 
-def apply_rules(df: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE, max_lost: float = MAX_LOST) -> DataFrame:
-    """One row per input row: doc_id, figures, removed_words, base_failed, depleted, kept."""
+def _without(texts: pa.Array, gone: pa.Array) -> tuple[list[str | None], np.ndarray]:
+    """Per row: the text without the lines whose hashes ``gone`` lists, and the words it lost."""
+    out, lost, rows = texts.to_pylist(), np.zeros(len(texts), dtype=np.int64), gone.to_pylist()
+    for first, data, offs in text_chunks(texts):
+        starts, ends, _ = word_spans(data, offs)
+        line_start, line_end, line_row = line_spans(data, offs)
+        word_a, word_b = np.searchsorted(starts, line_start), np.searchsorted(starts, line_end)
+        norm = sequence_hashes(span_hashes(data, starts, ends, lower=True), word_a, word_b).view(np.int64)
+        bounds = np.searchsorted(line_row, np.arange(len(offs)))
+        for row in range(len(offs) - 1):
+            if rows[first + row]:
+                at = slice(bounds[row], bounds[row + 1])
+                goes = np.isin(norm[at], np.array(rows[first + row], dtype=np.int64)) & (word_b[at] > word_a[at])
+                lost[first + row] = (word_b[at] - word_a[at])[goes].sum()
+                out[first + row] = b"\n".join(data[a:b].tobytes() for a, b in zip(line_start[at][~goes], line_end[at][~goes])).decode()
+    return out, lost
+
+
+FIGURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
+def cleaned(df: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE, max_lost: float = MAX_LOST) -> DataFrame:
+    """One row per input row: doc_id, figures, removed_words, base_failed, depleted, kept, and the text without its frequent lines."""
     rows = line_table(df)
-    lines = rows.select("row_id", "doc_id", "source", F.explode("lines").alias("line")).select("row_id", "doc_id", "source", "line.hash", "line.words")
+    lines = rows.select("key", "doc_id", "source", F.explode("lines.hash").alias("hash"))
     hosts = rows.select("source", "doc_id").distinct().groupBy("source").agg(F.count("*").alias("host_docs"))
     counts = lines.select("source", "hash", "doc_id").distinct().groupBy("source", "hash").agg(F.count("*").alias("docs")).where(F.col("docs") > max_docs)
     frequent = counts.alias("c").join(hosts.alias("h"), F.col("c.source").eqNullSafe(F.col("h.source")))
     frequent = written(frequent.where(F.col("docs") > max_share * F.col("host_docs")).select("c.source", "hash"), "op2-frequent")
     hit = lines.alias("l").join(frequent.alias("f"), (F.col("l.hash") == F.col("f.hash")) & F.col("l.source").eqNullSafe(F.col("f.source")), "left_semi")
-    removed = written(hit.groupBy("row_id").agg(F.sum("words").alias("removed_words")), "op2-removed")
-    out = rows.drop("lines").join(removed, "row_id", "left").withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
+    gone = written(hit.groupBy("key").agg(F.collect_set("hash").alias("gone")), "op2-removed")
+    known = rows.groupBy("key").agg(*[F.max(c).alias(c) for c in FIGURES]).join(gone, "key", "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, lost = _without(batch.column(0), batch.column(1))
+            yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(lost), pa.array(texts, pa.string())], names=[*batch.schema.names[2:], "removed_words", "text"])
+
+    texts = df.select("text", "doc_id", _text_key().alias("key"))
+    joined = texts.join(written(known, "op2-known").hint("shuffle_hash"), "key").select("text", "gone", "doc_id", *FIGURES)
+    kind = joined.schema["doc_id"].dataType.simpleString()
+    out = joined.mapInArrow(run, f"doc_id {kind}, {', '.join(f'{c} long' for c in FIGURES)}, removed_words long, text string")
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     depleted = F.col("removed_words") > max_lost * F.col("n_words")
-    return out.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "removed_words",
-        base.alias("base_failed"), depleted.alias("depleted"), (~base & ~depleted).alias("kept"),
-    )
+    return out.select("doc_id", *FIGURES, "removed_words", base.alias("base_failed"), depleted.alias("depleted"), (~base & ~depleted).alias("kept"), "text")
+
+
+def apply_rules(df: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE, max_lost: float = MAX_LOST) -> DataFrame:
+    """``cleaned`` without the texts."""
+    return cleaned(df, max_docs, max_share, max_lost).drop("text")
 
 
 def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from quarry.llm.line_quality import apply_rules
+from quarry.llm.line_quality import apply_rules, cleaned
 from tests.llm.helpers import DOCS, prose
 
 SCHEMA = "doc_id long, text string, source string"
@@ -41,3 +41,15 @@ def test_rows_that_repeat_a_document_count_once(spark):
 
 def test_empty_table(spark):
     assert apply_rules(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_texts_lose_their_frequent_lines(spark):
+    line, own = " ".join(prose(1, 6)), [" ".join(prose(10 + i, 60)) for i in range(12)]
+    rows = [(i, f"{own[i]}\n\t{line.upper()} \n\nend {i}\r\n{line}", "hot") for i in range(12)]
+    rows += [(20, line, "hot"), (21, f"{line}\nx", "other"), (22, None, "hot"), (23, f"é\n{line}\n", "hot"), (23, f"é\n{line}\n", "hot")]
+    out = cleaned(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(out) == len(rows)
+    got = {r.doc_id: r for r in out}
+    assert all(got[i].text == f"{own[i]}\n\nend {i}\r" and got[i].removed_words == 12 for i in range(12))
+    assert (got[20].text, got[21].text, got[22].text, got[23].text) == ("", f"{line}\nx", None, "é\n")
+    assert got[20].removed_words == 6 and got[21].removed_words == 0
