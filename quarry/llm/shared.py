@@ -25,8 +25,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors.
+def written(df: DataFrame, purpose: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder (a folder per value of ``by``) and read it back: cuts lineage, survives lost executors.
 
     The shuffle files of the write are of no further use, so Spark is asked to remove them when it ends.
     """
@@ -35,7 +35,8 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        writer = df.write.option("compression", "zstd")
+        (writer.partitionBy(by) if by else writer).parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
@@ -46,6 +47,19 @@ def in_fold(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
+#: CTEs with the 256 entries of the CRC-32 table, which its polynomial 0xEDB88320 gives; for the SQL twins.
+CRC_TABLE_SQL = """crc_steps AS (SELECT n, n::BIGINT AS x, 0 AS i FROM range(256) r(n)
+  UNION ALL SELECT n, CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, i + 1 FROM crc_steps WHERE i < 8),
+crc_table AS (SELECT list(x ORDER BY n) AS crc_entries FROM crc_steps WHERE i = 8)"""
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of the UTF-8 bytes of a SQL text expression, as an expression over ``crc_table``."""
+    code = f"hex(encode({text}))"
+    byte_list = f"list_transform(range(1, length({code}) // 2 + 1), lambda i: ('0x' || substr({code}, (2 * i - 1)::INT, 2))::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {byte_list}), lambda c, b: xor(c >> 8, crc_entries[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
 def revived(kind: type, state: dict) -> object:
     """An object of ``kind`` from its broadcast ``vars()``: broadcasts hold plain data, classes travel in closures."""
     out = object.__new__(kind)
