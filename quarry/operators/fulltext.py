@@ -16,8 +16,8 @@ the corpus scan into a semi join, so only postings of query terms are
 counted and shuffled.  A hot term (a stop word in a third of the corpus) is
 a hot *term* key only for the df count, which is combined map-side.
 
-Unranked substring retrieval for keyword batches (T4 / F7) is native: one scan
-per block of keywords.
+Unranked substring retrieval for keyword batches (T4 / F7) is in ``substring``: one
+scan for all keywords.
 """
 
 from __future__ import annotations
@@ -34,13 +34,12 @@ from pyspark.sql import types as T
 
 from quarry.functions.tokens import tokenize
 from quarry.functions.vectors import from_key, np_rank_key
+from quarry.operators.substring import substring_matches
 from quarry.operators.topk import NO_KEY, RunningTopK, merge_top_k, top_k_per_group
 
 # Fixed values (BM25 parameters, Robertson & Zaragoza).
 K1 = 1.2
 B = 0.75
-# Keywords tested by one scan.
-MAX_KEYWORDS_PER_PASS = 200
 # Ranked text search: queries and vocabulary per pass, and the size of the
 # blocks of matches inside a task.
 MAX_QUERIES_PER_PASS = 2048
@@ -400,47 +399,6 @@ def token_matches(
     return out
 
 
-# ------------------------------------------------------------------ substring batches
-
-
-def substring_matches(
-    docs: DataFrame,
-    queries: DataFrame,
-    id_col: str = "id",
-    text_col: str = "document",
-    qid_col: str = "query_id",
-    qtext_col: str = "query_text",
-    case_sensitive: bool = True,
-) -> DataFrame:
-    """F7 for a batch — ``(query_id, id)`` where the document contains the query text.
-
-    One scan per block of keywords: an array of the matching queries per
-    document (native ``contains``), exploded.  A null query matches nothing, the
-    empty text every document.
-    """
-    qid_type = queries.schema[qid_col].dataType
-    text = F.col(text_col) if case_sensitive else F.lower(text_col)
-    out = None
-    for block in _keyword_blocks(queries, qid_col, qtext_col):
-        hits = [F.when(F.contains(text, F.lit(kw if case_sensitive else kw.lower())), F.lit(q).cast(qid_type)) for q, kw in block]
-        found = docs.select(F.explode(F.array_compact(F.array(*hits))).alias(qid_col), F.col(id_col))
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        return docs.select(F.lit(None).cast(qid_type).alias(qid_col), id_col).limit(0)
-    return out
-
-
-def _keyword_blocks(queries: DataFrame, qid_col: str, qtext_col: str) -> Iterator[list[tuple]]:
-    block: list[tuple] = []
-    for row in queries.select(qid_col, qtext_col).where(F.col(qtext_col).isNotNull()).toLocalIterator(prefetchPartitions=True):
-        block.append((row[0], row[1]))
-        if len(block) == MAX_KEYWORDS_PER_PASS:
-            yield block
-            block = []
-    if block:
-        yield block
-
-
 def fulltext_get(
     docs: DataFrame,
     queries: DataFrame,
