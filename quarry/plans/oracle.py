@@ -521,6 +521,12 @@ SQL["collection_typed_filter"] = """
 SELECT doc_id AS id, lang AS gen_lang, source AS gen_source, n_chars AS gen_n_chars
 FROM documents WHERE lang = 'de' AND n_chars >= 1000"""
 SQL["bm25_indexed"] = _bm25_sql("bq", 10)
+SQL["stream_search"] = _bm25_sql("bq", 10)
+SQL["collection_postings"] = SQL["postings"]
+SQL["collection_terms"] = SQL["term_stats"]
+SQL["collection_documents"] = f"""
+WITH {DOCS}
+SELECT id, document, lang AS gen_lang, source AS gen_source, len({sql_tokens('document')})::BIGINT AS dl FROM docs"""
 SQL["typed_metadata"] = f"""
 WITH {BOOKS}
 SELECT id,

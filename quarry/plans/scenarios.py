@@ -506,6 +506,67 @@ def bm25_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coll.bm25_indexed(spark, location, inputs.benchmark_queries(spark, sf_dir), 10)
 
 
+@register
+def collection_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 + S5: every stored column of every record, from a collection made by two appends."""
+    location = shared_dir(spark, "collection-contents")
+    coll.create_collection(spark, location, "contents", id_type="bigint", recreate=True)
+    docs = inputs.text_collection(spark, sf_dir).select("id", "document", F.to_json(F.struct("lang", "source")).alias("metadata"))
+    for part in (0, 1):
+        coll.add_records(spark, location, docs.where(F.col("id") % 2 == part), typed_fields={"lang": "string", "source": "string"}, clean=False)
+    return coll.get_collection(spark, location).select("id", "document", "gen_lang", "gen_source", "dl")
+
+
+@register
+def collection_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 stored: the postings that a collection holds."""
+    return coll._read(spark, build_document_collection(spark, sf_dir), "postings")
+
+
+@register
+def collection_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 stored: df and cf summed over the partial counts of two appends, the second with rows that are rejected."""
+    location = shared_dir(spark, "collection-terms")
+    coll.create_collection(spark, location, "terms", id_type="bigint", recreate=True)
+    docs = inputs.text_collection(spark, sf_dir).select("id", "document", F.lit("{}").alias("metadata"))
+    coll.add_records(spark, location, docs.where("id % 3 > 0"), clean=False)
+    coll.add_records(spark, location, docs, clean=False)
+    return coll._read(spark, location, "terms").groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+
+
+@register
+def stream_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 + T5: documents streamed into a collection; a micro-batch breaks off before its commit, the run goes on from its
+    checkpoint, a committed epoch is sent again, the appends are compacted; then BM25 top-10 from storage."""
+    docs = inputs.text_collection(spark, sf_dir).select("id", "document", "lang")
+    files, location, checkpoint = (shared_dir(spark, f"stream-collection-{n}") for n in ("files", "records", "checkpoint"))
+    docs.repartitionByRange(3, "id").write.parquet(files)
+    coll.create_collection(spark, location, "streamed", id_type="bigint", recreate=True)
+
+    def prepare(stream: DataFrame) -> DataFrame:
+        return stream.select("id", "document", F.to_json(F.struct("lang")).alias("metadata"))
+
+    def stream(**options) -> None:
+        ingest.ingest_collection(spark, files, "*.parquet", docs.schema, prepare, location, checkpoint, 1, clean=False, typed_fields={"lang": "string"}, **options)
+
+    appended: list[str] = []
+
+    def kill(stage: str) -> None:
+        appended.append(stage)
+        if appended.count("postings") == 2:  # the second micro-batch, written but not committed
+            raise InterruptedError("append killed before its commit")
+
+    try:
+        stream(on_stage=kill)
+    except Exception as stopped:
+        if "append killed" not in str(stopped):
+            raise
+    stream()
+    coll.add_records(spark, location, prepare(docs.limit(5)), clean=False, epoch=(ingest.run_of(checkpoint), 0))
+    coll.compact(spark, location)
+    return coll.bm25_indexed(spark, location, inputs.benchmark_queries(spark, sf_dir), 10)
+
+
 @register
 def typed_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed columns from the metadata JSON (the import's six fields + an unknown one)."""

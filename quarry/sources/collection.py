@@ -1,38 +1,44 @@
-"""Stored collections (S3, S4, S5, S7, P16, P17, T2 materialised).
+"""Stored collections (S3, S4, S5, S7, P16, P17, T2/T3 materialised).
 
-A collection is a folder on shared storage with four parquet datasets:
+A collection is a folder on shared storage with parquet datasets:
 
     records/     id, document, metadata (JSON text), gen_<field> typed columns,
                  embedding (optional), dl (token count)
-    postings/    term, id, tf, dl, partitioned by term_bucket = pmod(xxhash64(term), B)
+    postings/    term, id, tf, dl, sorted by term (row groups are skipped by term)
+    terms/       term, df, cf of an append (additive statistics)
+    keys/        the append's ids in pieces with Bloom filters (``keys``)
     quarantine/  rejected rows with reject_reason
-    commits/     one row per append, written last: n_docs, total_terms (additive)
-    properties/  one row: name, dimension, metric, analyzer, buckets, embedder
+    commits/     one row per append, written last: statistics, schema, folders, stream epoch
+    properties/  one row: name, dimension, metric, analyzer, embedder
 
-Every append has folders of its own (``ingest_batch=<id>``) in the first three;
-readers open the folders of committed appends only, so an append that broke
-off is not seen.
+Every append has folders of its own (``ingest_batch=<id>``); readers open the
+folders of committed appends only, so an append that broke off is not seen, and a
+stream epoch is committed at most once.  ``compact`` folds all appends into one.
+The schema is in the commit: no footers are merged and no folder is looked for.
 
 Writes go through the DataFrame writer (any Hadoop file system), so the
 same code runs against a cluster's shared folder.  Queries read only what
-they need: typed columns instead of JSON parsing (pushed-down filters), and
-only the postings partitions of the query's term buckets.
+they need: typed columns instead of JSON parsing (pushed-down filters), postings
+of the query's terms, stored statistics.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.text import json_safe, json_safe_value
 from quarry.functions.tokens import tokenize
 from quarry.functions.vectors import hashed_tf_embedding
-from quarry.operators.fulltext import postings_of_tokens
+from quarry.operators.fulltext import postings_of_tokens, term_stats
 from quarry.operators.prepare import storable
+from quarry.sources.keys import confirmed, key_pieces, piece_schema, possible
 
 # Metadata field -> typed column type, and the default field list.
 FIELD_TYPES = {
@@ -46,7 +52,6 @@ FIELD_TYPES = {
 }
 DEFAULT_INDEX_FIELDS = ["genre", "year", "user_rating", "author"]
 UNKNOWN_FIELD_TYPE = "string"
-DEFAULT_BUCKETS = 64
 
 
 def typed_column(field: str, metadata_col: str = "metadata", dtype: str | None = None) -> Column:
@@ -73,13 +78,19 @@ def add_typed_columns(
     return df.withColumns({f"gen_{f}": typed_column(f, metadata_col, t) for f, t in spec.items()})
 
 
-def term_bucket(term: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+DATASETS = ("records", "postings", "terms", "keys", "quarantine")
 
 
 def _paths(location: str) -> dict[str, str]:
     base = location.rstrip("/")
-    return {k: f"{base}/{k}" for k in ("records", "postings", "quarantine", "commits", "properties", "staging")}
+    return {k: f"{base}/{k}" for k in (*DATASETS, "commits", "properties", "staging")}
+
+
+def _delete(spark: SparkSession, *paths: str) -> None:
+    """Remove folders that no commit refers to, through the Hadoop FileSystem of their path."""
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
@@ -100,54 +111,89 @@ def create_collection(
     dimension: int | None = None,
     metric: str = "cosine",
     analyzer: str = "basic",
-    buckets: int = DEFAULT_BUCKETS,
     recreate: bool = False,
     id_type: str = "string",
     embedder: str = "hashed_tf",
 ) -> dict[str, Any]:
     """S3 — create (or, with ``recreate``, replace) an empty collection; returns its properties."""
-    if exists(spark, location) and not recreate:
+    replaced = exists(spark, location)
+    if replaced and not recreate:
         return properties(spark, location)
+    p = _paths(location)
     props = spark.createDataFrame(
-        [(name, dimension, metric, analyzer, buckets, id_type, embedder)],
-        "name string, dimension int, metric string, analyzer string, buckets int, id_type string, embedder string",
+        [(name, dimension, metric, analyzer, id_type, embedder)],
+        "name string, dimension int, metric string, analyzer string, id_type string, embedder string",
     )
-    props.coalesce(1).write.mode("overwrite").parquet(_paths(location)["properties"])
-    # no append is committed: whatever an earlier collection left here is not read
-    spark.createDataFrame([], COMMIT_SCHEMA).write.mode("overwrite").parquet(_paths(location)["commits"])
+    props.coalesce(1).write.mode("overwrite").parquet(p["properties"])
+    # first no append is committed, then the data of an earlier collection go
+    spark.createDataFrame([], COMMIT_SCHEMA).write.mode("overwrite").parquet(p["commits"])
+    if replaced:
+        _delete(spark, *(p[k] for k in (*DATASETS, "staging")))
     return properties(spark, location)
 
 
-COMMIT_SCHEMA = "ingest_batch string, n_docs bigint, total_terms bigint"
-_EMPTY_SCHEMAS = {
-    "records": "id {id_type}, document string, metadata string, dl bigint, ingest_batch string",
-    "postings": "term string, id {id_type}, tf bigint, dl bigint, ingest_batch string, term_bucket int",
-    "quarantine": "id {id_type}, document string, metadata string, reject_reason string, ingest_batch string",
-}
-#: The schemas of these never change, so no file footers are compared.
-_FIXED = ("postings",)
+#: folder: of the records; schema: of the records, as JSON; run, epoch: of a streamed append;
+#: replaces: appends folded into this one; epochs: the last epoch of every run folded in.
+COMMIT_SCHEMA = (
+    "ingest_batch string, folder string, schema string, n_docs bigint, total_terms bigint, n_rejected bigint, "
+    "run string, epoch bigint, replaces array<string>, epochs map<string, bigint>"
+)
 
 
-def _commits(spark: SparkSession, location: str) -> DataFrame:
+def _live(spark: SparkSession, location: str) -> list[Row]:
+    """The commits in force, one small row per append since the last ``compact``."""
     path = _paths(location)["commits"]
-    return spark.read.schema(COMMIT_SCHEMA).parquet(path) if _path_exists(spark, path) else spark.createDataFrame([], COMMIT_SCHEMA)
+    rows = spark.read.schema(COMMIT_SCHEMA).parquet(path).collect() if _path_exists(spark, path) else []
+    gone = {b for r in rows for b in r.replaces or []}
+    return sorted((r for r in rows if r.ingest_batch not in gone), key=lambda r: r.ingest_batch)
+
+
+def _commit(spark: SparkSession, location: str, **values: Any) -> None:
+    names = [f.name for f in spark.createDataFrame([], COMMIT_SCHEMA).schema]
+    row = tuple(values.get(n) for n in names)
+    spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(_paths(location)["commits"])
+
+
+def _committed(live: list[Row], epoch: tuple[str, int]) -> bool:
+    """Whether the stream epoch is in the collection; Spark replays only the last epoch of a run."""
+    run, number = epoch
+    return any((r.run == run and r.epoch == number) or (r.epochs or {}).get(run, -1) >= number for r in live)
+
+
+def _record_schema(live: list[Row], id_type: str) -> T.StructType:
+    """The columns of all appends (later ones may add typed fields or vectors)."""
+    fields: dict[str, T.StructField] = {f.name: f for f in T._parse_datatype_string(f"id {id_type}, document string, metadata string, dl bigint")} if not live else {}
+    for r in live:
+        for f in T.StructType.fromJson(json.loads(r.schema)):
+            if fields.setdefault(f.name, f).dataType != f.dataType:
+                raise ValueError(f"appends disagree on the type of {f.name}: {fields[f.name].dataType.simpleString()}, {f.dataType.simpleString()}")
+    return T.StructType([T.StructField(f.name, f.dataType) for f in fields.values()])
+
+
+def _read(spark: SparkSession, location: str, key: str, live: list[Row] | None = None) -> DataFrame:
+    """A data set of the collection: the folders of the committed appends (or of ``live``); none reads as empty."""
+    live = _live(spark, location) if live is None else live
+    records = _record_schema(live, properties(spark, location).get("id_type") or "string")
+    id_type = records["id"].dataType
+    schema = {
+        "records": records,
+        "quarantine": T.StructType([*records, T.StructField("reject_reason", T.StringType())]),
+        "postings": T.StructType([T.StructField("term", T.StringType()), T.StructField("id", id_type), T.StructField("tf", T.LongType()), T.StructField("dl", T.LongType())]),
+        "terms": T._parse_datatype_string("term string, df bigint, cf bigint"),
+        "keys": piece_schema(id_type),
+    }[key]
+    if key == "quarantine":
+        live = [r for r in live if r.n_rejected]
+    if not live:
+        return spark.createDataFrame([], schema)
+    path = _paths(location)[key]
+    return spark.read.schema(schema).parquet(*(f"{path}/{r.folder if key == 'records' else 'ingest_batch=' + r.ingest_batch}" for r in live))
 
 
-def _read(spark: SparkSession, location: str, key: str, batches: list[str] | None = None) -> DataFrame:
-    """A data set of the collection: the folders of the committed appends (or of ``batches``); none reads as empty."""
-    if batches is None:
-        batches = [r.ingest_batch for r in _commits(spark, location).select("ingest_batch").collect()]  # one row per append
-    path = _paths(location)[key]
-    folders = [f for f in (f"{path}/ingest_batch={b}" for b in batches) if _path_exists(spark, f)]
-    id_type = properties(spark, location).get("id_type") or "string"
-    empty = _EMPTY_SCHEMAS[key].format(id_type=id_type)
-    if not folders:
-        return spark.createDataFrame([], empty)
-    reader = spark.read.option("basePath", path)
-    if key in _FIXED:
-        return reader.schema(empty).parquet(*folders)
-    # appends may add columns (typed fields, vectors): merge the file schemas
-    return reader.option("mergeSchema", "true").parquet(*folders)
+def _stored_keys(spark: SparkSession, location: str, live: list[Row]) -> DataFrame:
+    """The key pieces of ``live`` with the append they belong to (a partition column)."""
+    path = _paths(location)["keys"]
+    return spark.read.option("basePath", path).parquet(*(f"{path}/ingest_batch={r.ingest_batch}" for r in live)).withColumn("ingest_batch", F.col("ingest_batch").cast("string"))
 
 
 def properties(spark: SparkSession, location: str) -> dict[str, Any]:
@@ -180,27 +226,34 @@ def add_records(
     records: DataFrame,
     embed=None,
     typed_fields: list[str] | dict[str, str] | None = None,
-    quarantine: bool = True,
     clean: bool = True,
-) -> dict[str, DataFrame]:
+    epoch: tuple[str, int] | None = None,
+    on_stage: Callable[[str], None] | None = None,
+) -> dict[str, Any]:
     """S4 — clean, validate, de-duplicate and append records; returns ``stored`` and ``rejected``.
 
-    The batch is evaluated once: cleaned, typed, embedded and tokenised rows
-    are staged, everything after reads the stage.  A row is rejected as
+    The batch is evaluated once, by writing its cleaned, typed and embedded rows to
+    the append's folder; everything after reads that.  A row is rejected as
     ``missing_id``, ``not_storable`` (P14), ``dimension`` (V2), ``duplicate_in_batch``
     (every copy of an id but the first: lowest ``_pos``, then all columns) or
-    ``duplicate_id`` (the id is in the collection).  Rejects go to
-    ``quarantine/`` (with ``quarantine=False`` they are only returned), so
-    stored + rejected = input.  First copies and stored ids are found on the id
-    column alone.  Postings are counted per row, without a shuffle.  The
-    commit with the batch's statistics is written last.
+    ``duplicate_id`` (the id is in the collection, see ``keys``).  Only if there are such rows
+    is the folder written again without them; they go to ``quarantine/``, so
+    stored + rejected = input.  Postings are counted per row, without a shuffle,
+    and term statistics from them.  The commit is written last.
+
+    ``epoch`` (run, number) names a streamed micro-batch: one that is committed is not
+    added again, one that broke off is overwritten.  ``on_stage`` (U2) is called with the
+    name of every dataset when it has been written.
     """
+    live = _live(spark, location)
+    done = on_stage or (lambda stage: None)
+    batch = uuid.uuid4().hex if epoch is None else f"{epoch[0]}-{epoch[1]}"
+    if epoch is not None and _committed(live, epoch):
+        return _outcome(spark, location, batch) | {"replayed": True}
     props = properties(spark, location)
     p = _paths(location)
     dim = props.get("dimension")
     analyzer = props.get("analyzer") or "basic"
-    buckets = props.get("buckets") or DEFAULT_BUCKETS
-    batch = uuid.uuid4().hex
 
     recs = _cleaned(records) if clean else records
     if "embedding" not in recs.columns and (embed is not None or dim is not None):
@@ -209,51 +262,134 @@ def add_records(
     reason = F.when(F.col("id").isNull(), F.lit("missing_id")).when(~storable(), F.lit("not_storable"))
     if dim is not None and "embedding" in recs.columns:
         reason = reason.when(F.coalesce(F.size("embedding"), F.lit(-1)) != dim, F.lit("dimension"))
-    tokens = tokenize(F.col("document"), analyzer)
-    staged = recs.withColumns({"reject_reason": reason, "_seq": F.monotonically_increasing_id(), "_tokens": tokens})
-    stage = f"{p['staging']}/{batch}"
-    staged.withColumn("dl", F.size("_tokens").cast("long")).write.parquet(stage)
-    staged = spark.read.parquet(stage)
-    given = [c for c in records.columns if c not in ("id", "_pos")]
-
-    # of each id the first copy; the columns of equal copies are equal, the row number decides
+    length = F.size(tokenize(F.col("document"), analyzer)).cast("long")
+    rows = recs.withColumns({"reject_reason": reason, "_seq": F.monotonically_increasing_id(), "dl": length})
+    keep = [c for c in rows.columns if c not in ("reject_reason", "_seq", "_pos")]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.select(*keep).schema])
+
+    def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+        seen = Observation(f"ingest-{batch}")
+        good = F.col("reject_reason").isNull()
+        return df.observe(seen, F.count_if(good).alias("n_stored"), F.coalesce(F.sum(F.when(good, F.col("dl"))), F.lit(0)).alias("n_tokens"), F.count_if(~good).alias("n_rejected")), seen
+
+    folder = f"ingest_batch={batch}"
+    rows, seen = counted(rows)
+    rows.write.mode("overwrite").parquet(f"{p['records']}/{folder}")
+    staged = spark.read.schema(T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])).parquet(f"{p['records']}/{folder}")
+    done("records")
+
     ok = staged.where("reject_reason is null")
-    repeated = ok.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    copies = ok.join(repeated, "id")
-    tied = F.struct(*(["_pos"] if "_pos" in staged.columns else []), F.md5(F.to_json(F.struct(*given))).alias("_content"), "_seq")
-    firsts = copies.groupBy("id").agg(F.min(tied).alias("_first"), (F.count(F.lit(1)) - 1).alias("n"))
-    later = copies.join(firsts, "id").where(tied != F.col("_first")).select("_seq", F.lit("duplicate_in_batch").alias("_why"))
-    known = _read(spark, location, "records").select("id").distinct()
-    stored_before = ok.select("id", "_seq").join(known, "id", "left_semi").select("_seq", F.lit("duplicate_id").alias("_why"))
-    # a later copy of a stored id is a duplicate in the batch first
-    losers = later.unionByName(stored_before).groupBy("_seq").agg(F.max("_why").alias("_why"))
-    losers.write.parquet(f"{stage}-losers")
-    losers = spark.read.parquet(f"{stage}-losers")
-
-    hidden = ("reject_reason", "_seq", "_tokens", "_pos")
-    keep = [c for c in staged.columns if c not in hidden]
-    winners = ok.join(losers, "_seq", "left_anti")
-    progress = Observation(f"ingest-{batch}")
-    counted = winners.observe(progress, F.count(F.lit(1)).alias("n_stored"), F.coalesce(F.sum("dl"), F.lit(0)).alias("n_tokens"))
-    counted.select(*keep).write.parquet(f"{p['records']}/ingest_batch={batch}")
-    posts = postings_of_tokens(winners.select("id", F.col("_tokens").alias("tokens")))
-    posts = posts.withColumn("term_bucket", term_bucket(F.col("term"), buckets)).sortWithinPartitions("term_bucket", "term", "id")
-    posts.write.partitionBy("term_bucket").parquet(f"{p['postings']}/ingest_batch={batch}")
-
-    rejected = staged.join(losers, "_seq", "left").withColumn("reject_reason", F.coalesce("reject_reason", "_why")).where("reject_reason is not null")
-    rejected = rejected.select(*keep, "reject_reason")
-    if quarantine:
-        rejected.write.parquet(f"{p['quarantine']}/ingest_batch={batch}")
-        rejected = _read(spark, location, "quarantine", [batch]).drop("ingest_batch")
-    got = progress.get
-    spark.createDataFrame([(batch, got["n_stored"], got["n_tokens"])], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(p["commits"])
-    return {
-        "stored": _read(spark, location, "records", [batch]),
-        "rejected": rejected,
-        "duplicates_in_batch": firsts.select("id", "n"),
-        # Progress numbers observed while the batch was written (no extra pass)
-        "progress": got,
-    }
+    key_pieces(ok.select("id")).write.mode("overwrite").parquet(f"{p['keys']}/{folder}")
+    keys = spark.read.schema(piece_schema(rows.schema["id"].dataType)).parquet(f"{p['keys']}/{folder}")
+    repeated = keys.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    known = _known(spark, location, live, keys, f"{p['staging']}/{batch}-maybe")
+    done("keys")
+
+    if seen.get["n_rejected"] or repeated or known is not None:
+        losers = _losers(ok, repeated, known, [c for c in records.columns if c not in ("id", "_pos")])
+        losers.write.mode("overwrite").parquet(f"{p['staging']}/{batch}-losers")
+        losers = spark.read.schema(losers.schema).parquet(f"{p['staging']}/{batch}-losers")
+        folder = f"ingest_batch={batch}-kept"
+        n_in_all = seen.get["n_stored"] + seen.get["n_rejected"]
+        winners, seen = counted(ok.join(losers, "_seq", "left_anti"))
+        winners.select(*keep, "reject_reason").drop("reject_reason").write.mode("overwrite").parquet(f"{p['records']}/{folder}")
+        rejected = staged.join(losers, "_seq", "left").withColumn("reject_reason", F.coalesce("reject_reason", "_why")).where("reject_reason is not null")
+        rejected.select(*keep, "reject_reason").write.mode("overwrite").parquet(f"{p['quarantine']}/ingest_batch={batch}")
+        done("quarantine")
+    got = {k: seen.get[k] for k in ("n_stored", "n_tokens")}
+    n_rejected = 0 if folder == f"ingest_batch={batch}" else n_in_all - got["n_stored"]
+
+    _write_postings(spark.read.schema(schema).parquet(f"{p['records']}/{folder}"), analyzer, p, batch)
+    done("postings")
+    _commit(
+        spark, location, ingest_batch=batch, folder=folder, schema=schema.json(), n_docs=got["n_stored"], total_terms=got["n_tokens"],
+        n_rejected=n_rejected, run=epoch[0] if epoch else None, epoch=epoch[1] if epoch else None,
+    )
+    _delete(spark, f"{p['staging']}/{batch}-maybe", f"{p['staging']}/{batch}-losers")
+    if n_rejected:
+        _delete(spark, f"{p['records']}/ingest_batch={batch}")
+    return _outcome(spark, location, batch) | {"progress": got}
+
+
+def _outcome(spark: SparkSession, location: str, batch: str) -> dict[str, Any]:
+    own = [r for r in _live(spark, location) if r.ingest_batch == batch]
+    rejected = _read(spark, location, "quarantine", own)
+    copies = rejected.where("reject_reason = 'duplicate_in_batch'").groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    # Numbers observed while the batch was written (no extra pass)
+    progress = {"n_stored": own[0].n_docs, "n_tokens": own[0].total_terms} if own else {"n_stored": 0, "n_tokens": 0}
+    return {"stored": _read(spark, location, "records", own), "rejected": rejected, "duplicates_in_batch": copies, "progress": progress}
+
+
+def _known(spark: SparkSession, location: str, live: list[Row], keys: DataFrame, scratch: str) -> DataFrame | None:
+    """Ids of the new pieces that are stored already, None if no filter lets any pass."""
+    if not live:
+        return None
+    stored = _stored_keys(spark, location, live)
+    maybe = possible(keys, stored)
+    maybe.write.mode("overwrite").parquet(scratch)
+    maybe = spark.read.schema(maybe.schema).parquet(scratch)
+    where = maybe.groupBy("ingest_batch").agg(F.count(F.lit(1)).alias("n")).collect()  # at most one row per append
+    if not where:
+        return None
+    return confirmed(maybe, stored.where(F.col("ingest_batch").isin([r.ingest_batch for r in where])))
+
+
+def _losers(ok: DataFrame, repeated: int, known: DataFrame | None, given: list[str]) -> DataFrame:
+    """``(_seq, _why)`` of duplicate rows; a later copy of a stored id is a duplicate in the batch first."""
+    parts = [ok.where(F.lit(False)).select("_seq", F.lit("").alias("_why"))]
+    if repeated:
+        # of each id the first copy; the columns of equal copies are equal, the row number decides
+        twice = ok.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+        copies = ok.join(twice, "id")
+        tied = F.struct(*(["_pos"] if "_pos" in ok.columns else []), F.md5(F.to_json(F.struct(*given))).alias("_content"), "_seq")
+        firsts = copies.groupBy("id").agg(F.min(tied).alias("_first"))
+        parts.append(copies.join(firsts, "id").where(tied != F.col("_first")).select("_seq", F.lit("duplicate_in_batch").alias("_why")))
+    if known is not None:
+        parts.append(ok.select("id", "_seq").join(known, "id", "left_semi").select("_seq", F.lit("duplicate_id").alias("_why")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.groupBy("_seq").agg(F.max("_why").alias("_why"))
+
+
+def _write_postings(records: DataFrame, analyzer: str, p: dict[str, str], batch: str) -> None:
+    """Postings of an append, sorted by term inside each task (no shuffle), and its df and cf per term."""
+    tokens = records.select("id", tokenize(F.col("document"), analyzer).alias("tokens"))
+    posts = postings_of_tokens(tokens).select("term", "id", "tf", "dl")
+    posts.sortWithinPartitions("term", "id").write.mode("overwrite").parquet(f"{p['postings']}/ingest_batch={batch}")
+    posts = records.sparkSession.read.schema(posts.schema).parquet(f"{p['postings']}/ingest_batch={batch}")
+    term_stats(posts).sortWithinPartitions("term").write.mode("overwrite").parquet(f"{p['terms']}/ingest_batch={batch}")
+
+
+def compact(spark: SparkSession, location: str) -> None:
+    """Fold all appends into one: records and postings in id and term ranges, statistics summed, one set of keys.
+
+    The commit of the result names the appends it replaces, so readers change over
+    at once; the replaced folders are removed after it.
+    """
+    live = _live(spark, location)
+    if len(live) < 2:
+        return
+    p, batch, parts = _paths(location), uuid.uuid4().hex, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder = f"ingest_batch={batch}"
+    records = _read(spark, location, "records", live)
+    records.repartitionByRange(parts, "id").sortWithinPartitions("id").write.parquet(f"{p['records']}/{folder}")
+    _read(spark, location, "postings", live).repartitionByRange(parts, "term", "id").sortWithinPartitions("term", "id").write.parquet(f"{p['postings']}/{folder}")
+    terms = _read(spark, location, "terms", live).groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+    terms.repartitionByRange(parts, "term").sortWithinPartitions("term").write.parquet(f"{p['terms']}/{folder}")
+    key_pieces(records.select("id")).write.parquet(f"{p['keys']}/{folder}")
+    if any(r.n_rejected for r in live):
+        _read(spark, location, "quarantine", live).write.parquet(f"{p['quarantine']}/{folder}")
+    epochs: dict[str, int] = {}
+    for r in live:
+        for run, number in [*(r.epochs or {}).items(), *([(r.run, r.epoch)] if r.run is not None else [])]:
+            epochs[run] = max(number, epochs.get(run, -1))
+    total = lambda f: sum(r[f] for r in live)
+    _commit(
+        spark, location, ingest_batch=batch, folder=folder, schema=records.schema.json(), n_docs=total("n_docs"), total_terms=total("total_terms"),
+        n_rejected=total("n_rejected"), replaces=[b for r in live for b in [r.ingest_batch, *(r.replaces or [])]], epochs=epochs,
+    )
+    _delete(spark, *(f"{p[k]}/{r.folder if k == 'records' else 'ingest_batch=' + r.ingest_batch}" for r in live for k in DATASETS))
 
 
 def get_collection(spark: SparkSession, location: str) -> DataFrame:
@@ -273,25 +409,38 @@ def collection_info(spark: SparkSession, location: str, name: str | None = None)
     )
 
 
-def stored_stats(spark: SparkSession, location: str) -> DataFrame:
-    """T3 from the stored per-append statistics: one row ``n_docs, avgdl``."""
-    s = _commits(spark, location)
-    return s.agg(F.sum("n_docs").cast("long").alias("n_docs"), F.try_divide(F.sum("total_terms"), F.sum("n_docs")).alias("avgdl"))
+def stored_stats(spark: SparkSession, location: str, live: list[Row] | None = None) -> DataFrame:
+    """T3 from the commits: one row ``n_docs, avgdl``."""
+    live = _live(spark, location) if live is None else live
+    n, terms = sum(r.n_docs for r in live), sum(r.total_terms for r in live)
+    return spark.createDataFrame([(n, terms / n if n else None)], "n_docs bigint, avgdl double")
 
 
-def query_postings(spark: SparkSession, location: str, vocab: list[str]) -> DataFrame:
-    """Postings of ``vocab`` only, read with partition pruning.
+#: Vocabularies up to this size are pushed to the scan as equality predicates (row groups without the term are skipped).
+PUSHED_TERMS = 32
 
-    The vocabulary's term buckets become a literal ``IN`` list on the
-    partition column, so only those folders are listed and scanned; the
-    terms themselves are a (bounded) broadcast semi join.
-    """
-    props = properties(spark, location)
-    buckets = props.get("buckets") or DEFAULT_BUCKETS
-    vocab_df = spark.createDataFrame([(t,) for t in vocab], "term string")
-    bucket_ids = [r[0] for r in vocab_df.select(term_bucket(F.col("term"), buckets)).distinct().collect()]
-    post = _read(spark, location, "postings").where(F.col("term_bucket").isin(bucket_ids))
-    return post.join(F.broadcast(vocab_df), "term", "left_semi")
+
+def _of_terms(df: DataFrame, vocab: list[str]) -> DataFrame:
+    """Rows of ``vocab``: row groups sorted by term are skipped by predicates, the rest by a bounded broadcast semi join."""
+    term = F.col("term")
+    if len(vocab) <= PUSHED_TERMS:
+        wanted = F.lit(False)
+        for t in vocab:
+            wanted = wanted | (term == t)
+        return df.where(wanted)
+    vocab_df = df.sparkSession.createDataFrame([(t,) for t in vocab], "term string")
+    return df.where((term >= min(vocab)) & (term <= max(vocab))).join(F.broadcast(vocab_df), "term", "left_semi")
+
+
+def query_postings(spark: SparkSession, location: str, vocab: list[str], live: list[Row] | None = None) -> DataFrame:
+    """Postings of ``vocab`` only."""
+    return _of_terms(_read(spark, location, "postings", live), vocab)
+
+
+def document_frequencies(spark: SparkSession, location: str, vocab: list[str], live: list[Row] | None = None) -> dict[str, int]:
+    """T3 — stored df of ``vocab`` (bounded by the caller): the appends' partial counts summed; no posting is read."""
+    stored = _of_terms(_read(spark, location, "terms", live), vocab)
+    return {r["term"]: r["df"] for r in stored.groupBy("term").agg(F.sum("df").alias("df")).collect()}
 
 
 def _indexed_kernel(bc, k: int, qid_col: str, kinds: list):
@@ -347,9 +496,9 @@ def bm25_indexed(
 ) -> DataFrame:
     """T5 over a stored collection, per pass of queries:
 
-    * postings of the pass vocabulary only (partition-pruned scan);
-    * N and avgdl from ``stats/`` (one row), df from the pruned postings
-      (one row per vocabulary term reaches the driver);
+    * postings of the pass vocabulary only;
+    * N and avgdl from the commits, df from the stored term statistics (one
+      row per vocabulary term reaches the driver): no aggregate over postings;
     * the matched postings (never multiplied by the number of queries) are
       shuffled by document id and scored as a sorted stream in
       ``mapInArrow``, keeping a running top-k;
@@ -365,16 +514,17 @@ def bm25_indexed(
 
     props = properties(spark, location)
     analyzer = props.get("analyzer") or "basic"
-    st = stored_stats(spark, location).first()
+    live = _live(spark, location)
+    st = stored_stats(spark, location, live).first()
     n_docs, avgdl = st["n_docs"] or 0, st["avgdl"] or 0.0
-    recs = get_collection(spark, location)
+    recs = _read(spark, location, "records", live)
     schema = score_schema(qid_col, "id", queries, recs)
     kinds = [_arrow_type(f.dataType) for f in schema]
     parts = []
     for chunk in _query_term_passes(queries, qid_col, qtext_col, analyzer) if n_docs else []:
         vocab = sorted({t for _, terms in chunk for t in terms})
-        post = query_postings(spark, location, vocab)
-        dfs = {r["term"]: r["df"] for r in post.groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect()}
+        post = query_postings(spark, location, vocab, live)
+        dfs = document_frequencies(spark, location, vocab, live)
         pos = {t: i for i, t in enumerate(vocab)}
         idf = np.array([math.log(1.0 + (n_docs - dfs.get(t, 0) + 0.5) / (dfs.get(t, 0) + 0.5)) for t in vocab])
         qids = [q for q, _ in chunk]
@@ -437,7 +587,9 @@ __all__ = [
     "add_typed_columns",
     "bm25_indexed",
     "collection_info",
+    "compact",
     "create_collection",
+    "document_frequencies",
     "get_collection",
     "hybrid_stored",
     "knn_stored",

@@ -10,6 +10,10 @@ and nothing is lost whatever the order of the files; no micro-batch reads what
 earlier ones wrote, so the total work follows the input.  Every row is kept:
 ``ingested`` returns the first row of each key and ``duplicates`` all others.
 The checkpoint lives in the cluster's shared folder.
+
+``ingest_collection`` streams into a stored collection instead: every micro-batch is
+one append (records, keys, postings, statistics) committed under its run and epoch,
+so it is searchable as soon as it is committed and a replayed epoch changes nothing.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.session import shared_dir
+from quarry.sources.collection import add_records
 
 PLACE = ("run", "epoch")
 
@@ -59,28 +64,17 @@ def _run_files(
     file_glob: str,
     schema,
     prepare: Callable[[DataFrame], DataFrame],
-    target: str,
+    write: Callable[[DataFrame, int], None],
     max_bytes_per_trigger: int | None,
     max_files_per_trigger: int | None,
     checkpoint: str,
-    on_progress: Callable[[dict], None] | None,
 ) -> None:
+    """Every file present at start through ``prepare`` and ``write``, in micro-batches bounded by bytes or files."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-    if max_bytes_per_trigger is not None:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    if max_files_per_trigger is not None:
+    if max_files_per_trigger is not None:  # one bound per source
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    run = hashlib.md5(checkpoint.encode()).hexdigest()
-
-    def write(batch: DataFrame, epoch: int) -> None:
-        seen = Observation(f"ingest-{epoch}")
-        rows = batch.observe(seen, F.count(F.lit(1)).alias("n_input")) if on_progress else batch
-        # equal rows become one with a count: a map-side combine, nothing is lost
-        packed = rows.groupBy(*[F.col(f"`{c}`") for c in rows.columns]).agg(F.count(F.lit(1)).alias("copies"))
-        packed.write.mode("overwrite").parquet(f"{target}/rows/run={run}/epoch={epoch}")
-        if on_progress and seen.get.get("n_input", 0):  # empty batches are not reported
-            on_progress({"batch_id": epoch, "n_input": seen.get["n_input"]})
-
+    elif max_bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     query = prepare(reader.parquet(source_dir)).writeStream.foreachBatch(write)
     query = query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
@@ -88,6 +82,44 @@ def _run_files(
         raise query.exception()
 
 
+def run_of(checkpoint: str) -> str:
+    """The name of a checkpoint's run: epochs are counted per checkpoint."""
+    return hashlib.md5(checkpoint.encode()).hexdigest()
+
+
+def ingest_collection(
+    spark: SparkSession,
+    source_dir: str,
+    file_glob: str,
+    schema,
+    prepare: Callable[[DataFrame], DataFrame],
+    location: str,
+    checkpoint: str | None = None,
+    max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = 4 << 30,
+    on_progress: Callable[[dict], None] | None = None,
+    **options,
+) -> str:
+    """S6 — stream files into a stored collection, exactly once; returns the checkpoint.
+
+    ``prepare`` gives (id, document, metadata[, embedding]); ``options`` go to
+    ``add_records``.  A run that is started again with its checkpoint replays the
+    micro-batch that broke off: if it was committed nothing happens, else its
+    folders are overwritten.  ``on_progress`` (U2) receives ``{"batch_id", "n_stored",
+    "n_tokens", "replayed"}`` per micro-batch.
+    """
+    checkpoint = checkpoint or shared_dir(spark, "collection-checkpoint")
+    run = run_of(checkpoint)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        out = add_records(spark, location, batch, epoch=(run, epoch), **options)
+        if on_progress:
+            on_progress({"batch_id": epoch, "replayed": out.get("replayed", False), **out["progress"]})
+
+    _run_files(spark, source_dir, file_glob, schema, prepare, write, max_bytes_per_trigger, max_files_per_trigger, checkpoint)
+    return checkpoint
+
+
 def ingest_files(
     spark: SparkSession,
     source_dir: str,
@@ -109,10 +141,19 @@ def ingest_files(
     ``on_progress`` (U2) receives ``{"batch_id", "n_input"}`` per non-empty
     micro-batch, counted while the batch is written (``Observation``).
     """
-    if max_files_per_trigger is not None:
-        max_bytes_per_trigger = None  # one bound per source
     checkpoint = checkpoint or shared_dir(spark, "ingest-checkpoint")
-    _run_files(spark, source_dir, file_glob, schema, prepare, target, max_bytes_per_trigger, max_files_per_trigger, checkpoint, on_progress)
+    run = run_of(checkpoint)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        seen = Observation(f"ingest-{epoch}")
+        rows = batch.observe(seen, F.count(F.lit(1)).alias("n_input")) if on_progress else batch
+        # equal rows become one with a count: a map-side combine, nothing is lost
+        packed = rows.groupBy(*[F.col(f"`{c}`") for c in rows.columns]).agg(F.count(F.lit(1)).alias("copies"))
+        packed.write.mode("overwrite").parquet(f"{target}/rows/run={run}/epoch={epoch}")
+        if on_progress and seen.get.get("n_input", 0):  # empty batches are not reported
+            on_progress({"batch_id": epoch, "n_input": seen.get["n_input"]})
+
+    _run_files(spark, source_dir, file_glob, schema, prepare, write, max_bytes_per_trigger, max_files_per_trigger, checkpoint)
     return ingested(spark, target, key, [order_col] if order_col else None)
 
 

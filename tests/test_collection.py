@@ -1,10 +1,12 @@
 """Stored collections: create, append with rejects, duplicates, info, indexed BM25 = on-the-fly BM25."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import fulltext as ft
 from quarry.session import shared_dir
 from quarry.sources import collection as coll
+from quarry.sources import keys
 
 
 def docs_df(spark, rows):
@@ -37,7 +39,7 @@ def test_create_append_info(spark):
 
 def test_indexed_bm25_equals_scan(spark):
     loc = shared_dir(spark, "test-bm25")
-    coll.create_collection(spark, loc, "d", id_type="bigint", buckets=8, recreate=True)
+    coll.create_collection(spark, loc, "d", id_type="bigint", recreate=True)
     rows = [(i, f"w{i % 5} common w{i % 3} tail{i}", "{}") for i in range(60)]
     coll.add_records(spark, loc, docs_df(spark, rows[:30]))
     coll.add_records(spark, loc, docs_df(spark, rows[30:]))
@@ -82,3 +84,78 @@ def test_a_half_written_append_is_not_read(spark):
     broken = coll.get_collection(spark, loc).drop("ingest_batch").withColumn("id", F.lit(2).cast("long"))
     broken.write.parquet(f"{loc}/records/ingest_batch=broken")
     assert [r["id"] for r in coll.get_collection(spark, loc).collect()] == [1]
+
+
+def test_stored_ids_are_found_by_filters(spark):
+    """Four appends: each finds exactly the ids that earlier ones stored; no append reads all stored ids."""
+    loc = shared_dir(spark, "test-keys")
+    coll.create_collection(spark, loc, "k", recreate=True)
+    for n in range(4):
+        ids = [f"id-{i}" for i in range(n * 50, n * 50 + 55)]  # the last five come again in the next append
+        out = coll.add_records(spark, loc, docs_df(spark, [(0, "a", "{}")]).crossJoin(spark.createDataFrame([(i,) for i in ids], "key string")).select(F.col("key").alias("id"), "document", "metadata"))
+        assert out["stored"].count() == (55 if n == 0 else 50)
+        assert sorted(r.id for r in out["rejected"].collect()) == ([] if n == 0 else sorted(ids[:5]))
+    assert coll.get_collection(spark, loc).count() == 205
+    live = coll._live(spark, loc)
+    new = keys.key_pieces(spark.createDataFrame([("id-7",), ("other",)], "id string"))
+    plan = keys.possible(new, coll._stored_keys(spark, loc, live))._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert scans and all("ids" not in line.split("ReadSchema")[1] for line in scans)
+    assert not coll._path_exists(spark, f"{loc}/staging/{live[0].ingest_batch}-maybe") and not coll._path_exists(spark, f"{loc}/staging/{live[0].ingest_batch}-losers")
+
+
+def test_filters_lose_no_id(spark):
+    ids = spark.range(20_000).select((F.col("id") * 7919).alias("id"))
+    stored = keys.key_pieces(ids.where("id % 2 = 0")).withColumn("ingest_batch", F.lit("x"))
+    maybe = keys.possible(keys.key_pieces(ids), stored)
+    assert {r.id for r in keys.confirmed(maybe, stored).collect()} == {r.id for r in ids.where("id % 2 = 0").collect()}
+    assert maybe.count() < 10_000 + 100  # few others pass
+
+
+def test_compaction_changes_no_result(spark):
+    loc = shared_dir(spark, "test-compact")
+    coll.create_collection(spark, loc, "c", id_type="bigint", recreate=True)
+    rows = [(i, f"w{i % 5} common w{i % 3} tail{i}", '{"genre": "g"}') for i in range(60)]
+    coll.add_records(spark, loc, docs_df(spark, rows[:30]), typed_fields=["genre"])
+    coll.add_records(spark, loc, docs_df(spark, rows[20:40] + [(None, "n", "{}")]), typed_fields=["year"], epoch=("run", 3))
+    coll.add_records(spark, loc, docs_df(spark, rows[40:]))
+    q = spark.createDataFrame([(0, "w1 common"), (1, "w2 tail7")], "query_id long, query_text string")
+    state = lambda: (sorted(map(tuple, coll.get_collection(spark, loc).select("id", "document", "gen_genre", "gen_year", "dl").collect()), key=repr), sorted(map(tuple, coll.bm25_indexed(spark, loc, q, 5).collect())), sorted(map(tuple, coll._read(spark, loc, "quarantine").select("id", "reject_reason").collect()), key=repr))
+    before, old = state(), coll._live(spark, loc)
+    coll.compact(spark, loc)
+    assert state() == before and len(coll._live(spark, loc)) == 1
+    assert not any(coll._path_exists(spark, f"{loc}/{k}/ingest_batch={r.ingest_batch}") for r in old for k in coll.DATASETS)
+    # the folded epoch and the folded ids are still known
+    assert coll.add_records(spark, loc, docs_df(spark, [(900, "z", "{}")]), epoch=("run", 3))["replayed"]
+    assert coll.add_records(spark, loc, docs_df(spark, rows[:3] + [(901, "z", "{}")]))["progress"]["n_stored"] == 1
+
+
+def test_a_broken_epoch_is_written_once(spark):
+    loc = shared_dir(spark, "test-epoch")
+    coll.create_collection(spark, loc, "e", id_type="bigint", recreate=True)
+    first, other = docs_df(spark, [(1, "a b", "{}"), (1, "c", "{}")]), docs_df(spark, [(2, "a", "{}")])
+
+    def stop(stage):
+        if stage == "postings":
+            raise RuntimeError("killed")
+
+    try:
+        coll.add_records(spark, loc, first, epoch=("r", 0), on_stage=stop)
+        raise AssertionError("not stopped")
+    except RuntimeError:
+        pass
+    assert coll.get_collection(spark, loc).count() == 0
+    for _ in range(2):
+        out = coll.add_records(spark, loc, first, epoch=("r", 0))
+    assert out["replayed"] and [r.id for r in out["stored"].collect()] == [1] and out["rejected"].count() == 1
+    coll.add_records(spark, loc, other, epoch=("r", 1))
+    assert coll.document_frequencies(spark, loc, ["a", "b", "c"]) in ({"a": 2, "b": 1}, {"a": 1, "c": 1})
+
+
+def test_appends_must_agree_on_types(spark):
+    loc = shared_dir(spark, "test-types")
+    coll.create_collection(spark, loc, "t", id_type="bigint", recreate=True)
+    coll.add_records(spark, loc, docs_df(spark, [(1, "a", "{}")]), typed_fields={"x": "string"})
+    coll.add_records(spark, loc, docs_df(spark, [(2, "a", "{}")]), typed_fields={"x": "bigint"})
+    with pytest.raises(ValueError, match="gen_x"):
+        coll.get_collection(spark, loc)
