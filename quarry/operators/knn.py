@@ -9,9 +9,12 @@ survives the partition.  Two windows with ``WindowGroupLimit`` merge the
 per-partition winners (at most ``k`` rows per query per partition cross the
 shuffle, and no task receives all of a query's).
 
-Vectors that are null or of another length than the queries are not ranked
-(V2); ``vector_rejects`` counts them by reason, and ``on_reject="error"``
-fails on the first one.
+Vectors that are null or of another length than the queries are not ranked, nor
+are such queries (V2); ``vector_rejects`` counts them by reason on either side, and
+``on_reject="error"`` fails on the first one.
+
+Query sets that grow with the data go through ``knn_join``: both sides are dealt
+into blocks, every task meets one block of each, nothing reaches the driver.
 
 Ordering is ``(rank_key(distance), id)`` everywhere, so partial and final
 top-k agree exactly and ties are broken by id.  Rows whose distance is
@@ -39,13 +42,15 @@ from quarry.functions.vectors import distance as distance_expr
 from quarry.functions.vectors import from_key, norm, np_distances, np_rank_key, rank_key
 from quarry.operators.topk import NO_KEY, RunningTopK, merge_top_k, top_k
 
-# Query vectors per broadcast pass, bounded in bytes (float64 x dim) and in
-# count; bigger batches are processed in several exact passes and unioned,
-# each pass being one scan of the corpus.
+# Query vectors of a broadcast, bounded in bytes (float64 x dim) and in count;
+# bigger batches are joined by blocks.
 MAX_QUERY_BYTES = 64 * 1024 * 1024
 MAX_QUERIES_PER_PASS = 131_072
 # Cells of the (queries x corpus rows) distance block inside a task.
 DIST_CELLS = 8_000_000
+# Queries and corpus rows that meet in one task of the block join.
+QUERY_BLOCK = 16_384
+CORPUS_BLOCK = 262_144
 
 
 def _matrix(vectors: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -60,35 +65,22 @@ def _matrix(vectors: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     return rows, mat
 
 
-def _kernel_factory(bq, k: int, metric: str, qid_name: str, id_name: str, qid_type, id_type, on_reject: str, probes=None):
-    """Per-partition function for ``mapInArrow`` over (id, vector[, cell]).
-
-    ``probes`` (optional broadcast) maps a cell to the positions of the
-    queries that probe it (IVF): only those distances are computed.
-    """
+def _kernel_factory(bq, k: int, metric: str, qid_name: str, id_name: str, qid_type, id_type, on_reject: str):
+    """Per-partition function for ``mapInArrow`` over (id, vector)."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         qids, qmat = bq.value
         best = RunningTopK(len(qids), k)
+        step = max(1, DIST_CELLS // len(qids))
         for batch in batches:
             rows, mat = _matrix(batch.column(1), qmat.shape[1])
             if on_reject == "error" and len(rows) < batch.num_rows:
                 raise ValueError(f"{batch.num_rows - len(rows)} vectors of a batch are null or not of {qmat.shape[1]} dimensions")
             ids = batch.column(0).to_numpy(zero_copy_only=False)[rows]
-            if probes is None:
-                groups = [(None, slice(0, len(rows)))]
-            else:
-                cells = batch.column(2).to_numpy(zero_copy_only=False)[rows]
-                groups = [(probes.value.get(int(c)), np.flatnonzero(cells == c)) for c in np.unique(cells)]
-            for who, part in groups:
-                if probes is not None and who is None:
-                    continue
-                q, m, own = (qmat if who is None else qmat[who]), mat[part], ids[part]
-                step = max(1, DIST_CELLS // max(len(q), 1))
-                for start in range(0, len(m), step):
-                    dist = np_distances(q, m[start : start + step], metric)
-                    keys = np.where(np.isnan(dist), NO_KEY, np_rank_key(np.nan_to_num(dist, nan=0.0)))
-                    best.offer_block(keys, own[start : start + step], who)
+            for start in range(0, len(mat), step):
+                dist = np_distances(qmat, mat[start : start + step], metric)
+                keys = np.where(np.isnan(dist), NO_KEY, np_rank_key(np.nan_to_num(dist, nan=0.0)))
+                best.offer_block(keys, ids[start : start + step])
         out_q, out_id, out_k = best.rows(qids)
         if out_q:
             yield pa.RecordBatch.from_arrays(
@@ -110,21 +102,110 @@ def vector_rejects(corpus: DataFrame, dim: int, vec_col: str = "embedding") -> D
     )
 
 
-def collect_queries(queries: DataFrame, qid_col: str, qvec_col: str) -> Iterator[tuple[list, np.ndarray]]:
-    """Stream the (small) query batch to the driver in bounded passes."""
+def collect_queries(queries: DataFrame, qid_col: str, qvec_col: str, on_reject: str = "skip") -> tuple[list, np.ndarray] | None:
+    """The query batch as (ids, matrix), or None if it is larger than a broadcast may be."""
     ids: list = []
     vecs: list = []
     for row in queries.select(qid_col, qvec_col).toLocalIterator(prefetchPartitions=True):
         if row[1] is None:
+            if on_reject == "error":
+                raise ValueError(f"query {row[0]} has no vector")
             continue
         ids.append(row[0])
         vecs.append(np.asarray(row[1], dtype=np.float64))
-        per_pass = min(MAX_QUERIES_PER_PASS, max(1, MAX_QUERY_BYTES // (8 * max(len(vecs[0]), 1))))
-        if len(ids) >= per_pass:
-            yield ids, np.stack(vecs)
-            ids, vecs = [], []
-    if ids:
-        yield ids, np.stack(vecs)
+        if len(ids) > min(MAX_QUERIES_PER_PASS, max(1, MAX_QUERY_BYTES // (8 * max(len(vecs[0]), 1)))):
+            return None
+    return ids, np.stack(vecs) if vecs else np.zeros((0, 0))
+
+
+def _block_kernel(k: int, metric: str, dim: int, on_reject: str, names: list[str], kinds: list[pa.DataType]):
+    """Over (group, slice, side, qid, id, vector) with a block's queries before its corpus rows."""
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, qids, mats, best, qmat = None, [], [], None, None
+
+        def finished() -> Iterator[pa.RecordBatch]:
+            if best is not None:
+                out = best.rows(qids)
+                if out[0]:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(out, kinds)], names=names)
+
+        for batch in batches:
+            where = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(3)])
+            cuts = np.flatnonzero(np.r_[True, (where[:, 1:] != where[:, :-1]).any(axis=0)]) if batch.num_rows else []
+            for a, b in zip(cuts, [*cuts[1:], batch.num_rows]):
+                part = batch.slice(a, b - a)
+                if key != tuple(where[:2, a]):
+                    yield from finished()
+                    key, qids, mats, best, qmat = tuple(where[:2, a]), [], [], None, None
+                rows, mat = _matrix(part.column(5), dim)
+                if on_reject == "error" and len(rows) < part.num_rows:
+                    raise ValueError(f"{part.num_rows - len(rows)} vectors of a block are null or not of {dim} dimensions")
+                if where[2, a] == 0:
+                    qids += part.column(3).take(pa.array(rows)).to_pylist()
+                    mats.append(mat)
+                elif qids:
+                    if best is None:
+                        best, qmat = RunningTopK(len(qids), k), np.concatenate(mats)
+                    own = part.column(4).to_numpy(zero_copy_only=False)[rows]
+                    step = max(1, DIST_CELLS // len(qids))
+                    for at in range(0, len(mat), step):
+                        dist = np_distances(qmat, mat[at : at + step], metric)
+                        best.offer_block(np.where(np.isnan(dist), NO_KEY, np_rank_key(np.nan_to_num(dist, nan=0.0))), own[at : at + step])
+        yield from finished()
+
+    return kernel
+
+
+def knn_join(
+    corpus: DataFrame,
+    queries: DataFrame,
+    k: int,
+    metric: str = "cosine",
+    id_col: str = "id",
+    vec_col: str = "embedding",
+    qid_col: str = "query_id",
+    qvec_col: str = "query_vector",
+    where: Column | None = None,
+    dim: int | None = None,
+    on_reject: str = "skip",
+) -> DataFrame:
+    """V7/V8 for any number of queries — exact top-k per query: ``(query_id, id, distance, rank)``.
+
+    Queries are dealt into slices of about ``QUERY_BLOCK``, corpus rows into groups of
+    about ``CORPUS_BLOCK`` (fewer if that leaves tasks idle).  A task gets one group and
+    one slice, holds the slice and streams the group; at most k rows per query
+    leave it, and two ``WindowGroupLimit`` windows merge them.  Neither side is collected.
+    """
+    spark = corpus.sparkSession
+    src = corpus if where is None else corpus.where(where)
+    asked = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(qvec_col)).alias("dim")).first()
+    dim = dim or asked["dim"] or 0
+    n_slices = max(1, -(-asked["n"] // QUERY_BLOCK))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_groups = max(-(-src.count() // CORPUS_BLOCK), -(-tasks // n_slices))
+    id_type, qid_type = src.schema[id_col].dataType, queries.schema[qid_col].dataType
+    narrow = all(df.schema[c].dataType == T.ArrayType(T.FloatType()) for df, c in ((src, vec_col), (queries, qvec_col)))
+    vector_type = "array<float>" if narrow else "array<double>"
+
+    def dealt(df: DataFrame, side: int, key: str, own: int, other: int) -> list[Column]:
+        block = F.pmod(F.xxhash64(F.col(key)), F.lit(own))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(other - 1).cast("long")))
+        group, part = (every, block) if side == 0 else (block, every)
+        ids = [F.col(key), F.lit(None).cast(id_type)] if side == 0 else [F.lit(None).cast(qid_type), F.col(key)]
+        return [group.alias("group"), part.alias("slice"), F.lit(side).alias("side"), ids[0].alias("qid"), ids[1].alias("id")]
+
+    left = queries.select(*dealt(queries, 0, qid_col, n_slices, n_groups), F.col(qvec_col).cast(vector_type).alias("v"))
+    right = src.select(*dealt(src, 1, id_col, n_groups, n_slices), F.col(vec_col).cast(vector_type).alias("v"))
+    met = left.unionByName(right).repartition("group", "slice").sortWithinPartitions("group", "slice", "side")
+    schema = T.StructType([T.StructField(qid_col, qid_type), T.StructField(id_col, id_type), T.StructField("dist_key", T.DoubleType())])
+    kernel = _block_kernel(k, metric, dim, on_reject, schema.names, [to_arrow_type(f.dataType) for f in schema])
+    return _merged(met.mapInArrow(kernel, schema), k, id_col, qid_col)
+
+
+def _merged(found: DataFrame, k: int, id_col: str, qid_col: str) -> DataFrame:
+    ranked = merge_top_k(found, [qid_col], [F.col("dist_key").asc(), F.col(id_col).asc()], id_col, k)
+    return ranked.select(qid_col, id_col, from_key(F.col("dist_key")).alias("distance"), "rank")
 
 
 def knn(
@@ -138,51 +219,28 @@ def knn(
     qvec_col: str = "query_vector",
     where: Column | None = None,
     dim: int | None = None,
-    probes: dict | None = None,
     on_reject: str = "skip",
 ) -> DataFrame:
     """V7/V8 — exact top-k per query: ``(query_id, id, distance, rank)``.
 
     ``where`` is applied to the corpus *before* ranking (pre-filter, pushed
-    to the scan).  ``dim`` adds the V2 shape check of the queries.  ``probes``
-    maps each query id to the cells it may see.
+    to the scan).  ``dim`` adds the V2 shape check of the queries.  A batch that is
+    too large to broadcast goes through ``knn_join``.
     """
     spark = corpus.sparkSession
     src = corpus if where is None else corpus.where(where)
-    cols = [id_col, vec_col] + (["cell"] if probes is not None else [])
-    src = src.select(*cols)
-    qid_type = queries.schema[qid_col].dataType
-    out_schema = T.StructType(
-        [
-            T.StructField(qid_col, qid_type),
-            T.StructField(id_col, corpus.schema[id_col].dataType),
-            T.StructField("dist_key", T.DoubleType()),
-        ]
-    )
-    qid_arrow, id_arrow = to_arrow_type(qid_type), to_arrow_type(corpus.schema[id_col].dataType)
-    parts = []
-    for qids, qmat in collect_queries(queries, qid_col, qvec_col):
-        if dim is not None and qmat.shape[1] != dim:
-            raise ValueError(f"query vectors have {qmat.shape[1]} dimensions, the collection {dim}")
-        bq = spark.sparkContext.broadcast((qids, qmat))
-        seen = None
-        if probes is not None:
-            by_cell: dict = {}
-            for i, q in enumerate(qids):
-                for c in probes[q]:
-                    by_cell.setdefault(int(c), []).append(i)
-            seen = spark.sparkContext.broadcast({c: np.array(i) for c, i in by_cell.items()})
-        kernel = _kernel_factory(bq, k, metric, qid_col, id_col, qid_arrow, id_arrow, on_reject, seen)
-        parts.append(src.mapInArrow(kernel, out_schema))
-    if not parts:
-        return spark.createDataFrame([], out_schema).select(
-            qid_col, id_col, F.lit(None).cast("double").alias("distance"), F.lit(None).cast("long").alias("rank")
-        )
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    ranked = merge_top_k(cand, [qid_col], [F.col("dist_key").asc(), F.col(id_col).asc()], id_col, k)
-    return ranked.select(qid_col, id_col, from_key(F.col("dist_key")).alias("distance"), "rank")
+    qid_type, id_type = queries.schema[qid_col].dataType, corpus.schema[id_col].dataType
+    schema = T.StructType([T.StructField(qid_col, qid_type), T.StructField(id_col, id_type), T.StructField("dist_key", T.DoubleType())])
+    batch = collect_queries(queries, qid_col, qvec_col, on_reject)
+    if batch is None:
+        return knn_join(src, queries, k, metric, id_col, vec_col, qid_col, qvec_col, dim=dim, on_reject=on_reject)
+    qids, qmat = batch
+    if not qids:
+        return _merged(spark.createDataFrame([], schema), k, id_col, qid_col)
+    if dim is not None and qmat.shape[1] != dim:
+        raise ValueError(f"query vectors have {qmat.shape[1]} dimensions, the collection {dim}")
+    kernel = _kernel_factory(spark.sparkContext.broadcast((qids, qmat)), k, metric, qid_col, id_col, to_arrow_type(qid_type), to_arrow_type(id_type), on_reject)
+    return _merged(src.select(id_col, vec_col).mapInArrow(kernel, schema), k, id_col, qid_col)
 
 
 def knn_single(

@@ -6,6 +6,7 @@
 * ``text_collection``: every document (text-only corpus).
 * ``centroid_queries``: one query vector per embedding label, the label's
   mean vector (derived from the whole ``embeddings`` table).
+* ``vector_queries``: every vector whose id is divisible by 100.
 * ``benchmark_queries``: every ``benchmark`` passage as a query text.
 * ``raw_books``: raw book rows from ``part`` (see ``books_from_part``).
 """
@@ -44,6 +45,10 @@ def centroid_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_centroids(emb, "label", "embedding")
 
 
+def vector_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors_only(spark, sf_dir).where(F.col("id") % 100 == 0).select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vector"))
+
+
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = read_table(spark, sf_dir, "benchmark")
     return b.select(F.col("item_id").alias("query_id"), F.col("text").alias("query_text"))

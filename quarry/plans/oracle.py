@@ -40,12 +40,16 @@ VONLY = """
 vcoll AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings)"""
 
 
-def _knn_sql(metric: str, k: int, where: str = "TRUE", vectors: str = VONLY) -> str:
+#: Every vector whose id is divisible by 100 as a query.
+ID_QUERIES = "id_queries AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS qv FROM embeddings WHERE vec_id % 100 = 0)"
+
+
+def _knn_sql(metric: str, k: int, where: str = "TRUE", vectors: str = VONLY, queries: str = "centroids") -> str:
     return f"""
-WITH {CENTROIDS}, {vectors},
+WITH {CENTROIDS}, {ID_QUERIES}, {vectors},
 scored AS (
   SELECT q.query_id, c.id, floor(({_DIST[metric]}) * 1e12 + 0.5) AS dist_key
-  FROM centroids q, vcoll c
+  FROM {queries} q, vcoll c
   WHERE {where}
 ),
 ranked AS (
@@ -61,6 +65,8 @@ SQL: dict[str, str] = {
     "knn_l2": _knn_sql("l2", 5),
     "knn_ip": _knn_sql("ip", 5),
     "knn_filtered": _knn_sql("cosine", 10, "c.lang = 'en'", VCOLL),
+    "knn_all": _knn_sql("cosine", 10, queries="id_queries"),
+    "knn_all_filtered": _knn_sql("l2", 10, "c.lang = 'de'", VCOLL, "id_queries"),
 }
 
 
@@ -553,7 +559,12 @@ SELECT n + bad AS n_rows, bad AS n_malformed, bad AS n_kept_text, 0::BIGINT AS f
 SQL["vector_checks"] = """
 SELECT count(*) + count(*) FILTER (WHERE vec_id % 10 = 0) + count(*) FILTER (WHERE vec_id % 20 = 0) + count(*) FILTER (WHERE vec_id % 25 = 0) AS n_vectors,
        count(*) FILTER (WHERE vec_id % 20 = 0) AS n_null, count(*) FILTER (WHERE vec_id % 10 = 0) AS n_wrong_size, count(*) FILTER (WHERE vec_id % 25 = 0) AS n_zero FROM embeddings"""
-SQL["ivf_checks"] = "SELECT count(DISTINCT label) AS n_queries, 0::BIGINT AS n_wrong, 0::BIGINT AS n_falls, 1.0::DOUBLE AS recall_all_cells FROM embeddings"
+SQL["ivf_checks"] = """
+SELECT count(*) FILTER (WHERE vec_id % 100 = 0) AS n_queries, TRUE AS recall_reached, 0::BIGINT AS n_wrong, 1.0::DOUBLE AS recall_all_cells, count(*) AS n_indexed
+FROM embeddings"""
+SQL["query_vector_checks"] = """
+WITH q AS (SELECT count(*) AS n, count(*) FILTER (WHERE vec_id % 200 = 0) AS n_short FROM embeddings WHERE vec_id % 100 = 0)
+SELECT 2 * n + n_short AS n_vectors, n AS n_null, n_short AS n_wrong_size, 0::BIGINT AS n_zero, n AS n_answered FROM q"""
 SQL["ingest_duplicates"] = """
 SELECT doc_id AS id, 'a ' || lang AS document, 'stored' AS outcome FROM documents
 UNION ALL SELECT doc_id, 'copy', 'duplicate_in_batch' FROM documents WHERE doc_id % 3 = 0

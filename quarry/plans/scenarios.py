@@ -21,7 +21,7 @@ from quarry.operators import hybrid as hy
 from quarry.operators import ivf
 from quarry.operators import prepare as prep
 from quarry.operators.filters import build_filter
-from quarry.operators.knn import knn, knn_single, vector_rejects
+from quarry.operators.knn import knn, knn_join, knn_single, vector_rejects
 from quarry.plans import inputs
 from quarry.session import shared_dir
 from quarry.sources import collection as coll
@@ -73,6 +73,29 @@ def knn_ip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _knn(spark, sf_dir, "ip", 5)
 
 
+@register
+def knn_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V7: cosine top-10 for every vector whose id is divisible by 100 against all rows, both sides in blocks."""
+    return knn_join(inputs.vectors_only(spark, sf_dir), inputs.vector_queries(spark, sf_dir), 10)
+
+
+@register
+def knn_all_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V8: the same queries by Euclidean distance against the vectors of German documents."""
+    return knn_join(inputs.vector_collection(spark, sf_dir), inputs.vector_queries(spark, sf_dir), 10, "l2", where=build_filter({"lang": "de"}))
+
+
+@register
+def query_vector_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2 for queries: the query set with null and short vectors among them, counted; the good ones are answered."""
+    q = inputs.vector_queries(spark, sf_dir)
+    null = q.select((-1 - F.col("query_id")).alias("query_id"), F.lit(None).cast("array<float>").alias("query_vector"))
+    short = q.where("query_id % 200 = 0").select((F.col("query_id") + 1).alias("query_id"), F.slice("query_vector", 1, 5).alias("query_vector"))
+    asked = q.union(null).union(short)
+    answered = knn_join(inputs.vectors_only(spark, sf_dir), asked, 1, dim=64).agg(F.count(F.lit(1)).alias("n_answered"))
+    return vector_rejects(asked, 64, "query_vector").crossJoin(answered)  # one row each
+
+
 @register
 def knn_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V8 + F1: pre-filtered kNN, ``lang = 'en'`` (genre stand-in), top-10."""
@@ -620,45 +643,39 @@ def ivf_knn_all_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def ivf_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V9: approximate cosine top-5 probing a quarter of the cells (partition-pruned scan)."""
+    """V9: approximate cosine top-10 of every id divisible by 100 at the level that was measured to reach a recall of 0.9."""
     location = _ivf_index(spark, sf_dir)
-    some = max(1, ivf.n_cells(spark, location) // 4)
-    return ivf.ivf_knn(spark, location, inputs.centroid_queries(spark, sf_dir), 5, some, "cosine")
-
-
-def _probe_levels(spark: SparkSession, sf_dir: str, k: int) -> tuple[list[tuple[int, DataFrame]], DataFrame]:
-    location = _ivf_index(spark, sf_dir)
-    q = inputs.centroid_queries(spark, sf_dir)
-    every = ivf.n_cells(spark, location)
-    levels = sorted({max(1, every // n) for n in (8, 4, 2, 1)})
-    return [(n, ivf.ivf_knn(spark, location, q, k, n, "cosine")) for n in levels], knn(inputs.vectors_only(spark, sf_dir), q, k)
+    q = inputs.vector_queries(spark, sf_dir)
+    ivf.calibrate(spark, location, q, 10)
+    return ivf.ivf_knn(spark, location, q, 10)
 
 
 @register
 def ivf_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """recall@10 of the IVF search against exact kNN as more cells are probed."""
-    found, exact = _probe_levels(spark, sf_dir, 10)
-    parts = [ivf.recall_at_k(got, exact, 10).select(F.lit(n).alias("nprobe"), "n_queries", "recall") for n, got in found]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """recall@10 and its lower confidence bound by probe level, for every id divisible by 100."""
+    return ivf.recall_curve(spark, _ivf_index(spark, sf_dir), inputs.vector_queries(spark, sf_dir), 10)
 
 
 @register
 def ivf_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V9 + V10: at every probe level the share of wrong distances (none), whether recall falls, and recall at all cells."""
-    found, exact = _probe_levels(spark, sf_dir, 10)
-    every = knn(inputs.vectors_only(spark, sf_dir), inputs.centroid_queries(spark, sf_dir), 1_000_000).select("query_id", "id", F.col("distance").alias("true"))
-    rows = None
-    for n, got in found:
-        right = got.join(every, ["query_id", "id"]).agg(F.count_if(F.col("distance") != F.col("true")).alias("n_wrong"))
-        row = right.crossJoin(ivf.recall_at_k(got, exact, 10)).select(F.lit(n).alias("nprobe"), "n_wrong", "n_queries", "recall")  # one row each
-        rows = row if rows is None else rows.unionByName(row)
-    at = F.max_by("recall", "nprobe")
-    in_order = F.sort_array(F.collect_list(F.struct("nprobe", "recall")))  # four rows
-    falls = F.size(F.filter(F.transform(F.sequence(F.lit(1), F.lit(len(found) - 1)), lambda i: F.get(in_order, i)["recall"] - F.get(in_order, i - 1)["recall"]), lambda d: d < 0))
-    return rows.agg(F.max("n_queries").alias("n_queries"), F.sum("n_wrong").alias("n_wrong"), falls.cast("long").alias("n_falls"), at.alias("recall_all_cells"))
+    """V9 + V10: the search at the calibrated level against exact search: wrong distances (none), recall of at least 0.9,
+    rows indexed, recall when all cells are probed."""
+    location = _ivf_index(spark, sf_dir)
+    vectors, q = inputs.vectors_only(spark, sf_dir), inputs.vector_queries(spark, sf_dir)
+    exact = knn_join(vectors, q, 10)
+    level = ivf.calibrate(spark, location, q, 10)
+    found = ivf.ivf_knn(spark, location, q, 10, level)
+    whole = ivf.ivf_knn(spark, location, q, 10, ivf.n_cells(spark, location))
+    rows = [
+        ivf.recall_at_k(found, exact, 10).select("n_queries", (F.col("recall") >= 0.9).alias("recall_reached")),
+        ivf.wrong_distances(found, vectors, q),
+        ivf.recall_at_k(whole, exact, 10).select(F.col("recall").alias("recall_all_cells")),
+        ivf.live_vectors(spark, location).agg(F.count(F.lit(1)).alias("n_indexed")),
+    ]
+    out = rows[0]
+    for row in rows[1:]:
+        out = out.crossJoin(row)  # one row each
+    return out
 
 
 # ------------------------------------------------------------------ streaming ingest

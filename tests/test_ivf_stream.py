@@ -40,6 +40,38 @@ def test_appended_vectors_are_found(spark):
     assert {tuple(r) for r in ivf.ivf_knn(spark, loc, q, 4, ivf.n_cells(spark, loc)).select("query_id", "id", "rank").collect()} == exact
 
 
+def test_cells_stay_bounded(spark):
+    """Appends around one point, a third of them equal, then others: no cell grows over its bound, every row is found."""
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.normal(size=4) + 5 * (i % 2)).tolist()) for i in range(200)]
+    make = lambda r: spark.createDataFrame(r, "id long, embedding array<double>")
+    loc = ivf.build_ivf(make(rows), shared_dir(spark, "test-ivf-grow"), 4, cell_rows=60)
+    for n in range(2):
+        more = [(1000 * (n + 1) + i, [1.0, 2.0, 3.0, 4.0] if i % 3 else (rng.normal(size=4)).tolist()) for i in range(240)]
+        ivf.ivf_append(make(more), loc, cell_rows=60)
+        rows += more
+    sizes = [r["count"] for r in ivf.live_vectors(spark, loc).groupBy("cell").count().collect()]
+    assert max(sizes) <= 60 and sum(sizes) == len(rows)
+    q = spark.createDataFrame([(j, rows[j * 7][1]) for j in range(6)], "query_id long, query_vector array<double>")
+    exact = {tuple(r) for r in knn(make(rows), q, 9).select("query_id", "id", "rank").collect()}
+    assert {tuple(r) for r in ivf.ivf_knn(spark, loc, q, 9, ivf.n_cells(spark, loc)).select("query_id", "id", "rank").collect()} == exact
+
+
+def test_recall_curve_is_the_recall_of_every_level(spark):
+    rng = np.random.default_rng(8)
+    corpus = spark.createDataFrame([(i, rng.normal(size=5).tolist()) for i in range(300)], "id long, embedding array<double>")
+    q = corpus.where("id % 30 = 0").select(corpus["id"].alias("query_id"), corpus["embedding"].alias("query_vector"))
+    loc = ivf.build_ivf(corpus, shared_dir(spark, "test-ivf-recall"), 9)
+    level = ivf.calibrate(spark, loc, q, 8)
+    curve = {r["nprobe"]: r for r in spark.read.parquet(f"{loc}/recall").collect()}
+    exact = knn(corpus, q, 8)
+    for n in (2, max(curve)):
+        got = ivf.recall_at_k(ivf.ivf_knn(spark, loc, q, 8, n), exact, 8).first()
+        assert got["n_queries"] == curve[n]["n_queries"] == 10 and abs(got["recall"] - curve[n]["recall"]) < 1e-9
+    assert curve[max(curve)]["recall"] == 1.0 and curve[level]["lower"] >= 0.9
+    assert ivf.wrong_distances(ivf.ivf_knn(spark, loc, q, 8), corpus, q).first()[0] == 0
+
+
 def test_stream_ingest_equals_batch(spark):
     part = read_table(spark, SF, "part")
     target = shared_dir(spark, "test-stream")

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 
 from quarry.functions.vectors import np_distances
-from quarry.operators.knn import knn, knn_single, vector_rejects
+from quarry.operators import knn as knn_mod
+from quarry.operators.knn import knn_join, knn, knn_single, vector_rejects
 
 
 def brute(corpus, queries, k, metric):
@@ -96,3 +97,25 @@ def test_rejected_vectors_are_counted_or_fail(spark):
     assert tuple(vector_rejects(corpus, 2).first()) == (4, 1, 1, 1)
     with pytest.raises(Exception, match="2 dimensions"):
         knn(corpus, q, 5, on_reject="error").collect()
+
+
+def test_block_join_equals_broadcast(spark, monkeypatch):
+    """Several slices and groups, repeated and rejected vectors on both sides, a third of the corpus alike."""
+    rng = np.random.default_rng(6)
+    corpus = [(i, [1.0, 1.0, 2.0] if i % 3 == 0 else rng.normal(size=3).tolist()) for i in range(400)] + [(900, None), (901, [1.0]), (902, [0.0, 0.0, 0.0])]
+    queries = [(f"q{i}", corpus[i][1]) for i in range(40)]
+    cdf = spark.createDataFrame(corpus, "id long, embedding array<double>")
+    qdf = spark.createDataFrame(queries, "query_id string, query_vector array<double>")
+    odd = qdf.union(spark.createDataFrame([("none", None), ("short", [1.0])], "query_id string, query_vector array<double>"))
+    for metric in ("cosine", "l2", "ip"):
+        want = sorted(map(tuple, knn(cdf, qdf, 7, metric).collect()))
+        monkeypatch.setattr(knn_mod, "QUERY_BLOCK", 9)
+        monkeypatch.setattr(knn_mod, "CORPUS_BLOCK", 50)
+        assert sorted(map(tuple, knn_join(cdf, odd, 7, metric).collect())) == want
+    assert tuple(vector_rejects(odd, 3, "query_vector").first()) == (42, 1, 1, 0)
+    with pytest.raises(Exception, match="null or not of 3"):
+        knn_join(cdf, odd, 7, on_reject="error").collect()
+    with pytest.raises(ValueError, match="no vector"):
+        knn(cdf, odd, 7, on_reject="error")
+    monkeypatch.setattr(knn_mod, "MAX_QUERIES_PER_PASS", 5)
+    assert sorted(map(tuple, knn(cdf, qdf, 7, "l2").collect())) == sorted(map(tuple, knn_join(cdf, qdf, 7, "l2").collect()))
