@@ -34,6 +34,14 @@ def difference_ids(a: DataFrame, b: DataFrame, qid_col: str = "query_id", id_col
     return distinct_ids(a, qid_col, id_col).join(distinct_ids(b, qid_col, id_col), [qid_col, id_col], "left_anti")
 
 
+def membership(a: DataFrame, b: DataFrame, names: tuple[str, str], qid_col: str = "query_id", id_col: str = "id") -> DataFrame:
+    """C2/C3 in one join — ``(query_id, id, membership)``: ``both``, or the name of the only result that has the id."""
+    da = distinct_ids(a, qid_col, id_col).withColumn("_a", F.lit(True))
+    db = distinct_ids(b, qid_col, id_col).withColumn("_b", F.lit(True))
+    where = F.when(F.col("_b").isNull(), F.lit(names[0])).when(F.col("_a").isNull(), F.lit(names[1])).otherwise(F.lit("both"))
+    return da.join(db, [qid_col, id_col], "full_outer").select(qid_col, id_col, where.alias("membership"))
+
+
 def compare_results(
     a: DataFrame,
     b: DataFrame,

@@ -122,17 +122,15 @@ def _arrow_type(dt: T.DataType) -> pa.DataType:
 
 
 def _query_term_passes(
-    queries: DataFrame, qid_col: str, qtext_col: str, analyzer: str
+    queries: DataFrame, qid_col: str, qtext_col: str, analyzer: str, group_col: str | None = None
 ) -> Iterator[list[tuple]]:
-    """Stream ``(query_id, distinct terms)`` to the driver in bounded passes."""
-    rows = (
-        queries.select(qid_col, F.array_distinct(tokenize(F.col(qtext_col), analyzer)).alias("terms"))
-        .toLocalIterator(prefetchPartitions=True)
-    )
+    """Stream ``(query_id, distinct terms[, group])`` to the driver in bounded passes."""
+    columns = [F.col(qid_col), F.array_distinct(tokenize(F.col(qtext_col), analyzer)).alias("terms"), *([F.col(group_col)] if group_col else [])]
+    rows = queries.select(*columns).toLocalIterator(prefetchPartitions=True)
     chunk: list[tuple] = []
     vocab: set = set()
     n_terms = 0
-    for qid, terms in rows:
+    for qid, terms, *group in rows:
         if not terms:
             continue  # a query without terms matches nothing
         grown = vocab | set(terms)
@@ -140,7 +138,7 @@ def _query_term_passes(
         if chunk and (len(chunk) >= MAX_QUERIES_PER_PASS or len(grown) > MAX_VOCAB_PER_PASS or n_terms > MAX_TERMS_PER_PASS):
             yield chunk
             chunk, grown, n_terms = [], set(terms), len(terms)
-        chunk.append((qid, list(terms)))
+        chunk.append((qid, list(terms), *group))
         vocab = grown
     if chunk:
         yield chunk
@@ -255,10 +253,16 @@ def score_schema(qid_col: str, id_col: str, queries: DataFrame, docs: DataFrame)
     )
 
 
-def offer_scores(best: RunningTopK, index: TermIndex, row: np.ndarray, term: np.ndarray, weight: np.ndarray, ids: np.ndarray) -> None:
-    """Scores of all matching (document, query) pairs into the running top-k; ``ids`` by row."""
+def offer_scores(
+    best: RunningTopK, index: TermIndex, row: np.ndarray, term: np.ndarray, weight: np.ndarray, ids: np.ndarray, mask: np.ndarray | None = None, group: np.ndarray | None = None
+) -> None:
+    """Scores of all matching (document, query) pairs into the running top-k; ``ids`` by row.
+
+    With ``mask`` (by row, a bit per group) and ``group`` (by query) a query sees the rows of its group only.
+    """
     for r, q, score in query_sums(index, row, term, weight):
-        best.offer(q, np.where(score > 0, -np_rank_key(score, SCORE_SCALE), NO_KEY), ids[r])
+        good = score > 0 if mask is None else (score > 0) & ((mask[r] >> group[q]) & 1 == 1)
+        best.offer(q, np.where(good, -np_rank_key(score, SCORE_SCALE), NO_KEY), ids[r])
 
 
 def winners(best: RunningTopK, qids: list, qid_col: str, id_col: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -269,7 +273,7 @@ def winners(best: RunningTopK, qids: list, qid_col: str, id_col: str, schema: pa
 
 def _bm25_kernel(bc, k: int, id_col: str, qid_col: str, kinds: list[pa.DataType]):
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab_list, idf, qids, qterm_idx, avgdl, k1, b = bc.value
+        vocab_list, idf, qids, qterm_idx, avgdl, k1, b, group = bc.value
         vocab = pa.array(vocab_list, type=pa.string())
         nv = len(vocab_list)
         index = TermIndex(qterm_idx, nv)
@@ -280,7 +284,8 @@ def _bm25_kernel(bc, k: int, id_col: str, qid_col: str, kinds: list[pa.DataType]
                 pairs, tf = np.unique(rows * nv + cols, return_counts=True)
                 r, v = pairs // nv, pairs % nv  # sorted by row
                 w = bm25_weights(idf[v], tf, lengths[r].astype(np.float64), avgdl, k1, b)
-                offer_scores(best, index, r, v, w, rb.column(0).to_numpy(zero_copy_only=False))
+                mask = None if group is None else rb.column(2).to_numpy()
+                offer_scores(best, index, r, v, w, rb.column(0).to_numpy(zero_copy_only=False), mask, group)
         yield from winners(best, qids, qid_col, id_col, kinds)
 
     return kernel
@@ -298,8 +303,11 @@ def bm25_topk(
     analyzer: str = "basic",
     k1: float = K1,
     b: float = B,
+    groups: list[Column] | None = None,
+    group_col: str = "group",
+    include: list[str] | None = None,
 ) -> DataFrame:
-    """T5/T6 — top-k per query by BM25: ``(query_id, id, score, rank)`` (score desc, id asc).
+    """T5/T6 — top-k per query by BM25: ``(query_id, id, score, rank[, included fields])`` (score desc, id asc).
 
     Per pass of at most ``MAX_QUERIES_PER_PASS`` queries:
     1. one aggregate gives N, avgdl and df of the pass vocabulary (whole corpus);
@@ -309,6 +317,10 @@ def bm25_topk(
        never formed and only the running top-k per query leaves the partition;
     3. two ``WindowGroupLimit`` windows merge the partition winners.
     No (query, document) pair is ever shuffled.
+
+    ``groups``: filters of their own for groups of queries, all answered by the same scan.
+    A row carries one bit per filter it passes (``row_mask``); ``group_col`` of a query
+    is the position of its filter.  ``include`` adds fields of the winners (P18).
     """
     spark = docs.sparkSession
     sc = spark.sparkContext
@@ -316,26 +328,47 @@ def bm25_topk(
     kinds = [_arrow_type(f.dataType) for f in schema]
     cand = docs if where is None else docs.where(where)
     parts = []
-    for chunk in _query_term_passes(queries, qid_col, qtext_col, analyzer):
-        vocab = sorted({t for _, terms in chunk for t in terms})
+    for chunk in _query_term_passes(queries, qid_col, qtext_col, analyzer, group_col if groups else None):
+        vocab = sorted({t for _, terms, *_ in chunk for t in terms})
         n_docs, avgdl, dfs = vocabulary_stats(docs, text_col, analyzer, vocab)
         if n_docs == 0:
             continue
         pos = {t: i for i, t in enumerate(vocab)}
         idf = np.array([math.log(1.0 + (n_docs - dfs.get(t, 0) + 0.5) / (dfs.get(t, 0) + 0.5)) for t in vocab])
-        qids = [q for q, _ in chunk]
-        qterm_idx = [np.array([pos[t] for t in terms], dtype=np.int64) for _, terms in chunk]
-        bc = sc.broadcast((vocab, idf, qids, qterm_idx, avgdl, k1, b))
-        src = cand.select(id_col, tokenize(F.col(text_col), analyzer).alias("_t"))
+        qids = [q for q, *_ in chunk]
+        qterm_idx = [np.array([pos[t] for t in terms], dtype=np.int64) for _, terms, *_ in chunk]
+        of_group = np.array([g for *_, g in chunk], dtype=np.int64) if groups else None
+        bc = sc.broadcast((vocab, idf, qids, qterm_idx, avgdl, k1, b, of_group))
+        src = cand.select(id_col, tokenize(F.col(text_col), analyzer).alias("_t"), *([row_mask(groups).alias("_mask")] if groups else []))
+        src = src.where("_mask <> 0") if groups else src
         parts.append(src.mapInArrow(_bm25_kernel(bc, k, id_col, qid_col, kinds), schema))
     if not parts:
         empty = spark.createDataFrame([], schema)
-        return empty.select(qid_col, id_col, F.lit(None).cast("double").alias("score"), F.lit(None).cast("long").alias("rank"))
+        none = empty.select(qid_col, id_col, F.lit(None).cast("double").alias("score"), F.lit(None).cast("long").alias("rank"))
+        return with_fields(none, docs, id_col, include)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     ranked = merge_top_k(out, [qid_col], [F.col("score_key").desc(), F.col(id_col).asc()], id_col, k)
-    return ranked.select(qid_col, id_col, from_key(F.col("score_key"), SCORE_SCALE).alias("score"), "rank")
+    ranked = ranked.select(qid_col, id_col, from_key(F.col("score_key"), SCORE_SCALE).alias("score"), "rank")
+    return with_fields(ranked, docs, id_col, include)
+
+
+def with_fields(winners: DataFrame, docs: DataFrame, id_col: str, include: list[str] | None) -> DataFrame:
+    """P18 — chosen fields of the winners."""
+    return winners.join(docs.select(id_col, *include), id_col).select(*winners.columns, *include) if include else winners
+
+
+#: Filters that one row mask holds.
+MAX_GROUPS = 60
+
+
+def row_mask(groups: list[Column]) -> Column:
+    """A bit for every filter the row passes."""
+    mask = F.lit(0).cast("long")
+    for i, passes in enumerate(groups):
+        mask = mask.bitwiseOR(F.when(passes, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")))
+    return mask
 
 
 def _match_kernel(bc, id_col: str, qid_col: str, require_all: bool, qid_type: pa.DataType, id_type: pa.DataType):
@@ -424,6 +457,4 @@ def fulltext_get(
     else:
         m = token_matches(cand, queries, token_mode == "all", id_col, text_col, qid_col, qtext_col, analyzer)
     got = top_k_per_group(m, [qid_col], [F.col(id_col).asc()], limit)
-    if include:
-        got = got.join(docs.select(id_col, *include), id_col)
-    return got.select(qid_col, id_col, "rank", *(include or []))
+    return with_fields(got.select(qid_col, id_col, "rank"), docs, id_col, include)

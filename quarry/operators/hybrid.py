@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.filters import build_filter, document_filter
-from quarry.operators.fulltext import bm25_topk
+from quarry.operators.fulltext import MAX_GROUPS, bm25_topk
 from quarry.operators.knn import knn
 from quarry.operators.topk import number_rows, top_k, top_k_per_group
 
@@ -182,22 +182,32 @@ def search_groups(
 ) -> DataFrame:
     """H1/H5 — one batch of queries with their own texts, filters and sizes per leg, fused together.
 
-    Each group adds a filtered scan per leg; fusion, display order and
-    hydration happen once for all.
+    All groups share one scan per leg: every row carries the set of group filters it
+    passes (``MAX_GROUPS`` groups a scan).  Fusion, display order and hydration happen once for all.
     """
     corpus = collection if vec_col in collection.columns else collection.withColumn(vec_col, embed(F.col(text_col)))
-    texts, vectors = None, None
-    for g in groups:
-        keyword = build_filter(g.where if g.keyword_where is None else g.keyword_where, collection.columns)
-        text = bm25_topk(
-            collection, g.queries, g.n_text or k, id_col, text_col, "query_id", "keyword_text", where=keyword & document_filter(g.where_document, text_col)
-        )
-        qs = g.queries.select("query_id", embed(F.col("vector_text")).alias("query_vector"))
-        vector = knn(corpus, qs, g.n_vector or k, metric, id_col, vec_col, where=build_filter(g.where, collection.columns))
-        texts = text if texts is None else texts.unionByName(text)
-        vectors = vector if vectors is None else vectors.unionByName(vector)
-    legs = [texts.withColumnRenamed("rank", "text_rank"), vectors.withColumnRenamed("rank", "vector_rank")]
-    shown = display_order(fuse_rrf(legs, ["text_rank", "vector_rank"], k, "query_id", id_col, c))
+    legs: list[list[DataFrame]] = [[], []]
+    for first in range(0, len(groups), MAX_GROUPS):
+        some = groups[first : first + MAX_GROUPS]
+        keyword = [build_filter(g.where if g.keyword_where is None else g.keyword_where, collection.columns) & document_filter(g.where_document, text_col) for g in some]
+        vector = [build_filter(g.where, collection.columns) for g in some]
+        asked = None
+        for i, g in enumerate(some):
+            q = g.queries.select("query_id", "keyword_text", "vector_text", F.lit(i).alias("group"), F.lit(g.n_text or k).alias("_n_text"), F.lit(g.n_vector or k).alias("_n_vector"))
+            asked = q if asked is None else asked.unionByName(q)
+        text = bm25_topk(collection, asked, max(g.n_text or k for g in some), id_col, text_col, "query_id", "keyword_text", groups=keyword)
+        qs = asked.select("query_id", "group", embed(F.col("vector_text")).alias("query_vector"))
+        near = knn(corpus, qs, max(g.n_vector or k for g in some), metric, id_col, vec_col, groups=vector)
+        for leg, found, size in ((0, text, "_n_text"), (1, near, "_n_vector")):
+            if len({(g.n_text, g.n_vector) for g in some}) > 1:  # sizes of their own
+                found = found.join(asked.select("query_id", size), "query_id").where(F.col("rank") <= F.col(size)).drop(size)
+            legs[leg].append(found)
+    texts, vectors = ([part.withColumnRenamed("rank", name) for part in leg] for leg, name in zip(legs, ("text_rank", "vector_rank")))
+    for more in texts[1:]:
+        texts[0] = texts[0].unionByName(more)
+    for more in vectors[1:]:
+        vectors[0] = vectors[0].unionByName(more)
+    shown = display_order(fuse_rrf([texts[0], vectors[0]], ["text_rank", "vector_rank"], k, "query_id", id_col, c))
     return hydrate(shown, collection, payload, id_col) if payload else shown
 
 

@@ -66,10 +66,10 @@ def _matrix(vectors: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _kernel_factory(bq, k: int, metric: str, qid_name: str, id_name: str, qid_type, id_type, on_reject: str):
-    """Per-partition function for ``mapInArrow`` over (id, vector)."""
+    """Per-partition function for ``mapInArrow`` over (id, vector[, mask])."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        qids, qmat = bq.value
+        qids, qmat, group = bq.value
         best = RunningTopK(len(qids), k)
         step = max(1, DIST_CELLS // len(qids))
         for batch in batches:
@@ -77,8 +77,11 @@ def _kernel_factory(bq, k: int, metric: str, qid_name: str, id_name: str, qid_ty
             if on_reject == "error" and len(rows) < batch.num_rows:
                 raise ValueError(f"{batch.num_rows - len(rows)} vectors of a batch are null or not of {qmat.shape[1]} dimensions")
             ids = batch.column(0).to_numpy(zero_copy_only=False)[rows]
+            mask = None if group is None else batch.column(2).to_numpy()[rows]
             for start in range(0, len(mat), step):
                 dist = np_distances(qmat, mat[start : start + step], metric)
+                if mask is not None:  # a query sees the rows of its group only
+                    dist[(mask[None, start : start + step] >> group[:, None]) & 1 == 0] = np.nan
                 keys = np.where(np.isnan(dist), NO_KEY, np_rank_key(np.nan_to_num(dist, nan=0.0)))
                 best.offer_block(keys, ids[start : start + step])
         out_q, out_id, out_k = best.rows(qids)
@@ -102,20 +105,23 @@ def vector_rejects(corpus: DataFrame, dim: int, vec_col: str = "embedding") -> D
     )
 
 
-def collect_queries(queries: DataFrame, qid_col: str, qvec_col: str, on_reject: str = "skip") -> tuple[list, np.ndarray] | None:
-    """The query batch as (ids, matrix), or None if it is larger than a broadcast may be."""
+def collect_queries(queries: DataFrame, qid_col: str, qvec_col: str, on_reject: str = "skip", group_col: str | None = None) -> tuple[list, np.ndarray, np.ndarray] | None:
+    """The query batch as (ids, matrix, groups), or None if it is larger than a broadcast may be."""
     ids: list = []
     vecs: list = []
-    for row in queries.select(qid_col, qvec_col).toLocalIterator(prefetchPartitions=True):
+    groups: list[int] = []
+    group = F.col(group_col) if group_col else F.lit(0)
+    for row in queries.select(qid_col, qvec_col, group).toLocalIterator(prefetchPartitions=True):
         if row[1] is None:
             if on_reject == "error":
                 raise ValueError(f"query {row[0]} has no vector")
             continue
         ids.append(row[0])
+        groups.append(row[2])
         vecs.append(np.asarray(row[1], dtype=np.float64))
         if len(ids) > min(MAX_QUERIES_PER_PASS, max(1, MAX_QUERY_BYTES // (8 * max(len(vecs[0]), 1)))):
             return None
-    return ids, np.stack(vecs) if vecs else np.zeros((0, 0))
+    return ids, np.stack(vecs) if vecs else np.zeros((0, 0)), np.array(groups, dtype=np.int64)
 
 
 def _block_kernel(k: int, metric: str, dim: int, on_reject: str, names: list[str], kinds: list[pa.DataType]):
@@ -220,27 +226,42 @@ def knn(
     where: Column | None = None,
     dim: int | None = None,
     on_reject: str = "skip",
+    groups: list[Column] | None = None,
+    group_col: str = "group",
+    include: list[str] | None = None,
 ) -> DataFrame:
-    """V7/V8 — exact top-k per query: ``(query_id, id, distance, rank)``.
+    """V7/V8 — exact top-k per query: ``(query_id, id, distance, rank[, included fields])``.
 
     ``where`` is applied to the corpus *before* ranking (pre-filter, pushed
     to the scan).  ``dim`` adds the V2 shape check of the queries.  A batch that is
-    too large to broadcast goes through ``knn_join``.
+    too large to broadcast goes through ``knn_join``.  ``groups`` and ``group_col``:
+    filters of their own for groups of queries in one scan, as in ``bm25_topk``;
+    ``include`` adds fields of the winners (P18).
     """
+    from quarry.operators.fulltext import row_mask, with_fields
+
     spark = corpus.sparkSession
     src = corpus if where is None else corpus.where(where)
     qid_type, id_type = queries.schema[qid_col].dataType, corpus.schema[id_col].dataType
     schema = T.StructType([T.StructField(qid_col, qid_type), T.StructField(id_col, id_type), T.StructField("dist_key", T.DoubleType())])
-    batch = collect_queries(queries, qid_col, qvec_col, on_reject)
+    batch = collect_queries(queries, qid_col, qvec_col, on_reject, group_col if groups else None)
     if batch is None:
-        return knn_join(src, queries, k, metric, id_col, vec_col, qid_col, qvec_col, dim=dim, on_reject=on_reject)
-    qids, qmat = batch
+        each = [(src, queries)] if not groups else [(src.where(g), queries.where(F.col(group_col) == i)) for i, g in enumerate(groups)]
+        parts = [knn_join(c, q, k, metric, id_col, vec_col, qid_col, qvec_col, dim=dim, on_reject=on_reject) for c, q in each]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return with_fields(out, src, id_col, include)
+    qids, qmat, of_group = batch
     if not qids:
-        return _merged(spark.createDataFrame([], schema), k, id_col, qid_col)
+        return with_fields(_merged(spark.createDataFrame([], schema), k, id_col, qid_col), src, id_col, include)
     if dim is not None and qmat.shape[1] != dim:
         raise ValueError(f"query vectors have {qmat.shape[1]} dimensions, the collection {dim}")
-    kernel = _kernel_factory(spark.sparkContext.broadcast((qids, qmat)), k, metric, qid_col, id_col, to_arrow_type(qid_type), to_arrow_type(id_type), on_reject)
-    return _merged(src.select(id_col, vec_col).mapInArrow(kernel, schema), k, id_col, qid_col)
+    shipped = spark.sparkContext.broadcast((qids, qmat, of_group if groups else None))
+    kernel = _kernel_factory(shipped, k, metric, qid_col, id_col, to_arrow_type(qid_type), to_arrow_type(id_type), on_reject)
+    rows = src.select(id_col, vec_col, *([row_mask(groups).alias("_mask")] if groups else []))
+    rows = rows.where("_mask <> 0") if groups else rows
+    return with_fields(_merged(rows.mapInArrow(kernel, schema), k, id_col, qid_col), src, id_col, include)
 
 
 def knn_single(

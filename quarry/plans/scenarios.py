@@ -96,6 +96,12 @@ def query_vector_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_rejects(asked, 64, "query_vector").crossJoin(answered)  # one row each
 
 
+@register
+def knn_included(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V7 + P18: cosine top-5 for every label centroid with chosen fields of the winners."""
+    return knn(inputs.vector_collection(spark, sf_dir), inputs.centroid_queries(spark, sf_dir), 5, include=["lang", "n_chars"])
+
+
 @register
 def knn_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V8 + F1: pre-filtered kNN, ``lang = 'en'`` (genre stand-in), top-10."""
@@ -198,6 +204,12 @@ def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ft.bm25_topk(inputs.text_collection(spark, sf_dir), inputs.benchmark_queries(spark, sf_dir), 10)
 
 
+@register
+def bm25_included(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 + P18: BM25 top-10 with chosen fields of the winners."""
+    return ft.bm25_topk(inputs.text_collection(spark, sf_dir), inputs.benchmark_queries(spark, sf_dir), 10, include=["lang", "source"])
+
+
 @register
 def bm25_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T5 + F2: BM25 top-5, candidates ``n_chars >= 2000`` (reviews stand-in), whole-corpus statistics."""
@@ -390,12 +402,9 @@ def compare_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def compare_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids in both results (semi join) and in one only (anti joins), labelled."""
+    """Ids in both results and in one only, labelled, from one join."""
     _, got, hyb = _ft_and_hybrid(spark, sf_dir)
-    both = cmp.intersect_ids(got, hyb).withColumn("membership", F.lit("both"))
-    a_only = cmp.difference_ids(got, hyb).withColumn("membership", F.lit("full_text_only"))
-    b_only = cmp.difference_ids(hyb, got).withColumn("membership", F.lit("hybrid_only"))
-    return both.unionByName(a_only).unionByName(b_only)
+    return cmp.membership(got, hyb, ("full_text_only", "hybrid_only"))
 
 
 @register
