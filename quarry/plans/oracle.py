@@ -526,6 +526,7 @@ SQL["collection_roundtrip"] = "SELECT 'documents' AS name, count(*) AS n_records
 SQL["collection_typed_filter"] = """
 SELECT doc_id AS id, lang AS gen_lang, source AS gen_source, n_chars AS gen_n_chars
 FROM documents WHERE lang = 'de' AND n_chars >= 1000"""
+SQL["collection_clustered_filter"] = SQL["collection_typed_filter"]
 SQL["bm25_included"] = f"SELECT b.*, d.lang, d.source FROM ({SQL['bm25_topk']}) b JOIN documents d ON d.doc_id = b.id"
 SQL["knn_included"] = f"SELECT b.*, d.lang, d.n_chars FROM ({_knn_sql('cosine', 5, vectors=VCOLL)}) b JOIN documents d ON d.doc_id = b.id"
 SQL["bm25_indexed"] = _bm25_sql("bq", 10)

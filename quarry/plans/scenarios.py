@@ -531,6 +531,16 @@ def collection_typed_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recs.where(build_filter(where, recs.columns)).select("id", "gen_lang", "gen_source", "gen_n_chars")
 
 
+@register
+def collection_clustered_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P17 + S5 + F2/F4: records laid out along a Z-order curve of two typed columns, then filtered on both (files are skipped by their statistics)."""
+    location = build_document_collection(spark, sf_dir)
+    coll.compact(spark, location, cluster_by=["gen_lang", "gen_n_chars"])
+    recs = coll.get_collection(spark, location)
+    where = {"$and": [{"lang": "de"}, {"n_chars": {"$gte": 1000}}]}
+    return recs.where(build_filter(where, recs.columns)).select("id", "gen_lang", "gen_source", "gen_n_chars")
+
+
 @register
 def bm25_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T2/T3/T5 materialised: BM25 top-10 over the stored, term-bucketed postings (partition-pruned)."""

@@ -38,7 +38,8 @@ from quarry.functions.tokens import tokenize
 from quarry.functions.vectors import hashed_tf_embedding
 from quarry.operators.fulltext import postings_of_tokens, term_stats
 from quarry.operators.prepare import storable
-from quarry.sources.keys import confirmed, key_pieces, piece_schema, possible
+from quarry.session import shared_dir
+from quarry.sources.keys import confirmed, key_pieces, located, piece_schema, possible
 
 # Metadata field -> typed column type, and the default field list.
 FIELD_TYPES = {
@@ -279,7 +280,7 @@ def add_records(
     done("records")
 
     ok = staged.where("reject_reason is null")
-    key_pieces(ok.select("id")).write.mode("overwrite").parquet(f"{p['keys']}/{folder}")
+    _write_keys(ok, f"{p['keys']}/{folder}")
     keys = spark.read.schema(piece_schema(rows.schema["id"].dataType)).parquet(f"{p['keys']}/{folder}")
     repeated = keys.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
     known = _known(spark, location, live, keys, f"{p['staging']}/{batch}-maybe")
@@ -295,6 +296,7 @@ def add_records(
         winners.select(*keep, "reject_reason").drop("reject_reason").write.mode("overwrite").parquet(f"{p['records']}/{folder}")
         rejected = staged.join(losers, "_seq", "left").withColumn("reject_reason", F.coalesce("reject_reason", "_why")).where("reject_reason is not null")
         rejected.select(*keep, "reject_reason").write.mode("overwrite").parquet(f"{p['quarantine']}/ingest_batch={batch}")
+        _write_keys(spark.read.schema(schema).parquet(f"{p['records']}/{folder}"), f"{p['keys']}/ingest_batch={batch}")
         done("quarantine")
     got = {k: seen.get[k] for k in ("n_stored", "n_tokens")}
     n_rejected = 0 if folder == f"ingest_batch={batch}" else n_in_all - got["n_stored"]
@@ -352,6 +354,12 @@ def _losers(ok: DataFrame, repeated: int, known: DataFrame | None, given: list[s
     return out.groupBy("_seq").agg(F.max("_why").alias("_why"))
 
 
+def _write_keys(records: DataFrame, path: str) -> None:
+    """The pieces of the ids of stored records, with the file of each."""
+    file = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    key_pieces(records.select("id", file.alias("file"))).write.mode("overwrite").parquet(path)
+
+
 def _write_postings(records: DataFrame, analyzer: str, p: dict[str, str], batch: str) -> None:
     """Postings of an append, sorted by term inside each task (no shuffle), and its df and cf per term."""
     tokens = records.select("id", tokenize(F.col("document"), analyzer).alias("tokens"))
@@ -361,23 +369,48 @@ def _write_postings(records: DataFrame, analyzer: str, p: dict[str, str], batch:
     term_stats(posts).sortWithinPartitions("term").write.mode("overwrite").parquet(f"{p['terms']}/ingest_batch={batch}")
 
 
-def compact(spark: SparkSession, location: str) -> None:
-    """Fold all appends into one: records and postings in id and term ranges, statistics summed, one set of keys.
+def z_value(records: DataFrame, fields: list[str], bits: int = 8) -> Column:
+    """P17 — position on a Z-order curve over up to seven ``fields``: the bits of their quantiles (of a text: its hash) interleaved.
 
-    The commit of the result names the appends it replaces, so readers change over
-    at once; the replaced folders are removed after it.
+    Quantiles come from one approximate aggregate: ``2^bits`` numbers a field reach the driver.
+    """
+    numeric = [f for f in fields if not isinstance(records.schema[f].dataType, T.StringType)]
+    steps = [i / (1 << bits) for i in range(1, 1 << bits)]
+    row = records.agg(*[F.percentile_approx(f, steps).alias(f) for f in numeric]).first() if numeric else None
+    z = F.lit(0).cast("long")
+    for n, f in enumerate(fields):
+        if f in numeric:
+            cuts = sorted({c for c in row[f] or []})
+            place = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(f))) if cuts else F.lit(0)
+            place = F.coalesce(place, F.lit(0))
+        else:
+            place = F.coalesce(F.pmod(F.xxhash64(f), F.lit(1 << bits)).cast("int"), F.lit(0))
+        for bit in range(bits):
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(place, bit).bitwiseAND(F.lit(1)).cast("long"), bit * len(fields) + n))
+    return z
+
+
+def compact(spark: SparkSession, location: str, cluster_by: list[str] | None = None, files: int | None = None) -> None:
+    """Fold all appends into one: records and postings in ranges, statistics summed, one set of keys.
+
+    Records are laid out by id, or along a Z-order curve over the columns ``cluster_by``
+    (P17), so that a filter on any of them skips files by their statistics.  The commit of the
+    result names the appends it replaces, so readers change over at once; the replaced
+    folders are removed after it.
     """
     live = _live(spark, location)
-    if len(live) < 2:
+    if not live or (len(live) < 2 and not cluster_by):
         return
-    p, batch, parts = _paths(location), uuid.uuid4().hex, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    p, batch, parts = _paths(location), uuid.uuid4().hex, files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = f"ingest_batch={batch}"
     records = _read(spark, location, "records", live)
-    records.repartitionByRange(parts, "id").sortWithinPartitions("id").write.parquet(f"{p['records']}/{folder}")
+    laid = records.withColumn("_z", z_value(records, cluster_by) if cluster_by else F.lit(0).cast("long"))
+    laid = laid.repartitionByRange(parts, "_z", "id").sortWithinPartitions("_z", "id").drop("_z")
+    laid.write.parquet(f"{p['records']}/{folder}")
     _read(spark, location, "postings", live).repartitionByRange(parts, "term", "id").sortWithinPartitions("term", "id").write.parquet(f"{p['postings']}/{folder}")
     terms = _read(spark, location, "terms", live).groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
     terms.repartitionByRange(parts, "term").sortWithinPartitions("term").write.parquet(f"{p['terms']}/{folder}")
-    key_pieces(records.select("id")).write.parquet(f"{p['keys']}/{folder}")
+    _write_keys(spark.read.schema(records.schema).parquet(f"{p['records']}/{folder}"), f"{p['keys']}/{folder}")
     if any(r.n_rejected for r in live):
         _read(spark, location, "quarantine", live).write.parquet(f"{p['quarantine']}/{folder}")
     epochs: dict[str, int] = {}
@@ -397,6 +430,29 @@ def get_collection(spark: SparkSession, location: str) -> DataFrame:
     return _read(spark, location, "records")
 
 
+#: Files named in one read at most; more winners than that are joined with all records.
+MAX_FILES = 10_000
+
+
+def files_of(spark: SparkSession, location: str, ids: DataFrame, live: list[Row]) -> list[tuple[str, str]] | None:
+    """(append, file) of every stored id of a one-column table, from the key pieces alone; None if they are too many to name."""
+    stored = _stored_keys(spark, location, live)
+    found = located(possible(key_pieces(ids), stored), stored).select("ingest_batch", "file").distinct()
+    rows = found.limit(MAX_FILES + 1).collect()
+    return [(r["ingest_batch"], r["file"]) for r in rows] if len(rows) <= MAX_FILES else None
+
+
+def hydrate_stored(spark: SparkSession, location: str, winners: DataFrame, payload: list[str]) -> DataFrame:
+    """H7 on a stored collection — payload columns of the winners, read from the files that hold them and no others."""
+    live = _live(spark, location)
+    records = _read(spark, location, "records", live)
+    files = files_of(spark, location, winners.select("id"), live) if live else None
+    if files:
+        folders, path = {r.ingest_batch: r.folder for r in live}, _paths(location)["records"]
+        records = spark.read.schema(records.schema).parquet(*(f"{path}/{folders[b]}/{f}" for b, f in files))
+    return winners.join(records.select("id", *payload), "id")
+
+
 def collection_info(spark: SparkSession, location: str, name: str | None = None) -> DataFrame:
     """S7 — ``(name, n_records, error)``; a missing collection gives 0 and the error text."""
     schema = "name string, n_records bigint, error string"
@@ -572,14 +628,19 @@ def hybrid_stored(
 
     Analyzer, metric, dimension and embedder are the collection's.
     """
-    from quarry.operators.hybrid import display_order, fuse_rrf, hydrate
+    from quarry.operators.hybrid import display_order, fuse_rrf
 
     props = properties(spark, location)
     text = bm25_indexed(spark, location, queries, n_text or k, where).withColumnRenamed("rank", "text_rank")
     qs = queries.withColumn("query_vector", embedder_of(props)(F.col("query_text")))
     vector = knn_stored(spark, location, qs, n_vector or k, where).withColumnRenamed("rank", "vector_rank")
     shown = display_order(fuse_rrf([text, vector], ["text_rank", "vector_rank"], k))
-    return hydrate(shown, get_collection(spark, location), payload) if payload else shown
+    if not payload:
+        return shown
+    # the fused rows are few and used twice: for the files that hold them and for the join
+    path = f"{shared_dir(spark, 'winners')}"
+    shown.write.parquet(path)
+    return hydrate_stored(spark, location, spark.read.schema(shown.schema).parquet(path), payload)
 
 
 __all__ = [
@@ -592,6 +653,7 @@ __all__ = [
     "document_frequencies",
     "get_collection",
     "hybrid_stored",
+    "hydrate_stored",
     "knn_stored",
     "properties",
     "query_postings",

@@ -1,12 +1,12 @@
-"""The ids of a stored collection (S4): sorted pieces with Bloom filters.
+"""The ids of a stored collection (S4, H7): sorted pieces with Bloom filters.
 
 Every append writes its distinct ids in *pieces*: a slot (the first bits of the
 id's hash), the range of hashes in the piece, a Bloom filter of about two bytes an
-id, and the ids themselves.  Whether a new batch holds stored ids is answered from
+id, the ids themselves and the records file that each is in.  Whether a new batch holds stored ids is answered from
 the filters alone: both sides are dealt by slot, a task tests a slot's new ids
 against the pieces whose range they fall in.  Only ids that pass a filter (all
 stored ones, and about one in 1,700 others) are compared with real ids, and only
-the pieces they point to are read for that.
+the pieces they point to are read for that.  The same lookup gives the files of any ids.
 
 A piece is at most one Arrow batch of one slot, so nothing grows with the
 collection but the number of pieces.
@@ -36,16 +36,17 @@ def _spread(h: np.ndarray) -> np.ndarray:
 
 
 def piece_schema(id_type: T.DataType) -> T.StructType:
-    fields = [("slot", T.IntegerType()), ("lo", T.LongType()), ("hi", T.LongType()), ("copies", T.LongType()), ("bits", T.BinaryType()), ("ids", T.ArrayType(id_type))]
+    fields = [("slot", T.IntegerType()), ("lo", T.LongType()), ("hi", T.LongType()), ("copies", T.LongType()), ("bits", T.BinaryType()), ("ids", T.ArrayType(id_type)), ("files", T.ArrayType(T.StringType()))]
     return T.StructType([T.StructField(n, t) for n, t in fields])
 
 
 def key_pieces(ids: DataFrame) -> DataFrame:
-    """``(slot, lo, hi, copies, bits, ids)`` of a table of ids; ``copies`` counts repetitions (combined map-side, so a hot id is one row per task)."""
+    """Pieces of a table of ids (and of their ``file``, if it has one); ``copies`` counts repetitions (combined map-side, so a hot id is one row per task)."""
     h = F.xxhash64("id")
-    counted = ids.groupBy("id").agg((F.count(F.lit(1)) - 1).alias("copies"))
-    laid = counted.select("id", h.alias("h"), F.shiftrightunsigned(h, 64 - SLOT_BITS).cast("int").alias("slot"), "copies")
-    laid = laid.repartition("slot").sortWithinPartitions("slot", "h").select("slot", "h", "copies", "id")
+    file = F.col("file") if "file" in ids.columns else F.lit(None).cast("string")
+    counted = ids.groupBy("id").agg((F.count(F.lit(1)) - 1).alias("copies"), F.min(file).alias("file"))
+    laid = counted.select("id", h.alias("h"), F.shiftrightunsigned(h, 64 - SLOT_BITS).cast("int").alias("slot"), "copies", "file")
+    laid = laid.repartition("slot").sortWithinPartitions("slot", "h").select("slot", "h", "copies", "id", "file")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -61,10 +62,10 @@ def key_pieces(ids: DataFrame) -> DataFrame:
             bits[(begin[piece][:, None] + (_spread(h) % size[piece].astype(np.uint64)[:, None]).astype(np.int64)).ravel()] = 1
             packed = np.packbits(bits)
             filters = [packed[a // 8 : (a + s) // 8].tobytes() for a, s in zip(begin.tolist(), size.tolist())]
-            ids = pa.ListArray.from_arrays(pa.array(np.r_[first, len(slot)].astype(np.int32)), batch.column(3))
+            ids, files = (pa.ListArray.from_arrays(pa.array(np.r_[first, len(slot)].astype(np.int32)), batch.column(i)) for i in (3, 4))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(slot[first]), pa.array(h[first]), pa.array(h[first + n - 1]), pa.array(np.add.reduceat(copies, first)), pa.array(filters, pa.binary()), ids],
-                names=["slot", "lo", "hi", "copies", "bits", "ids"],
+                [pa.array(slot[first]), pa.array(h[first]), pa.array(h[first + n - 1]), pa.array(np.add.reduceat(copies, first)), pa.array(filters, pa.binary()), ids, files],
+                names=["slot", "lo", "hi", "copies", "bits", "ids", "files"],
             )
 
     return laid.mapInArrow(run, piece_schema(ids.schema["id"].dataType))
@@ -113,9 +114,14 @@ def possible(new: DataFrame, stored: DataFrame) -> DataFrame:
     return both.mapInArrow(run, schema)
 
 
-def confirmed(maybe: DataFrame, stored: DataFrame) -> DataFrame:
-    """``(id)``: those of ``maybe`` that are stored; only the pieces they point to are opened."""
+def located(maybe: DataFrame, stored: DataFrame) -> DataFrame:
+    """``(id, ingest_batch, file)``: those of ``maybe`` that are stored; only the pieces they point to are opened."""
     place = ["ingest_batch", "slot", "lo"]
     pointed = stored.join(maybe.select(*place).distinct(), place, "left_semi")
-    real = pointed.select(*place, F.explode("ids").alias("id"))
-    return maybe.join(real, [*place, "id"], "left_semi").select("id").distinct()
+    real = pointed.select(*place, F.inline(F.arrays_zip(F.col("ids").alias("id"), F.col("files").alias("file"))))
+    return maybe.join(real, [*place, "id"]).select("id", "ingest_batch", "file")
+
+
+def confirmed(maybe: DataFrame, stored: DataFrame) -> DataFrame:
+    """``(id)``: those of ``maybe`` that are stored."""
+    return located(maybe, stored).select("id").distinct()

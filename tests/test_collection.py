@@ -159,3 +159,40 @@ def test_appends_must_agree_on_types(spark):
     coll.add_records(spark, loc, docs_df(spark, [(2, "a", "{}")]), typed_fields={"x": "bigint"})
     with pytest.raises(ValueError, match="gen_x"):
         coll.get_collection(spark, loc)
+
+
+def test_only_the_winners_files_are_read(spark):
+    loc = shared_dir(spark, "test-hydrate")
+    coll.create_collection(spark, loc, "h", id_type="bigint", recreate=True)
+    for a, b in ((0, 300), (290, 600)):  # ten duplicates: the second append is written again without them
+        coll.add_records(spark, loc, docs_df(spark, [(i, f"text {i}", "{}") for i in range(a, b)]).repartitionByRange(3, "id"))
+    winners = spark.createDataFrame([(3, "x"), (295, "y"), (599, "z")], "id long, mark string")
+    for n_files in (3, 1):
+        got = coll.hydrate_stored(spark, loc, winners, ["document"])
+        assert sorted(map(tuple, got.collect())) == [(3, "x", "text 3"), (295, "y", "text 295"), (599, "z", "text 599")]
+        live = coll._live(spark, loc)
+        assert len(coll.files_of(spark, loc, winners.select("id"), live)) == n_files
+        assert len(coll.files_of(spark, loc, winners.where("id = 3").select("id"), live)) == 1
+        coll.compact(spark, loc, files=1)
+    assert coll.hydrate_stored(spark, loc, winners.where("id < 0"), ["document"]).count() == 0
+
+
+def test_clustered_files_have_narrow_ranges(spark):
+    """After clustering, a range on either field touches few files; without it, all."""
+    loc = shared_dir(spark, "test-layout")
+    coll.create_collection(spark, loc, "z", id_type="bigint", recreate=True)
+    rows = [(i, f"t{i}", f'{{"year": {1900 + i * 37 % 101}, "price": {i * 53 % 97}.5, "genre": "g{i % 3}"}}') for i in range(2000)]
+    coll.add_records(spark, loc, docs_df(spark, rows).repartition(4), typed_fields=["year", "price", "genre"])
+    before = sorted(map(tuple, coll.get_collection(spark, loc).select("id", "gen_year", "gen_price").collect()))
+
+    def touched(field, lo, hi):
+        spans = coll.get_collection(spark, loc).groupBy(F.input_file_name()).agg(F.min(field).alias("a"), F.max(field).alias("b"))
+        return spans.where((F.col("a") <= hi) & (F.col("b") >= lo)).count(), spans.count()
+
+    coll.compact(spark, loc, cluster_by=["gen_year", "gen_price"], files=16)
+    for field, lo, hi in (("gen_year", 1910, 1915), ("gen_price", 20.0, 25.0)):
+        some, every = touched(field, lo, hi)
+        assert every == 16 and some <= 8
+    assert sorted(map(tuple, coll.get_collection(spark, loc).select("id", "gen_year", "gen_price").collect())) == before
+    coll.compact(spark, loc, cluster_by=["gen_genre", "gen_year"], files=4)
+    assert coll.get_collection(spark, loc).count() == 2000
