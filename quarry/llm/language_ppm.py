@@ -9,10 +9,12 @@ costs ``-log2 k/(n+d)`` and an escape to the next shorter context
 256 bytes are equally likely.  A text goes to the language with the least
 total code length over all its bytes (ties: the smaller language name).
 
-Statistics are frozen, so the code length of every (context, byte) pair is
-computed once: bytes become symbols (each byte seen in training, and one for
-all others), contexts of ``ORDER`` symbols that occur in training get a row
-number, and one gather per byte yields the exact lengths under all languages.
+Statistics are frozen, so the code length of every (context, byte) pair seen in
+training is computed once: bytes become symbols (each byte seen in training, and
+one for all others), contexts and pairs that occur in training get row numbers.  A
+byte whose pair was seen takes one gather under all languages; otherwise the
+context's escapes are added and the shorter context is asked.  Only seen contexts
+and pairs are stored, so the size follows the sample, not contexts x alphabet x languages.
 
 Sample bound: ``ROWS_PER_LANG`` rows per language, those of smallest hash of
 ``doc_id``; their n-gram counts are added up by Spark, texts are never
@@ -38,6 +40,8 @@ from quarry.llm.shared import in_fold, revived, table, text_chunks
 ORDER = 3
 ROWS_PER_LANG = 400
 UND = "und"
+#: (byte, language) cells scored at once.
+CELLS = 4 << 20
 
 
 def sample_rows(train: DataFrame, rows_per_lang: int = ROWS_PER_LANG) -> DataFrame:
@@ -93,43 +97,55 @@ class ContextTrees:
         self.width = a = len(seen) + 1  # symbol 0: a byte not seen in training
         self.symbol = np.zeros(256, dtype=np.int32)
         self.symbol[seen] = np.arange(1, a)
-        count = len(langs)
         syms = [self.symbol[(gram >> (8 * j)) & 0xFF].astype(np.int64) for j in range(order + 1)]  # 0: the byte, j: j before
-        cost = np.full((1, a, count), 8.0, dtype=np.float64)  # below order 0; one "context"
-        self.context = np.zeros(1, dtype=np.int32)  # context code -> row of cost
+        #: By order: context code -> row, (context row, symbol) -> pair row (-1: not seen), bits of escapes and of pairs by language.
+        self.rows: list[np.ndarray] = []
+        self.pairs: list[np.ndarray] = []
+        self.escape: list[np.ndarray] = []
+        self.cost: list[np.ndarray] = []
         for k in range(order + 1):
             code = np.zeros(len(gram), dtype=np.int64)
             for j in range(k, 0, -1):
                 code = code * a + syms[j]
-            rows, row = np.unique(code, return_inverse=True)
-            hits = np.zeros((len(rows), a, count))
-            np.add.at(hits, (row, syms[0], lang), n)
-            total = hits.sum(axis=1, keepdims=True)
-            kinds = (hits > 0).sum(axis=1, keepdims=True)
+            pair, of = np.unique(code * a + syms[0], return_inverse=True)
+            hits = np.zeros((len(pair), len(langs)))
+            np.add.at(hits, (of, lang), n)
+            context, first, row = np.unique(pair // a, return_index=True, return_inverse=True)
+            total = np.add.reduceat(hits, first, axis=0) if len(first) else hits
+            kinds = np.add.reduceat((hits > 0).astype(float), first, axis=0) if len(first) else hits
             known = total > 0
-            safe = np.where(known, total + kinds, 1.0)
-            # the shorter context drops the oldest symbol
-            shorter = cost[self._row(rows % max(1, a ** (k - 1)), k - 1)] if k else np.broadcast_to(cost, hits.shape)
-            escape = np.where(known, -np.log2(np.where(known, kinds, 1.0) / safe), 0.0)
-            direct = -np.log2(np.where(hits > 0, hits, 1.0) / safe)
-            here = np.where(hits > 0, direct, escape + shorter)
-            # contexts not seen in any language share the rows of their shorter context
-            if k == 0:
-                cost, self.context = here, np.zeros(1, dtype=np.int32)
-            else:
-                lookup = self._row(np.arange(a**k) % max(1, a ** (k - 1)), k - 1)
-                lookup[rows] = len(cost) + np.arange(len(rows))
-                cost = np.concatenate([cost, here])
-                self.context = lookup.astype(np.int32)
-        self.cost = cost.reshape(cost.shape[0] * a, count).astype(np.float32)
-
-    def _row(self, codes: np.ndarray, k: int) -> np.ndarray:
-        return self.context[codes].astype(np.int64) if k > 0 else np.zeros(len(codes), dtype=np.int64)
+            whole = np.where(known, total + kinds, 1.0)
+            escape = np.where(known, -np.log2(np.where(known, kinds, 1.0) / whole), 0.0)
+            # the shorter context drops the oldest symbol; its pair was seen wherever this one was
+            short = self.cost[k - 1][self.pairs[k - 1][self.rows[k - 1][pair // a % a ** (k - 1)], pair % a]] if k else 8.0
+            direct = -np.log2(np.where(hits > 0, hits, 1.0) / whole[row])
+            self.cost.append(np.where(hits > 0, direct, escape[row] + short).astype(np.float32))
+            self.escape.append(escape.astype(np.float32))
+            self.rows.append(np.full(a**k, -1, dtype=np.int32))
+            self.rows[k][context] = np.arange(len(context))
+            self.pairs.append(np.full((len(context), a), -1, dtype=np.int32))
+            self.pairs[k][row, pair % a] = np.arange(len(pair))
+
+    def _bits(self, code: np.ndarray, sym: np.ndarray) -> np.ndarray:
+        """(bytes, languages): bits of every byte after its context."""
+        bits = np.zeros((len(sym), len(self.langs)), dtype=np.float32)
+        left = np.arange(len(sym))
+        for k in range(self.order, -1, -1):
+            row = self.rows[k][code[left] % self.width**k]
+            seen = row >= 0
+            pair = np.full(len(left), -1, dtype=np.int32)
+            pair[seen] = self.pairs[k][row[seen], sym[left[seen]]]
+            hit = pair >= 0
+            bits[left[hit]] += self.cost[k][pair[hit]]
+            out = seen & ~hit
+            bits[left[out]] += self.escape[k][row[out]]
+            left = left[~hit]
+        bits[left] += 8.0
+        return bits
 
     def code_lengths(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
-        """(rows, languages): bits of each whole text."""
-        rows, count = len(offs) - 1, len(self.langs)
-        out = np.zeros((rows, count))
+        """(rows, languages): bits of each whole text, ``CELLS`` (byte, language) cells at a time."""
+        out = np.zeros((len(offs) - 1, len(self.langs)))
         if not len(data):
             return out
         sym = self.symbol[data].astype(np.int64)
@@ -141,18 +157,24 @@ class ContextTrees:
             back[j:] = sym[: len(data) - j] if j < len(data) else pad
             back[place < j] = pad
             code = code * self.width + back
-        bits = self.cost[self.context[code].astype(np.int64) * self.width + sym]
-        full = np.flatnonzero(np.diff(offs))
-        out[full] = np.add.reduceat(bits, offs[:-1][full], axis=0, dtype=np.float64)
+        step = max(1, CELLS // max(1, len(self.langs)))
+        for at in range(0, len(data), step):
+            bits = self._bits(code[at : at + step], sym[at : at + step])
+            cuts = np.clip(offs - at, 0, len(bits))
+            some = np.flatnonzero(np.diff(cuts))
+            out[some] += np.add.reduceat(bits, cuts[:-1][some], axis=0, dtype=np.float64)
         return out
 
 
 def train(rows: DataFrame, rows_per_lang: int = ROWS_PER_LANG, order: int = ORDER) -> ContextTrees:
     """Fit on the bounded sample; what reaches the driver is its n-gram counts."""
-    got = ngram_counts(sample_rows(rows, rows_per_lang), order).toPandas()
-    langs = sorted(got["lang"].unique())
-    lang = np.searchsorted(np.array(langs, dtype=object), got["lang"].to_numpy(dtype=object)) if langs else np.zeros(0, int)
-    return ContextTrees(langs, lang, got["gram"].to_numpy(dtype=np.int64), got["n"].to_numpy(dtype=float), order)
+    got = ngram_counts(sample_rows(rows, rows_per_lang), order).toArrow().combine_chunks()
+    label = got.column("lang").combine_chunks().dictionary_encode()
+    label = label.combine_chunks() if isinstance(label, pa.ChunkedArray) else label
+    names = label.dictionary.to_pylist()
+    langs = sorted(names)
+    lang = np.array([langs.index(x) for x in names], dtype=np.int64)[label.indices.to_numpy()] if langs else np.zeros(0, np.int64)
+    return ContextTrees(langs, lang, got.column("gram").to_numpy(), got.column("n").to_numpy().astype(float), order)
 
 
 def identify(df: DataFrame, trees: ContextTrees, text: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -47,6 +47,28 @@ def test_code_lengths_equal_the_definition(spark):
     assert np.allclose(bits, want, rtol=1e-5)
 
 
+def test_lengths_do_not_depend_on_slices(monkeypatch):
+    """A long text scored in many slices: sums of the slices, also across texts."""
+    import quarry.llm.language_ppm as ppm
+
+    gram = np.array([(b << 8 | c) & 0xFFFFFFFF for b, c in zip(b"abcabcab", b"bcabcabx")])
+    trees = ContextTrees(["x", "y"], np.array([0, 1] * 4), gram, np.ones(8), order=1)
+    texts = ["abcab" * 50, "", "x", "zz abc"]
+    whole = [trees.code_lengths(data, offs) for _, data, offs in text_chunks(pa.array(texts))]
+    monkeypatch.setattr(ppm, "CELLS", 6)
+    for a, (_, data, offs) in zip(whole, text_chunks(pa.array(texts))):
+        assert np.allclose(a, trees.code_lengths(data, offs))
+
+
+def test_many_labels_stay_small():
+    """Size follows the seen pairs: 32 labels of one text take little more than 32 cost columns."""
+    rng = np.random.default_rng(0)
+    gram = rng.integers(97, 123, 20_000) | rng.integers(97, 123, 20_000) << 8 | rng.integers(97, 123, 20_000) << 16 | rng.integers(97, 123, 20_000) << 24
+    trees = ContextTrees([f"l{i:02}" for i in range(32)], rng.integers(0, 32, 20_000), gram, np.ones(20_000))
+    size = sum(x.nbytes for part in (trees.rows, trees.pairs, trees.escape, trees.cost) for x in part)
+    assert size < 20 << 20
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(SMALL.replace("0.001", "0.01") + "/documents.parquet")
     held = in_fold(F.col("doc_id"), 4, 2)
