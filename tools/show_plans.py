@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from quarry.plans import scenarios  # noqa: E402
 from quarry.session import get_session  # noqa: E402
 
-DEFAULT = ["prepare_books", "knn_filtered", "bm25_topk", "hybrid_rrf", "compare_overlap", "collection_typed_filter"]
+DEFAULT = ["prepare_books", "knn_all", "bm25_topk", "hybrid_rrf", "fulltext_get", "compare_overlap", "collection_clustered_filter", "bm25_indexed"]
 
 
 def main() -> None:
