@@ -12,6 +12,13 @@ encoded together on flat symbol arrays:
   right away, so the outcome is that of one-by-one merging;
 * symbols are compacted, finished words leave, until no word has a pair.
 
+Words are first cut between characters that no piece holds side by side.  In what
+is still longer than ``LONG_WORD`` symbols the segments of a round are windows: a pair joins when no
+better one starts within ``reach`` symbols of it.  A joined symbol grows over at most the
+longest piece, and ``reach`` is over twice that, so nothing that one-by-one merging
+does earlier touches the pair or what it grows into, and the outcome is the same; a
+long word takes rounds by its pieces, not by its length (``_join_windows``).
+
 Pieces made of space signs alone share one score, the lowest; they are built
 last, run by run (:meth:`PieceModel.space_run`).  Characters outside the
 vocabulary become byte pieces.  Decoding gathers piece bytes by id.
@@ -36,6 +43,8 @@ from quarry.llm.shared import revived, table
 
 SPACE = "▁"
 NO_RANK = np.int64(1 << 40)
+#: Words (between characters that pieces join) of more symbols are merged by windows.
+LONG_WORD = 256
 #: Encoded words kept per task; the memory bound of the cache, not of the result.
 CACHE_WORDS = 250_000
 
@@ -57,6 +66,17 @@ def _hash_levels(keys: np.ndarray, ranks: np.ndarray, bits: int = 18) -> list[tu
     return levels
 
 
+def _window_min(values: np.ndarray, reach: int) -> np.ndarray:
+    """Minimum over the ``reach`` places on either side of each place, by doubling."""
+    out = np.pad(values, reach, constant_values=NO_RANK)
+    width, done = 2 * reach + 1, 1
+    while done < width:
+        step = min(done, width - done)
+        out = np.minimum(out[:-step], out[step:])
+        done += step
+    return out
+
+
 class PieceModel:
     """Vocabulary arrays of a SentencePiece BPE model with byte fallback and identity normalisation."""
 
@@ -99,6 +119,10 @@ class PieceModel:
         for i, r in rank.items():
             self.unsafe[r] = follow[i] <= r
             self.piece_of_rank[r] = i
+        self.reach = 2 * max(map(len, pieces)) + 2
+        # neighbours within a piece, as symbols of single characters; no merge crosses any others
+        codes = sorted({self.char_id[p[k]] * self.width + self.char_id[p[k + 1]] for p in inner for k in range(len(p) - 1)})
+        self.bonds = np.array(codes, dtype=np.int64)
         self.splits_lines = not any("\n" in p and len(p) > 1 for p in normal)
         self.words = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+" if self.splits_lines else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
         # decoding
@@ -149,13 +173,68 @@ class PieceModel:
             return out
         key = np.where((word[1:] == word[:-1]) & (sym[:-1] >= 0) & (sym[1:] >= 0), sym[:-1] * self.width + sym[1:], -1)
         at = np.flatnonzero(key >= 0)
-        key = key[at]
+        out[at] = self._rank_of(key[at])
+        return out
+
+    def _rank_of(self, key: np.ndarray) -> np.ndarray:
+        out = np.full(len(key), NO_RANK)
         for mult, shift, keys, ranks in self.levels:
             slot = (key.view(np.uint64) * mult) >> shift
             hit = np.flatnonzero(keys[slot] == key)
-            out[at[hit]] = ranks[slot[hit]]
+            out[hit] = ranks[slot[hit]]
         return out
 
+    def _grows(self, sym: np.ndarray, pos: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """Whether the pieces joined at ``pos`` have a better pair with a neighbour, or with their own kind."""
+        made = self.piece_of_rank[rank]
+        padded = np.r_[-1, sym, -1]
+        grows = self._rank_of(made * self.width + made) <= rank
+        for a, b in ((padded[pos], made), (made, padded[pos + 3])):
+            grows |= (a >= 0) & (b >= 0) & (self._rank_of(np.maximum(a, 0) * self.width + np.maximum(b, 0)) <= rank)
+        return grows
+
+    def _cut(self, sym: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(segment of each symbol, word of each segment): words cut where no piece holds both neighbours."""
+        if not len(sym):
+            return sym, word
+        key = np.where((sym[:-1] >= 0) & (sym[1:] >= 0), sym[:-1] * self.width + sym[1:], -1)
+        at = np.minimum(np.searchsorted(self.bonds, key), len(self.bonds) - 1)
+        cut = np.r_[True, (word[1:] != word[:-1]) | (self.bonds[at] != key)]
+        return np.cumsum(cut) - 1, word[cut]
+
+    def _join_windows(self, sym: np.ndarray) -> np.ndarray:
+        """Merges one long word: all pairs that are the best within ``reach`` symbols on either side join at once."""
+        one_word = np.zeros(len(sym), dtype=np.int8)
+        while True:
+            rank = self._pairs(sym, one_word[: len(sym)])
+            best = _window_min(rank, self.reach)
+            if len(best) == 0 or rank.min() >= NO_RANK:
+                return sym
+            place = np.arange(len(rank))
+            ready = (rank == best) & (rank < NO_RANK)
+            # equal pairs side by side overlap: every second one, from the first, once that one is ready
+            first = np.r_[True, rank[1:] != rank[:-1]]
+            start = np.maximum.accumulate(np.where(first, place, 0))
+            ready &= ready[start] & ((place - start) % 2 == 0)
+            # an equal pair within reach on the left may grow into a better one first: wait for it
+            risky = ready & self.unsafe[np.where(ready, rank, 0)]
+            if risky.any():
+                grows = rank < NO_RANK
+                grows[ready | (np.r_[False, ready[:-1]] & ~first)] = False  # the second of an overlap goes with the first
+                grows[risky] = self._grows(sym, np.flatnonzero(risky), rank[risky])
+                order = np.argsort(rank, kind="stable")
+                before = np.r_[-1, np.maximum.accumulate(np.where(grows[order], place, -1))[:-1]]
+                left = order[np.maximum(before, 0)]
+                waits = np.zeros(len(rank), dtype=bool)
+                waits[order] = (before >= 0) & (rank[left] == rank[order]) & (order - left <= self.reach)
+                ready &= ~(risky & waits)
+            pos = np.flatnonzero(ready)
+            sym = sym.copy()
+            sym[pos] = self.piece_of_rank[rank[pos]]
+            stay = np.ones(len(sym), dtype=bool)
+            stay[pos + 1] = False
+            sym = sym[stay]
+
     def encode_words(self, words: list[str]) -> list[np.ndarray]:
         """Ids of each word."""
         done_sym, done_word = [], []
@@ -165,6 +244,16 @@ class PieceModel:
         codes = np.array([self.char_id.get(chr(c), -1 - int(c)) for c in kinds], dtype=np.int64)
         sym = codes[inv] if len(cps) else cps
         word = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        segment, owner = self._cut(sym, word)
+        if len(sym):
+            sizes = np.bincount(segment)
+            for long in np.flatnonzero(sizes > LONG_WORD):
+                at = segment == long
+                joined = self._join_windows(sym[at])
+                done_sym.append(joined)
+                done_word.append(np.full(len(joined), long))
+            rest = sizes[segment] <= LONG_WORD
+            sym, word = sym[rest], segment[rest]
         while len(sym):
             rank = self._pairs(sym, word)
             start = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
@@ -196,7 +285,7 @@ class PieceModel:
             sym, word = sym[stay], word[stay]
         sym, word = np.concatenate([*done_sym, np.zeros(0, np.int64)]), np.concatenate([*done_word, np.zeros(0, np.int64)])
         order = np.argsort(word, kind="stable")
-        sym, word = sym[order], word[order]
+        sym, word = sym[order], owner[word[order]]
         bounds = np.searchsorted(word, np.arange(len(words) + 1))
         odd = np.zeros(len(words), dtype=bool)
         one = self.run_id[1]

@@ -40,6 +40,22 @@ def test_long_texts(model, library):
     same(model, library, ["x" * 5000, "word " * 40_000, "\n" * 3000, "漢" * 3000])
 
 
+def test_long_words_without_spaces(model, library, monkeypatch):
+    r = random.Random(11)
+    prose_run = "".join(r.choice(["the", "there", "nation", "in", "ing", "string", "able", "reason", "ation", "al", "on", "s"]) for _ in range(4000))
+    texts = [
+        "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100_000)),
+        "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(100_000)),
+        "".join(r.choice("ACGT") for _ in range(20_000)),
+        "".join(r.choice("etaoins") for _ in range(20_000)),
+        prose_run, "x" * 5001, "=" * 4097, "ab" * 3000, "the" * 20_001, "there" * 3000 + "he" * 999, "ing" * 5001, "aaab" * 900, "e" * 999 + "re" * 500, "-" * 300 + "." * 300 + "漢é😀" * 300,
+    ]
+    same(model, library, texts)
+    # windows decide from the shortest words on
+    monkeypatch.setattr("quarry.llm.sentencepiece_bpe.LONG_WORD", 1)
+    same(model, library, ["".join(r.choice("etaoinsrh  ") for _ in range(r.randint(1, 400))) for _ in range(300)] + ["a" * k for k in range(1, 60)])
+
+
 def test_decoding_of_any_ids(model, library):
     r = random.Random(3)
     for _ in range(300):
