@@ -12,8 +12,8 @@ encoded together on flat symbol arrays:
   right away, so the outcome is that of one-by-one merging;
 * symbols are compacted, finished words leave, until no word has a pair.
 
-Words are first cut between characters that no piece holds side by side.  In what
-is still longer than ``LONG_WORD`` symbols the segments of a round are windows: a pair joins when no
+If a word has more than ``LONG_WORD`` symbols, words are first cut between characters that
+no piece holds side by side.  In what is still longer, the segments of a round are windows: a pair joins when no
 better one starts within ``reach`` symbols of it.  A joined symbol grows over at most the
 longest piece, and ``reach`` is over twice that, so nothing that one-by-one merging
 does earlier touches the pair or what it grows into, and the outcome is the same; a
@@ -244,8 +244,9 @@ class PieceModel:
         codes = np.array([self.char_id.get(chr(c), -1 - int(c)) for c in kinds], dtype=np.int64)
         sym = codes[inv] if len(cps) else cps
         word = np.repeat(np.arange(len(words)), [len(w) for w in words])
-        segment, owner = self._cut(sym, word)
-        if len(sym):
+        owner = np.arange(len(words))
+        if max(map(len, words), default=0) > LONG_WORD:
+            segment, owner = self._cut(sym, word)
             sizes = np.bincount(segment)
             for long in np.flatnonzero(sizes > LONG_WORD):
                 at = segment == long
