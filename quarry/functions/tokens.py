@@ -20,13 +20,16 @@ from pyspark.sql import functions as F
 # Token patterns (Java regex; the only RE2 difference is the
 # Han script name, ``\\p{IsHan}`` here and ``\\p{Han}`` in RE2).
 BASIC_TOKEN = "[\\p{L}\\p{N}]+"
-_WORD = "[^\\p{IsHan}\\P{L}]"  # a letter that is not Han
-EMAIL = "(?:" + _WORD + "|[\\p{N}._%+-])+@(?:" + _WORD + "|[\\p{N}-])+(?:\\.(?:" + _WORD + "|[\\p{N}-])+)+"
+_WORD = "[a-z][^\\P{L}\\p{IsHan}]"  # inside a class: a letter that is not Han, the cheap tests first
+# runs are one class each and possessive where what must follow is not in the class: nothing is tried
+# twice, and a long run needs no stack
+_LABEL = "[[0-9]" + _WORD + "\\p{N}-]++"
+EMAIL = "[[0-9]" + _WORD + "\\p{N}._%+-]++@" + _LABEL + "(?:\\." + _LABEL + ")+"
 IPV4 = "(?:\\d{1,3}\\.){3}\\d{1,3}"
-HOST = "(?:(?:" + _WORD + "|[\\p{N}-])+\\.)+" + _WORD + "{2,}"
+HOST = "(?:" + _LABEL + "\\.)+[" + _WORD + "]{2,}"
 HAN_RUN = "\\p{IsHan}+"
-NON_HAN_RUN = "(?:[^\\p{IsHan}\\P{L}]|\\p{N})+"
-SMART_TOKEN = "|".join([EMAIL, IPV4, HOST, HAN_RUN, NON_HAN_RUN])
+NON_HAN_RUN = "[[0-9]" + _WORD + "\\p{N}]++"
+SMART_TOKEN = "|".join([EMAIL, IPV4, HOST, NON_HAN_RUN, HAN_RUN])
 
 MODES = ("basic", "smart", "max_word")
 
@@ -57,9 +60,9 @@ def max_word_tokens(c: Column | str) -> Column:
     smart = smart_tokens(c)
 
     def parts(tok: Column) -> Column:
-        is_han = tok.rlike("^" + HAN_RUN + "$")
-        # only e-mail / IPv4 / host tokens carry separators and can split further
-        pieces = F.when(tok.rlike("[._%+@-]"), F.regexp_extract_all(tok, F.lit(NON_HAN_RUN), 0))
+        is_han = (F.ascii(tok) > 127) & tok.rlike("^" + HAN_RUN + "$")
+        # only e-mail / IPv4 / host tokens, all of which hold a dot, carry separators and can split further
+        pieces = F.when(F.contains(tok, F.lit(".")), F.regexp_extract_all(tok, F.lit(NON_HAN_RUN), 0))
         finer = F.when(F.size(pieces) > 1, pieces).otherwise(F.array().cast("array<string>"))
         return F.when(is_han, _han_bigrams(tok)).otherwise(F.concat(F.array(tok), finer))
 

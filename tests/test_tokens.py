@@ -34,3 +34,9 @@ def test_max_word_bigrams_and_parts(spark):
     got = toks(spark, "mail xx@ob.com", "max_word")
     assert got == ["mail", "xx@ob.com", "xx", "ob", "com"]
     assert toks(spark, "书", "max_word") == ["书"]
+
+
+def test_long_runs_are_single_tokens(spark):
+    rows = [("x" * 30_000,), ("ü9" * 20_000 + " a@b.cd",), ("中" * 5 + "é" * 20_000,)]
+    df = spark.createDataFrame(rows, "t string")
+    assert [r.n for r in df.select(F.size(tokenize("t", "smart")).alias("n")).collect()] == [1, 2, 2]
