@@ -11,6 +11,7 @@ engines.  The value reported is rounded to 6 decimals.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -96,7 +97,7 @@ def np_distances(q: np.ndarray, m: np.ndarray, metric: str) -> np.ndarray:
     if metric == "l2":
         # by differences (the expanded form cancels for close or large vectors), some queries at a time
         out = np.empty((len(q), len(m)))
-        step = max(1, 4_000_000 // max(1, m.size))
+        step = max(1, 1_000_000 // max(1, m.size))
         for i in range(0, len(q), step):
             diff = q[i : i + step, None, :] - m[None, :, :]
             out[i : i + step] = np.sqrt(np.einsum("qnd,qnd->qn", diff, diff))
@@ -120,14 +121,24 @@ def token_buckets(tokens: Column, dim: int) -> Column:
     )
 
 
+@functools.lru_cache(maxsize=1 << 17)
 def _md5_bucket(term: str, dim: int) -> int:
     """Bucket of one term: first 32 bits of its MD5 (hex), modulo ``dim`` — as ``token_buckets``."""
     return int(hashlib.md5(term.encode("utf-8")).hexdigest()[:8], 16) % dim
 
 
+#: Rows embedded at once inside a task.
+EMBED_ROWS = 2048
+
+
 def _hashed_tf_udf(dim: int):
     @F.arrow_udf(T.ArrayType(T.FloatType()))
     def hashed_tf(tokens: pa.Array) -> pa.Array:
+        # some rows at a time: what a task holds beside its batch does not grow with the batch
+        parts = [vectors_of(tokens.slice(at, EMBED_ROWS)) for at in range(0, len(tokens), EMBED_ROWS)]
+        return pa.concat_arrays(parts) if parts else vectors_of(tokens)
+
+    def vectors_of(tokens: pa.Array) -> pa.Array:
         n = len(tokens)
         lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         counts = np.zeros((n, dim))
