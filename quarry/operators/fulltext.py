@@ -47,12 +47,19 @@ MAX_VOCAB_PER_PASS = 50_000
 MAX_TERMS_PER_PASS = 200_000
 # Terms whose document frequencies are counted by one scan (more terms: more scans).
 MAX_STATS_VOCAB = 500_000
-# (document, query, term) matches held at once inside a task.
-MATCHES = 2_000_000
+# (document, query, term) matches held at once inside a task, and documents of a batch looked at together.
+MATCHES = 500_000
+DOC_ROWS = 512
 # Fixed value: resolution of BM25 ranking keys.
 SCORE_SCALE = 1e9
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, DOC_ROWS):
+            yield batch.slice(start, DOC_ROWS)
+
+
 def doc_tokens(docs: DataFrame, id_col: str = "id", text_col: str = "document", analyzer: str = "basic") -> DataFrame:
     """T1 — ``(id, tokens)``."""
     return docs.select(id_col, tokenize(F.col(text_col), analyzer).alias("tokens"))
@@ -73,20 +80,18 @@ def postings_of_tokens(toks: DataFrame, id_col: str = "id") -> DataFrame:
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rb in batches:
-            for start in range(0, rb.num_rows, 512):
-                part = rb.slice(start, 512)
-                tokens = part.column(1)
-                lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-                enc = pc.dictionary_encode(pc.list_flatten(tokens))
-                rows = pc.list_parent_indices(tokens).to_numpy(zero_copy_only=False).astype(np.int64)
-                nv = max(1, len(enc.dictionary))
-                pairs, tf = np.unique(rows * nv + enc.indices.to_numpy(zero_copy_only=False), return_counts=True)
-                row = pa.array(pairs // nv)
-                yield pa.RecordBatch.from_arrays(
-                    [enc.dictionary.take(pa.array(pairs % nv)), part.column(0).take(row), pa.array(lengths[pairs // nv]), pa.array(tf.astype(np.int64))],
-                    names=["term", id_col, "dl", "tf"],
-                )
+        for part in _slices(batches):
+            tokens = part.column(1)
+            lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            enc = pc.dictionary_encode(pc.list_flatten(tokens))
+            rows = pc.list_parent_indices(tokens).to_numpy(zero_copy_only=False).astype(np.int64)
+            nv = max(1, len(enc.dictionary))
+            pairs, tf = np.unique(rows * nv + enc.indices.to_numpy(zero_copy_only=False), return_counts=True)
+            row = pa.array(pairs // nv)
+            yield pa.RecordBatch.from_arrays(
+                [enc.dictionary.take(pa.array(pairs % nv)), part.column(0).take(row), pa.array(lengths[pairs // nv]), pa.array(tf.astype(np.int64))],
+                names=["term", id_col, "dl", "tf"],
+            )
 
     return toks.select(id_col, "tokens").mapInArrow(count, schema)
 
@@ -167,7 +172,7 @@ def _stats_kernel(bvocab):
         dfc = np.zeros(nv, dtype=np.int64)
         n_docs = 0
         total = 0
-        for rb in batches:
+        for rb in _slices(batches):
             rows, cols, lengths = _term_codes(rb.column(0), vocab)
             n_docs += rb.num_rows
             total += int(lengths.sum())
@@ -226,7 +231,8 @@ def query_sums(index: TermIndex, row: np.ndarray, term: np.ndarray, weight: np.n
     """(row, query, sum of weights) of all pairs that share a term, in blocks of whole rows.
 
     ``row`` (ascending), ``term``, ``weight``: each (document, term) once.  Only
-    pairs with a common term are ever formed, ``MATCHES`` of them at a time.
+    pairs with a common term are ever formed, ``MATCHES`` of them at a time.  Blocks with
+    many matches for their (row, query) cells are summed cell by cell, others are sorted first.
     """
     reach = index.start[term + 1] - index.start[term]
     done = np.cumsum(reach)
@@ -237,9 +243,17 @@ def query_sums(index: TermIndex, row: np.ndarray, term: np.ndarray, weight: np.n
         n = reach[at:end]
         inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
         query = index.query[np.repeat(index.start[term[at:end]], n) + inner]
-        pair = np.repeat(row[at:end], n) * index.n_queries + query
-        each, of = np.unique(pair, return_inverse=True)
-        yield each // index.n_queries, each % index.n_queries, np.bincount(of, weights=np.repeat(weight[at:end], n), minlength=len(each))
+        weights = np.repeat(weight[at:end], n)
+        cells = (int(row[end - 1]) - int(row[at]) + 1) * index.n_queries
+        pair = np.repeat(row[at:end] - row[at], n) * index.n_queries + query
+        if cells <= 8 * len(pair):
+            sums = np.bincount(pair, weights=weights, minlength=cells)
+            each = np.flatnonzero(np.bincount(pair, minlength=cells))
+            sums = sums[each]
+        else:
+            each, of = np.unique(pair, return_inverse=True)
+            sums = np.bincount(of, weights=weights, minlength=len(each))
+        yield each // index.n_queries + row[at], each % index.n_queries, sums
         at = end
 
 
@@ -278,7 +292,7 @@ def _bm25_kernel(bc, k: int, id_col: str, qid_col: str, kinds: list[pa.DataType]
         nv = len(vocab_list)
         index = TermIndex(qterm_idx, nv)
         best = RunningTopK(len(qids), k)
-        for rb in batches:
+        for rb in _slices(batches):
             rows, cols, lengths = _term_codes(rb.column(1), vocab)
             if len(rows):
                 pairs, tf = np.unique(rows * nv + cols, return_counts=True)
@@ -378,7 +392,7 @@ def _match_kernel(bc, id_col: str, qid_col: str, require_all: bool, qid_type: pa
         nv = len(vocab_list)
         index = TermIndex(qterm_idx, nv)
         need = np.array([len(t) for t in qterm_idx])
-        for rb in batches:
+        for rb in _slices(batches):
             rows, cols, _ = _term_codes(rb.column(1), vocab)
             pairs = np.unique(rows * nv + cols)
             for r, q, found in query_sums(index, pairs // nv, pairs % nv, np.ones(len(pairs))):

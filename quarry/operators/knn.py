@@ -47,7 +47,7 @@ from quarry.operators.topk import NO_KEY, RunningTopK, merge_top_k, top_k
 MAX_QUERY_BYTES = 64 * 1024 * 1024
 MAX_QUERIES_PER_PASS = 131_072
 # Cells of the (queries x corpus rows) distance block inside a task.
-DIST_CELLS = 8_000_000
+DIST_CELLS = 1_000_000
 # Queries and corpus rows that meet in one task of the block join.
 QUERY_BLOCK = 16_384
 CORPUS_BLOCK = 262_144
