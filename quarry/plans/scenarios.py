@@ -582,14 +582,16 @@ def stream_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint, a committed epoch is sent again, the appends are compacted; then BM25 top-10 from storage."""
     docs = inputs.text_collection(spark, sf_dir).select("id", "document", "lang")
     files, location, checkpoint = (shared_dir(spark, f"stream-collection-{n}") for n in ("files", "records", "checkpoint"))
-    docs.repartitionByRange(3, "id").write.parquet(files)
+    # three micro-batches whatever the size: the files of each are as many as the tasks that a shuffle has
+    per_batch = max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // 3))
+    docs.repartitionByRange(3 * per_batch, "id").write.parquet(files)
     coll.create_collection(spark, location, "streamed", id_type="bigint", recreate=True)
 
     def prepare(stream: DataFrame) -> DataFrame:
         return stream.select("id", "document", F.to_json(F.struct("lang")).alias("metadata"))
 
     def stream(**options) -> None:
-        ingest.ingest_collection(spark, files, "*.parquet", docs.schema, prepare, location, checkpoint, 1, clean=False, typed_fields={"lang": "string"}, **options)
+        ingest.ingest_collection(spark, files, "*.parquet", docs.schema, prepare, location, checkpoint, per_batch, clean=False, typed_fields={"lang": "string"}, **options)
 
     appended: list[str] = []
 

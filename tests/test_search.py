@@ -2,6 +2,8 @@
 
 import math
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from quarry.operators import fulltext as ft
@@ -98,3 +100,57 @@ def test_multi_pass_equals_single_pass(spark, monkeypatch):
     monkeypatch.setattr(knn_mod, "MAX_QUERIES_PER_PASS", 2)
     assert rows(ft.bm25_topk(docs, q, 4)) == one_text
     assert rows(knn(docs, q, 4)) == one_vec
+
+
+def test_matches_are_held_in_bounded_blocks():
+    import tracemalloc
+
+    import numpy as np
+    from quarry.operators import fulltext as ft
+
+    n_terms, n_rows = 50, 500
+    index = ft.TermIndex([np.arange(n_terms)] * 100, n_terms)
+    row, term = np.repeat(np.arange(n_rows), n_terms), np.tile(np.arange(n_terms), n_rows)
+    weight = np.random.default_rng(0).random(len(row))
+    tracemalloc.start()
+    seen, total = 0, 0.0
+    for r, q, s in ft.query_sums(index, row, term, weight):
+        seen += len(r)
+        total += s.sum()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == n_rows * 100 and abs(total - 100 * weight.sum()) < 1e-6
+    assert peak < 60e6
+
+
+def test_few_and_many_matches_give_the_same_sums():
+    import numpy as np
+    from quarry.operators import fulltext as ft
+
+    rng = np.random.default_rng(1)
+    for n_queries, per in ((3, 20), (4000, 2)):
+        asked = [np.unique(rng.integers(0, 300, per)) for _ in range(n_queries)]
+        pairs = np.unique(rng.integers(0, 40, 600) * 300 + rng.integers(0, 300, 600))
+        weight = rng.random(len(pairs))
+        want = {}
+        for p, w in zip(pairs.tolist(), weight):
+            for q, terms in enumerate(asked):
+                if p % 300 in terms:
+                    want[p // 300, q] = want.get((p // 300, q), 0.0) + w
+        got = {(int(a), int(b)): c for r, q, s in ft.query_sums(ft.TermIndex(asked, 300), pairs // 300, pairs % 300, weight) for a, b, c in zip(r, q, s)}
+        assert got == want
+
+
+def test_stream_files_follow_the_tasks(spark, monkeypatch):
+    from quarry.plans import scenarios
+
+    seen = {}
+
+    def look(spark, files, glob, schema, prepare, location, checkpoint, per_batch, **options):
+        seen.update(files=len(spark.read.parquet(files).inputFiles()), per_batch=per_batch)
+        raise RuntimeError("seen")
+
+    monkeypatch.setattr(scenarios.ingest, "ingest_collection", look)
+    with pytest.raises(RuntimeError, match="seen"):
+        scenarios.stream_search(spark, "/root/testdata/sf0.001")
+    assert seen["per_batch"] == 2 and seen["files"] > 3
