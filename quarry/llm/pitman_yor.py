@@ -1,15 +1,19 @@
 """Operator 4 — hierarchical Pitman-Yor language model with Chinese-restaurant seating.
 
-Model.  Words follow a context: the previous word.  Each of the ``FREQUENT``
-most frequent words is a context restaurant of its own; rarer previous words
-share ``ENDINGS`` restaurants by their last two bytes.  All context
-restaurants share one parent, the word restaurant, whose base gives every
+Model.  Words follow a context: the previous word, and every previous word is a
+restaurant of its own.  Those of the ``FREQUENT`` most frequent words have the word
+restaurant as parent; each rarer one has the restaurant of its last two bytes (one of
+``ENDINGS``) between itself and the word restaurant, whose base gives every
 known word the same mass and the class of unknown words the Good-Turing share
 ``eta``.  A restaurant with customers c and tables t predicts
 ``(c_w - d t_w) / (theta + c) + (theta + d t) / (theta + c) * parent(w)``.
 
+Rarer previous words lie in tables by home (a part of their hash), which the number of
+words does not bound.  They are seated once, before the sweeps, with the words' training
+shares as base; their tables are the customers of their ending's restaurant.
+
 Sampling.  Only table counts matter to predictions.  A sweep re-seats every
-(context, word) block given all others: customers sit down one by one (new
+(context, word) block of frequent words and endings given all others: customers sit down one by one (new
 table with weight ``(theta + d t) parent(w)``; large blocks in windows),
 ``PROPOSALS`` times, and a Metropolis test on the seating's normaliser draws
 the seating towards the block's conditional distribution.  The tables of all contexts are the customers of the word
@@ -18,12 +22,13 @@ against the totals of the sweep before.  After ``BURN_IN`` sweeps the
 predictions of ``SAMPLES`` sweeps are averaged.  The draws follow from the part
 and the sweep alone, so a repeated task seats alike and no seating is stored.
 
-On Spark.  (0) word counts; (1) counts of all (context, word) types, packed by
-word hash into parts of about ``PART_TOKENS`` tokens; each sweep is a pass over
-the types that sums tables per context (``FREQUENT + ENDINGS`` numbers) and per
-frequent word; (2) scoring: frequent words (where hot keys lie) are scored in
-the map by a table of FREQUENT x contexts numbers, rarer tokens travel to the
-part of their word, and partial sums return to the part of their document.  What is broadcast
+On Spark.  (0) word counts; (1) counts of all (previous word, word) pairs, those of rarer
+previous words dealt to their home and seated there; (2) types packed by word hash into parts of about
+``PART_TOKENS`` tokens, with the pairs below them; each sweep is a pass over the types that sums tables
+per context (``FREQUENT + ENDINGS`` numbers) and per frequent word; (3) scoring: frequent words after
+frequent words (where hot keys lie) are scored in the map by a table of FREQUENT x FREQUENT numbers,
+other tokens travel to the part of their word, pairs not seen in training on to the home of their previous
+word, and partial sums return to the part of their document.  What is broadcast
 or collected is bounded by the two parameters alone.
 
 Defined results: a null text is empty and scores its end token; rows without a
@@ -142,10 +147,12 @@ def word_counts(train: DataFrame) -> DataFrame:
     return written(train.select("text").mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")), "op4-words")
 
 
-TYPES = "part int, w array<bigint>, ctx array<smallint>, n array<bigint>"
+COUNTS = "slot int, u array<bigint>, ctx array<smallint>, w array<bigint>, n array<bigint>"
+DEALT = "part int, w array<bigint>, ctx array<smallint>, u array<bigint>, t array<bigint>, c array<int>, cu array<int>, tu array<int>"
+TYPES = "part int, w array<bigint>, ctx array<smallint>, n array<bigint>, at array<int>, u array<bigint>, c array<int>, t array<int>, cu array<int>, tu array<int>"
 
 
-def _packed(part: np.ndarray, columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch | None:
+def _packed(part: np.ndarray, columns: list[np.ndarray], names: list[str], by: str = "part") -> pa.RecordBatch | None:
     """One row per part with its elements of ``columns`` as lists."""
     if not len(part):
         return None
@@ -153,11 +160,35 @@ def _packed(part: np.ndarray, columns: list[np.ndarray], names: list[str]) -> pa
     part = part[order]
     first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
     cuts = pa.array(np.r_[first, len(part)].astype(np.int32))
-    return pa.RecordBatch.from_arrays([pa.array(part[first]), *[pa.ListArray.from_arrays(cuts, pa.array(c[order])) for c in columns]], names=["part", *names])
+    return pa.RecordBatch.from_arrays([pa.array(part[first]), *[pa.ListArray.from_arrays(cuts, pa.array(c[order])) for c in columns]], names=[by, *names])
+
+
+def home_of(key: np.ndarray, parts: int) -> np.ndarray:
+    """Part of a document's sums or of a rarer previous word's totals."""
+    return (mix(key.astype(np.uint64)) % np.uint64(parts)).astype(np.int32)
+
+
+def own_context(word: np.ndarray, ctx: np.ndarray) -> np.ndarray:
+    """The previous word of each token whose previous word is rarer (it has a restaurant of its own), else 0."""
+    u = np.empty_like(word)
+    u[1:], u[:1] = word[:-1], END
+    return np.where(ctx >= FREQUENT, u, np.uint64(0))
 
 
-def type_counts(train: DataFrame, frequent: Frequent, parts: int) -> DataFrame:
-    """Per part the sorted types (w, ctx) with training counts n, stored."""
+def _joined(group: pa.Table, names: tuple[str, ...]) -> list[np.ndarray]:
+    return [np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in group.column(k).chunks]) for k in names]
+
+
+def _record(part: int, schema: str, *columns: np.ndarray) -> pa.Table:
+    """One row with its elements as lists."""
+    names, kinds = zip(*[x.split() for x in schema.split(", ")])
+    as_arrow = {"array<bigint>": pa.int64(), "array<smallint>": pa.int16(), "array<int>": pa.int32()}
+    return pa.table([pa.array([part], pa.int32()), *[pa.array([c], pa.list_(as_arrow[k])) for c, k in zip(columns, kinds[1:])]], names=list(names))
+
+
+def pair_counts(train: DataFrame, frequent: Frequent, parts: int) -> DataFrame:
+    """Training counts of all (previous word, word) pairs, stored: by part of the word where the previous word is
+    frequent (slots below ``parts``, u = 0), else by home of the previous word u (``parts`` + home)."""
     known = frequent.sorted
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,15 +197,16 @@ def type_counts(train: DataFrame, frequent: Frequent, parts: int) -> DataFrame:
         size = 0
 
         def emit() -> pa.RecordBatch | None:
-            (w, ctx), n = merged([np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])], np.concatenate([x[2] for x in held]))
-            return _packed(part_of(w, words.number(w), ctx, parts), [w.view(np.int64), ctx.astype(np.int16), n], ["w", "ctx", "n"])
+            (u, ctx, w), n = merged([np.concatenate([x[i] for x in held]) for i in range(3)], np.concatenate([x[3] for x in held]))
+            slot = np.where(u == 0, part_of(w, words.number(w), ctx, parts), home_of(u, parts) + parts).astype(np.int32)
+            return _packed(slot, [u.view(np.int64), ctx.astype(np.int16), w.view(np.int64), n], ["u", "ctx", "w", "n"], "slot")
 
         for batch in batches:
             for _, data, offs in text_chunks(batch.column(0)):
                 w, klass, _ = tokens(data, offs)
                 ctx = words.contexts(words.number(w), klass, w)
-                (w, ctx), n = merged([w, ctx], np.ones(len(w), dtype=np.int64))
-                held.append((w, ctx, n))
+                (u, ctx, w), n = merged([own_context(w, ctx), ctx, w], np.ones(len(w), dtype=np.int64))
+                held.append((u, ctx, w, n))
                 size += len(w)
                 if size > HELD_MERGE:
                     yield emit()
@@ -183,12 +215,82 @@ def type_counts(train: DataFrame, frequent: Frequent, parts: int) -> DataFrame:
             yield emit()
 
     def join(group: pa.Table) -> pa.Table:
-        w, ctx, n = (np.concatenate([c.flatten().to_numpy() for c in group.column(k).chunks]) for k in ("w", "ctx", "n"))
-        (w, ctx), n = merged([w.view(np.uint64), ctx], n)
-        return pa.table({"part": group.column("part").slice(0, 1).cast(pa.int32()), "w": pa.array([w.view(np.int64)]), "ctx": pa.array([ctx], pa.list_(pa.int16())), "n": pa.array([n])})
+        u, ctx, w, n = _joined(group, ("u", "ctx", "w", "n"))
+        (u, ctx, w), n = merged([u.view(np.uint64), ctx, w.view(np.uint64)], n)
+        return _record(group.column("slot")[0].as_py(), COUNTS, u.view(np.int64), ctx, w.view(np.int64), n)
+
+    packed = train.select("text").mapInArrow(count, COUNTS)
+    return written(packed.groupBy("slot").applyInArrow(join, COUNTS), "op4-pairs")
+
+
+def seat_own(u: np.ndarray, w: np.ndarray, n: np.ndarray, known: np.ndarray, shares: np.ndarray, rare_share: float, d: float) -> tuple[np.ndarray, ...]:
+    """Tables of the pairs (u, w), sorted by u, and per previous word: first pair, customers, tables.
+
+    Each previous word's restaurant is seated once, in order, with the words' training shares as the
+    dishes' base (rarer words: their mean share).  The home and its pairs alone decide the draws.
+    """
+    first = np.flatnonzero(np.r_[True, u[1:] != u[:-1]])
+    size = np.diff(np.r_[first, len(u)])
+    number = Frequent(known).number(w)
+    base = np.where(number >= 0, shares[np.maximum(number, 0)] if len(shares) else 0.0, rare_share)
+    rng = np.random.default_rng([0, int(u[0]), len(u)])
+    t = np.rint(tables(n, (THETA_CONTEXT + d * np.repeat(size, size)) * base, d, rng)).astype(np.int64)
+    return t, first, np.add.reduceat(n, first), np.add.reduceat(t, first)
+
+
+def word_types(pairs: DataFrame, parts: int, own: tuple) -> DataFrame:
+    """Per part the sorted types (w, ctx) with customers n, and the pairs with a previous word of its own below each, stored.
+
+    The customers of a type whose context is a shared ending are the tables of its pairs (``at``: their type; u;
+    c customers, t tables; cu, tu: those of the whole restaurant of u).
+    """
+    known = own[0]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Frequent(known)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                slot = batch.column(0)[k].as_py()
+                u, ctx, w, n = (batch.column(i)[k].values.to_numpy() for i in range(1, 5))
+                if slot < parts:
+                    zero = np.zeros(len(u), dtype=np.int64)
+                    yield _record(slot, DEALT, w, ctx, u, n, zero, zero, zero).to_batches()[0]
+                    continue
+                t, first, cu, tu = seat_own(u.view(np.uint64), w.view(np.uint64), n, *own)
+                size = np.diff(np.r_[first, len(u)])
+                part = part_of(w.view(np.uint64), words.number(w.view(np.uint64)), ctx.astype(np.int64), parts)
+                yield _packed(part, [w, ctx, u, t, *(x.astype(np.int32) for x in (n, np.repeat(cu, size), np.repeat(tu, size)))], ["w", "ctx", "u", "t", "c", "cu", "tu"])
+
+    def join(group: pa.Table) -> pa.Table:
+        w, ctx, u, t, c, cu, tu = _joined(group, ("w", "ctx", "u", "t", "c", "cu", "tu"))
+        order = np.lexsort((u.view(np.uint64), ctx, w.view(np.uint64)))
+        w, ctx, u, t, c, cu, tu = (x[order] for x in (w, ctx, u, t, c, cu, tu))
+        first = np.flatnonzero(np.r_[True, (w[1:] != w[:-1]) | (ctx[1:] != ctx[:-1])])
+        at = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(w)]))
+        below = np.flatnonzero(u != 0)
+        return _record(group.column("part")[0].as_py(), TYPES, w[first], ctx[first], np.add.reduceat(t, first), at[below], *(x[below] for x in (u, c, t, cu, tu)))
 
-    packed = train.select("text").mapInArrow(count, TYPES)
-    return written(packed.groupBy("part").applyInArrow(join, TYPES), "op4-types")
+    return written(pairs.mapInArrow(deal, DEALT).groupBy("part").applyInArrow(join, TYPES), "op4-types")
+
+
+def own_totals(pairs: DataFrame, parts: int, own: tuple) -> DataFrame:
+    """Per home the rarer previous words u with their customers and tables."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                u, _, w, n = (batch.column(i)[k].values.to_numpy() for i in range(1, 5))
+                _, first, cu, tu = seat_own(u.view(np.uint64), w.view(np.uint64), n, *own)
+                yield _record(batch.column(0)[k].as_py() - parts, "part int, u array<bigint>, cu array<bigint>, tu array<bigint>", u[first], cu, tu).to_batches()[0]
+
+    return pairs.where(F.col("slot") >= parts).mapInArrow(run, "part int, u array<bigint>, cu array<bigint>, tu array<bigint>")
+
+
+def own_discount(pairs: DataFrame, parts: int) -> float:
+    """The discount of the previous words' own restaurants, from the pairs seen once and twice."""
+    seen = pairs.where(F.col("slot") >= parts).select(*[F.size(F.filter("n", lambda x, k=k: x == k)).alias(f"n{k}") for k in (1, 2)])
+    got = seen.agg(F.coalesce(F.sum("n1"), F.lit(0)).alias("n1"), F.coalesce(F.sum("n2"), F.lit(0)).alias("n2")).first()
+    return min(0.95, max(0.05, got.n1 / (got.n1 + 2 * got.n2))) if got.n1 + got.n2 else 0.5
 
 
 def _seated(c: np.ndarray, a: np.ndarray, d: float, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
@@ -314,7 +416,7 @@ def sweep(types: DataFrame, state: State) -> State:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "x"])
 
     total = np.zeros(width)
-    for r in types.mapInArrow(run, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).collect():  # at most ``width`` rows
+    for r in types.select("part", "w", "ctx", "n").mapInArrow(run, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).collect():  # at most ``width`` rows
         total[r.at] = r.x
     new = _state(vars(state))
     new.sweep = state.sweep + 1
@@ -338,7 +440,11 @@ def fit(train: DataFrame) -> tuple[DataFrame, list[State], dict]:
     frequent = Frequent(np.array([r.w for r in top], dtype=np.int64).view(np.uint64))
     total, vocabulary = int(got.n or 0), int(got.v)
     parts = max(1, math.ceil(total / PART_TOKENS))
-    types = type_counts(train, frequent, parts)
+    pairs = pair_counts(train, frequent, parts)
+    of_top = np.array([counts[int(h)] for h in frequent.sorted.view(np.int64)], dtype=np.int64)
+    rare_share = (total - int(of_top.sum())) / max(1, vocabulary - len(of_top)) / max(1, total)
+    own = (frequent.sorted, of_top / max(1, total), rare_share, own_discount(pairs, parts))
+    types = word_types(pairs, parts, own)
     flat = types.select(F.explode(F.arrays_zip("ctx", "n")).alias("x")).select("x.ctx", "x.n")
     per_ctx = flat.groupBy("ctx").agg(F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2"), F.count("*").alias("types")).collect()
     customers, kinds = np.zeros(CONTEXTS), np.zeros(CONTEXTS)
@@ -355,7 +461,7 @@ def fit(train: DataFrame) -> tuple[DataFrame, list[State], dict]:
     states = [state]
     for _ in range(BURN_IN + SAMPLES):
         states.append(sweep(types, states[-1]))
-    figures = {"train_tokens": total, "vocabulary": vocabulary, "counts": np.array([counts[int(h)] for h in frequent.sorted.view(np.int64)], dtype=np.int64), "parts": parts, "frequent": frequent.sorted}
+    figures = {"train_tokens": total, "vocabulary": vocabulary, "counts": of_top, "parts": parts, "frequent": frequent.sorted, "d_own": own[3], "own_totals": own_totals(pairs, parts, own)}
     return types, states, figures
 
 
@@ -382,23 +488,23 @@ def score(docs: DataFrame, types: DataFrame, states: list[State], figures: dict)
     frequent = figures["frequent"]
     shipped = spark.sparkContext.broadcast(pairs)
 
-    # frequent words: their share in every context, FREQUENT x CONTEXTS numbers
+    # frequent words after frequent words: FREQUENT x FREQUENT numbers
     def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Frequent(frequent)
         for batch in batches:
             for k in range(batch.num_rows):
                 w, ctx, n = (batch.column(i)[k].values.to_numpy() for i in (1, 2, 3))
                 number = words.number(w.view(np.uint64))
-                if (number >= 0).any():
+                if ((number >= 0) & (ctx < FREQUENT)).any():
                     own, _, _ = _predict(shipped.value, w.view(np.uint64), ctx, n)
-                    some = np.flatnonzero(number >= 0)
+                    some = np.flatnonzero((number >= 0) & (ctx < FREQUENT))
                     yield pa.RecordBatch.from_arrays([pa.array(number[some]), pa.array(ctx[some].astype(np.int64)), pa.array(own[some])], names=["number", "ctx", "own"])
 
-    got = types.mapInArrow(shares, "number long, ctx long, own double").toPandas()
-    dense = np.zeros((len(frequent), CONTEXTS))
+    got = types.select("part", "w", "ctx", "n").mapInArrow(shares, "number long, ctx long, own double").toPandas()
+    dense = np.zeros((len(frequent), FREQUENT))
     dense[got["number"], got["ctx"]] = got["own"]
     for k, (_, left) in enumerate(pairs):
-        dense += left["frequent_parent"][:, None] * back_off[k][None, :] / len(pairs)
+        dense += left["frequent_parent"][:, None] * back_off[k][None, :FREQUENT] / len(pairs)
     dense_bc = spark.sparkContext.broadcast((np.log10(np.maximum(dense, 1e-300)), np.log10((figures["counts"] + 1) * floor)))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -413,17 +519,17 @@ def score(docs: DataFrame, types: DataFrame, states: list[State], figures: dict)
                 known = number >= 0
                 count = len(offs) - 1
                 each = rows[at : at + count]
-                f = np.flatnonzero(known)
+                f, direct = np.flatnonzero(known), np.flatnonzero(known & (ctx < FREQUENT))
                 sums = [
                     np.bincount(row, minlength=count),
                     np.bincount(row[f], minlength=count),
                     np.bincount(row[f], weights=base[number[f]] if len(f) else None, minlength=count).astype(float),
-                    np.bincount(row[f], weights=logs[number[f], ctx[f]] if len(f) else None, minlength=count).astype(float),
+                    np.bincount(row[direct], weights=logs[number[direct], ctx[direct]] if len(direct) else None, minlength=count).astype(float),
                 ]
-                r = np.flatnonzero(~known)
+                r = np.flatnonzero(~known | (ctx >= FREQUENT))
                 part = part_of(w[r], number[r], ctx[r], parts)
-                tokens_of = _packed(part, [each[row[r]], w[r].view(np.int64), ctx[r].astype(np.int16)], ["row_id", "w", "ctx"])
-                home = (mix(each.astype(np.uint64)) % np.uint64(parts)).astype(np.int32)
+                tokens_of = _packed(part, [each[row[r]], w[r].view(np.int64), ctx[r].astype(np.int16), own_context(w, ctx)[r].view(np.int64)], ["row_id", "w", "ctx", "u"])
+                home = home_of(each, parts)
                 own_ids = np.asarray(ids.slice(at, count).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
                 known_ids = ids.slice(at, count).is_valid().to_numpy(zero_copy_only=False)
                 documents = _packed(home, [each, own_ids, known_ids, *[s.astype(np.int32) for s in sums[:2]], *sums[2:]], ["row_id", "doc_id", "has_id", "n_tokens", "n_known", "base", "score"])
@@ -432,10 +538,10 @@ def score(docs: DataFrame, types: DataFrame, states: list[State], figures: dict)
                         yield pa.RecordBatch.from_arrays([found.column(x) if x in found.schema.names else pa.nulls(found.num_rows, ROW_KINDS[x]) for x in ROW_KINDS], names=list(ROW_KINDS))
 
     ROW_KINDS = {
-        "part": pa.int32(), "row_id": pa.list_(pa.int64()), "w": pa.list_(pa.int64()), "ctx": pa.list_(pa.int16()), "doc_id": pa.list_(pa.int64()), "has_id": pa.list_(pa.bool_()),
+        "part": pa.int32(), "row_id": pa.list_(pa.int64()), "w": pa.list_(pa.int64()), "ctx": pa.list_(pa.int16()), "u": pa.list_(pa.int64()), "doc_id": pa.list_(pa.int64()), "has_id": pa.list_(pa.bool_()),
         "n_tokens": pa.list_(pa.int32()), "n_known": pa.list_(pa.int32()), "base": pa.list_(pa.float64()), "score": pa.list_(pa.float64()), "part_score": pa.list_(pa.float32()),
     }
-    spread_schema = "part int, row_id array<bigint>, w array<bigint>, ctx array<smallint>, doc_id array<bigint>, has_id array<boolean>, n_tokens array<int>, n_known array<int>, base array<double>, score array<double>, part_score array<float>"
+    spread_schema = "part int, row_id array<bigint>, w array<bigint>, ctx array<smallint>, u array<bigint>, doc_id array<bigint>, has_id array<boolean>, n_tokens array<int>, n_known array<int>, base array<double>, score array<double>, part_score array<float>"
 
     def flat(column: pa.ChunkedArray, dtype: type) -> np.ndarray:
         parts_of = [c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks if len(c)]
@@ -447,17 +553,34 @@ def score(docs: DataFrame, types: DataFrame, states: list[State], figures: dict)
         docs_of = found.filter(pc.is_null(found.column("w")))
         rows = found.filter(pc.is_valid(found.column("w")))
         row, w, ctx = flat(rows.column("row_id"), np.int64), flat(rows.column("w"), np.int64).view(np.uint64), flat(rows.column("ctx"), np.int64)
-        logp, basep, hit = _score_tokens(shipped.value, known, w, ctx, back_off, unknown, floor)
+        u = flat(rows.column("u"), np.int64).view(np.uint64)
+        logp, basep, hit, missed = _score_tokens(shipped.value, known, w, ctx, u, back_off, unknown, floor, figures_own)
         each, of = np.unique(row, return_inverse=True)
         # the sums go to the part of their document, packed like everything that travels
-        home = (mix(each.astype(np.uint64)) % np.uint64(parts)).astype(np.int32)
+        home = home_of(each, parts)
         sums = [np.bincount(of, weights=x, minlength=len(each)) for x in (hit, basep, logp)]
         packed = _packed(home, [each, sums[0].astype(np.int32), sums[1], sums[2].astype(np.float32)], ["row_id", "n_known", "base", "part_score"])
         out = [docs_of.select(list(SUM_KINDS)).cast(pa.schema(SUM_KINDS))]
-        if packed is not None:
-            out.append(pa.table({x: packed.column(x) if x in packed.schema.names else pa.nulls(packed.num_rows, kind) for x, kind in SUM_KINDS.items()}))
+        # pairs not seen in training: what the previous word passes on to its ending is known at its home
+        m = np.flatnonzero(missed)
+        for found_here in (packed, _packed(home_of(u[m], parts), [row[m], u[m].view(np.int64)], ["row_id", "u"])):
+            if found_here is not None:
+                out.append(pa.table({x: found_here.column(x) if x in found_here.schema.names else pa.nulls(found_here.num_rows, kind) for x, kind in SUM_KINDS.items()}))
         return pa.concat_tables(out)
 
+    def pass_on(asked: pa.Table, known: pa.Table) -> pa.Table:
+        row, u = flat(asked.column("row_id"), np.int64), flat(asked.column("u"), np.int64).view(np.uint64)
+        gain = np.zeros(len(u))
+        if known.num_rows and len(u):
+            ku, cu, tu = flat(known.column("u"), np.int64).view(np.uint64), flat(known.column("cu"), float), flat(known.column("tu"), float)
+            at = np.minimum(np.searchsorted(ku, u), len(ku) - 1)
+            gain = np.where(ku[at] == u, np.log10((THETA_CONTEXT + figures_own[0] * tu[at]) / (THETA_CONTEXT + cu[at])), 0.0)
+        each, of = np.unique(row, return_inverse=True)
+        none = np.zeros(len(each))
+        packed = _packed(home_of(each, parts), [each, none.astype(np.int32), none, np.bincount(of, weights=gain, minlength=len(each)).astype(np.float32)], ["row_id", "n_known", "base", "part_score"])
+        rows = 0 if packed is None else packed.num_rows
+        return pa.table({x: packed.column(x) if rows and x in packed.schema.names else pa.nulls(rows, kind) for x, kind in SUM_KINDS.items()})
+
     def total(group: pa.Table) -> pa.Table:
         import pyarrow.compute as pc
 
@@ -473,34 +596,60 @@ def score(docs: DataFrame, types: DataFrame, states: list[State], figures: dict)
         return pa.table([pa.array(c) for c in columns], names=["row_id", "doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     SUM_KINDS = {x: kind for x, kind in ROW_KINDS.items() if x not in ("w", "ctx")}
+    figures_own = (figures["d_own"], frequent)
     rows = docs.select("text", F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("long").alias("doc_id"))
     moved = rows.mapInArrow(spread, spread_schema).groupBy("part").cogroup(types.groupBy("part"))
-    partial = moved.applyInArrow(look_up, "part int, row_id array<bigint>, doc_id array<bigint>, has_id array<boolean>, n_tokens array<int>, n_known array<int>, base array<double>, score array<double>, part_score array<float>")
-    return partial.groupBy("part").applyInArrow(total, "row_id long, doc_id long, n_tokens long, n_known long, base_score double, score double")
+    sum_schema = "part int, row_id array<bigint>, u array<bigint>, doc_id array<bigint>, has_id array<boolean>, n_tokens array<int>, n_known array<int>, base array<double>, score array<double>, part_score array<float>"
+    partial = written(moved.applyInArrow(look_up, sum_schema), "op4-sums")
+    passed = partial.where("u is not null").groupBy("part").cogroup(figures["own_totals"].groupBy("part")).applyInArrow(pass_on, sum_schema)
+    return partial.where("u is null").unionByName(passed).groupBy("part").applyInArrow(total, "row_id long, doc_id long, n_tokens long, n_known long, base_score double, score double")
+
 
+def _score_tokens(
+    pairs: list, known: pa.Table, w: np.ndarray, ctx: np.ndarray, u: np.ndarray, back_off: np.ndarray, unknown: np.ndarray, floor: float, own_level: tuple
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(log10 model probability, log10 base probability, rarer word is known, pair with a rarer previous word is not) of tokens, given the types of their part.
 
-def _score_tokens(pairs: list, known: pa.Table, w: np.ndarray, ctx: np.ndarray, back_off: np.ndarray, unknown: np.ndarray, floor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(log10 model probability, log10 base probability, word is known) of rarer tokens, given the types of their part."""
-    p = (back_off[:, ctx] * unknown[:, None]).mean(axis=0)
-    base = np.full(len(w), floor)
+    Frequent words (after rarer ones) count nothing in the second and third: their base is summed in the map.
+    """
+    d_own, frequent = own_level
+    number = Frequent(frequent).number(w)
+    above = np.repeat(unknown[:, None], len(w), axis=1)  # the word restaurant's prediction, per sample
+    for k, (_, left) in enumerate(pairs):
+        if (number >= 0).any():
+            above[k] = np.where(number >= 0, left["frequent_parent"][np.maximum(number, 0)], above[k])
+    p = (back_off[:, ctx] * above).mean(axis=0)
+    base = np.where(number >= 0, 1.0, floor)
     hit = np.zeros(len(w), dtype=bool)
+    missed = u != 0
     if known.num_rows and len(w):
         tw, tc, n = (np.concatenate([c.flatten().to_numpy() for c in known.column(k).chunks]) for k in ("w", "ctx", "n"))
         tw = tw.view(np.uint64)
         own, parents, first = _predict(pairs, tw, tc, n)
         word = tw[first]
-        total = np.add.reduceat(n, first)
+        below, ku, kc, kt, cu, tu = (np.concatenate([c.flatten().to_numpy() for c in known.column(k).chunks]) for k in ("at", "u", "c", "t", "cu", "tu"))
+        total = np.add.reduceat(np.where(tc < FREQUENT, n, 0) + np.bincount(below, weights=kc, minlength=len(tw)), first)
         at = np.minimum(np.searchsorted(word, w), len(word) - 1)
-        hit = word[at] == w
+        here = word[at] == w
+        hit = here & (number < 0)
         base = np.where(hit, (total[at] + 1) * floor, base)
         p = np.where(hit, (back_off[:, ctx] * parents[:, at]).mean(axis=0), p)
         # the token's own type: contexts of a word are sorted behind its first type
         code = at * CONTEXTS + ctx
         type_code = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(tw)])) * CONTEXTS + tc
         spot = np.minimum(np.searchsorted(type_code, code), len(type_code) - 1)
-        mine = hit & (type_code[spot] == code)
+        mine = here & (type_code[spot] == code)
         p = p + np.where(mine, own[spot], 0.0)
-    return np.log10(np.maximum(p, 1e-300)), np.log10(base), hit
+        # the pair itself, below its type
+        if len(ku):
+            key = mix(ku.view(np.uint64) + (below.astype(np.uint64) + np.uint64(1)) * STEP)
+            order = np.argsort(key)
+            place = order[np.minimum(np.searchsorted(key[order], mix(u + (spot.astype(np.uint64) + np.uint64(1)) * STEP)), len(key) - 1)]
+            pair = mine & (u != 0) & (ku.view(np.uint64)[place] == u) & (below[place] == spot)
+            with_own = (np.maximum(kc - d_own * kt, 0.0)[place] + (THETA_CONTEXT + d_own * tu[place]) * p) / (THETA_CONTEXT + cu[place])
+            p = np.where(pair, with_own, p)
+            missed = missed & ~pair
+    return np.log10(np.maximum(p, 1e-300)), np.log10(base), hit, missed
 
 
 def op4_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:

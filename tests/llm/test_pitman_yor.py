@@ -91,3 +91,34 @@ def test_edges(spark, tmp_path):
     assert all(r.score < 0 and r.base_score < 0 for r in got)
     spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/none/documents.parquet")
     assert py.op4_pitman_yor(spark, f"{tmp_path}/none").collect() == []
+
+
+def test_rarer_previous_words_have_restaurants_of_their_own(spark):
+    # "mab" and "nab" are no frequent words and share their last two bytes
+    rows = [f"f{i} f{i} f{i} f{i} f{i}" for i in range(1100)] + ["mab zone", "nab ztwo"] * 4
+    train = spark.createDataFrame([(i, x) for i, x in enumerate(rows)], "doc_id long, text string")
+    asked = ["mab zone", "mab ztwo", "nab ztwo", "nab zone", "mab never", "new zone"]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(asked)], "doc_id long, text string")
+    types, states, figures = py.fit(train)
+    got = {asked[r.doc_id]: r for r in py.score(docs, types, states, figures).collect()}
+    assert got["mab zone"].score > got["mab ztwo"].score + 0.3 and got["nab ztwo"].score > got["nab zone"].score + 0.3
+    assert [got[x].n_known for x in asked] == [3, 3, 3, 3, 2, 2] and all(r.score < 0 for r in got.values())
+
+
+def test_pairs_of_a_previous_word_share_its_mass(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.2, 60) % 5000) for _ in range(300)]
+    train = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id long, text string")
+    types, _, figures = py.fit(train)
+    tables_of, customers_of, whole = Counter(), Counter(), {}
+    for r in types.collect():
+        assert len(r.at) == sum(1 for x in r.u if x) and all(r.ctx[a] >= py.FREQUENT for a in r.at)
+        below = np.bincount(r.at, weights=r.t, minlength=len(r.n)) if len(r.at) else np.zeros(len(r.n))
+        assert all(n == b for n, b, c in zip(r.n, below, r.ctx) if c >= py.FREQUENT)
+        for u, c, t, cu, tu in zip(r.u, r.c, r.t, r.cu, r.tu):
+            customers_of[u] += c
+            tables_of[u] += t
+            whole[u] = (cu, tu)
+    assert whole and whole == {u: (customers_of[u], tables_of[u]) for u in whole}
+    known = {u: (c, t) for r in figures["own_totals"].collect() for u, c, t in zip(r.u, r.cu, r.tu)}
+    assert known == whole
