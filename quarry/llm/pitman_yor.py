@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.shared import in_fold, mix, revived, span_hashes, table, text_chunks, word_spans, written
+from quarry.llm.shared import discard, in_fold, mix, revived, span_hashes, table, text_chunks, word_spans, written
 
 FREQUENT = 1024
 ENDINGS = 256
@@ -57,6 +57,7 @@ THETA_CONTEXT, THETA_WORD = 5.0, 1.0
 PART_TOKENS = 1_500_000
 END = np.uint64(0x5EED0E9D0C7E57A1)  # stands for the end of a text, and for what precedes its first word
 STEP = np.uint64(0x9E3779B97F4A7C15)
+SLICES = 3  # the documents are scored in so many slices
 HELD_MERGE = 2_000_000  # types a counting task holds before it emits them
 
 
@@ -274,7 +275,7 @@ def word_types(pairs: DataFrame, parts: int, own: tuple) -> DataFrame:
 
 
 def own_totals(pairs: DataFrame, parts: int, own: tuple) -> DataFrame:
-    """Per home the rarer previous words u with their customers and tables."""
+    """Per home the rarer previous words u with their customers and tables, stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -283,7 +284,7 @@ def own_totals(pairs: DataFrame, parts: int, own: tuple) -> DataFrame:
                 _, first, cu, tu = seat_own(u.view(np.uint64), w.view(np.uint64), n, *own)
                 yield _record(batch.column(0)[k].as_py() - parts, "part int, u array<bigint>, cu array<bigint>, tu array<bigint>", u[first], cu, tu).to_batches()[0]
 
-    return pairs.where(F.col("slot") >= parts).mapInArrow(run, "part int, u array<bigint>, cu array<bigint>, tu array<bigint>")
+    return written(pairs.where(F.col("slot") >= parts).mapInArrow(run, "part int, u array<bigint>, cu array<bigint>, tu array<bigint>"), "op4-own")
 
 
 def own_discount(pairs: DataFrame, parts: int) -> float:
@@ -444,7 +445,8 @@ def fit(train: DataFrame) -> tuple[DataFrame, list[State], dict]:
     of_top = np.array([counts[int(h)] for h in frequent.sorted.view(np.int64)], dtype=np.int64)
     rare_share = (total - int(of_top.sum())) / max(1, vocabulary - len(of_top)) / max(1, total)
     own = (frequent.sorted, of_top / max(1, total), rare_share, own_discount(pairs, parts))
-    types = word_types(pairs, parts, own)
+    types, totals = word_types(pairs, parts, own), own_totals(pairs, parts, own)
+    discard(words, pairs)  # the types hold all that is read of them from here on
     flat = types.select(F.explode(F.arrays_zip("ctx", "n")).alias("x")).select("x.ctx", "x.n")
     per_ctx = flat.groupBy("ctx").agg(F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2"), F.count("*").alias("types")).collect()
     customers, kinds = np.zeros(CONTEXTS), np.zeros(CONTEXTS)
@@ -461,7 +463,7 @@ def fit(train: DataFrame) -> tuple[DataFrame, list[State], dict]:
     states = [state]
     for _ in range(BURN_IN + SAMPLES):
         states.append(sweep(types, states[-1]))
-    figures = {"train_tokens": total, "vocabulary": vocabulary, "counts": of_top, "parts": parts, "frequent": frequent.sorted, "d_own": own[3], "own_totals": own_totals(pairs, parts, own)}
+    figures = {"train_tokens": total, "vocabulary": vocabulary, "counts": of_top, "parts": parts, "frequent": frequent.sorted, "d_own": own[3], "own_totals": totals}
     return types, states, figures
 
 
@@ -598,9 +600,13 @@ def score(docs: DataFrame, types: DataFrame, states: list[State], figures: dict)
     SUM_KINDS = {x: kind for x, kind in ROW_KINDS.items() if x not in ("w", "ctx")}
     figures_own = (figures["d_own"], frequent)
     rows = docs.select("text", F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("long").alias("doc_id"))
-    moved = rows.mapInArrow(spread, spread_schema).groupBy("part").cogroup(types.groupBy("part"))
     sum_schema = "part int, row_id array<bigint>, u array<bigint>, doc_id array<bigint>, has_id array<boolean>, n_tokens array<int>, n_known array<int>, base array<double>, score array<double>, part_score array<float>"
-    partial = written(moved.applyInArrow(look_up, sum_schema), "op4-sums")
+    # tokens take more disk on their way than the texts: a slice of the documents at a time, its shuffle files go with it
+    partial = None
+    for at in range(SLICES):
+        moved = rows.where(F.pmod("row_id", F.lit(SLICES)) == at).mapInArrow(spread, spread_schema).groupBy("part").cogroup(types.groupBy("part"))
+        sums = written(moved.applyInArrow(look_up, sum_schema), "op4-sums")
+        partial = sums if partial is None else partial.union(sums)
     passed = partial.where("u is not null").groupBy("part").cogroup(figures["own_totals"].groupBy("part")).applyInArrow(pass_on, sum_schema)
     return partial.where("u is null").unionByName(passed).groupBy("part").applyInArrow(total, "row_id long, doc_id long, n_tokens long, n_known long, base_score double, score double")
 
