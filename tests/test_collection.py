@@ -196,3 +196,35 @@ def test_clustered_files_have_narrow_ranges(spark):
     assert sorted(map(tuple, coll.get_collection(spark, loc).select("id", "gen_year", "gen_price").collect())) == before
     coll.compact(spark, loc, cluster_by=["gen_genre", "gen_year"], files=4)
     assert coll.get_collection(spark, loc).count() == 2000
+
+
+def test_postings_are_made_from_small_batches(spark, monkeypatch):
+    made = coll.postings_of_tokens
+
+    def watched(tokens):
+        def small(batches):
+            for batch in batches:
+                assert batch.num_rows <= 512
+                yield batch
+
+        return made(tokens.mapInArrow(small, tokens.schema))
+
+    monkeypatch.setattr(coll, "postings_of_tokens", watched)
+    location, rows = shared_dir(spark, "small-batches"), spark.conf.get(coll.ARROW_ROWS)
+    coll.create_collection(spark, location, "small", id_type="bigint")
+    docs = spark.range(1500).coalesce(1).select("id", F.lit("one two two").alias("document"), F.lit("{}").alias("metadata"))
+    coll.add_records(spark, location, docs, clean=False)
+    assert coll._read(spark, location, "postings").groupBy("term").agg(F.sum("tf")).orderBy("term").collect() == [("one", 1500), ("two", 3000)]
+    assert spark.conf.get(coll.ARROW_ROWS) == rows
+
+
+def test_an_append_finds_tokens_once_for_length_and_vector(spark, monkeypatch):
+    calls, tokenize = [], coll.tokenize
+    monkeypatch.setattr(coll, "tokenize", lambda *a: calls.append(a) or tokenize(*a))
+    location = shared_dir(spark, "tokens-once")
+    coll.create_collection(spark, location, "once", dimension=16, id_type="bigint")
+    docs = spark.createDataFrame([(1, "one two two"), (2, None), (3, "")], "id long, document string").withColumn("metadata", F.lit("{}"))
+    coll.add_records(spark, location, docs, clean=False)
+    assert len(calls) == 2  # for the records and for the postings
+    stored = {r.id: r for r in coll.get_collection(spark, location).collect()}
+    assert stored[1].dl == 3 and sum(x * x for x in stored[1].embedding) == pytest.approx(1) and "_tokens" not in stored[1]
