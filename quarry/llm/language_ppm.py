@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +43,9 @@ ROWS_PER_LANG = 400
 UND = "und"
 #: (byte, language) cells scored at once.
 CELLS = 4 << 20
+#: Bytes of text scored together, and rows of a batch handed on together: what a worker holds beside its model and its batch.
+SCORED_BYTES = 1 << 18
+SCORED_ROWS = 1024
 
 
 def sample_rows(train: DataFrame, rows_per_lang: int = ROWS_PER_LANG) -> DataFrame:
@@ -180,33 +184,42 @@ def train(rows: DataFrame, rows_per_lang: int = ROWS_PER_LANG, order: int = ORDE
 def identify(df: DataFrame, trees: ContextTrees, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` (default: all but ``text``) plus lang_pred, score (posterior under equal priors), bits_per_byte of the best language.
 
-    An input column with an output's name gives way to the output.
+    An input column with an output's name gives way to the output.  ``text`` may be
+    a field of a struct column.
     """
     shipped = df.sparkSession.sparkContext.broadcast(vars(trees))  # bounded by the sample
     made = ("lang_pred", "score", "bits_per_byte")
     keep = [c for c in (keep or df.columns) if c not in (text, *made)]
-    slim = df.select(F.col(text).alias("t"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("letter"), *[F.col(f"`{c}`").alias(f"k_{c}") for c in keep])
+    # a text inside a kept struct travels with it, not a second time beside it
+    holder, _, inner = text.partition(".")
+    inside = bool(inner) and holder in keep
+    given = F.lit(None).cast("string") if inside else F.col(text)
+    slim = df.select(given.alias("t"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("letter"), *[F.col(f"`{c}`").alias(f"k_{c}") for c in keep])
     schema = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits_per_byte", T.DoubleType()), *slim.schema.fields[2:]])
+    at_text = 2 + keep.index(holder) if inside else 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = revived(ContextTrees, shipped.value)
         names = np.array([*model.langs, UND], dtype=object)
-        for batch in batches:
-            n = batch.num_rows
-            best = np.full(n, len(model.langs))
-            score, per_byte = np.zeros(n), np.zeros(n)
-            letter = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            if model.langs:
-                for at, data, offs in text_chunks(batch.column(0)):
-                    bits = model.code_lengths(data, offs)
-                    where = slice(at, at + len(bits))
-                    win = bits.argmin(axis=1)
-                    least = bits.min(axis=1)
-                    best[where] = win
-                    score[where] = 1.0 / np.exp2(np.maximum(least[:, None] - bits, -1000.0)).sum(axis=1)
-                    per_byte[where] = least / np.maximum(1, np.diff(offs))
-                best[~letter], score[~letter] = len(model.langs), 0.0
-            yield pa.RecordBatch.from_arrays([pa.array(names[best], pa.string()), pa.array(score), pa.array(per_byte), *batch.columns[2:]], names=["lang_pred", "score", "bits_per_byte", *batch.schema.names[2:]])
+        for whole in batches:
+            for top in range(0, whole.num_rows, SCORED_ROWS):
+                batch = whole.slice(top, SCORED_ROWS)
+                n = batch.num_rows
+                best = np.full(n, len(model.langs))
+                score, per_byte = np.zeros(n), np.zeros(n)
+                letter = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+                if model.langs:
+                    texts = pc.struct_field(batch.column(at_text), inner) if inside else batch.column(0)
+                    for at, data, offs in text_chunks(texts, SCORED_BYTES):
+                        bits = model.code_lengths(data, offs)
+                        where = slice(at, at + len(bits))
+                        win = bits.argmin(axis=1)
+                        least = bits.min(axis=1)
+                        best[where] = win
+                        score[where] = 1.0 / np.exp2(np.maximum(least[:, None] - bits, -1000.0)).sum(axis=1)
+                        per_byte[where] = least / np.maximum(1, np.diff(offs))
+                    best[~letter], score[~letter] = len(model.langs), 0.0
+                yield pa.RecordBatch.from_arrays([pa.array(names[best], pa.string()), pa.array(score), pa.array(per_byte), *batch.columns[2:]], names=["lang_pred", "score", "bits_per_byte", *batch.schema.names[2:]])
 
     out = slim.mapInArrow(run, schema)
     return out.select(*[F.col(f"`k_{c}`").alias(c) for c in keep], *made)
