@@ -54,11 +54,12 @@ CONTEXTS = FREQUENT + ENDINGS
 BURN_IN, SAMPLES = 2, 2
 PROPOSALS = 2
 THETA_CONTEXT, THETA_WORD = 5.0, 1.0
-PART_TOKENS = 1_500_000
+PART_TOKENS = 500_000
 END = np.uint64(0x5EED0E9D0C7E57A1)  # stands for the end of a text, and for what precedes its first word
 STEP = np.uint64(0x9E3779B97F4A7C15)
 SLICES = 3  # the documents are scored in so many slices
-HELD_MERGE = 2_000_000  # types a counting task holds before it emits them
+HELD_MERGE = 1_000_000  # types a counting task holds before it emits them
+HELD_TOKENS = 500_000  # tokens a scoring task gathers before it deals them to the parts
 
 
 def tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -512,6 +513,16 @@ def score(docs: DataFrame, types: DataFrame, states: list[State], figures: dict)
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Frequent(frequent)
         logs, base = dense_bc.value
+        held: list[list[np.ndarray]] = []
+        size = 0
+
+        def row_of(found: pa.RecordBatch) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([found.column(x) if x in found.schema.names else pa.nulls(found.num_rows, ROW_KINDS[x]) for x in ROW_KINDS], names=list(ROW_KINDS))
+
+        def dealt() -> pa.RecordBatch:
+            part, *columns = (np.concatenate(x) for x in zip(*held))
+            return row_of(_packed(part, columns, ["row_id", "w", "ctx", "u"]))
+
         for batch in batches:
             rows, ids = batch.column(1).to_numpy(), batch.column(2)
             for at, data, offs in text_chunks(batch.column(0)):
@@ -529,15 +540,21 @@ def score(docs: DataFrame, types: DataFrame, states: list[State], figures: dict)
                     np.bincount(row[direct], weights=logs[number[direct], ctx[direct]] if len(direct) else None, minlength=count).astype(float),
                 ]
                 r = np.flatnonzero(~known | (ctx >= FREQUENT))
-                part = part_of(w[r], number[r], ctx[r], parts)
-                tokens_of = _packed(part, [each[row[r]], w[r].view(np.int64), ctx[r].astype(np.int16), own_context(w, ctx)[r].view(np.int64)], ["row_id", "w", "ctx", "u"])
+                if len(r):
+                    # gathered over chunks, so that the rows that travel stay long however many parts there are
+                    held.append([part_of(w[r], number[r], ctx[r], parts), each[row[r]], w[r].view(np.int64), ctx[r].astype(np.int16), own_context(w, ctx)[r].view(np.int64)])
+                    size += len(r)
                 home = home_of(each, parts)
                 own_ids = np.asarray(ids.slice(at, count).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
                 known_ids = ids.slice(at, count).is_valid().to_numpy(zero_copy_only=False)
                 documents = _packed(home, [each, own_ids, known_ids, *[s.astype(np.int32) for s in sums[:2]], *sums[2:]], ["row_id", "doc_id", "has_id", "n_tokens", "n_known", "base", "score"])
-                for found in (tokens_of, documents):
-                    if found is not None:
-                        yield pa.RecordBatch.from_arrays([found.column(x) if x in found.schema.names else pa.nulls(found.num_rows, ROW_KINDS[x]) for x in ROW_KINDS], names=list(ROW_KINDS))
+                if documents is not None:
+                    yield row_of(documents)
+                if size >= HELD_TOKENS:
+                    yield dealt()
+                    held, size = [], 0
+        if held:
+            yield dealt()
 
     ROW_KINDS = {
         "part": pa.int32(), "row_id": pa.list_(pa.int64()), "w": pa.list_(pa.int64()), "ctx": pa.list_(pa.int16()), "u": pa.list_(pa.int64()), "doc_id": pa.list_(pa.int64()), "has_id": pa.list_(pa.bool_()),
